@@ -20,7 +20,7 @@ def iso_date(c: str | Column) -> Column:
 
 def parse_date(c: str | Column) -> Column:
     """Text to date; malformed text becomes NULL instead of failing the job."""
-    return F.try_to_date(_c(c), F.lit(ISO_DATE))
+    return F.try_to_date(_c(c), ISO_DATE)
 
 
 def is_weekday(c: str | Column) -> Column:
@@ -54,4 +54,4 @@ def business_day_spine(keys: DataFrame, end_col: str, n_days: int, out_col: str
     return (exploded
             .withColumn("_k", F.row_number().over(w))
             .filter(F.col("_k") <= n_days)
-            .drop("_k", "_end"))
+            .drop("_k", "_end", end_col))

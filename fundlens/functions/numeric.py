@@ -17,7 +17,7 @@ def _c(c: str | Column) -> Column:
 
 def parse_decimal(c: str | Column, precision: int = 18, scale: int = 6) -> Column:
     """Text to decimal; ``N/A`` or any malformed text becomes NULL (ANSI-safe)."""
-    return F.try_cast(_c(c), T.DecimalType(precision, scale))
+    return _c(c).try_cast(T.DecimalType(precision, scale))
 
 
 def money_product(a: str | Column, b: str | Column, scale: int = 2) -> Column:

@@ -45,9 +45,12 @@ def fund_short_name(name: str | Column, drop_prefix: str | None = None) -> Colum
     return out
 
 
-def issuer_short_name(name: str | Column, width: int = 22) -> Column:
-    """Issuer name cut before `` S.A.``, then before `` -``, then to ``width`` characters."""
-    cut = F.substring_index(F.substring_index(_c(name), " S.A.", 1), " -", 1)
+def issuer_short_name(name: str | Column, width: int = 22, cut_dash: bool = True) -> Column:
+    """Issuer name cut before `` S.A.`` (and, with ``cut_dash``, before `` -``),
+    then to ``width`` characters."""
+    cut = F.substring_index(_c(name), " S.A.", 1)
+    if cut_dash:
+        cut = F.substring_index(cut, " -", 1)
     return F.substring(cut, 1, width)
 
 

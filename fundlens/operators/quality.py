@@ -86,7 +86,7 @@ def max_length(table: str, limits: dict[str, int]) -> list[Rule]:
 
 def decimal_fits(table: str, schema: T.StructType) -> list[Rule]:
     return [Rule("V13", table, f.name,
-                 F.col(f.name).isNotNull() & F.try_cast(F.col(f.name), f.dataType).isNull(),
+                 F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(),
                  f"fits {f.dataType.simpleString()}")
             for f in schema.fields if isinstance(f.dataType, T.DecimalType)]
 

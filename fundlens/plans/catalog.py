@@ -10,9 +10,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from fundlens import schemas
+from fundlens.functions.dates import iso_date
+from fundlens.functions.text import fund_short_name, issuer_short_name, rating_bucket, truncate
+from fundlens.operators import quality
+from fundlens.operators.dedup import first_per_key
+from fundlens.operators.joins import count_orphans, new_keys
+from fundlens.plans import exposure, mtm, profile, ranking
 from fundlens.plans import flat as flatmod
-from fundlens.plans.prices import prices_by_priority
-from fundlens.sources.driver_tables import star_from_driver
+from fundlens.plans.prices import business_days, cumulative_return, prices_by_priority, recent_returns
+from fundlens.sources.driver_tables import event_prices, star_from_driver
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -44,5 +53,329 @@ def q02(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatmod.carteira_flat(_star(spark, sf_dir))
 
 
+@register("q01b_event_prices_by_priority")
+def q01b(spark, sf_dir):
+    """Second price stream: only unknown sources, so every tie is at the fallback rank."""
+    return prices_by_priority(event_prices(spark, sf_dir)).select(
+        "data_referencia", "id_ativo", "preco_mercado", "fonte_preco", "id_preco")
+
+
+@register("q03_overview_kpis")
+def q03(spark, sf_dir):
+    return exposure.overview(_typed(spark, sf_dir))
+
+
+@register("q04_pl_by_fund")
+def q04(spark, sf_dir):
+    return exposure.pl_by_fund(_typed(spark, sf_dir))
+
+
+@register("q04b_pl_by_fund_latest")
+def q04b(spark, sf_dir):
+    return exposure.pl_by_fund(_typed(spark, sf_dir), as_of="latest")
+
+
+@register("a09_fund_summary")
+def a09(spark, sf_dir):
+    return exposure.fund_summary(_typed(spark, sf_dir))
+
+
+@register("q05_fund_composition")
+def q05(spark, sf_dir):
+    return exposure.fund_composition(_typed(spark, sf_dir))
+
+
+@register("q06_matrix_fund_asset")
+def q06(spark, sf_dir):
+    return exposure.matrix_fund_asset(_typed(spark, sf_dir))
+
+
+@register("q07_exposure_by_class")
+def q07(spark, sf_dir):
+    return exposure.exposure_by_class(_typed(spark, sf_dir))
+
+
+@register("q08_exposure_by_indexer")
+def q08(spark, sf_dir):
+    return exposure.exposure_by_indexer(_typed(spark, sf_dir))
+
+
+@register("q09_matrix_fund_class")
+def q09(spark, sf_dir):
+    return exposure.matrix_fund_class(_typed(spark, sf_dir))
+
+
+@register("q10_asset_ranking")
+def q10(spark, sf_dir):
+    return ranking.asset_ranking(_typed(spark, sf_dir))
+
+
+@register("q11_issuer_distribution")
+def q11(spark, sf_dir):
+    return ranking.issuer_distribution(_typed(spark, sf_dir))
+
+
+@register("q12_concentration_curve")
+def q12(spark, sf_dir):
+    return ranking.concentration_curve(_typed(spark, sf_dir))
+
+
+@register("w03_pareto_point")
+def w03(spark, sf_dir):
+    return ranking.pareto_point(_typed(spark, sf_dir))
+
+
+@register("q13_top5_assets")
+def q13(spark, sf_dir):
+    return exposure.top_assets(_typed(spark, sf_dir), 5)
+
+
+@register("q14_pl_by_fund_type")
+def q14(spark, sf_dir):
+    return exposure.pl_by_fund_type(_typed(spark, sf_dir))
+
+
+@register("q15_issuer_by_rating")
+def q15(spark, sf_dir):
+    return exposure.issuer_by_rating(_typed(spark, sf_dir))
+
+
+@register("q16_sector_concentration")
+def q16(spark, sf_dir):
+    return exposure.sector_concentration(_typed(spark, sf_dir))
+
+
+@register("m01_unit_vs_market")
+def m01(spark, sf_dir):
+    return mtm.unit_vs_market(_typed(spark, sf_dir))
+
+
+@register("m02_mtm_impact")
+def m02(spark, sf_dir):
+    return mtm.mtm_impact(_typed(spark, sf_dir))
+
+
+@register("q17_recent_returns")
+def q17(spark, sf_dir):
+    star = _star(spark, sf_dir)
+    return recent_returns(prices_by_priority(star.preco), star.ativo, 30)
+
+
+@register("w04_cumulative_return")
+def w04(spark, sf_dir):
+    p = prices_by_priority(_star(spark, sf_dir).preco)
+    return cumulative_return(p).select("id_ativo", "data_referencia", "preco_mercado", "preco_base",
+                                       "retorno_pct")
+
+
+@register("f17_business_day_spine")
+def f17(spark, sf_dir):
+    return business_days(prices_by_priority(_star(spark, sf_dir).preco), 30)
+
+
+@register("q18_describe")
+def q18(spark, sf_dir):
+    return profile.describe_flat(_typed(spark, sf_dir))
+
+
+@register("a07_null_profile")
+def a07(spark, sf_dir):
+    return profile.null_profile(_typed(spark, sf_dir))
+
+
+@register("q19_typed_from_text")
+def q19(spark, sf_dir):
+    return profile.typed_from_text(flatmod.carteira_flat(_star(spark, sf_dir), sort=False))
+
+
+@register("f06_parse_numbers")
+def f06(spark, sf_dir):
+    text = flatmod.carteira_flat(_star(spark, sf_dir), sort=False)
+    return profile.null_profile(profile.typed_from_text(text).select(*profile.TEXT_NUMERIC), only_missing=False)
+
+
+@register("f07_fund_short_names")
+def f07(spark, sf_dir):
+    return _star(spark, sf_dir).fundo.select("nome_fundo", fund_short_name("nome_fundo").alias("fundo_curto"))
+
+
+@register("f08_issuer_short_names")
+def f08(spark, sf_dir):
+    e = _star(spark, sf_dir).emissor
+    return e.select("nome_emissor", issuer_short_name("nome_emissor", 22).alias("emissor_curto"),
+                    truncate(issuer_short_name("nome_emissor", 22), 14).alias("rotulo"))
+
+
+@register("f15_rating_buckets")
+def f15(spark, sf_dir):
+    f = _typed(spark, sf_dir)
+    return f.groupBy(rating_bucket("rating_emissor").alias("faixa_rating")).agg(
+        F.countDistinct("nome_emissor").alias("n_emissores"),
+        F.sum("valor_financeiro").cast("decimal(38,2)").alias("valor_total"))
+
+
+@register("p07_dropna")
+def p07(spark, sf_dir):
+    return _typed(spark, sf_dir).na.drop()
+
+
+@register("p09_distinct_dates")
+def p09(spark, sf_dir):
+    return _typed(spark, sf_dir).select("data_posicao").distinct()
+
+
+def _progressive(spark, sf_dir, upto: int):
+    e = flatmod.enriched_positions(_star(spark, sf_dir))
+    steps = [
+        ["data_posicao", "id_fundo", "id_ativo", "quantidade", "valor_financeiro", "percentual_pl"],
+        ["cnpj_fundo", "nome_fundo", "tipo_fundo"],
+        ["codigo_ativo", "nome_ativo", "classe_ativo", "indexador", "data_vencimento"],
+        ["nome_emissor", "cnpj_emissor", "setor_emissor", "rating_emissor"],
+        ["preco_mercado", "fonte_preco"],
+    ]
+    cols = [c for step in steps[: upto + 1] for c in step]
+    return e.select(*cols)
+
+
+@register("j01_position_fund")
+def j01(spark, sf_dir):
+    return _progressive(spark, sf_dir, 1)
+
+
+@register("j02_position_asset")
+def j02(spark, sf_dir):
+    return _progressive(spark, sf_dir, 2)
+
+
+@register("j03_position_issuer")
+def j03(spark, sf_dir):
+    return _progressive(spark, sf_dir, 3)
+
+
+@register("j04_position_price")
+def j04(spark, sf_dir):
+    return _progressive(spark, sf_dir, 4)
+
+
+@register("j06_orphan_keys")
+def j06(spark, sf_dir):
+    star = _star(spark, sf_dir)
+    fr = star.frames()
+    parts = [count_orphans(fr[c], col, fr[p], pcol, f"{c}.{col}->{p}.{pcol}")
+             for c, col, p, pcol in quality.FOREIGN_KEYS]
+    return quality.union_all(parts)
+
+
+@register("j08_inner_join_loss")
+def j08(spark, sf_dir):
+    e = flatmod.enriched_positions(_star(spark, sf_dir))
+    return e.agg(
+        F.count(F.lit(1)).alias("n_posicoes"),
+        F.count_if(~F.col("_hit_fundo")).alias("sem_fundo"),
+        F.count_if(~F.col("_hit_ativo")).alias("sem_ativo"),
+        F.count_if(~F.col("_hit_emissor")).alias("sem_emissor"),
+        F.count_if(~F.col("_hit_preco")).alias("sem_preco"),
+        F.count_if(~(F.col("_hit_fundo") & F.col("_hit_ativo") & F.col("_hit_emissor") & F.col("_hit_preco")))
+        .alias("perdidas_inner"))
+
+
+@register("v03_flat_output_checks")
+def v03(spark, sf_dir):
+    return quality.flat_report(flatmod.carteira_flat(_star(spark, sf_dir), sort=False))
+
+
+def _rules(spark, sf_dir, pick):
+    fr = _star(spark, sf_dir).frames()
+    parts = []
+    for name, df in fr.items():
+        rules = [r for r in quality.table_rules(name) if pick(r)]
+        if rules:
+            parts.append(quality.evaluate(df, rules))
+    return quality.union_all(parts)
+
+
+@register("v06_not_null")
+def v06(spark, sf_dir):
+    return _rules(spark, sf_dir, lambda r: r.regra == "V06")
+
+
+@register("v07_unique_keys")
+def v07(spark, sf_dir):
+    fr = _star(spark, sf_dir).frames()
+    return quality.union_all([quality.unique_keys(fr[t], t, k) for t, k in schemas.NATURAL_KEYS.items()])
+
+
+@register("v08_foreign_keys")
+def v08(spark, sf_dir):
+    fr = _star(spark, sf_dir).frames()
+    return quality.union_all([quality.foreign_key(fr[c], c, col, fr[p], p, pcol)
+                              for c, col, p, pcol in quality.FOREIGN_KEYS])
+
+
+@register("v09_non_negative")
+def v09(spark, sf_dir):
+    return _rules(spark, sf_dir, lambda r: r.regra == "V09")
+
+
+@register("v10_positive_trades")
+def v10(spark, sf_dir):
+    return _rules(spark, sf_dir, lambda r: r.regra == "V10")
+
+
+@register("v11_fund_status")
+def v11(spark, sf_dir):
+    return _rules(spark, sf_dir, lambda r: r.regra == "V11")
+
+
+@register("v12_trade_types")
+def v12(spark, sf_dir):
+    return _rules(spark, sf_dir, lambda r: r.regra == "V12")
+
+
+@register("v13_limits")
+def v13(spark, sf_dir):
+    return _rules(spark, sf_dir, lambda r: r.regra == "V13")
+
+
+@register("v14_percent_sums")
+def v14(spark, sf_dir):
+    return quality.percent_sums(_star(spark, sf_dir).posicao)
+
+
+@register("v15_consistency")
+def v15(spark, sf_dir):
+    return quality.consistency_rules(_star(spark, sf_dir).posicao)
+
+
+@register("t01_trades_by_type")
+def t01(spark, sf_dir):
+    op = _star(spark, sf_dir).operacao
+    return op.groupBy("tipo_operacao").agg(F.count(F.lit(1)).alias("n_operacoes"),
+                                           F.sum("valor_operacao").cast("decimal(38,2)").alias("valor_total"))
+
+
+@register("s11_insert_if_absent")
+def s11(spark, sf_dir):
+    """Quotes taken from position unit prices, inserted into the price table only
+    where (date, asset, source) is new; one quote per key from the batch."""
+    star = _star(spark, sf_dir)
+    batch = star.posicao.select(F.col("data_posicao").alias("data_referencia"), "id_ativo",
+                                F.col("preco_unitario").alias("preco_mercado"),
+                                F.lit("ANBIMA").alias("fonte_preco"), "id_fundo")
+    batch = first_per_key(batch, ["data_referencia", "id_ativo", "fonte_preco"], [F.col("id_fundo")])
+    return new_keys(batch, star.preco, ["data_referencia", "id_ativo", "fonte_preco"])
+
+
+@register("x03_flat_fixed_income")
+def x03(spark, sf_dir):
+    f = _typed(spark, sf_dir)
+    return flatmod.render_flat(f.filter(F.col("classe_ativo") == "Renda Fixa"))
+
+
+@register("x05_concentration_alerts")
+def x05(spark, sf_dir):
+    return ranking.concentration_alerts(_typed(spark, sf_dir), 1.0)
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)

@@ -21,10 +21,15 @@ def read_star_parquet(spark: SparkSession, root: str, with_trades: bool = True)
                 operacao=read("operacao") if with_trades else None)
 
 
+# Reader-side NULL marker: an unquoted empty field reads as NULL and a quoted
+# empty field ("") as an empty string, as the writer distinguishes them.
+_READ_NULL = "\u0000"
+
+
 def read_flat_csv(spark: SparkSession, path: str) -> DataFrame:
     """The text flat view (19 string columns, header) with a declared schema, no inference."""
     return (spark.read.schema(schemas.FLAT_STRING).option("header", True).option("encoding", "UTF-8")
-            .option("mode", "FAILFAST").csv(path))
+            .option("nullValue", _READ_NULL).option("mode", "FAILFAST").csv(path))
 
 
 def newest_run(spark: SparkSession, root: str, pattern: str = "part-*.csv") -> str:

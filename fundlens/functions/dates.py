@@ -37,18 +37,22 @@ def last_weekday_on_or_before(c: str | Column) -> Column:
 def business_day_spine(keys: DataFrame, end_col: str, n_days: int, out_col: str = "data") -> DataFrame:
     """``n_days`` weekdays ending on ``end_col`` (or on the weekday before it), one row each.
 
-    ``keys`` holds one row per series (e.g. per asset) with its end date. Each
-    key explodes into a bounded calendar range of ``7 * (n_days // 5 + 2)``
-    days, so the output grows linearly with the number of keys and no key can
-    be larger than that bound; the ranking window below therefore works on
-    groups of bounded size.
+    ``keys`` holds one row per series (e.g. per asset) with its end date; each
+    key explodes into a bounded calendar range, so the output grows linearly
+    with the number of keys. When ``n_days`` is a multiple of five the range is
+    exact (any ``7 * n_days / 5`` consecutive days hold ``n_days`` weekdays) and
+    no ranking is needed; otherwise the newest ``n_days`` weekdays of a slightly
+    longer range are kept with a window over groups of bounded size.
     """
-    span = 7 * (n_days // 5 + 2)
     end = last_weekday_on_or_before(end_col)
+    exact = n_days % 5 == 0
+    span = 7 * n_days // 5 - 1 if exact else 7 * (n_days // 5 + 2)
     exploded = (keys
                 .withColumn("_end", end)
                 .withColumn(out_col, F.explode(F.sequence(F.date_sub(F.col("_end"), span), F.col("_end"))))
                 .filter(is_weekday(out_col)))
+    if exact:
+        return exploded.drop("_end", end_col)
     key_cols = [c for c in keys.columns if c != end_col]
     w = Window.partitionBy(*key_cols).orderBy(F.col(out_col).desc())
     return (exploded

@@ -5,9 +5,9 @@ Mapping (one rule per table; every derived table grows with the input):
 - ``fundo``            nation x region: one fund per nation, type = region name
 - ``emissor``          supplier, minus every key ending in 3 (forces issuer misses)
 - ``ativo``            part; class from size, issuer = lowest supplier that shipped it
-- ``posicao_carteira`` line items of a customer's nation on an order date, per part
+- ``posicao_carteira`` the day's trades of a fund (customer nation) in an asset (part)
 - ``preco_mercado``    line items per ship date and part; source from the status flags
-- ``operacao``         one trade per line item
+- ``operacao``         one trade per line item, dated by its order
 - second price stream  ``events``: (day, user) as (date, asset), event type as source
 
 All arithmetic is decimal and exact (``round_ratio``), so the same tables
@@ -97,17 +97,12 @@ def _order_nation(orders: DataFrame, customer: DataFrame) -> DataFrame:
     return oc.select("o_orderkey", F.to_date("o_orderdate").alias("_date"), "c_nationkey")
 
 
-def posicao(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) -> DataFrame:
-    li = lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
-    joined = li.join(_order_nation(orders, customer), F.col("l_orderkey") == F.col("o_orderkey"))
-    grouped = joined.groupBy(
-        F.col("_date").alias("data_posicao"),
-        F.col("c_nationkey").cast("long").alias("id_fundo"),
-        F.col("l_partkey").cast("long").alias("id_ativo"),
-    ).agg(
-        F.sum(F.col("l_quantity").cast(schemas.QTY)).cast(schemas.QTY).alias("quantidade"),
-        F.sum(F.col("l_extendedprice").cast(schemas.MONEY)).cast(schemas.MONEY).alias("valor_financeiro"),
-    )
+def posicao(trades: DataFrame) -> DataFrame:
+    """Daily positions: the day's trades of a fund in an asset, summed."""
+    grouped = trades.groupBy("data_operacao", "id_fundo", "id_ativo").agg(
+        F.sum("quantidade").cast(schemas.QTY).alias("quantidade"),
+        F.sum("valor_operacao").cast(schemas.MONEY).alias("valor_financeiro"),
+    ).withColumnRenamed("data_operacao", "data_posicao")
     # Fund total per day by aggregate + join (not a window) so a hot (day, fund)
     # is combined map-side and can be split by the skew-join handling.
     pl = grouped.groupBy("data_posicao", "id_fundo").agg(F.sum("valor_financeiro").alias("_pl"))
@@ -170,13 +165,14 @@ def operacao(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) -> Dat
 def star_from_driver(spark: SparkSession, sf_dir: str) -> Star:
     """Lazy star schema over ``sf_dir`` (no job runs here)."""
     t = {n: read_driver(spark, sf_dir, n) for n in DRIVER_TABLES}
+    trades = schemas.conform(operacao(t["lineitem"], t["orders"], t["customer"]), schemas.OPERACAO)
     return Star(
         fundo=schemas.conform(fundo(t["nation"], t["region"]), schemas.FUNDO),
         ativo=schemas.conform(ativo(t["part"], t["lineitem"]), schemas.ATIVO),
         emissor=schemas.conform(emissor(t["supplier"]), schemas.EMISSOR),
-        posicao=schemas.conform(posicao(t["lineitem"], t["orders"], t["customer"]), schemas.POSICAO),
+        posicao=schemas.conform(posicao(trades), schemas.POSICAO),
         preco=schemas.conform(preco_mercado(t["lineitem"]), schemas.PRECO),
-        operacao=schemas.conform(operacao(t["lineitem"], t["orders"], t["customer"]), schemas.OPERACAO),
+        operacao=trades,
     )
 
 
@@ -188,20 +184,28 @@ def stage_star(star: Star, out_dir: str, mode: str = "overwrite") -> Star:
     """Write the star to Parquet under ``out_dir`` and return it re-read from there.
 
     Cuts the lineage of the derived tables (one evaluation each), and is the
-    restart point if executors are lost later. ``out_dir`` must be shared
-    storage on a cluster (see ``fundlens.session.scratch_dir``).
+    restart point if executors are lost later. Trades are written first and
+    positions are aggregated from the written trades, so the three-way join
+    behind both runs once. ``out_dir`` must be shared storage on a cluster
+    (see ``fundlens.session.scratch_dir``).
     """
     spark = star.fundo.sparkSession
-    out = {}
-    for name, df in star.frames().items():
-        path = f"{out_dir.rstrip('/')}/{name}"
-        writer = df.write.mode(mode)
-        if name in ("posicao_carteira", "preco_mercado"):
-            date_col = "data_posicao" if name == "posicao_carteira" else "data_referencia"
-            df = df.sortWithinPartitions(date_col)
-            writer = df.write.mode(mode)
-        writer.parquet(path)
-        out[name] = spark.read.schema(schemas.TABLES[name]).parquet(path)
+    root = out_dir.rstrip("/")
+
+    def write(name: str, df: DataFrame, sort_col: str | None = None) -> DataFrame:
+        if sort_col:
+            df = df.sortWithinPartitions(sort_col)
+        df.write.mode(mode).parquet(f"{root}/{name}")
+        return spark.read.schema(schemas.TABLES[name]).parquet(f"{root}/{name}")
+
+    out = {"fundo": write("fundo", star.fundo), "ativo": write("ativo", star.ativo),
+           "emissor": write("emissor", star.emissor)}
+    if star.operacao is not None:
+        out["operacao"] = write("operacao", star.operacao, "data_operacao")
+        positions = schemas.conform(posicao(out["operacao"]), schemas.POSICAO)
+    else:
+        positions = star.posicao
+    out["posicao_carteira"] = write("posicao_carteira", positions, "data_posicao")
+    out["preco_mercado"] = write("preco_mercado", star.preco, "data_referencia")
     return Star(fundo=out["fundo"], ativo=out["ativo"], emissor=out["emissor"],
                 posicao=out["posicao_carteira"], preco=out["preco_mercado"], operacao=out.get("operacao"))
-

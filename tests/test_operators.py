@@ -106,3 +106,23 @@ def test_insert_if_absent_is_idempotent(spark):
     merged = target.unionByName(new)
     again = insert_if_absent(batch, merged, ["k"], order=[F.col("v")])
     assert again.count() == 0
+
+
+@pytest.mark.parametrize("n_days", [30, 7, 1])
+def test_business_day_spine_matches_calendar(spark, n_days):
+    from datetime import date, timedelta
+
+    from fundlens.functions.dates import business_day_spine
+
+    ends = [(1, date(2024, 5, 31)), (2, date(2024, 6, 2)), (3, date(2024, 6, 1)), (4, date(2024, 1, 3))]
+    df = spark.createDataFrame(ends, "k int, fim date")
+    got = {}
+    for r in business_day_spine(df, "fim", n_days).collect():
+        got.setdefault(r["k"], []).append(r["data"])
+    for k, end in ends:
+        days, d = [], end
+        while len(days) < n_days:
+            if d.weekday() < 5:
+                days.append(d)
+            d -= timedelta(days=1)
+        assert sorted(got[k]) == sorted(days)

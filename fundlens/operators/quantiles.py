@@ -42,18 +42,14 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] =
                     ids: Sequence[str] = (), n_partitions: int | None = None) -> DataFrame:
     """``(coluna, p, valor)``: the linear-interpolation quantile of each column.
 
-    ``ids`` should be a unique key of ``df`` (used only to split ties across
-    partitions); without it a generated row id is used.
+    ``ids`` should be a unique key of ``df``; it only splits runs of equal
+    values across partitions. Without it the hash of the whole row is used,
+    which is deterministic, so a re-executed task ranks rows the same way.
     """
     spark = df.sparkSession
     n = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if ids:
-        tie = F.xxhash64(*ids)
-        base = df
-    else:
-        base = df.withColumn("_rowid", F.monotonically_increasing_id())
-        tie = F.col("_rowid")
-    long = unpivot_values(base.withColumn("_tie", tie), cols, ids=["_tie"])
+    tie = F.xxhash64(*(ids or df.columns))
+    long = unpivot_values(df.withColumn("_tie", tie), cols, ids=["_tie"])
     ranged = long.repartitionByRange(n, "coluna", "valor", "_tie").withColumn("_pid", F.spark_partition_id())
 
     counts = ranged.groupBy("_pid", "coluna").agg(F.count(F.lit(1)).alias("_np"))

@@ -66,30 +66,45 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] =
               .withColumn("_lo", F.floor("_pos").cast("long"))
               .withColumn("_hi", F.ceil("_pos").cast("long"))
               .withColumn("_frac", F.col("_pos") - F.col("_lo")))
-    ranks = (wanted.select("coluna", F.explode(F.array("_lo", "_hi")).alias("_rank")).distinct()
-             .join(offsets, "coluna")
-             .filter((F.col("_rank") >= F.col("_off")) & (F.col("_rank") < F.col("_off") + F.col("_np")))
-             .select("coluna", "_rank", "_pid", (F.col("_rank") - F.col("_off") + 1).alias("_lpos")))
-
-    needed = ranged.join(F.broadcast(ranks.select("_pid", "coluna").distinct()), ["_pid", "coluna"], "left_semi")
+    # One row per (column, p, lower/upper rank), located in its range partition.
+    bounds = F.array(F.struct(F.lit("lo").alias("_which"), F.col("_lo").alias("_rank")),
+                     F.struct(F.lit("hi").alias("_which"), F.col("_hi").alias("_rank")))
+    targets = (wanted.select("coluna", "p", "_frac", F.explode(bounds).alias("_b"))
+               .select("coluna", "p", "_frac", "_b._which", "_b._rank")
+               .join(offsets, "coluna")
+               .filter((F.col("_rank") >= F.col("_off")) & (F.col("_rank") < F.col("_off") + F.col("_np")))
+               .select("coluna", "p", "_frac", "_which", "_pid", (F.col("_rank") - F.col("_off") + 1).alias("_lpos")))
+
+    # Only partitions holding a wanted rank are ranked (at most 2 per column and p).
+    needed = ranged.join(F.broadcast(targets.select("_pid", "coluna").distinct()), ["_pid", "coluna"], "left_semi")
     local = Window.partitionBy("_pid", "coluna").orderBy("valor", "_tie")
     picked = (needed.withColumn("_lpos", F.row_number().over(local))
-              .join(F.broadcast(ranks), ["_pid", "coluna", "_lpos"])
-              .select("coluna", "_rank", "valor"))
-
-    lo = picked.select("coluna", F.col("_rank").alias("_lo"), F.col("valor").alias("_vlo"))
-    hi = picked.select("coluna", F.col("_rank").alias("_hi"), F.col("valor").alias("_vhi"))
-    return (wanted.join(lo, ["coluna", "_lo"]).join(hi, ["coluna", "_hi"])
-            .select("coluna", F.col("p").cast("double").alias("p"),
-                    (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("valor")))
+              .join(F.broadcast(targets), ["_pid", "coluna", "_lpos"]))
+    out = picked.groupBy("coluna", "p").agg(
+        F.max(F.when(F.col("_which") == "lo", F.col("valor"))).alias("_vlo"),
+        F.max(F.when(F.col("_which") == "hi", F.col("valor"))).alias("_vhi"),
+        F.max("_frac").alias("_frac"))
+    return out.select("coluna", F.col("p").cast("double").alias("p"),
+                      (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("valor"))
+
+
+def approx_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75),
+                     accuracy: int = 100_000) -> DataFrame:
+    """``(coluna, p, valor)`` from mergeable sketches: one map-side combined aggregate,
+    relative rank error ``1 / accuracy``."""
+    long = unpivot_values(df, cols)
+    q = long.groupBy("coluna").agg(F.percentile_approx("valor", list(probs), accuracy).alias("_q"))
+    entries = [F.struct(F.lit(float(p)).alias("p"), F.col("_q")[i].alias("valor")) for i, p in enumerate(probs)]
+    return q.select("coluna", F.explode(F.array(*entries)).alias("_e")).select("coluna", "_e.p", "_e.valor")
 
 
 def describe(df: DataFrame, cols: Sequence[str], ids: Sequence[str] = (), scale: int = 2,
-             n_partitions: int | None = None) -> DataFrame:
+             n_partitions: int | None = None, approx: bool = False) -> DataFrame:
     """count, mean, sample std, min, 25%, 50%, 75%, max per column, rounded HALF_UP to ``scale``.
 
     Moments come from one aggregate pass over the unpivoted values; quartiles
-    from :func:`exact_quantiles`.
+    from :func:`exact_quantiles`, or from :func:`approx_quantiles` (one pass,
+    no range shuffle) when ``approx``.
     """
     out_t = T.DecimalType(38, scale)
     long = unpivot_values(df, cols)
@@ -99,7 +114,8 @@ def describe(df: DataFrame, cols: Sequence[str], ids: Sequence[str] = (), scale:
         F.stddev_samp(F.col("valor").cast("double")).alias("_std"),
         F.min("valor").alias("_min"),
         F.max("valor").alias("_max"))
-    q = exact_quantiles(df, cols, (0.25, 0.5, 0.75), ids=ids, n_partitions=n_partitions)
+    q = (approx_quantiles(df, cols) if approx
+         else exact_quantiles(df, cols, (0.25, 0.5, 0.75), ids=ids, n_partitions=n_partitions))
     qw = q.groupBy("coluna").agg(*[
         F.max(F.when(F.col("p") == p, F.col("valor"))).alias(name)
         for p, name in ((0.25, "_q25"), (0.5, "_q50"), (0.75, "_q75"))])

@@ -39,7 +39,10 @@ def with_share(grouped: DataFrame, value: str = "valor_total", out: str = "pct_t
                scale: int = 2) -> DataFrame:
     """``value`` as a percent of its column total (scalar subquery, no single-task window)."""
     total = grouped.select(F.sum(value)).scalar()
-    return grouped.withColumn(out, round_ratio(F.col(value), total, scale, times=100))
+    # The total is bound to a column once, so the subquery appears once in the plan.
+    return (grouped.withColumn("_total", total)
+            .withColumn(out, round_ratio(F.col(value), F.col("_total"), scale, times=100))
+            .drop("_total"))
 
 
 def total_by(flat: DataFrame, keys: Sequence[str | Column], share: bool = False,

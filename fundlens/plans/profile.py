@@ -18,9 +18,10 @@ TEXT_NUMERIC = {"quantidade": (18, 6), "preco_unitario": (18, 6), "preco_mercado
                 "valor_financeiro": (18, 2), "percentual_pl": (9, 6)}
 
 
-def describe_flat(flat: DataFrame, cols: Sequence[str] = NUMERIC) -> DataFrame:
-    """count, mean, std, min, quartiles (linear), max of the numeric columns, 2 places."""
-    return describe(flat, cols, ids=("data_posicao", "cnpj_fundo", "codigo_ativo"))
+def describe_flat(flat: DataFrame, cols: Sequence[str] = NUMERIC, approx: bool = False) -> DataFrame:
+    """count, mean, std, min, quartiles (linear, exact unless ``approx``), max of the numeric
+    columns, 2 places."""
+    return describe(flat, cols, ids=("data_posicao", "cnpj_fundo", "codigo_ativo"), approx=approx)
 
 
 def null_profile(df: DataFrame, only_missing: bool = True) -> DataFrame:

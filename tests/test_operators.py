@@ -126,3 +126,15 @@ def test_business_day_spine_matches_calendar(spark, n_days):
                 days.append(d)
             d -= timedelta(days=1)
         assert sorted(got[k]) == sorted(days)
+
+
+def test_approx_describe_close_to_exact(spark, seed):
+    from fundlens.plans.flat import flat_typed
+    from fundlens.plans.profile import describe_flat
+
+    flat = flat_typed(seed)
+    exact = {r["coluna"]: r for r in describe_flat(flat).collect()}
+    approx = {r["coluna"]: r for r in describe_flat(flat, approx=True).collect()}
+    for c, r in exact.items():
+        assert approx[c]["count"] == r["count"] and approx[c]["mean"] == r["mean"]
+        assert approx[c]["min"] <= approx[c]["p50"] <= approx[c]["max"]

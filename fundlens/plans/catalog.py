@@ -18,7 +18,7 @@ from fundlens.functions.text import fund_short_name, issuer_short_name, rating_b
 from fundlens.operators import quality
 from fundlens.operators.dedup import first_per_key
 from fundlens.operators.joins import count_orphans, new_keys
-from fundlens.plans import exposure, mtm, profile, ranking
+from fundlens.plans import exposure, mtm, profile, ranking, risk
 from fundlens.plans import flat as flatmod
 from fundlens.plans.prices import business_days, cumulative_return, prices_by_priority, recent_returns
 from fundlens.sources.driver_tables import event_prices, star_from_driver
@@ -372,6 +372,11 @@ def x03(spark, sf_dir):
     return flatmod.render_flat(f.filter(F.col("classe_ativo") == "Renda Fixa"))
 
 
+@register("x04_fund_risk")
+def x04(spark, sf_dir):
+    return risk.fund_risk(_typed(spark, sf_dir))
+
+
 @register("x05_concentration_alerts")
 def x05(spark, sf_dir):
     return ranking.concentration_alerts(_typed(spark, sf_dir), 1.0)

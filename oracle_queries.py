@@ -451,6 +451,37 @@ UNION ALL
 SELECT 'emissor', nome_emissor, valor_total, pct_total FROM isx WHERE pct_total > 1.0""", ISSUERS + f""",
 ag AS (SELECT codigo_ativo, nome_ativo, classe_ativo, {MONEY_SUM} AS valor_total FROM flat GROUP BY 1, 2, 3)""")
 
+_RISK = f"""
+fpl AS (SELECT nome_fundo, data_posicao, {MONEY_SUM} AS pl FROM flat GROUP BY 1, 2),
+rets AS (SELECT nome_fundo, data_posicao, pl, {rr('pl - prev', 'prev', 6, times=100)} AS retorno_pct
+         FROM (SELECT *, lag(pl) OVER (PARTITION BY nome_fundo ORDER BY data_posicao) AS prev FROM fpl)),
+recent AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY nome_fundo ORDER BY data_posicao DESC) AS k
+                          FROM rets WHERE retorno_pct IS NOT NULL) WHERE k <= 252),
+tpl AS (SELECT data_posicao, {MONEY_SUM} AS pl FROM flat GROUP BY 1),
+tot AS (SELECT data_posicao, {rr('pl - prev', 'prev', 6, times=100)} AS retorno_total
+        FROM (SELECT *, lag(pl) OVER (ORDER BY data_posicao) AS prev FROM tpl)),
+mom AS (SELECT r.nome_fundo, count(*) AS n_retornos, max(r.data_posicao) AS data_final,
+               CAST(round(corr(CAST(r.retorno_pct AS DOUBLE), CAST(t.retorno_total AS DOUBLE)), 4) AS DECIMAL(38,4))
+                 AS correlacao_total,
+               CAST(round(stddev_samp(CAST(r.retorno_pct - t.retorno_total AS DOUBLE)), 4) AS DECIMAL(38,4))
+                 AS tracking_error_pct
+        FROM recent r LEFT JOIN tot t ON r.data_posicao = t.data_posicao GROUP BY 1),
+vq AS (SELECT nome_fundo, retorno_pct AS v,
+              row_number() OVER (PARTITION BY nome_fundo ORDER BY retorno_pct) - 1 AS r,
+              (count(*) OVER (PARTITION BY nome_fundo) - 1) * CAST(0.05 AS DECIMAL(10,8)) AS pos
+       FROM recent),
+var AS (SELECT nome_fundo, CAST(round(-(lo + (hi - lo) * frac), 4) AS DECIMAL(38,4)) AS var_pct FROM (
+          SELECT nome_fundo, max(CASE WHEN r = floor(pos) THEN v END) AS lo,
+                 max(CASE WHEN r = ceil(pos) THEN v END) AS hi, max(pos - floor(pos)) AS frac
+          FROM vq GROUP BY 1)),
+dd AS (SELECT nome_fundo, min({rr('pl - peak', 'peak', 4, times=100)}) AS max_drawdown_pct FROM (
+         SELECT *, max(pl) OVER (PARTITION BY nome_fundo ORDER BY data_posicao
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS peak FROM fpl) GROUP BY 1)"""
+_q("x04_fund_risk", """
+SELECT m.nome_fundo, m.n_retornos, m.data_final, m.correlacao_total, m.tracking_error_pct, v.var_pct,
+       d.max_drawdown_pct
+FROM mom m LEFT JOIN var v ON m.nome_fundo = v.nome_fundo LEFT JOIN dd d ON m.nome_fundo = d.nome_fundo""", _RISK)
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(QUERIES)

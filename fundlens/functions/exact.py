@@ -30,7 +30,7 @@ def round_ratio(num: Column, den: Column, scale: int, times: int = 1,
     d = F.abs(den)
     q = F.call_function("div", n * F.lit(2 * times * 10 ** scale) + d, d * F.lit(2))
     q = F.when(d > 0, q)
-    signed = F.when((num < 0) != (den < 0), -q).otherwise(q)
+    signed = q * F.when((num < 0) != (den < 0), F.lit(-1)).otherwise(F.lit(1))
     unit = F.lit(Decimal(1).scaleb(-scale)) if scale else F.lit(Decimal(1))
     return (signed.cast(T.DecimalType(20, 0)) * unit).cast(T.DecimalType(precision, scale))
 

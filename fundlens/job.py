@@ -112,11 +112,23 @@ def restrict_dates(star: Star, date_from: str | None, date_to: str | None) -> St
                 operacao=star.operacao)
 
 
-def check_dimension_keys(star: Star) -> None:
-    """Unique dimension keys (else left joins would multiply positions): one small aggregate each."""
+def dimension_stats(star: Star) -> dict[str, tuple[int, int]]:
+    """``{table: (rows, duplicate key rows)}`` for the dimensions, in one action."""
     frames = star.frames()
-    report = quality.union_all([quality.unique_keys(frames[t], t, k) for t, k in DIMENSION_KEYS.items()])
-    quality.assert_passed(report)
+    parts = []
+    for t, keys in DIMENSION_KEYS.items():
+        per_key = frames[t].groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        parts.append(per_key.agg(F.lit(t).alias("tabela"), F.sum("_n").alias("rows"),
+                                 F.sum(F.when(F.col("_n") > 1, F.col("_n") - 1).otherwise(0)).alias("dups")))
+    return {r["tabela"]: (r["rows"] or 0, r["dups"] or 0) for r in quality.union_all(parts).collect()}
+
+
+def check_dimension_keys(star: Star, stats: dict[str, tuple[int, int]] | None = None) -> None:
+    """Unique dimension keys (else left joins would multiply positions)."""
+    stats = stats or dimension_stats(star)
+    bad = {t: d for t, (_, d) in stats.items() if d}
+    if bad:
+        raise ValueError("duplicate dimension keys -> " + "; ".join(f"{t}: {d} rows" for t, d in bad.items()))
 
 
 def run(spark: SparkSession, cfg: JobConfig) -> dict:
@@ -132,11 +144,15 @@ def run(spark: SparkSession, cfg: JobConfig) -> dict:
                     preco=star.preco, operacao=star.operacao)
 
     with plog.phase("validate_inputs"):
+        # One action gives both the key check and the row counts behind the broadcast decision.
+        stats = dimension_stats(star)
+        report["dimension_rows"] = {t: r for t, (r, _) in stats.items()}
         if cfg.check_dimension_keys:
-            check_dimension_keys(star)
+            check_dimension_keys(star, stats)
+        small_dims = all(r <= cfg.broadcast_max_rows for r, _ in stats.values())
 
     with plog.phase("transform"):
-        typed = flat_typed(star, max_rows=cfg.broadcast_max_rows)
+        typed = flat_typed(star, broadcast=small_dims, max_rows=cfg.broadcast_max_rows)
         obs_out = Observation("flat_out")
         typed = typed.observe(obs_out, F.count(F.lit(1)).alias("rows"),
                               *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in schemas.FLAT_CRITICAL])

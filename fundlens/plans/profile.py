@@ -24,6 +24,11 @@ def describe_flat(flat: DataFrame, cols: Sequence[str] = NUMERIC, approx: bool =
     return describe(flat, cols, ids=("data_posicao", "cnpj_fundo", "codigo_ativo"), approx=approx)
 
 
+def shape(df: DataFrame) -> tuple[int, int]:
+    """(rows, columns): one count action; the column count is metadata."""
+    return df.count(), len(df.columns)
+
+
 def null_profile(df: DataFrame, only_missing: bool = True) -> DataFrame:
     """NULL count of every column in one aggregate pass; by default only columns with NULLs."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])

@@ -40,6 +40,27 @@ def insert_if_absent(batch: DataFrame, target: DataFrame, keys: Sequence[str],
     return new_keys(batch, target, keys)
 
 
+def append(df: DataFrame, path: str) -> None:
+    """Plain append (tables without a natural key, e.g. trades)."""
+    df.write.mode("append").parquet(path)
+
+
+def append_if_absent(spark, batch: DataFrame, path: str, keys: Sequence[str],
+                     order: Sequence[Column] | None = None) -> int:
+    """Append to the Parquet table at ``path`` only the batch rows whose key is new.
+
+    Returns the number of rows appended (from an ``Observation`` on the write,
+    no second pass). Re-running with the same batch appends nothing.
+    """
+    from pyspark.sql import Observation
+
+    target = spark.read.parquet(path)
+    new = insert_if_absent(batch.select(*target.columns), target, keys, order)
+    obs = Observation("appended")
+    new.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
+    return int(obs.get.get("rows", 0))
+
+
 def apply_defaults(df: DataFrame, table: str, extra: Mapping[str, Column] | None = None) -> DataFrame:
     """Fill absent or NULL defaulted columns: status and the audit timestamps (load time)."""
     defaults: dict[str, Column] = {c: F.lit(v) for c, v in DEFAULTS.get(table, {}).items()}

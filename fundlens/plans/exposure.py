@@ -118,7 +118,11 @@ def exposure_by_class(flat: DataFrame, as_of: str | None = None) -> DataFrame:
     return total_by(flat, ["classe_ativo"], share=True, as_of=as_of)
 
 
-def exposure_by_indexer(flat: DataFrame, as_of: str | None = None) -> DataFrame:
+def exposure_by_indexer(flat: DataFrame, as_of: str | None = None, drop_missing: bool = False) -> DataFrame:
+    """``drop_missing`` reproduces a text-file analysis that reads ``N/A`` as missing and
+    drops it from the grouping (equities vanish from the totals)."""
+    if drop_missing:
+        flat = flat.filter(F.col("indexador").isNotNull())
     return total_by(flat, [with_placeholder("indexador", NA).alias("indexador")], share=True, as_of=as_of)
 
 
@@ -126,7 +130,9 @@ def pl_by_fund_type(flat: DataFrame, as_of: str | None = None) -> DataFrame:
     return total_by(flat, ["tipo_fundo"], share=True, as_of=as_of)
 
 
-def sector_concentration(flat: DataFrame, as_of: str | None = None) -> DataFrame:
+def sector_concentration(flat: DataFrame, as_of: str | None = None, drop_missing: bool = False) -> DataFrame:
+    if drop_missing:
+        flat = flat.filter(F.col("setor_emissor").isNotNull())
     return total_by(flat, [with_placeholder("setor_emissor", NA).alias("setor_emissor")], share=True,
                     as_of=as_of)
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundlens.functions.exact import millions, sum_exact
+from fundlens.functions.exact import millions, round_ratio, sum_exact
 from fundlens.functions.text import NA, NOT_RATED, issuer_short_name, truncate, with_placeholder
 from fundlens.operators.ordered import first_reaching, ordered_scan
 from fundlens.plans.exposure import VALUE, scope, with_share
@@ -27,9 +27,15 @@ def asset_ranking(flat: DataFrame, as_of: str | None = None) -> DataFrame:
     return ordered_scan(g, [F.col("valor_total").desc(), F.col("codigo_ativo").asc_nulls_last()])
 
 
-def issuer_distribution(flat: DataFrame, as_of: str | None = None) -> DataFrame:
+def issuer_distribution(flat: DataFrame, as_of: str | None = None, drop_missing: bool = False) -> DataFrame:
     """Per issuer (with sector and rating): value, distinct assets and funds, share of
-    the total and the running sum of the rounded shares in descending value."""
+    the total, the running sum of the rounded shares in descending value (``pct_acum``)
+    and the exact cumulative share rounded once (``pct_acum_exato``).
+
+    ``drop_missing`` reproduces a text-file analysis that drops issuers whose name or
+    sector reads as missing (the treasury, with no sector, disappears)."""
+    if drop_missing:
+        flat = flat.filter(F.col("nome_emissor").isNotNull() & F.col("setor_emissor").isNotNull())
     g = scope(flat, as_of).groupBy(
         "nome_emissor",
         with_placeholder("setor_emissor", NA).alias("setor_emissor"),
@@ -40,8 +46,12 @@ def issuer_distribution(flat: DataFrame, as_of: str | None = None) -> DataFrame:
     g = with_share(g).withColumn("valor_mi", millions(F.col("valor_total"), 2))
     order = [F.col("valor_total").desc(), F.col("nome_emissor").asc_nulls_last(),
              F.col("setor_emissor"), F.col("rating_emissor")]
-    out = ordered_scan(g, order, sums={"pct_acum": F.col("pct_total")})
-    return out.withColumn("pct_acum", F.col("pct_acum").cast("decimal(38,2)"))
+    out = ordered_scan(g, order, sums={"pct_acum": F.col("pct_total"), "_valor_acum": F.col("valor_total")},
+                       totals=True)
+    return (out.withColumn("pct_acum", F.col("pct_acum").cast("decimal(38,2)"))
+            .withColumn("pct_acum_exato",
+                        round_ratio(F.col("_valor_acum"), F.col("total__valor_acum"), 2, times=100))
+            .drop("_valor_acum", "total__valor_acum", "total_pct_acum"))
 
 
 def concentration_curve(flat: DataFrame, threshold: int = PARETO, as_of: str | None = None) -> DataFrame:

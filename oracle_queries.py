@@ -213,13 +213,17 @@ ig AS (SELECT nome_emissor, coalesce(setor_emissor, 'N/A') AS setor_emissor,
        FROM flat GROUP BY 1, 2, 3),
 isx AS (SELECT *, {share('valor_total', '(SELECT sum(valor_total) FROM ig)')} AS pct_total,
                {mi('valor_total')} AS valor_mi FROM ig),
-d AS (SELECT *,
+d0 AS (SELECT *,
         row_number() OVER (ORDER BY valor_total DESC, nome_emissor ASC NULLS LAST, setor_emissor, rating_emissor)
           AS posicao,
         CAST(sum(pct_total) OVER (ORDER BY valor_total DESC, nome_emissor ASC NULLS LAST, setor_emissor,
                                   rating_emissor ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-             AS DECIMAL(38,2)) AS pct_acum
-      FROM isx)"""
+             AS DECIMAL(38,2)) AS pct_acum,
+        sum(valor_total) OVER (ORDER BY valor_total DESC, nome_emissor ASC NULLS LAST, setor_emissor,
+                               rating_emissor ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS valor_acum
+      FROM isx),
+d AS (SELECT * EXCLUDE (valor_acum),
+             {rr('valor_acum', '(SELECT sum(valor_total) FROM ig)', 2, times=100)} AS pct_acum_exato FROM d0)"""
 _q("q11_issuer_distribution", "SELECT * FROM d", ISSUERS)
 _q("q12_concentration_curve", f"""
 SELECT posicao, nome_emissor, CAST(posicao AS VARCHAR) || 'º emissor' AS rotulo_posicao,

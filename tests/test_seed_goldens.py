@@ -153,3 +153,14 @@ def test_source_rules_pass_on_seed(seed):
     failed = report.filter(~F.col("aprovado")).collect()
     assert failed == []
     quality.assert_passed(report)
+
+
+def test_missing_buckets_dropped_reproduces_text_analysis(flat):
+    rows = ranking.issuer_distribution(flat, drop_missing=True).orderBy("posicao").collect()
+    assert [r["pct_total"] for r in rows[:2]] == [D("32.04"), D("28.23")]
+    assert rows[1]["pct_acum"] == D("60.27")
+    idx = {r["indexador"] for r in exposure.exposure_by_indexer(flat, drop_missing=True).collect()}
+    assert "N/A" not in idx
+    full = ranking.issuer_distribution(flat).orderBy("posicao").collect()
+    assert [r["pct_acum_exato"] for r in full] == [D("36.98"), D("57.17"), D("74.96"), D("87.91"), D("96.70"),
+                                                   D("100.00")]

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from fundlens import schemas
 from fundlens.model import Star
 from fundlens.operators import quality
-from fundlens.operators.joins import DEFAULT_BROADCAST_MAX_ROWS
+from fundlens.operators.joins import DEFAULT_BROADCAST_MAX_BYTES, DEFAULT_BROADCAST_MAX_ROWS, row_width
 from fundlens.plans.flat import flat_typed, render_flat, sort_output
 from fundlens.session import build_session, scratch_dir
 from fundlens.sources.driver_tables import star_from_driver
@@ -149,7 +149,9 @@ def run(spark: SparkSession, cfg: JobConfig) -> dict:
         report["dimension_rows"] = {t: r for t, (r, _) in stats.items()}
         if cfg.check_dimension_keys:
             check_dimension_keys(star, stats)
-        small_dims = all(r <= cfg.broadcast_max_rows for r, _ in stats.values())
+        frames = star.frames()
+        small_dims = all(r <= cfg.broadcast_max_rows and r * row_width(frames[t]) <= DEFAULT_BROADCAST_MAX_BYTES
+                         for t, (r, _) in stats.items())
 
     with plog.phase("transform"):
         typed = flat_typed(star, broadcast=small_dims, max_rows=cfg.broadcast_max_rows)

@@ -14,16 +14,38 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 log = logging.getLogger(__name__)
 
-# Largest dimension (rows) that is broadcast to every executor.
+# Largest dimension broadcast to every executor: a row bound and a byte bound
+# (rows times the schema's estimated row width).
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+DEFAULT_BROADCAST_MAX_BYTES = 256 * 1024 * 1024
+
+
+# Estimated bytes per value, as Spark's defaults per type (fixed values).
+_TYPE_WIDTH = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "date": 4, "float": 4, "long": 8,
+               "double": 8, "timestamp": 8, "timestamp_ntz": 8, "string": 20, "binary": 100}
+
+
+def row_width(df: DataFrame) -> int:
+    """Estimated bytes per row from the schema (decimals 8 or 16, nested types 100)."""
+    total = 8
+    for f in df.schema.fields:
+        t = f.dataType
+        if isinstance(t, T.DecimalType):
+            total += 8 if t.precision <= 18 else 16
+        else:
+            total += _TYPE_WIDTH.get(t.typeName(), 100)
+    return total
 
 
 def broadcast_if_bounded(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-                         name: str = "dimension", force: bool | None = None) -> DataFrame:
-    """``broadcast(dim)`` when its measured row count is at most ``max_rows``.
+                         name: str = "dimension", force: bool | None = None,
+                         max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
+    """``broadcast(dim)`` when its measured row count is at most ``max_rows`` and
+    rows x estimated row width is at most ``max_bytes``.
 
     ``force=True`` skips the count for a side whose bound is known by
     construction; ``force=False`` never hints. The count is one scan of the
@@ -34,10 +56,11 @@ def broadcast_if_bounded(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_R
     if force is False:
         return dim
     n = dim.count()
-    if n <= max_rows:
-        log.info("broadcasting %s (%d rows)", name, n)
+    size = n * row_width(dim)
+    if n <= max_rows and size <= max_bytes:
+        log.info("broadcasting %s (%d rows, ~%d bytes)", name, n, size)
         return F.broadcast(dim)
-    log.info("%s has %d rows > %d: shuffle join", name, n, max_rows)
+    log.info("%s has %d rows (~%d bytes): shuffle join", name, n, size)
     return dim
 
 

@@ -138,3 +138,18 @@ def test_approx_describe_close_to_exact(spark, seed):
     for c, r in exact.items():
         assert approx[c]["count"] == r["count"] and approx[c]["mean"] == r["mean"]
         assert approx[c]["min"] <= approx[c]["p50"] <= approx[c]["max"]
+
+
+def test_broadcast_guard_checks_rows_and_bytes(spark):
+    from fundlens.operators.joins import broadcast_if_bounded
+
+    small = spark.range(10).withColumnRenamed("id", "k")
+    fact = spark.range(1000).select((F.col("id") % 10).alias("k"))
+
+    def plan(dim):
+        return fact.join(dim, "k", "left")._jdf.queryExecution().executedPlan().toString()
+
+    assert "BroadcastHashJoin" in plan(broadcast_if_bounded(small, max_rows=10))
+    # Over either bound the guard returns the dimension unhinted: the planner and AQE decide.
+    assert broadcast_if_bounded(small, max_rows=9) is small
+    assert broadcast_if_bounded(small, max_rows=10, max_bytes=100) is small

@@ -131,6 +131,15 @@ def check_dimension_keys(star: Star, stats: dict[str, tuple[int, int]] | None =
         raise ValueError("duplicate dimension keys -> " + "; ".join(f"{t}: {d} rows" for t, d in bad.items()))
 
 
+def _observed_rows(obs: Observation) -> int | None:
+    """Rows seen by ``obs``, or None when its side of the plan never ran (e.g. adaptive
+    execution skipped the price side because there were no positions)."""
+    try:
+        return obs.get.get("rows")
+    except Exception:  # noqa: BLE001 - metrics were never produced
+        return None
+
+
 def run(spark: SparkSession, cfg: JobConfig) -> dict:
     plog = PhaseLog()
     report: dict = {"config": {k: v for k, v in asdict(cfg).items() if "password" not in k}}
@@ -138,10 +147,12 @@ def run(spark: SparkSession, cfg: JobConfig) -> dict:
     with plog.phase("extract"):
         star = restrict_dates(load_star(spark, cfg), cfg.date_from, cfg.date_to)
         schemas.require_columns(star.frames())
-        obs_in = Observation("positions_in")
+        # Row counts of the big inputs are taken on the staging pass itself (no extra scan).
+        obs_in, obs_prices = Observation("positions_in"), Observation("prices_in")
         star = Star(fundo=star.fundo, ativo=star.ativo, emissor=star.emissor,
                     posicao=star.posicao.observe(obs_in, F.count(F.lit(1)).alias("rows")),
-                    preco=star.preco, operacao=star.operacao)
+                    preco=star.preco.observe(obs_prices, F.count(F.lit(1)).alias("rows")),
+                    operacao=star.operacao)
 
     with plog.phase("validate_inputs"):
         # One action gives both the key check and the row counts behind the broadcast decision.
@@ -166,6 +177,8 @@ def run(spark: SparkSession, cfg: JobConfig) -> dict:
     with plog.phase("validate_output"):
         metrics = obs_out.get
         report["rows_in"] = obs_in.get.get("rows")
+        report["table_rows"] = {**report.get("dimension_rows", {}), "posicao_carteira": report["rows_in"],
+                                "preco_mercado": _observed_rows(obs_prices)}
         report["rows_out"] = metrics.get("rows")
         problems = []
         if report["rows_out"] == 0:

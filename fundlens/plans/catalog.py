@@ -9,11 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from fundlens import schemas
-from fundlens.functions.dates import iso_date
 from fundlens.functions.text import fund_short_name, issuer_short_name, rating_bucket, truncate
 from fundlens.operators import quality
 from fundlens.operators.dedup import first_per_key

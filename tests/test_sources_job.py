@@ -90,6 +90,8 @@ def test_job_end_to_end(spark, seed, tmp_dir):
                     append_timestamp=True)
     report = run(spark, cfg)
     assert report["rows_in"] == 18 and report["rows_out"] == 18 and report["problems"] == []
+    assert report["table_rows"] == {"fundo": 4, "ativo": 10, "emissor": 6, "posicao_carteira": 18,
+                                    "preco_mercado": 20}
     assert set(report["phases"]) == {"extract", "validate_inputs", "transform", "stage", "validate_output", "load"}
     back = read_flat_csv(spark, report["output"]).collect()
     assert [r["codigo_ativo"] for r in back][:2] == ["CDB-ITAU-2025", "LFT-2027"]

@@ -98,6 +98,12 @@ def q08(spark, sf_dir):
     return exposure.exposure_by_indexer(_typed(spark, sf_dir))
 
 
+@register("q08b_exposure_by_indexer_dropna")
+def q08b(spark, sf_dir):
+    """The text-file analysis' result: positions without an indexer dropped."""
+    return exposure.exposure_by_indexer(_typed(spark, sf_dir), drop_missing=True)
+
+
 @register("q09_matrix_fund_class")
 def q09(spark, sf_dir):
     return exposure.matrix_fund_class(_typed(spark, sf_dir))
@@ -113,6 +119,12 @@ def q11(spark, sf_dir):
     return ranking.issuer_distribution(_typed(spark, sf_dir))
 
 
+@register("q11b_issuer_distribution_dropna")
+def q11b(spark, sf_dir):
+    """The text-file analysis' result: issuers without a name or sector dropped."""
+    return ranking.issuer_distribution(_typed(spark, sf_dir), drop_missing=True)
+
+
 @register("q12_concentration_curve")
 def q12(spark, sf_dir):
     return ranking.concentration_curve(_typed(spark, sf_dir))

@@ -150,8 +150,8 @@ def _q(name: str, body: str, ctes: str = "") -> None:
     QUERIES[name] = with_star(body, ctes)
 
 
-def _shared(key_sql: str, key_name: str) -> tuple[str, str]:
-    ctes = f"g AS (SELECT {key_sql} AS {key_name}, {MONEY_SUM} AS valor_total FROM flat GROUP BY 1)"
+def _shared(key_sql: str, key_name: str, where: str = "") -> tuple[str, str]:
+    ctes = f"g AS (SELECT {key_sql} AS {key_name}, {MONEY_SUM} AS valor_total FROM flat {where} GROUP BY 1)"
     body = f"SELECT {key_name}, valor_total, {share('valor_total', '(SELECT sum(valor_total) FROM g)')} AS pct_total FROM g"
     return body, ctes
 
@@ -190,6 +190,8 @@ SELECT nome_fundo, codigo_ativo, CAST(sum(percentual_pl) AS DECIMAL(38,6)) AS pc
 FROM flat GROUP BY 1, 2""")
 _q("q07_exposure_by_class", *_shared("classe_ativo", "classe_ativo"))
 _q("q08_exposure_by_indexer", *_shared("coalesce(indexador, 'N/A')", "indexador"))
+_q("q08b_exposure_by_indexer_dropna", *_shared("coalesce(indexador, 'N/A')", "indexador",
+                                              "WHERE indexador IS NOT NULL"))
 _q("q09_matrix_fund_class", f"""
 SELECT nome_fundo, {SHORT_FUND.format(c='nome_fundo')} AS fundo_curto,
        coalesce({mi('rf')}, CAST(0 AS DECIMAL(38,2))) AS "Renda Fixa",
@@ -206,11 +208,12 @@ SELECT codigo_ativo, nome_ativo, classe_ativo, valor_total, n_fundos,
        row_number() OVER (ORDER BY valor_total DESC, codigo_ativo ASC NULLS LAST) AS posicao
 FROM g""", f"""g AS (SELECT codigo_ativo, nome_ativo, classe_ativo, {MONEY_SUM} AS valor_total,
               count(DISTINCT nome_fundo) AS n_fundos FROM flat GROUP BY 1, 2, 3)""")
-ISSUERS = f"""
+def _issuers(where: str = "") -> str:
+    return f"""
 ig AS (SELECT nome_emissor, coalesce(setor_emissor, 'N/A') AS setor_emissor,
               coalesce(rating_emissor, 'NR') AS rating_emissor, {MONEY_SUM} AS valor_total,
               count(DISTINCT codigo_ativo) AS n_ativos, count(DISTINCT nome_fundo) AS n_fundos
-       FROM flat GROUP BY 1, 2, 3),
+       FROM flat {where} GROUP BY 1, 2, 3),
 isx AS (SELECT *, {share('valor_total', '(SELECT sum(valor_total) FROM ig)')} AS pct_total,
                {mi('valor_total')} AS valor_mi FROM ig),
 d0 AS (SELECT *,
@@ -224,7 +227,12 @@ d0 AS (SELECT *,
       FROM isx),
 d AS (SELECT * EXCLUDE (valor_acum),
              {rr('valor_acum', '(SELECT sum(valor_total) FROM ig)', 2, times=100)} AS pct_acum_exato FROM d0)"""
+
+
+ISSUERS = _issuers()
+ISSUERS_DROPNA = _issuers("WHERE nome_emissor IS NOT NULL AND setor_emissor IS NOT NULL")
 _q("q11_issuer_distribution", "SELECT * FROM d", ISSUERS)
+_q("q11b_issuer_distribution_dropna", "SELECT * FROM d", ISSUERS_DROPNA)
 _q("q12_concentration_curve", f"""
 SELECT posicao, nome_emissor, CAST(posicao AS VARCHAR) || 'º emissor' AS rotulo_posicao,
        substring({SHORT_ISSUER.format(c='nome_emissor')}, 1, 14) AS emissor_curto, pct_total, pct_acum,

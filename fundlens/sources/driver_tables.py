@@ -180,23 +180,26 @@ def event_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schemas.conform(preco_eventos(read_driver(spark, sf_dir, "events")), schemas.PRECO)
 
 
-def stage_star(star: Star, out_dir: str, mode: str = "overwrite") -> Star:
+def stage_star(star: Star, out_dir: str, mode: str = "overwrite", partition_by_date: bool = False) -> Star:
     """Write the star to Parquet under ``out_dir`` and return it re-read from there.
 
     Cuts the lineage of the derived tables (one evaluation each), and is the
     restart point if executors are lost later. Trades are written first and
     positions are aggregated from the written trades, so the three-way join
-    behind both runs once. ``out_dir`` must be shared storage on a cluster
-    (see ``fundlens.session.scratch_dir``).
+    behind both runs once. ``partition_by_date`` writes positions and prices in
+    one folder per date (partition pruning for ``as_of`` and date windows; use it
+    for daily snapshots at scale). ``out_dir`` must be shared storage on a
+    cluster (see ``fundlens.session.scratch_dir``).
     """
     spark = star.fundo.sparkSession
     root = out_dir.rstrip("/")
 
-    def write(name: str, df: DataFrame, sort_col: str | None = None) -> DataFrame:
-        if sort_col:
-            df = df.sortWithinPartitions(sort_col)
-        df.write.mode(mode).parquet(f"{root}/{name}")
-        return spark.read.schema(schemas.TABLES[name]).parquet(f"{root}/{name}")
+    def write(name: str, df: DataFrame, date_col: str | None = None) -> DataFrame:
+        w = df.sortWithinPartitions(date_col).write.mode(mode) if date_col else df.write.mode(mode)
+        if date_col and partition_by_date and name != "operacao":
+            w = w.partitionBy(date_col)
+        w.parquet(f"{root}/{name}")
+        return schemas.conform(spark.read.parquet(f"{root}/{name}"), schemas.TABLES[name])
 
     out = {"fundo": write("fundo", star.fundo), "ativo": write("ativo", star.ativo),
            "emissor": write("emissor", star.emissor)}

@@ -118,3 +118,13 @@ def test_output_path_stamp():
     assert output_path("/o", "carteira_flat", True, datetime(2024, 5, 31, 8, 9, 10)) == \
         "/o/carteira_flat_20240531_080910"
     assert output_path("/o/", "x") == "/o/x"
+
+
+def test_stage_star_partitioned_by_date_prunes(spark, seed, tmp_dir):
+    from fundlens.sources.driver_tables import stage_star
+
+    staged = stage_star(seed, f"{tmp_dir}/star", partition_by_date=True)
+    assert staged.posicao.count() == 18 and staged.preco.count() == 20
+    one_day = staged.preco.filter(F.col("data_referencia") == "2024-06-03")
+    text = one_day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(data_referencia" in text and one_day.count() == 10

@@ -16,7 +16,7 @@ import logging
 import os
 import time
 from contextlib import contextmanager
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -107,9 +107,11 @@ def restrict_dates(star: Star, date_from: str | None, date_to: str | None) -> St
             df = df.filter(F.col(c) <= F.lit(date_to).cast("date"))
         return df
 
-    return Star(fundo=star.fundo, ativo=star.ativo, emissor=star.emissor,
-                posicao=between(star.posicao, "data_posicao"), preco=between(star.preco, "data_referencia"),
-                operacao=star.operacao)
+    trades = star.operacao
+    if trades is not None:
+        trades = between(trades, "data_operacao")
+    return replace(star, posicao=between(star.posicao, "data_posicao"),
+                   preco=between(star.preco, "data_referencia"), operacao=trades)
 
 
 def dimension_stats(star: Star) -> dict[str, tuple[int, int]]:
@@ -149,10 +151,8 @@ def run(spark: SparkSession, cfg: JobConfig) -> dict:
         schemas.require_columns(star.frames())
         # Row counts of the big inputs are taken on the staging pass itself (no extra scan).
         obs_in, obs_prices = Observation("positions_in"), Observation("prices_in")
-        star = Star(fundo=star.fundo, ativo=star.ativo, emissor=star.emissor,
-                    posicao=star.posicao.observe(obs_in, F.count(F.lit(1)).alias("rows")),
-                    preco=star.preco.observe(obs_prices, F.count(F.lit(1)).alias("rows")),
-                    operacao=star.operacao)
+        star = replace(star, posicao=star.posicao.observe(obs_in, F.count(F.lit(1)).alias("rows")),
+                       preco=star.preco.observe(obs_prices, F.count(F.lit(1)).alias("rows")))
 
     with plog.phase("validate_inputs"):
         # One action gives both the key check and the row counts behind the broadcast decision.

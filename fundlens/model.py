@@ -17,6 +17,10 @@ class Star:
     posicao: DataFrame
     preco: DataFrame
     operacao: DataFrame | None = None
+    # True when ``posicao`` is the daily sum of ``operacao`` (the driver adapter):
+    # staging then re-derives positions from the written trades instead of
+    # evaluating the trade join twice.
+    positions_from_trades: bool = False
 
     def frames(self) -> dict[str, DataFrame]:
         out = {"fundo": self.fundo, "ativo": self.ativo, "emissor": self.emissor,

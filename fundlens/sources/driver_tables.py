@@ -173,6 +173,7 @@ def star_from_driver(spark: SparkSession, sf_dir: str) -> Star:
         posicao=schemas.conform(posicao(trades), schemas.POSICAO),
         preco=schemas.conform(preco_mercado(t["lineitem"]), schemas.PRECO),
         operacao=trades,
+        positions_from_trades=True,
     )
 
 
@@ -184,9 +185,10 @@ def stage_star(star: Star, out_dir: str, mode: str = "overwrite", partition_by_d
     """Write the star to Parquet under ``out_dir`` and return it re-read from there.
 
     Cuts the lineage of the derived tables (one evaluation each), and is the
-    restart point if executors are lost later. Trades are written first and
-    positions are aggregated from the written trades, so the three-way join
-    behind both runs once. ``partition_by_date`` writes positions and prices in
+    restart point if executors are lost later. Trades are written first; when
+    positions are their daily sums (``positions_from_trades``) they are
+    aggregated from the written trades, so the three-way join behind both runs
+    once. ``partition_by_date`` writes positions and prices in
     one folder per date (partition pruning for ``as_of`` and date windows; use it
     for daily snapshots at scale). ``out_dir`` must be shared storage on a
     cluster (see ``fundlens.session.scratch_dir``).
@@ -203,11 +205,11 @@ def stage_star(star: Star, out_dir: str, mode: str = "overwrite", partition_by_d
 
     out = {"fundo": write("fundo", star.fundo), "ativo": write("ativo", star.ativo),
            "emissor": write("emissor", star.emissor)}
+    positions = star.posicao
     if star.operacao is not None:
         out["operacao"] = write("operacao", star.operacao, "data_operacao")
-        positions = schemas.conform(posicao(out["operacao"]), schemas.POSICAO)
-    else:
-        positions = star.posicao
+        if star.positions_from_trades:
+            positions = schemas.conform(posicao(out["operacao"]), schemas.POSICAO)
     out["posicao_carteira"] = write("posicao_carteira", positions, "data_posicao")
     out["preco_mercado"] = write("preco_mercado", star.preco, "data_referencia")
     return Star(fundo=out["fundo"], ativo=out["ativo"], emissor=out["emissor"],

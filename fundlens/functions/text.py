@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from fundlens.functions.exact import millions
+
 # Placeholders of the rendered flat view (fixed values).
 NA = "N/A"
 UNDEFINED_MATURITY = "INDEFINIDO"
@@ -80,13 +82,19 @@ def money_text(v: str | Column, decimals: int = 2) -> Column:
     return F.concat(F.lit("R$ "), F.format_number(_c(v), decimals))
 
 
-def millions_text(v: str | Column) -> Column:
-    """``R$ 12.3M`` style text."""
-    return F.format_string("R$ %.1fM", (_c(v) / F.lit(1_000_000)).cast("double"))
+def millions_text(v: str | Column, decimals: int = 1) -> Column:
+    """``R$ 12.3M`` style text; rounded HALF_UP on the exact decimal, not on a double."""
+    return F.concat(F.lit("R$ "), millions(_c(v), decimals).cast("string"), F.lit("M"))
 
 
 def percent_text(v: str | Column, decimals: int = 1) -> Column:
-    return F.format_string(f"%.{decimals}f%%", _c(v).cast("double"))
+    """``69.0%`` style text; rounded HALF_UP on the exact decimal, not on a double."""
+    return F.concat(F.round(_c(v).cast("decimal(38,6)"), decimals).cast("string"), F.lit("%"))
+
+
+def count_text(n: str | Column) -> Column:
+    """``1,234,567`` style text."""
+    return F.format_number(_c(n), 0)
 
 
 def contains(c: str | Column, needle: str) -> Column:

@@ -65,6 +65,17 @@ def ordered_scan(df: DataFrame, order: Sequence[Column], sums: Mapping[str, Colu
     return out.drop(*helper)
 
 
+def with_previous(df: DataFrame, order: Sequence[Column], cols: Sequence[str], prefix: str = "prev_",
+                  n_partitions: int | None = None) -> DataFrame:
+    """``lag(c)`` over the global ``order`` for each of ``cols`` (``prefix + c``,
+    NULL on the first row) without a single-task window: rows get their global
+    position from :func:`ordered_scan` and meet their predecessor through an
+    equi-join on ``position - 1``."""
+    scanned = ordered_scan(df, order, position="_gpos", n_partitions=n_partitions)
+    prev = scanned.select((F.col("_gpos") + 1).alias("_gpos"), *[F.col(c).alias(prefix + c) for c in cols])
+    return scanned.join(prev, "_gpos", "left").drop("_gpos")
+
+
 def first_reaching(scanned: DataFrame, running_col: str, threshold: float | int | Column,
                    position: str = "posicao") -> DataFrame:
     """The first row (smallest position) whose running value reaches ``threshold``."""

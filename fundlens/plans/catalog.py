@@ -392,5 +392,31 @@ def x05(spark, sf_dir):
     return ranking.concentration_alerts(_typed(spark, sf_dir), 1.0)
 
 
+@register("f13_kpi_text")
+def f13(spark, sf_dir):
+    return exposure.overview_text(_typed(spark, sf_dir))
+
+
+@register("a10_extremes_by_class")
+def a10(spark, sf_dir):
+    return exposure.extremes_by(_typed(spark, sf_dir), ["classe_ativo"])
+
+
+@register("o04_flat_head")
+def o04(spark, sf_dir):
+    """The first rows of the ordered flat view (a head: the limit is the feature)."""
+    return flatmod.carteira_flat(_star(spark, sf_dir)).limit(10)
+
+
+@register("p12_flat_shape")
+def p12(spark, sf_dir):
+    return profile.shape_of(_typed(spark, sf_dir))
+
+
+@register("a01_table_rows")
+def a01(spark, sf_dir):
+    return profile.table_rows(_star(spark, sf_dir).frames())
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)

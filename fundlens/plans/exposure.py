@@ -18,8 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundlens.functions.exact import millions, round_ratio, sum_exact
-from fundlens.functions.text import NA, NOT_RATED, fund_short_name, issuer_short_name, rating_bucket, \
-    with_placeholder
+from fundlens.functions.dates import iso_date
+from fundlens.functions.text import NA, NOT_RATED, count_text, fund_short_name, issuer_short_name, \
+    millions_text, money_text, rating_bucket, with_placeholder
 from fundlens.operators.ordered import top_k
 
 VALUE = "valor_financeiro"
@@ -64,6 +65,28 @@ def overview(flat: DataFrame, as_of: str | None = None) -> DataFrame:
     )
 
 
+def overview_text(flat: DataFrame, as_of: str | None = None) -> DataFrame:
+    """The KPI cards as text: total PL in full and in millions, counts with
+    thousands separators, and the reference (newest) date."""
+    return overview(flat, as_of).select(
+        money_text("pl_total").alias("pl_total_texto"),
+        millions_text("pl_total").alias("pl_total_mi_texto"),
+        count_text("n_fundos").alias("n_fundos_texto"),
+        count_text("n_ativos").alias("n_ativos_texto"),
+        count_text("n_emissores").alias("n_emissores_texto"),
+        count_text("n_posicoes").alias("n_posicoes_texto"),
+        iso_date("data_final").alias("data_referencia"))
+
+
+def extremes_by(flat: DataFrame, keys: Sequence[str | Column], as_of: str | None = None) -> DataFrame:
+    """Smallest and largest position value, largest percent of PL and the date
+    range per group (chart axis limits); one map-side combined aggregate."""
+    return scope(flat, as_of).groupBy(*keys).agg(
+        F.min(VALUE).alias("valor_min"), F.max(VALUE).alias("valor_max"),
+        F.max("percentual_pl").alias("pct_pl_max"),
+        F.min("data_posicao").alias("data_min"), F.max("data_posicao").alias("data_max"))
+
+
 def pl_by_fund(flat: DataFrame, as_of: str | None = None) -> DataFrame:
     return (scope(flat, as_of).groupBy("nome_fundo").agg(sum_exact(VALUE, 2).alias("pl"))
             .orderBy(F.col("pl").desc(), F.col("nome_fundo")))

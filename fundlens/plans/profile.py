@@ -29,6 +29,21 @@ def shape(df: DataFrame) -> tuple[int, int]:
     return df.count(), len(df.columns)
 
 
+def shape_of(df: DataFrame) -> DataFrame:
+    """``shape`` as a one-row DataFrame (rows counted by the cluster, columns from the schema)."""
+    return df.agg(F.count(F.lit(1)).alias("n_linhas")).withColumn("n_colunas", F.lit(len(df.columns)))
+
+
+def table_rows(frames: dict[str, DataFrame]) -> DataFrame:
+    """``(tabela, n_linhas)`` for every table: one global count per table, unioned."""
+    parts = [df.agg(F.count(F.lit(1)).alias("n_linhas")).select(F.lit(name).alias("tabela"), "n_linhas")
+             for name, df in frames.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def null_profile(df: DataFrame, only_missing: bool = True) -> DataFrame:
     """NULL count of every column in one aggregate pass; by default only columns with NULLs."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])

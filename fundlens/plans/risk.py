@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundlens.functions.exact import round_ratio, sum_exact
+from fundlens.operators.ordered import with_previous
 
 VALUE = "valor_financeiro"
 RET_SCALE = 6
@@ -28,10 +29,16 @@ def daily_pl(flat: DataFrame, key: str | None = "nome_fundo") -> DataFrame:
 
 
 def daily_returns(pl: DataFrame, key: str | None = "nome_fundo") -> DataFrame:
-    """Percent change of ``pl`` from the series' previous date (NULL on its first date)."""
-    w = (Window.partitionBy(key) if key else Window.partitionBy()).orderBy("data_posicao")
-    prev = F.lag("pl").over(w)
-    return pl.withColumn("_prev", prev).withColumn(
+    """Percent change of ``pl`` from the series' previous date (NULL on its first date).
+
+    Per key, ``lag`` runs in one window per series (bounded by the calendar).
+    The single portfolio series (``key=None``) takes its previous date from a
+    range-partitioned global order instead of an unpartitioned window."""
+    if key:
+        with_prev = pl.withColumn("_prev", F.lag("pl").over(Window.partitionBy(key).orderBy("data_posicao")))
+    else:
+        with_prev = with_previous(pl, [F.col("data_posicao")], ["pl"]).withColumnRenamed("prev_pl", "_prev")
+    return with_prev.withColumn(
         "retorno_pct", round_ratio(F.col("pl") - F.col("_prev"), F.col("_prev"), RET_SCALE, times=100)
     ).drop("_prev")
 

@@ -495,5 +495,25 @@ SELECT m.nome_fundo, m.n_retornos, m.data_final, m.correlacao_total, m.tracking_
 FROM mom m LEFT JOIN var v ON m.nome_fundo = v.nome_fundo LEFT JOIN dd d ON m.nome_fundo = d.nome_fundo""", _RISK)
 
 
+_q("f13_kpi_text", f"""
+SELECT 'R$ ' || format('{{:,.2f}}', pl) AS pl_total_texto,
+       'R$ ' || CAST({mi('pl', 1)} AS VARCHAR) || 'M' AS pl_total_mi_texto,
+       format('{{:,}}', nf) AS n_fundos_texto, format('{{:,}}', na) AS n_ativos_texto,
+       format('{{:,}}', ne) AS n_emissores_texto, format('{{:,}}', np) AS n_posicoes_texto,
+       strftime(df, '%Y-%m-%d') AS data_referencia
+FROM (SELECT {MONEY_SUM} AS pl, count(DISTINCT nome_fundo) AS nf, count(DISTINCT codigo_ativo) AS na,
+             count(DISTINCT nome_emissor) AS ne, count(*) AS np, max(data_posicao) AS df FROM flat)""")
+_q("a10_extremes_by_class", """
+SELECT classe_ativo, min(valor_financeiro) AS valor_min, max(valor_financeiro) AS valor_max,
+       max(percentual_pl) AS pct_pl_max, min(data_posicao) AS data_min, max(data_posicao) AS data_max
+FROM flat GROUP BY classe_ativo""")
+_q("o04_flat_head", "SELECT * FROM (" + FLAT_RENDER + ") ORDER BY data_posicao, cnpj_fundo, codigo_ativo LIMIT 10")
+_q("p12_flat_shape", "SELECT count(*) AS n_linhas, 19 AS n_colunas FROM flat")
+_q("a01_table_rows", " UNION ALL ".join(
+    f"SELECT '{t}' AS tabela, count(*) AS n_linhas FROM {c}"
+    for t, c in (("fundo", "fundo"), ("ativo", "ativo"), ("emissor", "emissor"), ("posicao_carteira", "posicao"),
+                 ("preco_mercado", "preco"), ("operacao", "operacao"))))
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(QUERIES)

@@ -7,7 +7,12 @@ work spread out:
 1. ``repartitionByRange(n, order)``: partition ``p`` holds a contiguous slice
    of the order (equal keys land together). The partition count is explicit,
    so adaptive execution keeps it and ``spark_partition_id`` is stable.
-2. A window per partition gives local positions and local running sums.
+2. Local positions and local running sums inside each partition. Without
+   running sums the rows are sorted inside their partition and numbered by
+   ``monotonically_increasing_id`` (partition id in the upper bits, row index
+   in the lower 33), in the stage that reads the range shuffle; running sums
+   need a window per partition, which adds one shuffle of the (already
+   reduced) rows on the partition id.
 3. Per-partition totals (at most ``n`` rows, a bound fixed by the caller)
    are turned into offsets and grand totals and broadcast back.
 
@@ -38,11 +43,16 @@ def ordered_scan(df: DataFrame, order: Sequence[Column], sums: Mapping[str, Colu
     sums = dict(sums or {})
     n = _partitions(df, n_partitions)
     ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
-    local = Window.partitionBy("_pid").orderBy(*order)
-    running = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    scanned = ranged.withColumn("_lpos", F.row_number().over(local))
-    for name, c in sums.items():
-        scanned = scanned.withColumn(f"_l_{name}", F.sum(c).over(running))
+    if sums:
+        local = Window.partitionBy("_pid").orderBy(*order)
+        running = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        scanned = ranged.withColumn("_lpos", F.row_number().over(local))
+        for name, c in sums.items():
+            scanned = scanned.withColumn(f"_l_{name}", F.sum(c).over(running))
+    else:
+        # Row index within the sorted partition: the id's lower 33 bits.
+        index = F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33)
+        scanned = ranged.sortWithinPartitions(*order).withColumn("_lpos", index + 1)
 
     per_part = ranged.groupBy("_pid").agg(
         F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_s_{name}") for name, c in sums.items()])

@@ -70,6 +70,21 @@ def test_ordered_scan_matches_global_window(spark, n_partitions):
     assert {r["total_acc"] for r in out} == {acc}
 
 
+@pytest.mark.parametrize("n_partitions", [1, 4, 8])
+def test_ordered_scan_positions_single_shuffle(spark, n_partitions):
+    rnd = random.Random(100 + n_partitions)
+    rows = [(f"k{i:04d}", Decimal(rnd.choice([1, 2, 2, 7, 9])).scaleb(-1)) for i in range(500)]
+    df = spark.createDataFrame(rows, "key string, v decimal(10,1)").repartition(5)
+    scanned = ordered_scan(df, [F.col("v").desc(), F.col("key")], n_partitions=n_partitions)
+    ordered = sorted(rows, key=lambda r: (-r[1], r[0]))
+    assert {r["key"]: r["posicao"] for r in scanned.collect()} == {k: i for i, (k, _) in enumerate(ordered, 1)}
+    final = scanned._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # The rows cross one shuffle (the range exchange, reused by the per-partition count);
+    # they are numbered in that stage, not re-shuffled by partition id for a window.
+    own = [ln for ln in final.splitlines() if "REPARTITION_BY_NUM" in ln and "ReusedExchange" not in ln]
+    assert len(own) == 1 and "row_number()" not in final
+
+
 def linear_quantile(values, p):
     s = sorted(values)
     pos = (Decimal(len(s) - 1) * Decimal(str(p)))

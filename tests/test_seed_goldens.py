@@ -164,3 +164,16 @@ def test_missing_buckets_dropped_reproduces_text_analysis(flat):
     full = ranking.issuer_distribution(flat).orderBy("posicao").collect()
     assert [r["pct_acum_exato"] for r in full] == [D("36.98"), D("57.17"), D("74.96"), D("87.91"), D("96.70"),
                                                    D("100.00")]
+
+
+def test_kpi_text_extremes_shape_and_table_rows(seed, flat):
+    r = exposure.overview_text(flat).first()
+    assert tuple(r) == ("R$ 219,580,356.00", "R$ 219.6M", "4", "10", "6", "18", "2024-05-31")
+    ext = exposure.extremes_by(flat, ["classe_ativo"]).collect()
+    assert {e["classe_ativo"] for e in ext} == {"Renda Fixa", "Renda Variavel"}
+    assert min(e["valor_min"] for e in ext) == D("853400.00")
+    assert max(e["valor_max"] for e in ext) == D("35421800.00")
+    assert tuple(profile.shape_of(flat).first()) == (18, 19)
+    counts = as_dict(profile.table_rows(seed.frames()), "tabela", "n_linhas")
+    assert counts == {"emissor": 6, "ativo": 10, "fundo": 4, "posicao_carteira": 18, "preco_mercado": 20,
+                      "operacao": 20}

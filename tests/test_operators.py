@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from fundlens.functions.exact import round_ratio
 from fundlens.operators.dedup import first_per_key
-from fundlens.operators.ordered import ordered_scan
+from fundlens.operators.ordered import ordered_scan, with_previous
 from fundlens.operators.quantiles import exact_quantiles
 from fundlens.sources.ingest import insert_if_absent, with_surrogate_keys
 
@@ -85,6 +85,17 @@ def test_ordered_scan_positions_single_shuffle(spark, n_partitions):
     assert len(own) == 1 and "row_number()" not in final
 
 
+@pytest.mark.parametrize("n_partitions", [1, 3, 8])
+def test_with_previous_is_global_lag(spark, n_partitions):
+    rnd = random.Random(7 * n_partitions)
+    days = sorted(rnd.sample(range(20000), 300))
+    rows = [(d, Decimal(rnd.randint(1, 10**6)).scaleb(-2)) for d in days]
+    df = spark.createDataFrame(rnd.sample(rows, len(rows)), "d int, pl decimal(18,2)").repartition(4)
+    out = with_previous(df, [F.col("d")], ["pl"], n_partitions=n_partitions).collect()
+    want = {d: (rows[i - 1][1] if i else None) for i, (d, _) in enumerate(rows)}
+    assert len(out) == len(rows) and {r["d"]: r["prev_pl"] for r in out} == want
+
+
 def linear_quantile(values, p):
     s = sorted(values)
     pos = (Decimal(len(s) - 1) * Decimal(str(p)))

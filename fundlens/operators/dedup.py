@@ -3,7 +3,9 @@
 ``first_per_key`` is an aggregate (``min_by`` over a struct), not a
 ``row_number`` window: the aggregate is combined map-side, so a key that holds
 a third of all rows still ships one candidate row per map task instead of
-sorting the whole key inside one reducer.
+sorting the whole key inside one reducer. Its buffer (a struct) is not
+fixed-width, so Spark runs it as a sort-based aggregate, partial and final:
+each task sorts its own rows by key (spilling if needed), never a whole key.
 """
 
 from __future__ import annotations

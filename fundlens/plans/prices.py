@@ -17,8 +17,8 @@ def prices_by_priority(prices: DataFrame, priorities: dict[str, int] | None = No
     """One price per (date, asset): best source first (ANBIMA, B3, CETIP, BLOOMBERG,
     BACEN, then any other), ties broken by source name, then price id.
 
-    Map-side combined aggregate: no sort, and a (date, asset) with many quotes
-    costs one candidate per map task.
+    Map-side combined aggregate (sort-based, see ``first_per_key``): a (date,
+    asset) with many quotes costs one candidate per map task.
     """
     ranked = prices.withColumn("_prio", source_priority("fonte_preco", priorities))
     order = [F.col("_prio"), F.col("fonte_preco"), F.col("id_preco")]

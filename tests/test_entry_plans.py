@@ -77,4 +77,30 @@ def test_ordered_scan_has_no_single_partition_window_on_data(spark):
     df = asset_ranking(flat_typed(star_from_driver(spark, SMOKE)))
     text = df._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning" in text
-    assert "hashpartitioning(_pid" in text
+    # Positions only: rows are numbered in the stage that reads the range shuffle, no window.
+    assert "row_number()" not in text
+
+
+def test_flat_plan_at_scale_shuffles_the_fact_once_per_large_join(spark):
+    """Broadcasts off (dimensions above the guard): the issuer join runs on dimension rows,
+    and the deduplicated prices meet the positions on (date, asset) with one shuffle per side."""
+    import re
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        df = flat_typed(star_from_driver(spark, SMOKE), broadcast=False)
+        df.collect()
+        final = plan_text(df).split("== Initial Plan ==")[0]
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert "BroadcastHashJoin" not in final.replace("BroadcastHashJoin [n_regionkey", "")
+    assert len(re.findall(r"Exchange hashpartitioning\(data_posicao#\d+, id_ativo#\d+L?, ", final)) == 1
+    assert len(re.findall(r"Exchange hashpartitioning\(data_referencia#\d+, id_ativo#\d+L?, ", final)) == 1
+    # asset side and issuer side of the dimension-to-dimension join, nothing on the fact
+    assert len(re.findall(r"Exchange hashpartitioning\(id_emissor#", final)) == 2

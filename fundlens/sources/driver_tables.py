@@ -97,15 +97,33 @@ def _order_nation(orders: DataFrame, customer: DataFrame) -> DataFrame:
     return oc.select("o_orderkey", F.to_date("o_orderdate").alias("_date"), "c_nationkey")
 
 
-def posicao(trades: DataFrame) -> DataFrame:
-    """Daily positions: the day's trades of a fund in an asset, summed."""
+def fund_day_totals(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """``(data_posicao, id_fundo, _pl)``: a fund's traded value per day, straight from the
+    line items. They are summed per order first (combined map-side), so only
+    order-sized rows meet orders and customer; the exact decimal total equals the
+    sum of the fund's positions that day."""
+    per_order = lineitem.groupBy("l_orderkey").agg(
+        F.sum(F.col("l_extendedprice").cast(schemas.MONEY)).alias("_v"))
+    j = per_order.join(_order_nation(orders, customer), F.col("l_orderkey") == F.col("o_orderkey"))
+    return j.groupBy(F.col("_date").alias("data_posicao"),
+                     F.col("c_nationkey").cast("long").alias("id_fundo")).agg(F.sum("_v").alias("_pl"))
+
+
+def posicao(trades: DataFrame, totals: DataFrame | None = None) -> DataFrame:
+    """Daily positions: the day's trades of a fund in an asset, summed.
+
+    ``totals`` (``data_posicao, id_fundo, _pl``) gives the fund's PL per day when it
+    can be computed more cheaply than from ``trades`` (see ``fund_day_totals``);
+    by default it is aggregated from the summed positions.
+    """
     grouped = trades.groupBy("data_operacao", "id_fundo", "id_ativo").agg(
         F.sum("quantidade").cast(schemas.QTY).alias("quantidade"),
         F.sum("valor_operacao").cast(schemas.MONEY).alias("valor_financeiro"),
     ).withColumnRenamed("data_operacao", "data_posicao")
     # Fund total per day by aggregate + join (not a window) so a hot (day, fund)
     # is combined map-side and can be split by the skew-join handling.
-    pl = grouped.groupBy("data_posicao", "id_fundo").agg(F.sum("valor_financeiro").alias("_pl"))
+    pl = totals if totals is not None else \
+        grouped.groupBy("data_posicao", "id_fundo").agg(F.sum("valor_financeiro").alias("_pl"))
     return grouped.join(pl, ["data_posicao", "id_fundo"]).select(
         F.xxhash64("data_posicao", "id_fundo", "id_ativo").alias("id_posicao"),
         "data_posicao", "id_fundo", "id_ativo", "quantidade",
@@ -170,7 +188,8 @@ def star_from_driver(spark: SparkSession, sf_dir: str) -> Star:
         fundo=schemas.conform(fundo(t["nation"], t["region"]), schemas.FUNDO),
         ativo=schemas.conform(ativo(t["part"], t["lineitem"]), schemas.ATIVO),
         emissor=schemas.conform(emissor(t["supplier"]), schemas.EMISSOR),
-        posicao=schemas.conform(posicao(trades), schemas.POSICAO),
+        posicao=schemas.conform(posicao(trades, fund_day_totals(t["lineitem"], t["orders"], t["customer"])),
+                                schemas.POSICAO),
         preco=schemas.conform(preco_mercado(t["lineitem"]), schemas.PRECO),
         operacao=trades,
         positions_from_trades=True,

@@ -64,6 +64,61 @@ def broadcast_if_bounded(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_R
     return dim
 
 
+# Hot-key splitting: a key is hot above this many fact rows (about one task's
+# worth at 100-byte rows and 128 MB), and never more than this many keys are hot.
+DEFAULT_HOT_MIN_ROWS = 1_000_000
+DEFAULT_MAX_HOT_KEYS = 10_000
+
+
+def hot_keys(fact: DataFrame, keys: Sequence[str], min_rows: int = DEFAULT_HOT_MIN_ROWS,
+             max_keys: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame:
+    """``(*keys, _salts)`` for every key holding more than ``t = max(min_rows, rows / max_keys)``
+    fact rows, with ``_salts = ceil(rows of the key / t)``.
+
+    One aggregate over the fact's key columns (combined map-side); the total is
+    summed from the same aggregate. Each hot key holds more than ``t`` rows, so
+    there are fewer than ``max_keys`` of them: the list has a proven size bound.
+    """
+    keys = list(keys)
+    counts = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.select(F.sum("_n")).scalar()
+    t = F.greatest(F.lit(min_rows).cast("long"), F.ceil(total / F.lit(max_keys)).cast("long"))
+    return (counts.withColumn("_t", t).filter(F.col("_n") > F.col("_t"))
+            .select(*keys, F.ceil(F.col("_n") / F.col("_t")).cast("int").alias("_salts")))
+
+
+def salted_join(fact: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "left",
+                hot: DataFrame | None = None, min_rows: int = DEFAULT_HOT_MIN_ROWS,
+                max_keys: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame:
+    """``fact.join(side, keys, how)`` with the fact's hot keys split over several tasks.
+
+    Adaptive execution can split a hot shuffle partition only when both join
+    inputs are plain shuffles; when one side is an aggregate whose partitioning
+    the join reuses (a deduplicated price table, distinct parent keys), or when
+    the hot rows come from one upstream task, it cannot. Here the rows of each hot
+    key (``hot``, by default :func:`hot_keys` of ``fact``) get a salt
+    ``hash(row) mod _salts`` and the side's rows of that key are repeated once per
+    salt value; every other key has salt 0 on both sides. The join on
+    ``(keys, salt)`` gives every fact row exactly the partners it has in the plain
+    join (``how`` in left, inner, left_semi, left_anti), and a hot key's rows spread
+    over up to ``_salts`` tasks of about ``min_rows`` rows each.
+    """
+    keys = list(keys)
+    hot = hot_keys(fact, keys, min_rows, max_keys) if hot is None else hot
+    hot = F.broadcast(hot)  # fewer than max_keys rows by construction
+    salted_fact = (fact.join(hot, keys, "left")
+                   .withColumn("_salt", F.when(F.col("_salts").isNotNull(),
+                                               F.pmod(F.xxhash64(*fact.columns), F.col("_salts")))
+                               .otherwise(F.lit(0)).cast("int"))
+                   .drop("_salts"))
+    replicas = F.when(F.col("_salts").isNotNull(), F.sequence(F.lit(0), F.col("_salts") - 1)) \
+        .otherwise(F.array(F.lit(0)))
+    salted_side = (side.join(hot, keys, "left")
+                   .withColumn("_salt", F.explode(replicas))
+                   .drop("_salts"))
+    return salted_fact.join(salted_side, [*keys, "_salt"], how).drop("_salt")
+
+
 def left_enrich(fact: DataFrame, dim: DataFrame, keys: Sequence[str] | str,
                 flag: str | None = None) -> DataFrame:
     """Left join keeping every fact row; ``flag`` adds a boolean 'dimension matched'."""

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from fundlens import schemas
 from fundlens.functions.dates import iso_date
 from fundlens.functions.text import NA, NOT_RATED, UNDEFINED_MATURITY, with_placeholder
-from fundlens.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_bounded, left_enrich
+from fundlens.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, DEFAULT_HOT_MIN_ROWS, broadcast_if_bounded, \
+    hot_keys, left_enrich, salted_join
 from fundlens.plans.prices import prices_by_priority
 from fundlens.model import Star
 
@@ -37,11 +38,17 @@ def asset_dimension(ativo: DataFrame, emissor: DataFrame, broadcast: bool | None
 
 
 def enriched_positions(star: Star, broadcast: bool | None = None,
-                       max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+                       max_rows: int = DEFAULT_BROADCAST_MAX_ROWS, split_hot_keys: bool = True,
+                       hot_min_rows: int = DEFAULT_HOT_MIN_ROWS) -> DataFrame:
     """Every position with fund, asset, issuer and the priority price of its date.
 
     Left joins only: the output has exactly one row per position when the
     dimension keys are unique (rule V07). ``_hit_*`` flags record each match.
+    The price join reuses the partitioning of the price dedup, so adaptive
+    execution cannot split a hot (date, asset) there; ``split_hot_keys`` salts the
+    (date, asset) keys holding more than ``hot_min_rows`` positions instead
+    (``operators.joins.salted_join``). Streams pass ``False``: their micro-batches
+    are bounded and a stream cannot join back its own aggregate.
     """
     schemas.require_columns(star.frames())
     fundo = star.fundo.select("id_fundo", "cnpj_fundo", "nome_fundo", "tipo_fundo")
@@ -56,14 +63,20 @@ def enriched_positions(star: Star, broadcast: bool | None = None,
     out = left_enrich(out, assets, "id_ativo", flag="_hit_ativo")
     out = out.withColumn("_hit_emissor", F.coalesce(F.col("_hit_emissor"), F.lit(False)))
     # Exact date match (no as-of carry-forward); the price side grows with the
-    # data, so this join is left to the planner and AQE.
-    return left_enrich(out, prices, ["data_posicao", "id_ativo"], flag="_hit_preco")
+    # data, so this is a shuffle join, with hot (date, asset) keys split.
+    keys = ["data_posicao", "id_ativo"]
+    if not split_hot_keys:
+        return left_enrich(out, prices, keys, flag="_hit_preco")
+    priced = salted_join(out, prices.withColumn("_hit_preco", F.lit(True)), keys, "left",
+                         hot=hot_keys(fact, keys, hot_min_rows))
+    return priced.withColumn("_hit_preco", F.coalesce(F.col("_hit_preco"), F.lit(False)))
 
 
 def flat_typed(star: Star, broadcast: bool | None = None,
-               max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+               max_rows: int = DEFAULT_BROADCAST_MAX_ROWS, split_hot_keys: bool = True,
+               hot_min_rows: int = DEFAULT_HOT_MIN_ROWS) -> DataFrame:
     """Typed 19-column flat view (``schemas.FLAT_TYPED``), NULLs kept."""
-    e = enriched_positions(star, broadcast, max_rows)
+    e = enriched_positions(star, broadcast, max_rows, split_hot_keys, hot_min_rows)
     return e.select(*schemas.FLAT_COLUMNS)
 
 

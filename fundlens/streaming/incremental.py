@@ -32,7 +32,7 @@ def position_stream(spark: SparkSession, source_dir: str, max_files_per_trigger:
 def flat_stream(positions: DataFrame, dims: Star) -> DataFrame:
     """Typed flat rows for a stream of positions (stream-static left joins)."""
     star = Star(fundo=dims.fundo, ativo=dims.ativo, emissor=dims.emissor, posicao=positions, preco=dims.preco)
-    return flat_typed(star)
+    return flat_typed(star, split_hot_keys=False)
 
 
 def start_incremental_flat(spark: SparkSession, source_dir: str, dims: Star, output_dir: str,

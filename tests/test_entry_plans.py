@@ -83,7 +83,8 @@ def test_ordered_scan_has_no_single_partition_window_on_data(spark):
 
 def test_flat_plan_at_scale_shuffles_the_fact_once_per_large_join(spark):
     """Broadcasts off (dimensions above the guard): the issuer join runs on dimension rows,
-    and the deduplicated prices meet the positions on (date, asset) with one shuffle per side."""
+    and the deduplicated prices meet the positions on (date, asset, salt) with one shuffle
+    per side, after one shuffle of the prices for their dedup."""
     import re
     keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     saved = {k: spark.conf.get(k, None) for k in keys}
@@ -100,7 +101,8 @@ def test_flat_plan_at_scale_shuffles_the_fact_once_per_large_join(spark):
             else:
                 spark.conf.set(k, v)
     assert "BroadcastHashJoin" not in final.replace("BroadcastHashJoin [n_regionkey", "")
-    assert len(re.findall(r"Exchange hashpartitioning\(data_posicao#\d+, id_ativo#\d+L?, ", final)) == 1
+    salted = re.findall(r"Exchange hashpartitioning\(data_posicao#\d+, id_ativo#\d+L?, _salt#\d+, ", final)
+    assert len(salted) == 2  # fact side and price side of the salted join
     assert len(re.findall(r"Exchange hashpartitioning\(data_referencia#\d+, id_ativo#\d+L?, ", final)) == 1
     # asset side and issuer side of the dimension-to-dimension join, nothing on the fact
     assert len(re.findall(r"Exchange hashpartitioning\(id_emissor#", final)) == 2

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from fundlens.functions.exact import round_ratio
 from fundlens.operators.dedup import first_per_key
+from fundlens.operators.joins import hot_keys, salted_join
 from fundlens.operators.ordered import ordered_scan, with_previous
 from fundlens.operators.quantiles import exact_quantiles
 from fundlens.sources.ingest import insert_if_absent, with_surrogate_keys
@@ -96,6 +97,53 @@ def test_with_previous_is_global_lag(spark, n_partitions):
     assert len(out) == len(rows) and {r["d"]: r["prev_pl"] for r in out} == want
 
 
+def _skewed_fact(spark, n=3000):
+    rnd = random.Random(11)
+    # key 7 holds a third of the rows
+    rows = [(7 if i % 3 == 0 else rnd.randint(0, 60), i, rnd.randint(0, 10**6)) for i in range(n)]
+    return spark.createDataFrame(rows, "k int, id int, v int").repartition(6)
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_salted_join_equals_plain_join(spark, how):
+    fact = _skewed_fact(spark)
+    # keys 51..60 have no partner; key 3 has two (multiplicity must be kept)
+    side = spark.createDataFrame([(k, f"s{k}") for k in range(51)] + [(3, "s3-bis")], "k int, w string")
+    want = fact.join(side, ["k"], how)
+    got = salted_join(fact, side, ["k"], how, min_rows=50, max_keys=20).select(*want.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_hot_keys_are_bounded_and_sized(spark):
+    fact = _skewed_fact(spark)
+    # threshold = max(50, 3000 / 20) = 150 rows: only key 7 (1000 rows) is hot, in ceil(1000 / 150) = 7 pieces
+    assert [tuple(r) for r in hot_keys(fact, ["k"], min_rows=50, max_keys=20).collect()] == [(7, 7)]
+    assert hot_keys(fact, ["k"], min_rows=5000, max_keys=20).count() == 0
+
+
+def test_salted_join_spreads_a_hot_key_over_tasks(spark):
+    fact = _skewed_fact(spark)
+    side = spark.createDataFrame([(k, f"s{k}") for k in range(61)], "k int, w string")
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold",
+            "spark.sql.adaptive.coalescePartitions.enabled")
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in zip(keys, ("-1", "-1", "false")):
+        spark.conf.set(k, v)
+    try:
+        out = salted_join(fact, side, ["k"], "left", min_rows=50, max_keys=20) \
+            .withColumn("_task", F.spark_partition_id())
+        tasks = out.filter(F.col("k") == 7).select("_task").distinct().count()
+        plain = fact.join(side, ["k"], "left").withColumn("_task", F.spark_partition_id())
+        plain_tasks = plain.filter(F.col("k") == 7).select("_task").distinct().count()
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert plain_tasks == 1 and tasks > 1
+
+
 def linear_quantile(values, p):
     s = sorted(values)
     pos = (Decimal(len(s) - 1) * Decimal(str(p)))

@@ -79,12 +79,20 @@ def hot_keys(fact: DataFrame, keys: Sequence[str], min_rows: int = DEFAULT_HOT_M
     summed from the same aggregate. Each hot key holds more than ``t`` rows, so
     there are fewer than ``max_keys`` of them: the list has a proven size bound.
     """
-    keys = list(keys)
     counts = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.select(F.sum("_n")).scalar()
+    return hot_from_counts(counts, keys, "_n", min_rows, max_keys)
+
+
+def hot_from_counts(counts: DataFrame, keys: Sequence[str], count_col: str,
+                    min_rows: int = DEFAULT_HOT_MIN_ROWS, max_keys: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame:
+    """:func:`hot_keys` from an aggregate the plan already has: ``counts`` holds one row
+    per key and ``count_col``, the key's fact rows or an upper bound of them (a key
+    wrongly taken for hot is only split needlessly)."""
+    keys = list(keys)
+    total = counts.select(F.sum(count_col)).scalar()
     t = F.greatest(F.lit(min_rows).cast("long"), F.ceil(total / F.lit(max_keys)).cast("long"))
-    return (counts.withColumn("_t", t).filter(F.col("_n") > F.col("_t"))
-            .select(*keys, F.ceil(F.col("_n") / F.col("_t")).cast("int").alias("_salts")))
+    return (counts.withColumn("_t", t).filter(F.col(count_col) > F.col("_t"))
+            .select(*keys, F.ceil(F.col(count_col) / F.col("_t")).cast("int").alias("_salts")))
 
 
 def salted_join(fact: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "left",
@@ -131,8 +139,12 @@ def left_enrich(fact: DataFrame, dim: DataFrame, keys: Sequence[str] | str,
 
 
 def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Child rows whose foreign key has no parent (NULL keys are not orphans)."""
-    p = parent.select(F.col(parent_key).alias("_pk")).distinct()
+    """Child rows whose foreign key has no parent (NULL keys are not orphans).
+
+    An anti join only tests existence, so the parent keys are not deduplicated:
+    both inputs stay plain shuffles, which lets adaptive execution split a hot
+    child key (a fund holding a third of the positions)."""
+    p = parent.select(F.col(parent_key).alias("_pk"))
     return (child.filter(F.col(child_key).isNotNull())
                  .join(p, F.col(child_key) == F.col("_pk"), "left_anti"))
 
@@ -145,5 +157,6 @@ def count_orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_ke
 
 
 def new_keys(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Batch rows whose natural key is absent from ``target``."""
-    return batch.join(target.select(*keys).distinct(), on=list(keys), how="left_anti")
+    """Batch rows whose natural key is absent from ``target`` (an existence test: the
+    target's keys are not deduplicated, so both inputs stay plain shuffles)."""
+    return batch.join(target.select(*keys), on=list(keys), how="left_anti")

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from fundlens import schemas
 from fundlens.functions.exact import round_ratio
 from fundlens.model import Star
+from fundlens.operators.joins import hot_from_counts, salted_join
 
 # Adapter rules (fixed values): fund-name suffix by nation key % 4, indexer by
 # part key % 4, price source by (return flag, line status).
@@ -98,23 +99,26 @@ def _order_nation(orders: DataFrame, customer: DataFrame) -> DataFrame:
 
 
 def fund_day_totals(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) -> DataFrame:
-    """``(data_posicao, id_fundo, _pl)``: a fund's traded value per day, straight from the
+    """``(data_posicao, id_fundo, _pl, _n)``: a fund's traded value and line count per day, from the
     line items. They are summed per order first (combined map-side), so only
     order-sized rows meet orders and customer; the exact decimal total equals the
     sum of the fund's positions that day."""
     per_order = lineitem.groupBy("l_orderkey").agg(
-        F.sum(F.col("l_extendedprice").cast(schemas.MONEY)).alias("_v"))
+        F.sum(F.col("l_extendedprice").cast(schemas.MONEY)).alias("_v"), F.count(F.lit(1)).alias("_c"))
     j = per_order.join(_order_nation(orders, customer), F.col("l_orderkey") == F.col("o_orderkey"))
     return j.groupBy(F.col("_date").alias("data_posicao"),
-                     F.col("c_nationkey").cast("long").alias("id_fundo")).agg(F.sum("_v").alias("_pl"))
+                     F.col("c_nationkey").cast("long").alias("id_fundo")).agg(
+        F.sum("_v").alias("_pl"), F.sum("_c").alias("_n"))
 
 
 def posicao(trades: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """Daily positions: the day's trades of a fund in an asset, summed.
 
-    ``totals`` (``data_posicao, id_fundo, _pl``) gives the fund's PL per day when it
-    can be computed more cheaply than from ``trades`` (see ``fund_day_totals``);
-    by default it is aggregated from the summed positions.
+    ``totals`` (``data_posicao, id_fundo, _pl, _n``) gives the fund's PL per day, and
+    an upper bound ``_n`` of its positions that day, when they can be computed more
+    cheaply than from ``trades`` (see ``fund_day_totals``); by default both are
+    aggregated from the summed positions. A (day, fund) holding a third of the
+    positions is salted over several join tasks (``salted_join``).
     """
     grouped = trades.groupBy("data_operacao", "id_fundo", "id_ativo").agg(
         F.sum("quantidade").cast(schemas.QTY).alias("quantidade"),
@@ -122,9 +126,11 @@ def posicao(trades: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     ).withColumnRenamed("data_operacao", "data_posicao")
     # Fund total per day by aggregate + join (not a window) so a hot (day, fund)
     # is combined map-side and can be split by the skew-join handling.
-    pl = totals if totals is not None else \
-        grouped.groupBy("data_posicao", "id_fundo").agg(F.sum("valor_financeiro").alias("_pl"))
-    return grouped.join(pl, ["data_posicao", "id_fundo"]).select(
+    pl = totals if totals is not None else grouped.groupBy("data_posicao", "id_fundo").agg(
+        F.sum("valor_financeiro").alias("_pl"), F.count(F.lit(1)).alias("_n"))
+    day_fund = ["data_posicao", "id_fundo"]
+    hot = hot_from_counts(pl, day_fund, "_n")
+    return salted_join(grouped, pl.drop("_n"), day_fund, "inner", hot=hot).select(
         F.xxhash64("data_posicao", "id_fundo", "id_ativo").alias("id_posicao"),
         "data_posicao", "id_fundo", "id_ativo", "quantidade",
         round_ratio(F.col("valor_financeiro"), F.col("quantidade"), 6).cast(schemas.PRICE).alias("preco_unitario"),

@@ -106,3 +106,31 @@ def test_flat_plan_at_scale_shuffles_the_fact_once_per_large_join(spark):
     assert len(re.findall(r"Exchange hashpartitioning\(data_referencia#\d+, id_ativo#\d+L?, ", final)) == 1
     # asset side and issuer side of the dimension-to-dimension join, nothing on the fact
     assert len(re.findall(r"Exchange hashpartitioning\(id_emissor#", final)) == 2
+
+
+def test_flat_view_with_a_hot_price_key_matches_the_plain_join(spark):
+    """One (date, asset) holding a third of the positions: the salted price join
+    returns exactly the rows of the plain join, every hot row priced."""
+    from dataclasses import replace
+
+    from pyspark.sql import functions as F
+
+    star = star_from_driver(spark, SMOKE)
+    pos = star.posicao
+    priced_keys = star.preco.select(F.col("data_referencia").alias("data_posicao"), "id_ativo").distinct()
+    first = pos.join(priced_keys, ["data_posicao", "id_ativo"]).orderBy("data_posicao", "id_ativo", "id_fundo").limit(1)
+    n = pos.count()
+    fund = F.explode(F.sequence(F.lit(1000).cast("long"), F.lit(1000 + n // 2 - 1).cast("long")))
+    copies = (first.withColumn("id_fundo", fund)
+              .withColumn("valor_financeiro", ((F.abs(F.xxhash64("id_fundo")) % 10**10) / 100).cast("decimal(18,2)")))
+    skewed = replace(star, posicao=pos.unionByName(copies.select(*pos.columns).repartition(8)))
+    salted = flat_typed(skewed, split_hot_keys=True, hot_min_rows=100)
+    plain = flat_typed(skewed, split_hot_keys=False)
+    got, want = salted.collect(), plain.collect()
+    assert len(got) == n + n // 2
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+    hot_date, hot_asset = first.select("data_posicao", "id_ativo").first()
+    code = f"P{hot_asset}"
+    hot_rows = [r for r in got if r["data_posicao"] == hot_date and r["codigo_ativo"] == code]
+    assert len(hot_rows) == n // 2 + 1 and all(r["preco_mercado"] is not None for r in hot_rows)
+    assert "_salt" in plan_text(salted)

@@ -113,20 +113,29 @@ def salted_join(fact: DataFrame, side: DataFrame, keys: Sequence[str], how: str
     """
     keys = list(keys)
     hot = hot_keys(fact, keys, min_rows, max_keys) if hot is None else hot
-    hot = F.broadcast(hot)  # fewer than max_keys rows by construction
-    salted_fact = (fact.join(hot, keys, "left")
+    salted_fact = (_with_salts(fact, hot, keys)
                    .withColumn("_salt", F.when(F.col("_salts").isNotNull(),
                                                F.pmod(F.xxhash64(*fact.columns), F.col("_salts")))
                                .otherwise(F.lit(0)).cast("int"))
                    .drop("_salts"))
     replicas = F.when(F.col("_salts").isNotNull(), F.sequence(F.lit(0), F.col("_salts") - 1)) \
         .otherwise(F.array(F.lit(0)))
-    salted_side = (side.join(hot, keys, "left")
+    salted_side = (_with_salts(side, hot, keys)
                    .withColumn("_salt", F.explode(replicas))
                    .drop("_salts"))
     return salted_fact.join(salted_side, [*keys, "_salt"], how).drop("_salt")
 
 
+def _with_salts(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` plus the ``_salts`` of its key (NULL when not hot). The lookup is
+    null-safe, so a hot group of NULL keys, which matches nothing in the join but
+    would still land in one shuffle partition, is spread as well."""
+    h = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_salts")
+    on = [df[k].eqNullSafe(h[f"_h_{k}"]) for k in keys]
+    # fewer than max_keys rows by construction (see hot_from_counts)
+    return df.join(F.broadcast(h), on, "left").drop(*[f"_h_{k}" for k in keys])
+
+
 def left_enrich(fact: DataFrame, dim: DataFrame, keys: Sequence[str] | str,
                 flag: str | None = None) -> DataFrame:
     """Left join keeping every fact row; ``flag`` adds a boolean 'dimension matched'."""

@@ -99,8 +99,9 @@ def test_with_previous_is_global_lag(spark, n_partitions):
 
 def _skewed_fact(spark, n=3000):
     rnd = random.Random(11)
-    # key 7 holds a third of the rows
-    rows = [(7 if i % 3 == 0 else rnd.randint(0, 60), i, rnd.randint(0, 10**6)) for i in range(n)]
+    # key 7 holds a third of the rows, NULL keys a sixth
+    rows = [(7 if i % 3 == 0 else None if i % 6 == 1 else rnd.randint(0, 60), i, rnd.randint(0, 10**6))
+            for i in range(n)]
     return spark.createDataFrame(rows, "k int, id int, v int").repartition(6)
 
 
@@ -111,13 +112,15 @@ def test_salted_join_equals_plain_join(spark, how):
     side = spark.createDataFrame([(k, f"s{k}") for k in range(51)] + [(3, "s3-bis")], "k int, w string")
     want = fact.join(side, ["k"], how)
     got = salted_join(fact, side, ["k"], how, min_rows=50, max_keys=20).select(*want.columns)
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
 
 
 def test_hot_keys_are_bounded_and_sized(spark):
     fact = _skewed_fact(spark)
-    # threshold = max(50, 3000 / 20) = 150 rows: only key 7 (1000 rows) is hot, in ceil(1000 / 150) = 7 pieces
-    assert [tuple(r) for r in hot_keys(fact, ["k"], min_rows=50, max_keys=20).collect()] == [(7, 7)]
+    # threshold = max(50, 3000 / 20) = 150 rows: key 7 (1000 rows) is hot, in ceil(1000 / 150) = 7 pieces,
+    # and so is the NULL key (500 rows, 4 pieces)
+    hot = {tuple(r) for r in hot_keys(fact, ["k"], min_rows=50, max_keys=20).collect()}
+    assert hot == {(7, 7), (None, 4)}
     assert hot_keys(fact, ["k"], min_rows=5000, max_keys=20).count() == 0
 
 
@@ -133,6 +136,7 @@ def test_salted_join_spreads_a_hot_key_over_tasks(spark):
         out = salted_join(fact, side, ["k"], "left", min_rows=50, max_keys=20) \
             .withColumn("_task", F.spark_partition_id())
         tasks = out.filter(F.col("k") == 7).select("_task").distinct().count()
+        null_tasks = out.filter(F.col("k").isNull()).select("_task").distinct().count()
         plain = fact.join(side, ["k"], "left").withColumn("_task", F.spark_partition_id())
         plain_tasks = plain.filter(F.col("k") == 7).select("_task").distinct().count()
     finally:
@@ -141,7 +145,7 @@ def test_salted_join_spreads_a_hot_key_over_tasks(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
-    assert plain_tasks == 1 and tasks > 1
+    assert plain_tasks == 1 and tasks > 1 and null_tasks > 1
 
 
 def linear_quantile(values, p):

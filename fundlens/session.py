@@ -50,12 +50,16 @@ def build_session(app_name: str = "fundlens", master: str | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names shared storage and is used as is. Only when
-    it is unset (a local test run) is a fresh local folder created.
+    On a cluster the setting names shared storage and is used as is; when it is
+    unset there, this raises instead of falling back to a folder only one machine
+    sees. Only a local master (tests, a laptop) gets a fresh local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder (HDFS, S3, ABFS ...) "
+                               "for staged tables and checkpoints")
         current = tempfile.mkdtemp(prefix="fundlens-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)

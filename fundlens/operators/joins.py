@@ -109,7 +109,8 @@ def salted_join(fact: DataFrame, side: DataFrame, keys: Sequence[str], how: str
     salt value; every other key has salt 0 on both sides. The join on
     ``(keys, salt)`` gives every fact row exactly the partners it has in the plain
     join (``how`` in left, inner, left_semi, left_anti), and a hot key's rows spread
-    over up to ``_salts`` tasks of about ``min_rows`` rows each.
+    over up to ``_salts`` tasks of about the hot threshold each (identical rows
+    share a salt).
     """
     keys = list(keys)
     hot = hot_keys(fact, keys, min_rows, max_keys) if hot is None else hot

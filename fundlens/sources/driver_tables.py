@@ -99,10 +99,11 @@ def _order_nation(orders: DataFrame, customer: DataFrame) -> DataFrame:
 
 
 def fund_day_totals(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) -> DataFrame:
-    """``(data_posicao, id_fundo, _pl, _n)``: a fund's traded value and line count per day, from the
-    line items. They are summed per order first (combined map-side), so only
-    order-sized rows meet orders and customer; the exact decimal total equals the
-    sum of the fund's positions that day."""
+    """``(data_posicao, id_fundo, _pl, _n)``: a fund's traded value and line count per
+    day, from the line items. They are summed per order first (combined map-side),
+    so only order-sized rows meet orders and customer; the exact decimal total
+    equals the sum of the fund's positions that day, and the line count bounds the
+    number of its positions."""
     per_order = lineitem.groupBy("l_orderkey").agg(
         F.sum(F.col("l_extendedprice").cast(schemas.MONEY)).alias("_v"), F.count(F.lit(1)).alias("_c"))
     j = per_order.join(_order_nation(orders, customer), F.col("l_orderkey") == F.col("o_orderkey"))
@@ -124,8 +125,8 @@ def posicao(trades: DataFrame, totals: DataFrame | None = None) -> DataFrame:
         F.sum("quantidade").cast(schemas.QTY).alias("quantidade"),
         F.sum("valor_operacao").cast(schemas.MONEY).alias("valor_financeiro"),
     ).withColumnRenamed("data_operacao", "data_posicao")
-    # Fund total per day by aggregate + join (not a window) so a hot (day, fund)
-    # is combined map-side and can be split by the skew-join handling.
+    # Fund total per day by aggregate + join (not a window): a hot (day, fund) is
+    # combined map-side, and its rows are salted over several join tasks.
     pl = totals if totals is not None else grouped.groupBy("data_posicao", "id_fundo").agg(
         F.sum("valor_financeiro").alias("_pl"), F.count(F.lit(1)).alias("_n"))
     day_fund = ["data_posicao", "id_fundo"]

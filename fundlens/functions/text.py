@@ -38,7 +38,7 @@ def fund_short_name(name: str | Column, drop_prefix: str | None = None) -> Colum
 
     Only a whole trailing suffix is removed, so ``... Macro FIM`` becomes
     ``... Macro`` (not ``... MacroM``). ``drop_prefix`` optionally strips a
-    leading house name such as ``"Sicred "``.
+    leading house name such as ``"Casa "``.
     """
     out = F.regexp_replace(_c(name), FUND_SUFFIX_PATTERN, "")
     if drop_prefix:

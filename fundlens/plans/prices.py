@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundlens.functions.dates import business_day_spine
@@ -64,7 +64,14 @@ def recent_returns(prices: DataFrame, assets: DataFrame, n_days: int = 30, scale
     spine = business_days(prices, n_days)
     quotes = prices.select("id_ativo", F.col("data_referencia").alias("data"), "preco_mercado")
     series = spine.join(quotes, ["id_ativo", "data"], "left")
-    with_ret = cumulative_return(series, key="id_ativo", date_col="data", scale=scale)
+    # The base is the first quote inside the window. An asset has at most
+    # 7 * n_days / 5 spine rows, so a window per asset is bounded by the calendar
+    # and reads the series once (an aggregate joined back would derive the spine
+    # twice).
+    whole = Window.partitionBy("id_ativo").orderBy("data").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
+    with_ret = series.withColumn("_base", F.first("preco_mercado", ignorenulls=True).over(whole)).withColumn(
+        "retorno_pct", round_ratio(F.col("preco_mercado") - F.col("_base"), F.col("_base"), scale, times=100))
     names = assets.select("id_ativo", "codigo_ativo", "classe_ativo")
     return with_ret.join(names, "id_ativo", "left").select(
         "codigo_ativo", "classe_ativo", "data", "preco_mercado", "retorno_pct")

@@ -21,7 +21,7 @@ from fundlens.functions.exact import millions, round_ratio, sum_exact
 from fundlens.functions.dates import iso_date
 from fundlens.functions.text import NA, NOT_RATED, count_text, fund_short_name, issuer_short_name, \
     millions_text, money_text, rating_bucket, with_placeholder
-from fundlens.operators.joins import hot_from_counts, salted_join
+from fundlens.operators.joins import DEFAULT_HOT_MIN_ROWS, hot_from_counts, salted_join
 from fundlens.operators.ordered import top_k
 
 VALUE = "valor_financeiro"
@@ -101,9 +101,11 @@ def fund_summary(flat: DataFrame, as_of: str | None = None) -> DataFrame:
                     millions(F.col("pl"), 1).alias("pl_mi"), "n_ativos")
 
 
-def fund_composition(flat: DataFrame, as_of: str | None = None) -> DataFrame:
+def fund_composition(flat: DataFrame, as_of: str | None = None,
+                     hot_min_rows: int = DEFAULT_HOT_MIN_ROWS) -> DataFrame:
     """Per fund and asset: value, percent of PL, and that percent normalised to the
-    fund's own total (the pie-chart share)."""
+    fund's own total (the pie-chart share). Funds with more than ``hot_min_rows``
+    assets are split over several join tasks."""
     g = scope(flat, as_of).groupBy("nome_fundo", "codigo_ativo").agg(
         sum_exact(VALUE, 2).alias("valor_total"), sum_exact("percentual_pl", 6).alias("pct_pl"))
     # Fund totals by aggregate + join: a fund holding a third of the rows is
@@ -111,7 +113,7 @@ def fund_composition(flat: DataFrame, as_of: str | None = None) -> DataFrame:
     # (fund, asset) rows are salted over several join tasks (the counts come with
     # the totals, so finding hot funds costs no extra pass).
     tot = g.groupBy("nome_fundo").agg(F.sum("pct_pl").alias("_fund_pct"), F.count(F.lit(1)).alias("_n"))
-    hot = hot_from_counts(tot, ["nome_fundo"], "_n")
+    hot = hot_from_counts(tot, ["nome_fundo"], "_n", hot_min_rows)
     return (salted_join(g, tot.drop("_n"), ["nome_fundo"], "left", hot=hot)
             .withColumn("share_fundo", round_ratio(F.col("pct_pl"), F.col("_fund_pct"), 2, times=100))
             .drop("_fund_pct"))

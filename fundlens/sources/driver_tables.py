@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from fundlens import schemas
 from fundlens.functions.exact import round_ratio
 from fundlens.model import Star
-from fundlens.operators.joins import hot_from_counts, salted_join
+from fundlens.operators.joins import DEFAULT_HOT_MIN_ROWS, hot_from_counts, salted_join
 
 # Adapter rules (fixed values): fund-name suffix by nation key % 4, indexer by
 # part key % 4, price source by (return flag, line status).
@@ -112,7 +112,8 @@ def fund_day_totals(lineitem: DataFrame, orders: DataFrame, customer: DataFrame)
         F.sum("_v").alias("_pl"), F.sum("_c").alias("_n"))
 
 
-def posicao(trades: DataFrame, totals: DataFrame | None = None) -> DataFrame:
+def posicao(trades: DataFrame, totals: DataFrame | None = None,
+            hot_min_rows: int = DEFAULT_HOT_MIN_ROWS) -> DataFrame:
     """Daily positions: the day's trades of a fund in an asset, summed.
 
     ``totals`` (``data_posicao, id_fundo, _pl, _n``) gives the fund's PL per day, and
@@ -130,7 +131,7 @@ def posicao(trades: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     pl = totals if totals is not None else grouped.groupBy("data_posicao", "id_fundo").agg(
         F.sum("valor_financeiro").alias("_pl"), F.count(F.lit(1)).alias("_n"))
     day_fund = ["data_posicao", "id_fundo"]
-    hot = hot_from_counts(pl, day_fund, "_n")
+    hot = hot_from_counts(pl, day_fund, "_n", hot_min_rows)
     return salted_join(grouped, pl.drop("_n"), day_fund, "inner", hot=hot).select(
         F.xxhash64("data_posicao", "id_fundo", "id_ativo").alias("id_posicao"),
         "data_posicao", "id_fundo", "id_ativo", "quantidade",

@@ -59,3 +59,25 @@ def test_append_if_absent_on_parquet(spark, seed, tmp_dir):
     assert append_if_absent(spark, seed.preco, path, ["data_referencia", "id_ativo", "fonte_preco"],
                             order=[F.col("id_preco")]) == 0
     assert spark.read.parquet(path).count() == 20
+
+
+def test_checkpoint_dir_required_on_a_cluster():
+    """No silent machine-local fallback when the master is not local."""
+    import pytest
+
+    class _Conf:
+        def get(self, key, default=None):
+            return default
+
+    class _Context:
+        master = "spark://cluster:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class _Session:
+        sparkContext = _Context()
+        conf = _Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(_Session())

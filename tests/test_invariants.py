@@ -69,3 +69,25 @@ def test_registered_plans_have_no_single_task_window_on_data(spark):
     for name in ("q10_asset_ranking", "q11_issuer_distribution", "q12_concentration_curve"):
         text = entry.queries()[name](spark, SMOKE)._jdf.queryExecution().executedPlan().toString()
         assert "rangepartitioning(" in text, name
+
+
+def _rows(df):
+    return sorted(map(repr, df.select(*sorted(df.columns)).collect()))
+
+
+def test_fund_composition_salted_equals_default(flat):
+    # hot_min_rows=1: every fund above max(1, rows / 10,000) rows is salted
+    assert _rows(exposure.fund_composition(flat, hot_min_rows=1)) == _rows(exposure.fund_composition(flat))
+
+
+def test_adapter_positions_salted_equal_plain_join(star):
+    from fundlens.sources.driver_tables import posicao
+    trades = star.operacao
+    salted = posicao(trades, hot_min_rows=1)
+    grouped = trades.groupBy("data_operacao", "id_fundo", "id_ativo").agg(
+        F.sum("valor_operacao").cast("decimal(18,2)").alias("v"))
+    pl = grouped.groupBy("data_operacao", "id_fundo").agg(F.sum("v").alias("pl"))
+    plain = grouped.join(pl, ["data_operacao", "id_fundo"]).select(
+        F.col("data_operacao").alias("data_posicao"), "id_fundo", "id_ativo", F.col("v").alias("valor_financeiro"))
+    assert salted.count() == plain.count()
+    assert _rows(salted.select("data_posicao", "id_fundo", "id_ativo", "valor_financeiro")) == _rows(plain)

@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from fundlens import schemas
 from fundlens.model import Star
 from fundlens.operators import quality
-from fundlens.operators.joins import DEFAULT_BROADCAST_MAX_BYTES, DEFAULT_BROADCAST_MAX_ROWS, row_width
+from fundlens.operators.joins import DEFAULT_BROADCAST_MAX_BYTES, DEFAULT_BROADCAST_MAX_ROWS, DEFAULT_HOT_MIN_ROWS, \
+    row_width
 from fundlens.plans.flat import flat_typed, render_flat, sort_output
 from fundlens.session import build_session, scratch_dir
 from fundlens.sources.driver_tables import star_from_driver
@@ -57,6 +58,7 @@ class JobConfig:
     strict: bool = True
     check_dimension_keys: bool = True
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS
+    hot_min_rows: int = DEFAULT_HOT_MIN_ROWS  # price-join keys above this are salted; 0 turns salting off
 
 
 @dataclass
@@ -165,7 +167,8 @@ def run(spark: SparkSession, cfg: JobConfig) -> dict:
                          for t, (r, _) in stats.items())
 
     with plog.phase("transform"):
-        typed = flat_typed(star, broadcast=small_dims, max_rows=cfg.broadcast_max_rows)
+        typed = flat_typed(star, broadcast=small_dims, max_rows=cfg.broadcast_max_rows,
+                           split_hot_keys=cfg.hot_min_rows > 0, hot_min_rows=max(cfg.hot_min_rows, 1))
         obs_out = Observation("flat_out")
         typed = typed.observe(obs_out, F.count(F.lit(1)).alias("rows"),
                               *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in schemas.FLAT_CRITICAL])
@@ -227,12 +230,14 @@ def parse_args(argv: list[str] | None = None) -> JobConfig:
     p.add_argument("--date-from")
     p.add_argument("--date-to")
     p.add_argument("--no-strict", action="store_true")
+    p.add_argument("--hot-min-rows", type=int, default=DEFAULT_HOT_MIN_ROWS,
+                   help="salt (date, asset) keys of the price join holding more positions than this; 0 = off")
     a = p.parse_args(argv)
     return JobConfig(source=a.source, input_dir=a.input_dir, jdbc_url=a.jdbc_url, jdbc_user=a.jdbc_user,
                      jdbc_password=a.jdbc_password, jdbc_schema=a.jdbc_schema, jdbc_partitions=a.jdbc_partitions,
                      output_dir=a.output_dir, output_name=a.output_name, append_timestamp=a.append_timestamp,
                      output_format=a.output_format, single_file=a.single_file, date_from=a.date_from,
-                     date_to=a.date_to, strict=not a.no_strict)
+                     date_to=a.date_to, strict=not a.no_strict, hot_min_rows=a.hot_min_rows)
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -43,19 +43,22 @@ def row_width(df: DataFrame) -> int:
 
 def broadcast_if_bounded(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
                          name: str = "dimension", force: bool | None = None,
-                         max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
+                         max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
+                         rows_from: DataFrame | None = None) -> DataFrame:
     """``broadcast(dim)`` when its measured row count is at most ``max_rows`` and
-    rows x estimated row width is at most ``max_bytes``.
+    rows x estimated row width (of ``dim``) is at most ``max_bytes``.
 
     ``force=True`` skips the count for a side whose bound is known by
     construction; ``force=False`` never hints. The count is one scan of the
-    dimension only.
+    dimension only; ``rows_from`` names a cheaper frame with the same rows to
+    count instead (the left side of the left joins on unique keys that built
+    ``dim``, e.g. the asset table for asset + issuer).
     """
     if force is True:
         return F.broadcast(dim)
     if force is False:
         return dim
-    n = dim.count()
+    n = (rows_from if rows_from is not None else dim).count()
     size = n * row_width(dim)
     if n <= max_rows and size <= max_bytes:
         log.info("broadcasting %s (%d rows, ~%d bytes)", name, n, size)

@@ -53,8 +53,10 @@ def enriched_positions(star: Star, broadcast: bool | None = None,
     schemas.require_columns(star.frames())
     fundo = star.fundo.select("id_fundo", "cnpj_fundo", "nome_fundo", "tipo_fundo")
     fundo = broadcast_if_bounded(fundo, max_rows, "fundo", force=broadcast)
+    # Rows counted on the asset table: the issuer is a left join on its unique key
+    # (rule V07), and counting the joined dimension would evaluate the issuer side.
     assets = broadcast_if_bounded(asset_dimension(star.ativo, star.emissor, broadcast, max_rows),
-                                  max_rows, "ativo", force=broadcast)
+                                  max_rows, "ativo", force=broadcast, rows_from=star.ativo)
     prices = prices_by_priority(star.preco).select(
         F.col("data_referencia").alias("data_posicao"), "id_ativo", "preco_mercado", "fonte_preco")
     fact = star.posicao.select("data_posicao", "id_fundo", "id_ativo", "quantidade", "preco_unitario",

@@ -32,7 +32,7 @@ WITH p AS (
   FROM p
 )
 SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
-       array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
          CAST(1 + ((CAST('0x' || substr(h, CAST(5 * (i // 4) + 1 AS BIGINT), 5) AS INTEGER)
               >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31) AS BIGINT), 1)), '') AS payload_digest,
        CASE WHEN page_id = keep THEN 'response' ELSE 'revisit' END AS record_type,

@@ -5,14 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from fundlens.llm import exact_dedup, warc
+from fundlens.llm import decontamination, exact_dedup, huffman, packing, warc
 from fundlens.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer_file(name: str) -> str:
+    """A vocabulary file of the installed public tokenizers (a path on every machine)."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_round_trip(read_table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -23,6 +33,17 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op7_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return huffman.token_round_trip(read_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json")) \
+        .select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"),
+                                  with_ids=False) \
+        .select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 _OP2_SQL = """
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS payload FROM pages
@@ -50,8 +71,11 @@ FROM d WINDOW w AS (PARTITION BY t)
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_decontamination": op1_decontamination,
         "op2_warc": op2_warc,
         "op3_exact_dedup": op3_exact_dedup,
+        "op7_huffman_ids": op7_huffman_ids,
+        "op8_packing": op8_packing,
     }
 
 

@@ -8,6 +8,7 @@ from collections.abc import Iterator, Sequence
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,7 +68,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
         n = batch.num_rows
         if not n:
             continue
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
         at = 0
         while at < n:
             end, total = at, 0

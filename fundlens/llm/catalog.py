@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fundlens.llm import decontamination, exact_dedup, huffman, packing, warc
+from fundlens.llm import decontamination, exact_dedup, huffman, ngram_join, packing, quality, toxicity, warc
 from fundlens.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,21 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "class_id", "copy_id", "n_links")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return toxicity.score_toxicity(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return quality.score_quality(docs, quality.train(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op7_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.token_round_trip(read_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json")) \
         .select("doc_id", "start", "n_tokens", "ids_crc32")
@@ -68,12 +83,40 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM d WINDOW w AS (PARTITION BY t)
 """
 
+_OP4_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS ws FROM documents
+), g AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS gram
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id
+), c AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+), e AS (
+  SELECT x, y, k = p.n AND k = q.n AS same
+  FROM c JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 5 * k >= 4 * (p.n + q.n - k)
+), reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, e.y FROM reach r JOIN e ON e.x = r.y
+), class AS (
+  SELECT x, min(y) AS class_id FROM reach GROUP BY x
+), links AS (
+  SELECT x, count(*) AS n_links, min(CASE WHEN same THEN y END) AS other FROM e GROUP BY x
+)
+SELECT d.doc_id, class_id, least(d.doc_id, coalesce(other, d.doc_id)) AS copy_id, coalesce(n_links, 0) AS n_links
+FROM documents d JOIN class ON class.x = d.doc_id LEFT JOIN links ON links.x = d.doc_id
+"""
+
 
 def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": op1_decontamination,
         "op2_warc": op2_warc,
         "op3_exact_dedup": op3_exact_dedup,
+        "op4_ngram_join": op4_ngram_join,
+        "op5_toxicity": op5_toxicity,
+        "op6_quality": op6_quality,
         "op7_huffman_ids": op7_huffman_ids,
         "op8_packing": op8_packing,
     }
@@ -83,4 +126,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_warc": _OP2_SQL,
         "op3_exact_dedup": _OP3_SQL,
+        "op4_ngram_join": _OP4_SQL,
     }

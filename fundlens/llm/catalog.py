@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fundlens.llm import decontamination, exact_dedup, huffman, lbl, ngram_join, packing, quality, toxicity, warc
+from fundlens.llm import decontamination, exact_dedup, html_text, huffman, lbl, ngram_join, packing, quality, toxicity, warc
 from fundlens.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op10_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lbl.score_texts(read_table(spark, sf_dir, "documents"))
 
@@ -123,6 +127,7 @@ def queries() -> dict[str, Query]:
         "op6_quality": op6_quality,
         "op7_huffman_ids": op7_huffman_ids,
         "op8_packing": op8_packing,
+        "op9_html_text": op9_html_text,
         "op10_log_bilinear": op10_log_bilinear,
     }
 

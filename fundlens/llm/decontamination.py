@@ -133,31 +133,45 @@ def _matcher(items: tuple, error_rate: float, min_words: int) -> Matcher:
 def _search(batches, items: tuple, error_rate: float, min_words: int) -> Iterator[pa.RecordBatch]:
     matcher = _matcher(items, error_rate, min_words)
     for cols, texts in slices(batches):
-        rows = [(doc_id, *hit[:3], *hit[3:]) for doc_id, text in zip(cols["doc_id"], texts, strict=True)
+        rows = [(doc_id, *hit) for doc_id, text in zip(cols["doc_id"], texts, strict=True)
                 for hit in matcher.find(text)]
         if rows:
             yield to_batch(list(zip(*rows, strict=True)), _FOUND)
 
 
+def _clean(batches, items: tuple, error_rate: float, min_words: int) -> Iterator[pa.RecordBatch]:
+    matcher = _matcher(items, error_rate, min_words)
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.filter(pa.array([next(matcher.find(t or ""), None) is None for t in batch.column("text").to_pylist()], pa.bool_()))
+
+
+def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[tuple]:
+    """The items (id, text) in blocks of about ``block_chars`` characters, one at a time; null and empty ones are left out."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty().alias("text")) \
+        .filter((F.length("text") > 0) & F.col("item_id").isNotNull()).distinct()
+    chars = items.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
+    blocks = -(-chars // block_chars) or 1
+    for block in range(blocks):
+        own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
+        yield tuple(sorted((r["item_id"], r["text"]) for r in own))
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, min_words: int = MIN_WORDS,
                block_chars: int = BLOCK_CHARS) -> DataFrame:
     """A row per document and benchmark item that it holds within the error budget:
     ``doc_id, item_id, distance, budget, span_end, item_chars``."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty().alias("text")) \
-        .filter(F.length("text") > 0)
-    chars = items.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
-    blocks = -(-chars // block_chars) or 1
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     out = None
-    for block in range(blocks):
-        own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).distinct().collect()
-        found = texts.mapInArrow(partial(_search, items=tuple(sorted((r["item_id"], r["text"]) for r in own if r["item_id"] is not None)),
-                                         error_rate=error_rate, min_words=min_words), ddl(_FOUND))
+    for items in item_blocks(benchmark, block_chars):
+        found = texts.mapInArrow(partial(_search, items=items, error_rate=error_rate, min_words=min_words), ddl(_FOUND))
         out = found if out is None else out.unionByName(found)
     return out
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item; rows with a null id stay if their text is clean."""
-    leaks = find_leaks(docs, benchmark, **params).select(F.col("doc_id").alias("__leak")).distinct()
-    return docs.join(leaks, docs["doc_id"].cast("long").eqNullSafe(F.col("__leak")), "left_anti")
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, min_words: int = MIN_WORDS,
+               block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """``docs``, all columns, without the rows that hold a benchmark item within the error budget."""
+    for items in item_blocks(benchmark, block_chars):
+        docs = docs.mapInArrow(partial(_clean, items=items, error_rate=error_rate, min_words=min_words), docs.schema)
+    return docs

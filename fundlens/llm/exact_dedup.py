@@ -94,13 +94,12 @@ def exact_dedup(docs: DataFrame, hashed: Callable[[Column], Column] = F.xxhash64
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of every group of equal texts, all columns and names as they are."""
-    marked = docs.withColumn("__row", F.monotonically_increasing_id())
-    stable = staged(marked, "dedup-input")
-    found = _dedup_numbered(stable)
-    return stable.join(found, "__row", "left_semi").drop("__row")
-
-
-def _dedup_numbered(stable: DataFrame) -> DataFrame:
-    """``__row`` of every row that stays, for rows numbered in a written table."""
-    kept = exact_dedup(stable.select(F.struct("doc_id", "__row").alias("doc_id"), "text")).filter("kept")
-    return kept.select(F.col("doc_id.__row").alias("__row"))
+    found = staged(exact_dedup(docs).select("doc_id", "text_sha256", "kept"), "dedup-marks")
+    kept = found.filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
+    if found.groupBy("doc_id", "text_sha256").count().filter("count > 1").limit(1).count() == 0:
+        sha = F.sha2(text_or_empty(), 256)
+        return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("__id")) & (sha == F.col("__sha")), "left_semi")
+    # Rows repeat an id with its text: number the rows in a written table and keep by number.
+    stable = staged(docs.withColumn("__row", F.monotonically_increasing_id()), "dedup-input")
+    by_row = exact_dedup(stable.select(F.struct("doc_id", "__row").alias("doc_id"), "text")).filter("kept")
+    return stable.join(by_row.select(F.col("doc_id.__row").alias("__row")), "__row", "left_semi").drop("__row")

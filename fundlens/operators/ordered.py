@@ -4,17 +4,15 @@
 ``ordered_scan`` gives the same global position and running sums with the
 work spread out:
 
-1. ``repartitionByRange(n, order)``: partition ``p`` holds a contiguous slice
-   of the order (equal keys land together). The partition count is explicit,
-   so adaptive execution keeps it and ``spark_partition_id`` is stable.
-2. Local positions and local running sums inside each partition. Without
-   running sums the rows are sorted inside their partition and numbered by
-   ``monotonically_increasing_id`` (partition id in the upper bits, row index
-   in the lower 33), in the stage that reads the range shuffle; running sums
-   need a window per partition, which adds one shuffle of the (already
-   reduced) rows on the partition id.
-3. Per-partition totals (at most ``n`` rows, a bound fixed by the caller)
-   are turned into offsets and grand totals and broadcast back.
+1. ``repartitionByRange(n, order)`` and a sort inside each partition: partition
+   ``p`` holds a contiguous slice of the order. Every row gets its partition id
+   and its index there (``monotonically_increasing_id``: partition id in the
+   upper bits, row index in the lower 33), and the rows are written once.
+2. Per-partition totals (at most ``n`` rows, a bound fixed by the caller) come
+   from the written rows, so they belong to the very rows they number; two
+   separately sampled range partitionings never meet. They become offsets and
+   grand totals and are broadcast back.
+3. Running sums use a window per written partition.
 
 The order must be total (end it with a unique column) for a deterministic
 position.
@@ -27,6 +25,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fundlens.session import written
+
 
 def _partitions(df: DataFrame, n: int | None) -> int:
     if n:
@@ -42,17 +42,14 @@ def ordered_scan(df: DataFrame, order: Sequence[Column], sums: Mapping[str, Colu
     ``total_<name>``, the grand total of each summed column."""
     sums = dict(sums or {})
     n = _partitions(df, n_partitions)
-    ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
+    index = F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33)
+    ranged = written(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                     .withColumn("_pid", F.spark_partition_id()).withColumn("_lpos", index + 1), "ordered")
+    scanned = ranged
     if sums:
-        local = Window.partitionBy("_pid").orderBy(*order)
-        running = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        scanned = ranged.withColumn("_lpos", F.row_number().over(local))
+        running = Window.partitionBy("_pid").orderBy("_lpos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         for name, c in sums.items():
             scanned = scanned.withColumn(f"_l_{name}", F.sum(c).over(running))
-    else:
-        # Row index within the sorted partition: the id's lower 33 bits.
-        index = F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33)
-        scanned = ranged.sortWithinPartitions(*order).withColumn("_lpos", index + 1)
 
     per_part = ranged.groupBy("_pid").agg(
         F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_s_{name}") for name, c in sums.items()])
@@ -64,7 +61,7 @@ def ordered_scan(df: DataFrame, order: Sequence[Column], sums: Mapping[str, Colu
         *[F.sum(f"_s_{name}").over(before).alias(f"_off_{name}") for name in sums],
         *[F.sum(f"_s_{name}").over(everything).alias(f"_tot_{name}") for name in sums],
     )
-    out = scanned.join(F.broadcast(offsets), "_pid")
+    out = scanned.join(F.broadcast(offsets), "_pid", "left")
     out = out.withColumn(position, (F.col("_off_n") + F.col("_lpos")).cast("long"))
     for name in sums:
         out = out.withColumn(name, F.coalesce(F.col(f"_off_{name}") + F.col(f"_l_{name}"), F.col(f"_l_{name}")))

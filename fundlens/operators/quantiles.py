@@ -1,17 +1,13 @@
 """Exact quantiles (linear interpolation) and descriptive statistics.
 
 ``percentile`` keeps every distinct value of a group in one aggregation
-buffer and ``summary()`` is approximate. ``exact_quantiles`` selects the
-order statistics it needs instead:
-
-1. unpivot the columns into ``(coluna, valor)`` and range-partition on
-   ``(coluna, valor, tie)`` with an explicit partition count; the unique
-   ``tie`` column lets a value repeated on a third of the rows spread over
-   several partitions;
-2. count rows per ``(partition, coluna)`` (tiny) and derive, for each wanted
-   rank, the partition that holds it and its index inside that partition;
-3. rank rows only inside those few partitions (a semi join drops the rest
-   before the window) and pick the wanted ranks.
+buffer and ``summary()`` is approximate. ``exact_quantiles`` brackets each
+wanted rank instead: a mergeable sketch proposes two values around it, one
+aggregate counts the rows below, at, between and above them exactly, and the
+part that holds the rank is the next bracket. A bracket that holds one value
+only is the answer; when it holds few rows these are read and ranked. Every
+pass is one map-side combined aggregate over all brackets of all columns, so
+no row is shuffled, and a value repeated on a third of the rows costs nothing.
 
 Interpolation is done in DECIMAL, so the result is exact.
 """
@@ -21,11 +17,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fundlens.functions.exact import round_ratio
+from fundlens.session import written
 
 VALUE = T.DecimalType(24, 6)
 
@@ -38,54 +35,79 @@ def unpivot_values(df: DataFrame, cols: Sequence[str], ids: Sequence[str] = ())
               .filter(F.col("valor").isNotNull()))
 
 
+#: A bracket of at most this many rows is read and ranked.
+SMALL_BRACKET = 10_000
+SKETCH_ACCURACY = 10_000
+
+
+def _inside(value: Column, low: Decimal | None, high: Decimal | None) -> Column:
+    keep = F.lit(True)
+    if low is not None:
+        keep = keep & (value >= F.lit(low).cast(VALUE))
+    if high is not None:
+        keep = keep & (value <= F.lit(high).cast(VALUE))
+    return keep
+
+
+def _narrow(values: DataFrame, brackets: list[dict]) -> None:
+    """One round: shrink each bracket to the part that holds its rank."""
+    spread = 2.0 / SKETCH_ACCURACY
+    edges = values.agg(*[
+        F.percentile_approx(F.when(_inside(F.col(b["col"]), b["low"], b["high"]), F.col(b["col"])),
+                            [max(0.0, (b["rank"] - b["below"]) / b["rows"] - spread),
+                             min(1.0, (b["rank"] - b["below"] + 1) / b["rows"] + spread)], SKETCH_ACCURACY).alias(f"e{i}")
+        for i, b in enumerate(brackets)]).first()
+    aggs = []
+    for i, b in enumerate(brackets):
+        v, (x, y) = F.col(b["col"]), (F.lit(e).cast(VALUE) for e in edges[f"e{i}"])
+        own = _inside(v, b["low"], b["high"])
+        for part, where in (("lt", v < x), ("at", v == x), ("mid", (v > x) & (v < y)), ("end", (v == y) & (y > x)),
+                            ("gt", v > y)):
+            aggs += [F.count_if(own & where).alias(f"n{i}{part}"), F.min(F.when(own & where, v)).alias(f"a{i}{part}"),
+                     F.max(F.when(own & where, v)).alias(f"b{i}{part}")]
+    found = values.agg(*aggs).first()
+    for i, b in enumerate(brackets):
+        below = b["below"]
+        for part in ("lt", "at", "mid", "end", "gt"):
+            rows = found[f"n{i}{part}"]
+            if b["rank"] < below + rows:
+                b.update(below=below, rows=rows, low=found[f"a{i}{part}"], high=found[f"b{i}{part}"])
+                break
+            below += rows
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75),
-                    ids: Sequence[str] = (), n_partitions: int | None = None) -> DataFrame:
+                    small: int = SMALL_BRACKET) -> DataFrame:
     """``(coluna, p, valor)``: the linear-interpolation quantile of each column.
 
-    ``ids`` should be a unique key of ``df``; it only splits runs of equal
-    values across partitions. Without it the hash of the whole row is used,
-    which is deterministic, so a re-executed task ranks rows the same way.
+    ``df`` is read a few times: give a scan or a written table. Columns without
+    values give no rows. The brackets (a few values per column and quantile) live
+    on the driver; each round costs two aggregates.
     """
-    spark = df.sparkSession
-    n = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tie = F.xxhash64(*(ids or df.columns))
-    long = unpivot_values(df.withColumn("_tie", tie), cols, ids=["_tie"])
-    ranged = long.repartitionByRange(n, "coluna", "valor", "_tie").withColumn("_pid", F.spark_partition_id())
-
-    counts = ranged.groupBy("_pid", "coluna").agg(F.count(F.lit(1)).alias("_np"))
-    within = Window.partitionBy("coluna").orderBy("_pid")
-    offsets = counts.select(
-        "_pid", "coluna", "_np",
-        F.coalesce(F.sum("_np").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
-        F.sum("_np").over(Window.partitionBy("coluna")).alias("_n"))
-
-    prob_rows = F.explode(F.array(*[F.lit(Decimal(str(p))).cast(T.DecimalType(10, 8)) for p in probs]))
-    wanted = (offsets.select("coluna", "_n").distinct()
-              .select("coluna", prob_rows.alias("p"), "_n")
-              .withColumn("_pos", (F.col("_n") - 1) * F.col("p"))
-              .withColumn("_lo", F.floor("_pos").cast("long"))
-              .withColumn("_hi", F.ceil("_pos").cast("long"))
-              .withColumn("_frac", F.col("_pos") - F.col("_lo")))
-    # One row per (column, p, lower/upper rank), located in its range partition.
-    bounds = F.array(F.struct(F.lit("lo").alias("_which"), F.col("_lo").alias("_rank")),
-                     F.struct(F.lit("hi").alias("_which"), F.col("_hi").alias("_rank")))
-    targets = (wanted.select("coluna", "p", "_frac", F.explode(bounds).alias("_b"))
-               .select("coluna", "p", "_frac", "_b._which", "_b._rank")
-               .join(offsets, "coluna")
-               .filter((F.col("_rank") >= F.col("_off")) & (F.col("_rank") < F.col("_off") + F.col("_np")))
-               .select("coluna", "p", "_frac", "_which", "_pid", (F.col("_rank") - F.col("_off") + 1).alias("_lpos")))
-
-    # Only partitions holding a wanted rank are ranked (at most 2 per column and p).
-    needed = ranged.join(F.broadcast(targets.select("_pid", "coluna").distinct()), ["_pid", "coluna"], "left_semi")
-    local = Window.partitionBy("_pid", "coluna").orderBy("valor", "_tie")
-    picked = (needed.withColumn("_lpos", F.row_number().over(local))
-              .join(F.broadcast(targets), ["_pid", "coluna", "_lpos"]))
-    out = picked.groupBy("coluna", "p").agg(
-        F.max(F.when(F.col("_which") == "lo", F.col("valor"))).alias("_vlo"),
-        F.max(F.when(F.col("_which") == "hi", F.col("valor"))).alias("_vhi"),
-        F.max("_frac").alias("_frac"))
-    return out.select("coluna", F.col("p").cast("double").alias("p"),
-                      (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("valor"))
+    values = df.select(*[F.col(c).cast(VALUE).alias(c) for c in cols])
+    totals = values.agg(*[F.count(c).alias(c) for c in cols]).first()
+    wanted, brackets = [], {}
+    for c in cols:
+        for p in probs if totals[c] else ():
+            at = (totals[c] - 1) * Decimal(str(p))
+            low = int(at)
+            ranks = (low, min(low + 1, totals[c] - 1))
+            wanted.append((c, p, at - low, ranks))
+            for k in ranks:
+                brackets.setdefault((c, k), {"col": c, "rank": k, "low": None, "high": None, "below": 0, "rows": totals[c]})
+    while wide := [b for b in brackets.values() if b["rows"] > small and (b["low"] is None or b["low"] != b["high"])]:
+        _narrow(values, wide)
+    pick = {}
+    for key, b in brackets.items():
+        if b["low"] is not None and b["low"] == b["high"]:
+            pick[key] = b["low"]
+        else:  # at most `small` rows
+            rows = sorted(r[0] for r in values.filter(F.col(b["col"]).isNotNull() & _inside(F.col(b["col"]), b["low"], b["high"]))
+                          .select(b["col"]).collect())
+            pick[key] = rows[b["rank"] - b["below"]]
+    out = [(c, float(p), pick[c, a] + (pick[c, z] - pick[c, a]) * part) for c, p, part, (a, z) in wanted]
+    return df.sparkSession.createDataFrame(
+        [(c, p, v.quantize(Decimal(10) ** -12)) for c, p, v in out], "coluna string, p double, valor decimal(38,12)")
 
 
 def approx_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75),
@@ -98,28 +120,26 @@ def approx_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]
     return q.select("coluna", F.explode(F.array(*entries)).alias("_e")).select("coluna", "_e.p", "_e.valor")
 
 
-def describe(df: DataFrame, cols: Sequence[str], ids: Sequence[str] = (), scale: int = 2,
-             n_partitions: int | None = None, approx: bool = False) -> DataFrame:
+def describe(df: DataFrame, cols: Sequence[str], scale: int = 2, approx: bool = False) -> DataFrame:
     """count, mean, sample std, min, 25%, 50%, 75%, max per column, rounded HALF_UP to ``scale``.
 
-    Moments come from one aggregate pass over the unpivoted values; quartiles
-    from :func:`exact_quantiles`, or from :func:`approx_quantiles` (one pass,
-    no range shuffle) when ``approx``.
+    The columns are written once; moments of all columns come from one plain
+    aggregate of them and quartiles from :func:`exact_quantiles`, or from
+    :func:`approx_quantiles` (one pass) when ``approx``.
     """
     out_t = T.DecimalType(38, scale)
-    long = unpivot_values(df, cols)
-    moments = long.groupBy("coluna").agg(
-        F.count(F.lit(1)).alias("count"),
-        F.sum("valor").alias("_sum"),
-        F.stddev_samp(F.col("valor").cast("double")).alias("_std"),
-        F.min("valor").alias("_min"),
-        F.max("valor").alias("_max"))
-    q = (approx_quantiles(df, cols) if approx
-         else exact_quantiles(df, cols, (0.25, 0.5, 0.75), ids=ids, n_partitions=n_partitions))
+    values = written(df.select(*[F.col(c).cast(VALUE).alias(c) for c in cols]), "describe")
+    moments = values.agg(*[x for c in cols for x in (
+        F.count(c).alias(f"{c}_count"), F.sum(c).alias(f"{c}_sum"), F.stddev_samp(F.col(c).cast("double")).alias(f"{c}_std"),
+        F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"))])
+    entries = [F.struct(F.lit(c).alias("coluna"), *[F.col(f"{c}_{k}").alias(f"_{k}" if k != "count" else "count")
+                                                    for k in ("count", "sum", "std", "min", "max")]) for c in cols]
+    moments = moments.select(F.explode(F.array(*entries)).alias("_e")).select("_e.*").filter("count > 0")
+    q = approx_quantiles(values, cols) if approx else exact_quantiles(values, cols)
     qw = q.groupBy("coluna").agg(*[
         F.max(F.when(F.col("p") == p, F.col("valor"))).alias(name)
         for p, name in ((0.25, "_q25"), (0.5, "_q50"), (0.75, "_q75"))])
-    return moments.join(qw, "coluna").select(
+    return moments.join(F.broadcast(qw), "coluna").select(  # a row per column
         "coluna", "count",
         round_ratio(F.col("_sum"), F.col("count"), scale).alias("mean"),
         F.round(F.col("_std"), scale).cast(out_t).alias("std"),

@@ -21,7 +21,7 @@ TEXT_NUMERIC = {"quantidade": (18, 6), "preco_unitario": (18, 6), "preco_mercado
 def describe_flat(flat: DataFrame, cols: Sequence[str] = NUMERIC, approx: bool = False) -> DataFrame:
     """count, mean, std, min, quartiles (linear, exact unless ``approx``), max of the numeric
     columns, 2 places."""
-    return describe(flat, cols, ids=("data_posicao", "cnpj_fundo", "codigo_ativo"), approx=approx)
+    return describe(flat, cols, approx=approx)
 
 
 def shape(df: DataFrame) -> tuple[int, int]:

@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS: dict[str, str] = {
     "spark.sql.ansi.enabled": "true",
@@ -72,6 +72,10 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once under the shared checkpoint folder and read back, so that every
+    later use sees the very same rows and an executor lost later costs no recomputation."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 

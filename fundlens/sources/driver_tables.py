@@ -3,10 +3,12 @@
 Mapping (one rule per table; every derived table grows with the input):
 
 - ``fundo``            nation x region: one fund per nation, type = region name
-- ``emissor``          supplier, minus every key ending in 3 (forces issuer misses)
-- ``ativo``            part; class from size, issuer = lowest supplier that shipped it
+- ``emissor``          supplier, every one
+- ``ativo``            part; class from size, issuer = lowest supplier that shipped it; of issuers
+                       whose key ends in 3 the asset carries an id that exists nowhere (issuer misses)
 - ``posicao_carteira`` the day's trades of a fund (customer nation) in an asset (part)
-- ``preco_mercado``    line items per ship date and part; source from the status flags
+- ``preco_mercado``    line items per order date and part (per ship date for every 20th part, so most
+                       positions find a price and some miss); source from the status flags
 - ``operacao``         one trade per line item, dated by its order
 - second price stream  ``events``: (day, user) as (date, asset), event type as source
 
@@ -64,7 +66,7 @@ def fundo(nation: DataFrame, region: DataFrame) -> DataFrame:
 
 def emissor(supplier: DataFrame) -> DataFrame:
     bal = F.col("s_acctbal")
-    return supplier.filter(F.col("s_suppkey") % 10 != 3).select(
+    return supplier.select(
         F.col("s_suppkey").cast("long").alias("id_emissor"),
         F.col("s_name").alias("nome_emissor"),
         F.concat(F.lit("E"), F.col("s_suppkey").cast("string")).alias("cnpj_emissor"),
@@ -88,7 +90,7 @@ def ativo(part: DataFrame, lineitem: DataFrame) -> DataFrame:
         F.when(fixed & (key % 5 != 0), _pick(INDEXERS, key)).alias("indexador"),
         F.when(fixed, F.date_add(F.lit(MATURITY_BASE).cast("date"), (key % 3650).cast("int")))
          .alias("data_vencimento"),
-        F.col("_sup").cast("long").alias("id_emissor"),
+        F.when(F.col("_sup") % 10 == 3, -F.col("_sup")).otherwise(F.col("_sup")).cast("long").alias("id_emissor"),
     )
 
 
@@ -149,9 +151,12 @@ def _source(flag: F.Column, status: F.Column) -> F.Column:
     return out
 
 
-def preco_mercado(lineitem: DataFrame) -> DataFrame:
-    g = lineitem.groupBy(
-        F.to_date("l_shipdate").alias("data_referencia"),
+def preco_mercado(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    dated = lineitem.select("l_orderkey", "l_partkey", "l_returnflag", "l_linestatus", "l_extendedprice", "l_shipdate").join(
+        orders.select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
+    g = dated.groupBy(
+        F.to_date(F.when(F.col("l_partkey") % 20 == 7, F.col("l_shipdate")).otherwise(F.col("o_orderdate")))
+         .alias("data_referencia"),
         F.col("l_partkey").cast("long").alias("id_ativo"),
         _source(F.col("l_returnflag"), F.col("l_linestatus")).alias("fonte_preco"),
     ).agg(F.max(F.col("l_extendedprice").cast(schemas.MONEY)).cast(schemas.PRICE).alias("preco_mercado"))
@@ -198,7 +203,7 @@ def star_from_driver(spark: SparkSession, sf_dir: str) -> Star:
         emissor=schemas.conform(emissor(t["supplier"]), schemas.EMISSOR),
         posicao=schemas.conform(posicao(trades, fund_day_totals(t["lineitem"], t["orders"], t["customer"])),
                                 schemas.POSICAO),
-        preco=schemas.conform(preco_mercado(t["lineitem"]), schemas.PRECO),
+        preco=schemas.conform(preco_mercado(t["lineitem"], t["orders"]), schemas.PRECO),
         operacao=trades,
         positions_from_trades=True,
     )

@@ -32,7 +32,7 @@ emissor AS (
          CASE WHEN s_nationkey % 5 <> 0 THEN 'SETOR_' || CAST(s_nationkey % 5 AS VARCHAR) END AS setor,
          CASE WHEN s_acctbal < 0 THEN NULL WHEN s_acctbal < 2500 THEN 'BBB+' WHEN s_acctbal < 5000 THEN 'A+'
               WHEN s_acctbal < 7500 THEN 'AA-' ELSE 'AAA' END AS rating
-  FROM supplier WHERE s_suppkey % 10 <> 3),
+  FROM supplier),
 ativo AS (
   SELECT CAST(p.p_partkey AS BIGINT) AS id_ativo, 'P' || CAST(p.p_partkey AS VARCHAR) AS codigo_ativo,
          p.p_name AS nome_ativo,
@@ -40,7 +40,7 @@ ativo AS (
          CASE WHEN p.p_size >= 10 AND p.p_partkey % 5 <> 0 THEN {_INDEXER} END AS indexador,
          CASE WHEN p.p_size >= 10 THEN DATE '2025-01-01' + CAST(p.p_partkey % 3650 AS INTEGER) END
            AS data_vencimento,
-         CAST(i.sup AS BIGINT) AS id_emissor
+         CAST(CASE WHEN i.sup % 10 = 3 THEN -i.sup ELSE i.sup END AS BIGINT) AS id_emissor
   FROM part p LEFT JOIN (SELECT l_partkey, min(l_suppkey) AS sup FROM lineitem GROUP BY l_partkey) i
     ON p.p_partkey = i.l_partkey),
 line_nation AS (
@@ -62,10 +62,10 @@ posicao AS (
     ON g.data_posicao = t.data_posicao AND g.id_fundo = t.id_fundo),
 preco AS (
   SELECT hash(data_referencia, id_ativo, fonte_preco) AS id_preco, * FROM (
-    SELECT CAST(l_shipdate AS DATE) AS data_referencia, CAST(l_partkey AS BIGINT) AS id_ativo,
+    SELECT CAST(CASE WHEN l_partkey % 20 = 7 THEN l_shipdate ELSE o_orderdate END AS DATE) AS data_referencia, CAST(l_partkey AS BIGINT) AS id_ativo,
            {_SOURCE} AS fonte_preco,
            CAST(max(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(18,6)) AS preco_mercado
-    FROM lineitem GROUP BY 1, 2, 3)),
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2, 3)),
 preco_dedup AS (
   SELECT data_referencia, id_ativo, preco_mercado, fonte_preco FROM (
     SELECT *, row_number() OVER (PARTITION BY data_referencia, id_ativo

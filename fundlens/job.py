@@ -25,7 +25,7 @@ from fundlens import schemas
 from fundlens.model import Star
 from fundlens.operators import quality
 from fundlens.operators.joins import DEFAULT_BROADCAST_MAX_BYTES, DEFAULT_BROADCAST_MAX_ROWS, DEFAULT_HOT_MIN_ROWS, \
-    row_width
+    measured_size
 from fundlens.plans.flat import flat_typed, render_flat, sort_output
 from fundlens.session import build_session, scratch_dir
 from fundlens.sources.driver_tables import star_from_driver
@@ -163,8 +163,9 @@ def run(spark: SparkSession, cfg: JobConfig) -> dict:
         if cfg.check_dimension_keys:
             check_dimension_keys(star, stats)
         frames = star.frames()
-        small_dims = all(r <= cfg.broadcast_max_rows and r * row_width(frames[t]) <= DEFAULT_BROADCAST_MAX_BYTES
-                         for t, (r, _) in stats.items())
+        # Each dimension by itself: a large asset table leaves the small fund table broadcast.
+        small_dims = {t: r <= cfg.broadcast_max_rows and measured_size(frames[t], frames[t])[1] <= DEFAULT_BROADCAST_MAX_BYTES
+                      for t, (r, _) in stats.items()}
 
     with plog.phase("transform"):
         typed = flat_typed(star, broadcast=small_dims, max_rows=cfg.broadcast_max_rows,
@@ -202,8 +203,7 @@ def run(spark: SparkSession, cfg: JobConfig) -> dict:
             write_csv(sort_output(text), out, single_file=cfg.single_file)
         elif cfg.output_format == "parquet":
             typed_staged = spark.read.parquet(staged)
-            write_parquet(typed_staged.sortWithinPartitions("data_posicao", "cnpj_fundo", "codigo_ativo"),
-                          out, partition_by=("data_posicao",))
+            write_parquet(typed_staged, out, partition_by=("data_posicao",), sort_by=("cnpj_fundo", "codigo_ativo"))
         else:
             raise ValueError(f"unknown output format {cfg.output_format!r}")
         report["output"] = out

@@ -27,6 +27,8 @@ DEFAULT_BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 # Estimated bytes per value, as Spark's defaults per type (fixed values).
 _TYPE_WIDTH = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "date": 4, "float": 4, "long": 8,
                "double": 8, "timestamp": 8, "timestamp_ntz": 8, "string": 20, "binary": 100}
+# Bytes taken for a text column whose lengths are not measured: the model's longest limit (100 characters).
+_UNMEASURED_TEXT = 128
 
 
 def row_width(df: DataFrame) -> int:
@@ -41,6 +43,18 @@ def row_width(df: DataFrame) -> int:
     return total
 
 
+def measured_size(dim: DataFrame, counted: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of ``dim``, from one scan of ``counted``, a frame with the same rows:
+    fixed widths from the schema plus the measured bytes of the text columns."""
+    texts = [f.name for f in counted.schema.fields if isinstance(f.dataType, T.StringType) and f.name in dim.columns]
+    sums = [F.sum(F.octet_length(c)).alias(f"_b{i}") for i, c in enumerate(texts)]
+    row = counted.agg(F.count(F.lit(1)).alias("_n"), *sums).first()
+    others = sum(isinstance(f.dataType, T.StringType) for f in dim.schema.fields) - len(texts)
+    text_width = _TYPE_WIDTH["string"]
+    fixed = row_width(dim) - (len(texts) + others) * text_width + len(texts) * 16 + others * _UNMEASURED_TEXT
+    return row["_n"], row["_n"] * fixed + sum(row[f"_b{i}"] or 0 for i in range(len(texts)))
+
+
 def broadcast_if_bounded(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
                          name: str = "dimension", force: bool | None = None,
                          max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
@@ -48,6 +62,7 @@ def broadcast_if_bounded(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_R
     """``broadcast(dim)`` when its measured row count is at most ``max_rows`` and
     rows x estimated row width (of ``dim``) is at most ``max_bytes``.
 
+    Text columns count with their measured bytes (summed in the same scan as the rows).
     ``force=True`` skips the count for a side whose bound is known by
     construction; ``force=False`` never hints. The count is one scan of the
     dimension only; ``rows_from`` names a cheaper frame with the same rows to
@@ -58,8 +73,7 @@ def broadcast_if_bounded(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_R
         return F.broadcast(dim)
     if force is False:
         return dim
-    n = (rows_from if rows_from is not None else dim).count()
-    size = n * row_width(dim)
+    n, size = measured_size(dim, rows_from if rows_from is not None else dim)
     if n <= max_rows and size <= max_bytes:
         log.info("broadcasting %s (%d rows, ~%d bytes)", name, n, size)
         return F.broadcast(dim)
@@ -68,9 +82,11 @@ def broadcast_if_bounded(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_R
 
 
 # Hot-key splitting: a key is hot above this many fact rows (about one task's
-# worth at 100-byte rows and 128 MB), and never more than this many keys are hot.
+# worth at 100-byte rows and 128 MB). The threshold stays there up to a fact of
+# DEFAULT_HOT_MIN_ROWS x DEFAULT_MAX_HOT_KEYS rows (10^12), where the list of hot
+# keys reaches the bound that keeps it broadcastable (a few tens of bytes each).
 DEFAULT_HOT_MIN_ROWS = 1_000_000
-DEFAULT_MAX_HOT_KEYS = 10_000
+DEFAULT_MAX_HOT_KEYS = 1_000_000
 
 
 def hot_keys(fact: DataFrame, keys: Sequence[str], min_rows: int = DEFAULT_HOT_MIN_ROWS,

@@ -202,9 +202,16 @@ def percent_sums(positions: DataFrame, tolerance: float = 0.5) -> DataFrame:
 
 
 def consistency_rules(positions: DataFrame, tolerance: str = "0.01") -> DataFrame:
-    """V15: quantity x unit price equals the financial value within ``tolerance``;
-    maturities not before the position date are checked on the flat view."""
+    """V15: quantity x unit price equals the financial value within ``tolerance``."""
     tol = F.lit(tolerance).cast("decimal(10,2)")
     diff = F.abs((F.col("quantidade") * F.col("preco_unitario")).cast("decimal(38,2)") - F.col("valor_financeiro"))
     return evaluate(positions, [Rule("V15", "posicao_carteira", "valor_financeiro", diff > tol,
                                      f"quantidade x preco_unitario within {tolerance}")])
+
+
+def maturity_rule(flat: DataFrame, as_of: str | None = None) -> DataFrame:
+    """V15: no position in an asset that has matured by its own date, or by ``as_of`` if given."""
+    day = F.col("data_posicao") if as_of is None else F.lit(as_of).cast("date")
+    what = "data_posicao" if as_of is None else as_of
+    return evaluate(flat, [Rule("V15", "carteira_flat", "data_vencimento", F.col("data_vencimento") < day,
+                                f"not before {what}")])

@@ -70,7 +70,8 @@ def q04(spark, sf_dir):
 
 @register("q04b_pl_by_fund_latest")
 def q04b(spark, sf_dir):
-    return exposure.pl_by_fund(_typed(spark, sf_dir), as_of="latest")
+    star = flatmod.scope_star(_star(spark, sf_dir), as_of="latest")
+    return exposure.pl_by_fund(flatmod.flat_typed(star))
 
 
 @register("a09_fund_summary")
@@ -235,7 +236,7 @@ def p09(spark, sf_dir):
 
 
 def _progressive(spark, sf_dir, upto: int):
-    e = flatmod.enriched_positions(_star(spark, sf_dir))
+    e = flatmod.enriched_positions(_star(spark, sf_dir), steps=upto)
     steps = [
         ["data_posicao", "id_fundo", "id_ativo", "quantidade", "valor_financeiro", "percentual_pl"],
         ["cnpj_fundo", "nome_fundo", "tipo_fundo"],
@@ -357,6 +358,12 @@ def v15(spark, sf_dir):
     return quality.consistency_rules(_star(spark, sf_dir).posicao)
 
 
+@register("v15b_maturity")
+def v15b(spark, sf_dir):
+    """Positions whose asset has matured by 2030-01-01 (the rule's reference date here)."""
+    return quality.maturity_rule(_typed(spark, sf_dir), as_of="2030-01-01")
+
+
 @register("t01_trades_by_type")
 def t01(spark, sf_dir):
     op = _star(spark, sf_dir).operacao
@@ -382,6 +389,13 @@ def x03(spark, sf_dir):
     return flatmod.render_flat(f.filter(F.col("classe_ativo") == "Renda Fixa"))
 
 
+@register("x03b_flat_fund_dates_class")
+def x03b(spark, sf_dir):
+    """The flat view of one fund in a date window and class; filters go in before the joins."""
+    star = flatmod.scope_star(_star(spark, sf_dir), date_from="1994-01-01", date_to="1995-12-31", fund="NATION_7 FIE")
+    return flatmod.render_flat(flatmod.flat_typed(star).filter(F.col("classe_ativo") == "Renda Fixa"))
+
+
 @register("x04_fund_risk")
 def x04(spark, sf_dir):
     return risk.fund_risk(_typed(spark, sf_dir))

@@ -112,11 +112,14 @@ def fund_composition(flat: DataFrame, as_of: str | None = None,
     # combined map-side instead of landing whole in one window task, and its
     # (fund, asset) rows are salted over several join tasks (the counts come with
     # the totals, so finding hot funds costs no extra pass).
-    tot = g.groupBy("nome_fundo").agg(F.sum("pct_pl").alias("_fund_pct"), F.count(F.lit(1)).alias("_n"))
-    hot = hot_from_counts(tot, ["nome_fundo"], "_n", hot_min_rows)
-    return (salted_join(g, tot.drop("_n"), ["nome_fundo"], "left", hot=hot)
+    # Positions without a fund are a group too: the key is the name and whether there is one.
+    keys = ["_fund", "_none"]
+    g = g.withColumn("_fund", F.coalesce("nome_fundo", F.lit(""))).withColumn("_none", F.col("nome_fundo").isNull())
+    tot = g.groupBy(*keys).agg(F.sum("pct_pl").alias("_fund_pct"), F.count(F.lit(1)).alias("_n"))
+    hot = hot_from_counts(tot, keys, "_n", hot_min_rows)
+    return (salted_join(g, tot.drop("_n"), keys, "left", hot=hot)
             .withColumn("share_fundo", round_ratio(F.col("pct_pl"), F.col("_fund_pct"), 2, times=100))
-            .drop("_fund_pct"))
+            .drop("_fund_pct", *keys))
 
 
 def matrix_fund_asset(flat: DataFrame, as_of: str | None = None) -> DataFrame:

@@ -8,6 +8,9 @@ hints.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +25,32 @@ from fundlens.model import Star
 OUTPUT_ORDER = ("data_posicao", "cnpj_fundo", "codigo_ativo")
 
 
-def asset_dimension(ativo: DataFrame, emissor: DataFrame, broadcast: bool | None = None,
+def forced(broadcast: bool | Mapping[str, bool] | None, table: str) -> bool | None:
+    """The broadcast decision for one dimension: one flag for all, or one per table."""
+    return broadcast.get(table) if isinstance(broadcast, Mapping) else broadcast
+
+
+def scope_star(star: Star, as_of: str | None = None, date_from: str | None = None, date_to: str | None = None,
+               fund: str | None = None) -> Star:
+    """The star restricted to a date (``"latest"``: the newest position date), a date window or
+    a fund, before anything is joined or counted, so every scan of positions and prices
+    carries the filter and a date-partitioned table is pruned."""
+    def dated(df: DataFrame, col: str) -> DataFrame:
+        if day is not None:
+            df = df.filter(F.col(col) == F.lit(day).cast("date"))
+        if date_from is not None:
+            df = df.filter(F.col(col) >= F.lit(date_from).cast("date"))
+        return df if date_to is None else df.filter(F.col(col) <= F.lit(date_to).cast("date"))
+
+    day = star.posicao.agg(F.max("data_posicao")).first()[0] if as_of == "latest" else as_of
+    positions = dated(star.posicao, "data_posicao")
+    if fund is not None:
+        ids = star.fundo.filter(F.col("nome_fundo") == fund).select("id_fundo")
+        positions = positions.join(ids, "id_fundo", "left_semi").select(*star.posicao.columns)
+    return replace(star, posicao=positions, preco=dated(star.preco, "data_referencia"))
+
+
+def asset_dimension(ativo: DataFrame, emissor: DataFrame, broadcast: bool | Mapping[str, bool] | None = None,
                     max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Asset joined with its issuer (snowflake folded into one dimension).
 
@@ -33,13 +61,13 @@ def asset_dimension(ativo: DataFrame, emissor: DataFrame, broadcast: bool | None
                      "data_vencimento", "id_emissor")
     e = emissor.select("id_emissor", "nome_emissor", "cnpj_emissor",
                        F.col("setor").alias("setor_emissor"), F.col("rating").alias("rating_emissor"))
-    e = broadcast_if_bounded(e, max_rows, "emissor", force=broadcast)
+    e = broadcast_if_bounded(e, max_rows, "emissor", force=forced(broadcast, "emissor"))
     return left_enrich(a, e, "id_emissor", flag="_hit_emissor")
 
 
-def enriched_positions(star: Star, broadcast: bool | None = None,
+def enriched_positions(star: Star, broadcast: bool | Mapping[str, bool] | None = None,
                        max_rows: int = DEFAULT_BROADCAST_MAX_ROWS, split_hot_keys: bool = True,
-                       hot_min_rows: int = DEFAULT_HOT_MIN_ROWS) -> DataFrame:
+                       hot_min_rows: int = DEFAULT_HOT_MIN_ROWS, steps: int = 4) -> DataFrame:
     """Every position with fund, asset, issuer and the priority price of its date.
 
     Left joins only: the output has exactly one row per position when the
@@ -48,22 +76,31 @@ def enriched_positions(star: Star, broadcast: bool | None = None,
     execution cannot split a hot (date, asset) there; ``split_hot_keys`` salts the
     (date, asset) keys holding more than ``hot_min_rows`` positions instead
     (``operators.joins.salted_join``). Streams pass ``False``: their micro-batches
-    are bounded and a stream cannot join back its own aggregate.
+    are bounded and a stream cannot join back its own aggregate. ``steps`` stops after
+    the fund (1), asset (2), issuer (3) or price join (4).
     """
     schemas.require_columns(star.frames())
     fundo = star.fundo.select("id_fundo", "cnpj_fundo", "nome_fundo", "tipo_fundo")
-    fundo = broadcast_if_bounded(fundo, max_rows, "fundo", force=broadcast)
-    # Rows counted on the asset table: the issuer is a left join on its unique key
-    # (rule V07), and counting the joined dimension would evaluate the issuer side.
-    assets = broadcast_if_bounded(asset_dimension(star.ativo, star.emissor, broadcast, max_rows),
-                                  max_rows, "ativo", force=broadcast, rows_from=star.ativo)
-    prices = prices_by_priority(star.preco).select(
-        F.col("data_referencia").alias("data_posicao"), "id_ativo", "preco_mercado", "fonte_preco")
+    fundo = broadcast_if_bounded(fundo, max_rows, "fundo", force=forced(broadcast, "fundo"))
     fact = star.posicao.select("data_posicao", "id_fundo", "id_ativo", "quantidade", "preco_unitario",
                                "valor_financeiro", "percentual_pl")
     out = left_enrich(fact, fundo, "id_fundo", flag="_hit_fundo")
+    if steps == 1:
+        return out
+    if steps == 2:
+        assets = star.ativo.drop("id_emissor")
+        return left_enrich(out, broadcast_if_bounded(assets, max_rows, "ativo", force=forced(broadcast, "ativo")),
+                           "id_ativo", flag="_hit_ativo")
+    # Rows counted on the asset table: the issuer is a left join on its unique key
+    # (rule V07), and counting the joined dimension would evaluate the issuer side.
+    assets = broadcast_if_bounded(asset_dimension(star.ativo, star.emissor, broadcast, max_rows),
+                                  max_rows, "ativo", force=forced(broadcast, "ativo"), rows_from=star.ativo)
     out = left_enrich(out, assets, "id_ativo", flag="_hit_ativo")
     out = out.withColumn("_hit_emissor", F.coalesce(F.col("_hit_emissor"), F.lit(False)))
+    if steps == 3:
+        return out
+    prices = prices_by_priority(star.preco).select(
+        F.col("data_referencia").alias("data_posicao"), "id_ativo", "preco_mercado", "fonte_preco")
     # Exact date match (no as-of carry-forward); the price side grows with the
     # data, so this is a shuffle join, with hot (date, asset) keys split.
     keys = ["data_posicao", "id_ativo"]
@@ -74,7 +111,7 @@ def enriched_positions(star: Star, broadcast: bool | None = None,
     return priced.withColumn("_hit_preco", F.coalesce(F.col("_hit_preco"), F.lit(False)))
 
 
-def flat_typed(star: Star, broadcast: bool | None = None,
+def flat_typed(star: Star, broadcast: bool | Mapping[str, bool] | None = None,
                max_rows: int = DEFAULT_BROADCAST_MAX_ROWS, split_hot_keys: bool = True,
                hot_min_rows: int = DEFAULT_HOT_MIN_ROWS) -> DataFrame:
     """Typed 19-column flat view (``schemas.FLAT_TYPED``), NULLs kept."""
@@ -106,7 +143,7 @@ def sort_output(df: DataFrame) -> DataFrame:
     return df.orderBy(*[F.col(c).asc_nulls_first() for c in OUTPUT_ORDER])
 
 
-def carteira_flat(star: Star, broadcast: bool | None = None, sort: bool = True,
+def carteira_flat(star: Star, broadcast: bool | Mapping[str, bool] | None = None, sort: bool = True,
                   max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """The rendered, ordered flat view (what the CSV sink writes)."""
     out = render_flat(flat_typed(star, broadcast, max_rows))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 CSV_OPTIONS = {
     "header": "true",
@@ -16,6 +17,10 @@ CSV_OPTIONS = {
 }
 
 
+#: The largest output that may be written by one task.
+SINGLE_FILE_ROWS = 2_000_000
+
+
 def output_path(base_dir: str, name: str, append_timestamp: bool = False, now: datetime | None = None) -> str:
     """``base_dir/name`` or ``base_dir/name_YYYYmmdd_HHMMSS``."""
     if append_timestamp:
@@ -28,16 +33,24 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "
 
     The default keeps the partitions: after a global sort each part file is one
     ordered slice, so reading the parts in name order gives the sorted view.
-    ``single_file`` funnels the write through one task (small outputs only).
+    ``single_file`` funnels the write through one task, so it is refused above
+    ``SINGLE_FILE_ROWS`` rows.
     """
+    if single_file and (rows := df.limit(SINGLE_FILE_ROWS + 1).count()) > SINGLE_FILE_ROWS:
+        raise ValueError(f"{rows} rows or more don't go into a single file: its one task would hold them all")
     out = df.coalesce(1) if single_file else df
     out.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), mode: str = "overwrite",
-                  dynamic: bool = True) -> None:
+                  dynamic: bool = True, files_per_value: int = 1, sort_by: tuple[str, ...] = ()) -> None:
     """Columnar output; with ``partition_by`` and ``dynamic`` an overwrite replaces only
-    the partitions present in ``df`` (incremental daily loads)."""
+    the partitions present in ``df`` (incremental daily loads). ``files_per_value`` is the
+    number of files of each partition value: rows of a value / rows of a well-sized file."""
+    if partition_by:
+        # Rows of a value meet in a few tasks (``files_per_value``) instead of every task writing a file for it.
+        df = df.repartition(*[F.col(c) for c in partition_by],
+                            F.pmod(F.xxhash64(*df.columns), F.lit(files_per_value))).sortWithinPartitions(*partition_by, *sort_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)

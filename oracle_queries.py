@@ -444,6 +444,10 @@ FROM posicao GROUP BY 1, 2""")
 _q("v15_consistency", _rules_query([_rule_row(
     "V15", "posicao_carteira", "valor_financeiro", "quantidade x preco_unitario within 0.01",
     f"abs({product('quantidade', 'preco_unitario')} - valor_financeiro) > 0.01")]))
+_q("v15b_maturity", """
+SELECT 'V15' AS regra, 'carteira_flat' AS tabela, 'data_vencimento' AS coluna, 'not before 2030-01-01' AS descricao,
+       n AS n_invalidos, n = 0 AS aprovado
+FROM (SELECT count(*) AS n FROM flat WHERE data_vencimento < DATE '2030-01-01')""")
 _q("t01_trades_by_type", """
 SELECT tipo_operacao, count(*) AS n_operacoes, CAST(sum(valor_operacao) AS DECIMAL(38,2)) AS valor_total
 FROM operacao GROUP BY 1""")
@@ -455,6 +459,8 @@ b AS (SELECT data_posicao AS data_referencia, id_ativo, preco_unitario AS preco_
              id_fundo, row_number() OVER (PARTITION BY data_posicao, id_ativo ORDER BY id_fundo) AS rn
       FROM posicao)""")
 _q("x03_flat_fixed_income", FLAT_RENDER + " WHERE classe_ativo = 'Renda Fixa'")
+_q("x03b_flat_fund_dates_class", FLAT_RENDER + """ WHERE classe_ativo = 'Renda Fixa' AND nome_fundo = 'NATION_7 FIE'
+  AND flat.data_posicao BETWEEN DATE '1994-01-01' AND DATE '1995-12-31'""")
 _q("x05_concentration_alerts", f"""
 SELECT 'ativo' AS nivel, codigo_ativo AS nome, valor_total, pct_total FROM (
   SELECT codigo_ativo, valor_total, {share('valor_total', '(SELECT sum(valor_total) FROM ag)')} AS pct_total FROM ag)

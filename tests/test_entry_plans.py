@@ -80,9 +80,27 @@ def test_ordered_scan_has_no_single_partition_window_on_data(spark):
     from fundlens.plans.ranking import asset_ranking
     df = asset_ranking(flat_typed(star_from_driver(spark, SMOKE)))
     text = df._jdf.queryExecution().executedPlan().toString()
-    assert "rangepartitioning" in text
-    # Positions only: rows are numbered in the stage that reads the range shuffle, no window.
-    assert "row_number()" not in text
+    # Rows are numbered where the range shuffle is read, when they are written; no window over them.
+    assert "row_number()" not in text and "rangepartitioning" not in text
+
+
+def test_scoped_star_filters_every_position_scan(spark, tmp_dir):
+    """Under one date, every scan of positions and prices, the hot-key count's included, is pruned."""
+    from fundlens.plans.flat import scope_star
+    from fundlens.sources.driver_tables import stage_star
+    star = stage_star(star_from_driver(spark, SMOKE), tmp_dir, partition_by_date=True)
+    day = str(star.posicao.selectExpr("max(data_posicao)").first()[0])
+    text = plan_text(flat_typed(scope_star(star, as_of=day)))
+    scans = [ln for ln in text.splitlines() if "FileScan parquet" in ln and ("posicao_carteira" in ln or "preco_mercado" in ln)]
+    assert scans and all("PartitionFilters: [isnotnull(data_" in ln for ln in scans)
+
+
+def test_progressive_joins_hold_only_their_own(spark):
+    for name, joins in (("j01_position_fund", 1), ("j02_position_asset", 2)):
+        star = star_from_driver(spark, SMOKE)
+        from fundlens.plans.flat import enriched_positions
+        text = plan_text(enriched_positions(star, steps=joins))
+        assert "fonte_preco" not in text and "nome_emissor" not in text, name
 
 
 def test_flat_plan_at_scale_shuffles_the_fact_once_per_large_join(spark):

@@ -80,6 +80,14 @@ class PhaseLog:
         log.info("phase %s: done in %.2fs", name, self.phases[name])
 
 
+def metrics_frame(spark: SparkSession, report: dict) -> DataFrame:
+    """The run's metrics as rows ``(grupo, nome, valor)``: seconds per phase, rows per table, rows in and out."""
+    rows = [("segundos", k, float(v)) for k, v in report.get("phases", {}).items()]
+    rows += [("linhas", k, float(v)) for k, v in report.get("table_rows", {}).items() if v is not None]
+    rows += [("linhas", k, float(report[k])) for k in ("rows_in", "rows_out") if report.get(k) is not None]
+    return spark.createDataFrame(rows, "grupo string, nome string, valor double")
+
+
 def load_star(spark: SparkSession, cfg: JobConfig) -> Star:
     if cfg.source == "driver":
         return star_from_driver(spark, cfg.input_dir)

@@ -27,7 +27,3 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     rank = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)])
     picked = df.groupBy(*keys).agg(F.min_by(F.struct(*payload), rank).alias("_row"))
     return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in payload])
-
-
-def distinct_values(df: DataFrame, *cols: str) -> DataFrame:
-    return df.select(*cols).distinct()

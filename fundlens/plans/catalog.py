@@ -364,6 +364,36 @@ def v15b(spark, sf_dir):
     return quality.maturity_rule(_typed(spark, sf_dir), as_of="2030-01-01")
 
 
+def _damaged(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The tables with rule breaches at stated keys, so that every kind of rule finds bad rows."""
+    def where(key: str, mod: int, rest: int, col: str, bad) -> F.Column:
+        return F.when(F.col(key) % mod == rest, bad).otherwise(F.col(col))
+
+    f, e, p, m, o = (frames[t] for t in ("fundo", "emissor", "posicao_carteira", "preco_mercado", "operacao"))
+    fund = (f.withColumn("nome_fundo", where("id_fundo", 11, 5, "nome_fundo", F.lit(None)))
+            .withColumn("status", where("id_fundo", 7, 3, "status", F.lit("PAUSADO"))))
+    return {
+        "fundo": fund.unionByName(fund.filter(F.col("id_fundo") % 5 == 0)),
+        "emissor": e.withColumn("nome_emissor", where("id_emissor", 13, 1, "nome_emissor", F.repeat(F.lit("X"), 120))),
+        "posicao_carteira": p.withColumn("quantidade", where("id_ativo", 23, 7, "quantidade", -F.col("quantidade"))),
+        "preco_mercado": m.withColumn("preco_mercado", where("id_ativo", 31, 1, "preco_mercado", -F.col("preco_mercado"))),
+        "operacao": (o.withColumn("tipo_operacao", where("id_ativo", 13, 4, "tipo_operacao", F.lit("ALUGUEL")))
+                     .withColumn("quantidade", where("id_ativo", 17, 2, "quantidade", F.lit(0)))),
+    }
+
+
+@register("v16_rules_on_damaged_rows")
+def v16(spark, sf_dir):
+    """The rules of every kind on tables with breaches at stated keys: each count is above zero."""
+    fr = _damaged(_star(spark, sf_dir).frames())
+    wanted = {("V06", "nome_fundo"), ("V11", "status"), ("V13", "nome_emissor"), ("V09", "quantidade"),
+              ("V09", "preco_mercado"), ("V10", "quantidade"), ("V12", "tipo_operacao")}
+    parts = [quality.evaluate(df, rules) for t, df in fr.items()
+             if (rules := [r for r in quality.table_rules(t) if (r.regra, r.coluna) in wanted])]
+    parts.append(quality.unique_keys(fr["fundo"], "fundo", schemas.NATURAL_KEYS["fundo"]))
+    return quality.union_all(parts)
+
+
 @register("t01_trades_by_type")
 def t01(spark, sf_dir):
     op = _star(spark, sf_dir).operacao

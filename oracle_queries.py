@@ -444,6 +444,25 @@ FROM posicao GROUP BY 1, 2""")
 _q("v15_consistency", _rules_query([_rule_row(
     "V15", "posicao_carteira", "valor_financeiro", "quantidade x preco_unitario within 0.01",
     f"abs({product('quantidade', 'preco_unitario')} - valor_financeiro) > 0.01")]))
+_q("v16_rules_on_damaged_rows", """
+SELECT regra, tabela, coluna, descricao, n AS n_invalidos, n = 0 AS aprovado FROM found""", """
+funds AS (
+  SELECT id_fundo, cnpj_fundo, CASE WHEN id_fundo % 11 = 5 THEN NULL ELSE nome_fundo END AS nome,
+         CASE WHEN id_fundo % 7 = 3 THEN 'PAUSADO' ELSE status END AS estado
+  FROM fundo),
+damaged AS (SELECT * FROM funds UNION ALL SELECT * FROM funds WHERE id_fundo % 5 = 0),
+found AS (
+  SELECT 'V06' AS regra, 'fundo' AS tabela, 'nome_fundo' AS coluna, 'not null' AS descricao,
+         count(*) FILTER (WHERE nome IS NULL) AS n FROM damaged
+  UNION ALL SELECT 'V11', 'fundo', 'status', 'in ATIVO,ENCERRADO,SUSPENSO,EM_LIQUIDACAO',
+         count(*) FILTER (WHERE estado = 'PAUSADO') FROM damaged
+  UNION ALL SELECT 'V07', 'fundo', 'cnpj_fundo', 'unique', count(*) - count(DISTINCT cnpj_fundo) FROM damaged
+  UNION ALL SELECT 'V13', 'emissor', 'nome_emissor', 'length <= 100', count(*) FROM emissor WHERE id_emissor % 13 = 1
+  UNION ALL SELECT 'V09', 'posicao_carteira', 'quantidade', '>= 0', count(*) FROM posicao WHERE id_ativo % 23 = 7 AND quantidade > 0
+  UNION ALL SELECT 'V09', 'preco_mercado', 'preco_mercado', '>= 0', count(*) FROM preco WHERE id_ativo % 31 = 1 AND preco_mercado > 0
+  UNION ALL SELECT 'V10', 'operacao', 'quantidade', '> 0', count(*) FROM operacao WHERE id_ativo % 17 = 2 OR quantidade <= 0
+  UNION ALL SELECT 'V12', 'operacao', 'tipo_operacao', 'in COMPRA,VENDA,AMORTIZACAO,VENCIMENTO,TRANSFERENCIA',
+         count(*) FROM operacao WHERE id_ativo % 13 = 4)""")
 _q("v15b_maturity", """
 SELECT 'V15' AS regra, 'carteira_flat' AS tabela, 'data_vencimento' AS coluna, 'not before 2030-01-01' AS descricao,
        n AS n_invalidos, n = 0 AS aprovado

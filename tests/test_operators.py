@@ -16,7 +16,7 @@ from fundlens.operators.dedup import first_per_key
 from fundlens.operators.joins import hot_keys, salted_join
 from fundlens.operators.ordered import ordered_scan, with_previous
 from fundlens.operators.quantiles import exact_quantiles
-from fundlens.sources.ingest import insert_if_absent, with_surrogate_keys
+from fundlens.sources.ingest import insert_if_absent, next_ids, with_surrogate_keys
 
 DEC = T.DecimalType(18, 2)
 
@@ -196,6 +196,14 @@ def test_surrogate_keys_dense_and_unique(spark):
     assert sorted(r["sk"] for r in out) == list(range(101, 1101))
 
 
+def test_next_ids_continue_after_the_target(spark):
+    target = spark.createDataFrame([(7, "a"), (41, "b")], "id long, v string")
+    got = sorted(r["id"] for r in next_ids(spark.range(0, 20, numPartitions=3).select(F.col("id").alias("x")), target, "id").collect())
+    assert got == list(range(42, 62))
+    first = next_ids(spark.range(3).select(F.col("id").alias("x")), target.limit(0), "id").collect()
+    assert sorted(r["id"] for r in first) == [1, 2, 3]
+
+
 def test_insert_if_absent_is_idempotent(spark):
     target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     batch = spark.createDataFrame([(2, "x"), (3, "c"), (3, "d"), (4, "e")], "k int, v string")

@@ -44,7 +44,7 @@ CONTEXT = 4
 WIDTH = 24
 NOISE = 64
 BATCH = 4096
-ROUNDS = 2
+ROUNDS = 1
 RATE = 0.12
 FREQUENT = 150_000
 HELD_OUT = 1

@@ -259,7 +259,8 @@ def ngram_join(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS
 
 
 def keep_one(docs: DataFrame, **params) -> DataFrame:
-    """``docs`` with one document, the one of the least id, of each near-duplicate group."""
+    """``docs`` with one document, the one of the least id, of each near-duplicate group. Rows
+    without an id can't be told apart: they stay if one of them does."""
     kept = staged(ngram_join(docs, **params).filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
                   .select(F.col("doc_id").alias("__kept")).distinct(), "ngram-kept")
     return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col("__kept")), "left_semi")

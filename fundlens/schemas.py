@@ -168,7 +168,7 @@ FLAT_TYPED = _struct(
 
 FLAT_STRING = T.StructType([T.StructField(c, TEXT, True) for c in FLAT_COLUMNS])
 
-# Fields that must never be NULL in the rendered flat view.
+# Fields that must never be NULL in the rendered flat view (fixed values of the contract).
 FLAT_CRITICAL = ("data_posicao", "cnpj_fundo", "nome_fundo", "codigo_ativo",
                  "quantidade", "valor_financeiro", "percentual_pl")
 

@@ -24,6 +24,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
@@ -57,19 +58,46 @@ def ddl(schema: pa.Schema) -> str:
 
 # ---- ids -------------------------------------------------------------------------------------------------------
 
+def id_width(vocabulary: int) -> str:
+    return "<u2" if vocabulary <= 1 << 16 else "<u4"
+
+
+def binary_rows(values: np.ndarray, n: np.ndarray) -> pa.Array:
+    """The values as one binary value per row of ``n`` items, without a copy for each."""
+    at = np.concatenate([[0], np.cumsum(n)]) * values.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(at.astype(np.int32).tobytes()), pa.py_buffer(values.tobytes())])
+
+
 def _encode_texts(batches, path: str, end_id: int) -> Iterator[pa.RecordBatch]:
+    """Rows of ids, and last a row with -1 ids that holds this task's count of each id."""
     enc = encoder(path)
-    width = "<u2" if enc.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+    size = max(enc.tokenizer.get_vocab_size(), end_id + 1)
+    total = np.zeros(size, np.int64)
     for cols, texts in slices(batches):
         ids, n = enc.ids_of(texts, end_id)
-        raw, at = memoryview(ids.astype(width).tobytes()), np.concatenate([[0], np.cumsum(n)]) * int(width[2])
-        yield to_batch([cols["doc_id"], n, [bytes(raw[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]], _IDS)
+        total += np.bincount(ids, minlength=size)
+        yield pa.RecordBatch.from_arrays([pa.array(cols["doc_id"], pa.int64()), pa.array(n), binary_rows(ids.astype(id_width(size)), n)],
+                                         schema=_IDS)
+    if total.any():
+        yield to_batch([[None], [-1], [total.tobytes()]], _IDS)
+
 
+@dataclass
+class Tokens:
+    """``ids``: doc_id, n_tokens, ids (unsigned little-endian, as wide as the vocabulary asks);
+    ``counts``: id, n over all documents."""
 
-def token_table(docs: DataFrame, path: str, end_id: int = 1) -> DataFrame:
-    """``doc_id, n_tokens, ids`` (unsigned little-endian, as wide as the vocabulary asks), written once."""
-    return staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    ids: DataFrame
+    counts: DataFrame
+
+
+def token_table(docs: DataFrame, path: str, end_id: int = 1) -> Tokens:
+    """The ids of whole texts, written once, and their counts, summed in the tasks that made them."""
+    rows = staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
                   .mapInArrow(partial(_encode_texts, path=path, end_id=end_id), ddl(_IDS)), "token-ids")
+    counts = rows.filter("n_tokens = -1").select("ids").mapInArrow(_count_ids, "id long, n long") \
+        .groupBy("id").agg(F.sum("n").alias("n"))
+    return Tokens(rows.filter("n_tokens > 0"), counts)
 
 
 def _widths(n: list[int], blobs: list[bytes]) -> str:
@@ -77,23 +105,12 @@ def _widths(n: list[int], blobs: list[bytes]) -> str:
 
 
 def _count_ids(batches) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(0, np.int64)
+    """(id, n) of the ids that a task has met."""
     for batch in batches:
-        if batch.num_rows:
-            blobs = batch.column("ids").to_pylist()
-            found = np.bincount(np.frombuffer(b"".join(blobs), _widths(batch.column("n_tokens").to_pylist(), blobs)))
-            if len(found) > len(total):
-                total, found = found, total
-            total[:len(found)] += found
-    seen = np.flatnonzero(total)
-    if len(seen):
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["id", "n"])
-
-
-def id_counts(tokens: DataFrame) -> DataFrame:
-    """``id, n`` over all documents, summed per task first."""
-    return tokens.select("n_tokens", "ids").mapInArrow(_count_ids, "id long, n long") \
-        .groupBy("id").agg(F.sum("n").alias("n"))
+        for blob in batch.column("ids").to_pylist():
+            total = np.frombuffer(blob, np.int64)
+            seen = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["id", "n"])
 
 
 # ---- code ------------------------------------------------------------------------------------------------------
@@ -240,11 +257,11 @@ def _write(batches, folder: str, book: bytes) -> Iterator[pa.RecordBatch]:
         yield to_batch([[part], [final], [docs], [tokens], [size + len(frame)]], _FILES)
 
 
-def write_files(tokens: DataFrame, folder: str, limit: int = LIMIT) -> DataFrame:
+def write_files(tokens: Tokens, folder: str, limit: int = LIMIT) -> DataFrame:
     """Code the ids and write them under ``folder``; the index: ``part, file, docs, tokens, bytes``,
     and the ids in all earlier files as ``first``. The code book is ``folder/codebook``."""
-    spark = tokens.sparkSession
-    counts = id_counts(tokens).toPandas()  # a row per id: at most the vocabulary
+    spark = tokens.ids.sparkSession
+    counts = tokens.counts.toPandas()  # a row per id: at most the vocabulary
     table = np.zeros(int(counts["id"].max()) + 1 if len(counts) else 1, np.int64)
     table[counts["id"].to_numpy(np.int64)] = counts["n"].to_numpy(np.int64)
     lengths = code_lengths(table, max(limit, int(len(counts)).bit_length()))
@@ -253,7 +270,7 @@ def write_files(tokens: DataFrame, folder: str, limit: int = LIMIT) -> DataFrame
     with file_system.open_output_stream(temp, compression=None) as f:
         f.write(zlib.compress(lengths.tobytes()))
     file_system.move(temp, final)
-    coded = tokens.mapInArrow(partial(_code_texts, lengths=lengths), ddl(_CODED))
+    coded = tokens.ids.mapInArrow(partial(_code_texts, lengths=lengths), ddl(_CODED))
     index = staged(coded.repartitionByRange(shuffle_partitions(spark), "doc_id").sortWithinPartitions("doc_id")
                    .mapInArrow(partial(_write, folder=folder, book=book), ddl(_FILES)), "token-files")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file

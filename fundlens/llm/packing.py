@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundlens.llm.common import slices, staged, text_or_empty, to_batch
-from fundlens.llm.huffman import ddl
+from fundlens.llm.huffman import binary_rows, ddl, id_width
 from fundlens.llm.pieces import encoder
 
 CAPACITY = 2048
@@ -155,19 +155,19 @@ def place(plan: dict, length: np.ndarray, n: np.ndarray) -> Iterator[tuple[np.nd
 
 def _encode(batches, path: str, end_id: int, capacity: int) -> Iterator[pa.RecordBatch]:
     enc, part = encoder(path), TaskContext.get().partitionId()
-    width = "<u2" if enc.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+    width = id_width(max(enc.tokenizer.get_vocab_size(), end_id + 1))
     seen, whole = np.zeros(capacity, np.int64), 0
     for cols, texts in slices(batches):
         ids, n = enc.ids_of(texts, end_id)
-        raw, at = memoryview(ids.astype(width).tobytes()), np.concatenate([[0], np.cumsum(n)]) * int(width[2])
         full, rest = np.divmod(n, capacity)
         by = np.argsort(rest, kind="stable")
         values, first, sizes = np.unique(rest[by], return_index=True, return_counts=True)
         rank = np.empty(len(n), np.int64)
         rank[by] = np.arange(len(n)) - np.repeat(first, sizes) + np.repeat(seen[values], sizes)
         seen[values] += sizes
-        yield to_batch([np.full(len(n), part), rest, rank, whole + np.cumsum(full) - full, cols["doc_id"], n,
-                        [bytes(raw[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]], _IDS)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), part)), pa.array(rest), pa.array(rank),
+                                          pa.array(whole + np.cumsum(full) - full), pa.array(cols["doc_id"], pa.int64()), pa.array(n),
+                                          binary_rows(ids.astype(width), n)], schema=_IDS)
         whole += int(full.sum())
 
 

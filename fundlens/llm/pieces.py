@@ -2,15 +2,17 @@
 
 Both vocabularies split a text before merging: no token spans a border between a
 character that is not white space and the white space after it, nor one between a
-letter and the punctuation ``. , ! ? ; :`` after it. A text is cut at such borders
-only, every distinct piece is encoded by the library, and the results are put together
-in order, which gives the ids of the whole text (checked in the tests against whole
-texts). Pieces of Latin letters go to the library's merge model directly, by the byte
-alphabet of byte-level vocabularies; any other piece passes its whole chain
-(normalisation, splitting, merges). Strings of special tokens in a text are ordinary text.
-
-The piece table of a worker holds at most ``MAX_PIECES`` and starts anew beyond, so
-memory is bounded whatever the corpus holds.
+letter and an ASCII sign other than the apostrophe after it, nor one after a single line
+feed. A text is cut at such borders only, every distinct piece is encoded by the library,
+and the results are put together in order, which gives the ids of the whole text (checked
+in the tests against whole texts). Pieces of Latin letters go to the library's merge model
+directly, by the byte alphabet of byte-level vocabularies; any other piece passes its whole
+chain (normalisation, splitting, merges). Strings of special tokens in a text are ordinary
+text.
+
+The piece table of a worker holds at most about ``MAX_PIECES``; beyond, pieces used once
+are forgotten (and encoded anew if they come again), so memory is bounded whatever the
+corpus holds.
 """
 
 from __future__ import annotations
@@ -22,15 +24,17 @@ from functools import lru_cache
 
 import numpy as np
 
-MAX_PIECES = 600_000
+MAX_PIECES = 900_000
 
 _SPACE = r"[^\S\x1c-\x1f]"
 _INK = r"[\S\x1c-\x1f]"
-#: Latin letters up to U+024F without the signs for times and division.
-_LETTER = r"[A-Za-zÀ-ÖØ-öø-ɏ]"
-_ENDS = rf"(?=[.,!?;:]*(?:{_SPACE}|\Z))"
-_KEEP_SPACE = re.compile(rf" ?{_LETTER}+{_ENDS}|[.,!?;:]+(?={_SPACE}|\Z)|{_SPACE}*{_INK}+|{_SPACE}+")
-_DROP_SPACE = re.compile(rf"{_LETTER}+{_ENDS}|[.,!?;:]+(?={_SPACE}|\Z)|{_INK}+")
+#: Latin letters up to U+024F, without the signs for times and division and the dotted capital I, whose
+#: lower case ends in a combining mark that would join a sign after it.
+_LETTER = r"[A-Za-zÀ-ÖØ-öø-įı-ɏ]"
+_SIGN = r"[!-&(-/:-@\[-`{-~]"
+_ENDS = rf"(?={_SIGN}*(?:{_SPACE}|\Z))"
+_KEEP_SPACE = re.compile(rf" ?{_LETTER}+{_ENDS}|{_SIGN}+(?={_SPACE}|\Z)|(?<!{_SPACE})\n(?={_INK})|{_SPACE}*{_INK}+|{_SPACE}+")
+_DROP_SPACE = re.compile(rf"{_LETTER}+{_ENDS}|{_SIGN}+(?={_SPACE}|\Z)|{_INK}+")
 _WORD = re.compile(rf" ?{_LETTER}+")
 
 
@@ -53,44 +57,70 @@ class PieceEncoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model, self.normalizer = self.tokenizer.model, self.tokenizer.normalizer
-        self.cut = _DROP_SPACE if self.normalizer is not None else _KEEP_SPACE
+        self.drops_space = self.normalizer is not None
+        self.cut = _DROP_SPACE if self.drops_space else _KEEP_SPACE
         self.max_pieces = max_pieces
         self.alphabet = byte_alphabet()
-        self.start, self.size, self.flat = array("q"), array("i"), array("i")
-
-    def __missing__(self, piece: str) -> int:
-        plain = self.normalizer.normalize_str(piece) if self.normalizer is not None else piece
-        if _WORD.fullmatch(piece) and _WORD.fullmatch(plain):
-            ids = [t.id for t in self.model.tokenize("".join(map(self.alphabet.__getitem__, plain.encode())))]
-        else:
-            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        k = self[piece] = len(self.start)
+        self.space = self.alphabet[32]
+        self.start, self.size, self.flat, self.uses = array("i"), array("i"), array("i"), np.zeros(0, np.int64)
+
+    def encode_piece(self, piece: str) -> list[int]:
+        """The library's ids of a piece. Letters are lower-cased here where the vocabulary does
+        (single letters up to U+024F need no normalisation)."""
+        if _WORD.fullmatch(piece):
+            plain = piece.lower() if self.drops_space else piece
+            if not plain.isascii():
+                plain = "".join(map(self.alphabet.__getitem__, plain.encode()))
+            elif plain[0] == " ":
+                plain = self.space + plain[1:]
+            return [t.id for t in self.model.tokenize(plain)]
+        return self.tokenizer.encode(piece, add_special_tokens=False).ids
+
+    def add(self, ids) -> int:
         self.start.append(len(self.flat))
         self.size.append(len(ids))
         self.flat.extend(ids)
+        return len(self.start) - 1
+
+    def __missing__(self, piece: str) -> int:
+        k = self[piece] = self.add(self.encode_piece(piece))
         return k
 
+    def forget(self) -> None:
+        """Keep the pieces used more than once, at most half of the bound, most used first."""
+        uses = np.zeros(len(self.start), np.int64)
+        uses[:len(self.uses)] = self.uses
+        kept = np.flatnonzero(uses > 1)
+        kept = np.sort(kept[np.argsort(-uses[kept], kind="stable")[:self.max_pieces // 2]])
+        start, size, flat = self.start, self.size, self.flat
+        self.start, self.size, self.flat, self.uses = array("i"), array("i"), array("i"), uses[kept]
+        new = {k: self.add(flat[start[k]:start[k] + size[k]]) for k in kept.tolist()}
+        held = [(piece, new[k]) for piece, k in self.items() if k in new]
+        self.clear()
+        self.update(held)
+
     def ids_of(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, each with ``end_id`` last; ids per text)."""
-        if len(self) > self.max_pieces:
-            self.clear()
-            self.start, self.size, self.flat = array("q"), array("i"), array("i")
-        numbers, per_text, find, of = [], [], self.cut.findall, self.__getitem__
+        if len(self.start) > self.max_pieces:
+            self.forget()
+        numbers, per_text, end, find, of = [], [], self.add([end_id]), self.cut.findall, self.__getitem__
         for text in texts:
             pieces = find(text)
             numbers.extend(map(of, pieces))
-            per_text.append(len(pieces))
+            numbers.append(end)
+            per_text.append(len(pieces) + 1)
         k = np.fromiter(numbers, np.int64, len(numbers))
-        start, size = np.frombuffer(self.start, np.int64), np.frombuffer(self.size, np.int32)
+        start, size = np.frombuffer(self.start, np.int32), np.frombuffer(self.size, np.int32)
         flat = np.frombuffer(self.flat, np.int32)
-        sizes = size[k].astype(np.int64) if len(k) else np.zeros(0, np.int64)
-        ends = np.cumsum(sizes)
+        uses = np.bincount(k, minlength=len(start))
+        uses[:len(self.uses)] += self.uses
+        self.uses = uses
+        sizes = size[k]
+        ends = np.cumsum(sizes, dtype=np.int32)  # a slice of texts has far fewer ids than 2**31
         total = int(ends[-1]) if len(k) else 0
-        ids = flat[np.repeat(start[k] - (ends - sizes), sizes) + np.arange(total)] if total else np.zeros(0, np.int32)
-        last = np.cumsum(per_text, dtype=np.int64)
-        cuts = np.concatenate([[0], ends])[last]
-        lengths = np.diff(np.concatenate([[0], cuts])) + 1
-        return np.insert(ids, cuts, end_id), lengths
+        place = np.repeat(start[k] - ends + sizes, sizes)
+        place += np.arange(total, dtype=np.int32)
+        return flat[place], np.diff(ends[np.cumsum(per_text, dtype=np.int64) - 1].astype(np.int64), prepend=0) if len(texts) else ends
 
 
 @lru_cache(maxsize=2)

@@ -103,3 +103,19 @@ def test_text_of_marked_and_plain_pages(spark):
         got = ht.extract(frame, ranges).collect()
         assert {(r["page_id"], r["text"]) for r in got} == want and all(r["n_chars"] == len(r["text"]) for r in got)
         assert sorted(str(r["url"]) for r in got) == sorted(str(r[1]) for r in rows)
+
+
+@pytest.mark.parametrize("page", [
+    "<body class='has-sidebar'><p>Kept</p></body>", "<body class='search'><p>Kept</p></body>", "<body><form><p>Kept</p></form></body>",
+    "<div class='content-sidebar-wrap'><p>Kept</p></div>", "<div class='header social'><article><p>Kept</p></article></div>",
+    "<form><main><fieldset><p>Kept</p></fieldset></main></form>", "<article class='social'><h2 id='search'>Kept</h2></article>",
+    "<div class='related'><p>Kept</p></div>", "<div id='page' class='widget'>Kept<div class='ad' hidden>gone</div></div>"])
+def test_one_name_never_empties_a_page(page):
+    lines = ht.page_lines(f"<html class='modal'>{page}<footer>gone</footer></html>")
+    assert [text for text, kind, _ in lines if kind != ht.FURNITURE] == ["Kept"]
+
+
+def test_names_and_tags_of_furniture_still_count():
+    lines = ht.page_lines("<p>Own</p><div class='box ad'>a</div><nav><article>b</article></nav><ul role=menu><li>c</ul><p id=comments>d</p>"
+                          "<article>Main<div class='comments'><article>e</article></div><aside>f</aside></article>")
+    assert [text for text, kind, _ in lines if kind != ht.FURNITURE] == ["Own", "Main"]

@@ -119,3 +119,44 @@ def test_names_and_tags_of_furniture_still_count():
     lines = ht.page_lines("<p>Own</p><div class='box ad'>a</div><nav><article>b</article></nav><ul role=menu><li>c</ul><p id=comments>d</p>"
                           "<article>Main<div class='comments'><article>e</article></div><aside>f</aside></article>")
     assert [text for text, kind, _ in lines if kind != ht.FURNITURE] == ["Own", "Main"]
+
+
+def test_copies_and_heavy_templates_are_compared_with_the_next_differing_page(spark):
+    menu = "".join(f"<div>Menu entry number {i} of the whole site</div>" for i in range(9))
+
+    def plain(text):
+        return f"<body>{menu}<p>{text}</p><div>Imprint of the site</div></body>"
+
+    rows = [(i, f"http://t.org/{i:03}", plain("Copied text") if 5 <= i < 45 else "" if i == 46 else plain(f"Own {i}")) for i in range(60)]
+    rows += [(100 + i, f"http://u.org/{i}", plain(("Left", "Right")[i % 2])) for i in range(30)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = {i: "Copied text" if 5 <= i < 45 else "" if i == 46 else f"Own {i}" for i in range(60)}
+    want |= {100 + i: ("Left", "Right")[i % 2] for i in range(30)}
+    for ranges in (1, 7, 40):
+        assert {r["page_id"]: r["text"] for r in ht.extract(frame, ranges).collect()} == want
+
+
+def test_differing_pages_are_met_wherever_ranges_are_cut(spark):
+    rnd = random.Random(5)
+    words = [f"<p>{c}</p>" for c in "abcdefgh"]
+    rows = [(i, f"http://h{rnd.randint(0, 2)}/{rnd.choice(['x', 'y/z', 'y'])}/{i}", "".join(rnd.choices(words, k=rnd.choice([0, 1, 1, 2, 5])))) for i in range(150)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    placed = sorted((u.split("/")[2], "/" + u.split("/", 3)[3], i, ht.page_lines(h)) for i, u, h in rows)
+    want = {}
+    for at, (host, path, page_id, lines) in enumerate(placed):
+        sides = []
+        for part in (placed[:at][::-1], placed[at + 1:]):
+            found = {}
+            for other in part:
+                text = [x[0] for x in other[3]]
+                if other[0] == host and text and text != [x[0] for x in lines]:
+                    found.setdefault(tuple(text), other)
+            sides.append(list(found.values())[:2])
+        turns = [s[k] for k in range(2) for s in sides if k < len(s)]
+        turns.sort(key=lambda o: -len(ht.commonprefix([path, o[1]])))
+        others = {}
+        for o in turns:
+            others.setdefault(tuple(x[0] for x in o[3]), ht.line_keys(o[3]))
+        want[page_id] = ht.main_text([x[0] for x in lines], [x[1] for x in lines], ht.line_keys(lines), list(others.values()))
+    for ranges in (1, 4, 30):
+        assert {r["page_id"]: r["text"] for r in ht.extract(frame, ranges).collect()} == want

@@ -160,3 +160,14 @@ def test_differing_pages_are_met_wherever_ranges_are_cut(spark):
         want[page_id] = ht.main_text([x[0] for x in lines], [x[1] for x in lines], ht.line_keys(lines), list(others.values()))
     for ranges in (1, 4, 30):
         assert {r["page_id"]: r["text"] for r in ht.extract(frame, ranges).collect()} == want
+
+
+def test_doubtful_blocks_inside_an_article_are_decided_by_comparison(spark):
+    def page(i, own):
+        return (f"<nav>Menu</nav><article><p>Own {i}</p><p>Shared passage</p><div class='share-buttons'><p>Tell a friend</p><p>{own}</p></div>"
+                "<form><label>Your e-mail</label></form></article>")
+
+    rows = [(i, f"http://h.org/{i}", page(i, "Same" if i < 2 else f"Only {i}")) for i in range(6)] + [(9, "http://one.org/", page(9, "Same"))]
+    got = {r["page_id"]: r["text"] for r in ht.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), 3).collect()}
+    want = {i: f"Own {i}\nShared passage\n" + ("Same" if i < 2 else f"Only {i}") for i in range(6)}
+    assert got == want | {9: "Own 9\nShared passage\nTell a friend\nSame\nYour e-mail"}

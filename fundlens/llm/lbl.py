@@ -1,19 +1,22 @@
 """Language-model scoring by a log-bilinear neural model trained with noise-contrastive estimation.
 
 Tokens are the words of a text (ASCII letters lower-cased, split at ASCII white space)
-and one end. The ``TOP`` most frequent tokens are classes of their own; every other token
-belongs to one of ``TAIL`` classes by its last byte. The model predicts the class of a
-token from the classes of the ``CONTEXT`` tokens before it: the context vector is the
-sum of the earlier classes' vectors, each weighted per position and dimension; a class's
-score is its own vector times the context vector plus a bias. Batched matrix products
-give all classes' scores, so probabilities are normalised exactly. Within a class a token
-has its smoothed share of the class's training counts, with one slot per class for unseen
+and one end. Every token that occurs ``LEAST`` times and a ``SHARE`` of all training tokens (and the
+``TOP`` most frequent in any case) is a unit with a context vector and an output vector of its own, so units
+grow with the vocabulary; each rarer token belongs to one of ``TAIL`` further units by its last byte. The
+model predicts the unit of a token from the units of the ``CONTEXT`` tokens before it: the context vector is
+the sum of the earlier units' vectors, each weighted per position and dimension. Units in order of frequency
+are cut into about as many groups as a group has units; a unit's probability is that of its group times its own within
+the group, each by a vector times the context vector plus a bias. So all probabilities are normalised exactly for
+two square roots of the units' number. Within a tail unit a token
+has its smoothed share of the unit's training counts, with one slot per tail unit for unseen
 words, so the probabilities of all tokens and unseen slots add up to one.
 
 Training reads all documents outside the held-out fold. Word counts are summed over the
 corpus. Each round every task runs stochastic gradient steps of noise-contrastive
-estimation in numpy over all of its documents, from the same start; the parameters are
-averaged by a distributed sum, weighted by tokens, and start the next round.
+estimation in numpy over all of its documents, from the same start: groups against noise groups, units
+against noise units of their group. The parameters are averaged by a distributed sum, each weighted by
+the squared gradients it has met (a vector that one task alone has moved keeps its move), and start the next round.
 
 Scoring needs the count of every token of every document. The counts of the frequent
 tokens (at most ``FREQUENT``, whatever the corpus holds) go to the tasks; all others
@@ -39,10 +42,14 @@ from pyspark.sql import functions as F
 from fundlens.llm.common import crc_fold, slices, staged, text_or_empty
 
 TOP = 448
+LEAST = 8
+SHARE = 1e-6
 TAIL = 64
 CONTEXT = 4
 WIDTH = 24
 NOISE = 64
+NEAR_NOISE = 4
+BLOCK = 1024
 BATCH = 4096
 ROUNDS = 1
 RATE = 0.12
@@ -51,7 +58,8 @@ HELD_OUT = 1
 END = b""
 
 _COUNTS = pa.schema([("token", pa.binary()), ("c", pa.int64())])
-_PARAMS = pa.schema([("i", pa.int64()), ("v", pa.float64()), ("w", pa.float64())])
+_PARAMS = pa.schema([("i", pa.int64()), ("v", pa.binary()), ("w", pa.binary())])
+_PARAMS_DDL = "i long, v binary, w binary"
 
 
 def tokens(text: str) -> list[bytes]:
@@ -83,23 +91,25 @@ def token_counts(texts: DataFrame) -> DataFrame:
 
 
 def tail_class(token: bytes) -> int:
-    return TOP + (token[-1] % TAIL if token else 0)
+    return token[-1] % TAIL if token else 0
 
 
 class Vocabulary:
-    """Frequent tokens with their counts, classes, and the training mass of each tail class."""
+    """Frequent tokens with their counts, units, and the training mass of each tail unit."""
 
     def __init__(self, frequent: list[tuple[bytes, int]], mass: dict[int, float], total: int, distinct: int):
         by = sorted(frequent, key=lambda x: (-x[1], x[0]))
         self.index = {t: i for i, (t, _) in enumerate(by)}
         self.counts = np.array([c for _, c in by], np.float64)
-        self.classes = np.array([i if i < TOP else tail_class(t) for i, (t, _) in enumerate(by)], np.int64)
-        top = [(t, c) for t, c in by[:TOP]]
+        least = max(LEAST, SHARE * total)
+        self.own = max(TOP, min(int((self.counts >= least).sum()), total // LEAST))  # the rest of the first TOP may be empty
+        self.classes = np.array([i if i < self.own else self.own + tail_class(t) for i, (t, _) in enumerate(by)], np.int64)
+        top = [(t, c) for t, c in by[:self.own]]
         self.mass = np.array([mass.get(k, 0.0) for k in range(TAIL)]) + 0.5
         for t, c in top:
-            self.mass[tail_class(t) - TOP] -= c + 0.5
+            self.mass[tail_class(t)] -= c + 0.5
         self.total, self.distinct = total, distinct
-        share = np.concatenate([[c for _, c in top], np.zeros(TOP - len(top)), np.maximum(self.mass, 0.5)]) + 0.5
+        share = np.concatenate([[c for _, c in top], np.zeros(self.own - len(top)), np.maximum(self.mass, 0.5)]) + 0.5
         self.noise = share / share.sum()
         self.norm = np.log10(total + 0.5 * (distinct + 1))
 
@@ -109,7 +119,7 @@ class Vocabulary:
         number = np.fromiter((get(t, -1) for t in found), np.int64, len(found))
         kind = self.classes[number] if len(self.classes) else np.zeros(len(found), np.int64)
         for i in np.flatnonzero(number < 0):
-            kind[i] = tail_class(found[i])
+            kind[i] = self.own + tail_class(found[i])
         return number, kind
 
 
@@ -131,43 +141,66 @@ def vocabulary(counts: DataFrame, limit: int = FREQUENT) -> Vocabulary:
 
 # ---- model -----------------------------------------------------------------------------------------------------
 
+def group_size(k: int) -> int:
+    """Units of a group: about as many as there are groups."""
+    return max(1, int(np.ceil(np.sqrt(k))))
+
+
+def _sizes(k: int) -> list[int]:
+    groups = -(-k // group_size(k))
+    return [(k + 1) * WIDTH, k * WIDTH, CONTEXT * WIDTH, groups * WIDTH, k, groups]
+
+
 class Model:
-    """Vectors of context classes (the last is the start of a text) and of predicted classes,
-    position weights and biases."""
+    """Vectors of context units (the last is the start of a text) and of predicted units,
+    position weights, vectors of groups, and the biases of units and groups."""
 
     def __init__(self, flat: np.ndarray):
-        k, d = TOP + TAIL, WIDTH
-        cuts = np.cumsum([(k + 1) * d, k * d, CONTEXT * d, k])
-        self.flat = flat
-        self.seen, self.next, self.place = (x.reshape(-1, d) for x in np.split(flat, cuts)[:3])
-        self.bias = flat[cuts[2]:cuts[3]]
+        k = len(flat) // (2 * WIDTH + 1)
+        while sum(_sizes(k)) > len(flat):
+            k -= 1
+        self.flat, self.units, self.size = flat, k, group_size(k)
+        *vectors, self.bias, self.group_bias = np.split(flat, np.cumsum(_sizes(k))[:-1])
+        self.seen, self.next, self.place, self.group = (x.reshape(-1, WIDTH) for x in vectors)
 
     @staticmethod
     def start(noise: np.ndarray) -> np.ndarray:
-        k, d, rng = TOP + TAIL, WIDTH, np.random.default_rng(1)
-        return np.concatenate([rng.normal(0, 0.1, (2 * k + 1) * d), np.full(CONTEXT * d, 1 / CONTEXT), np.log(noise)]).astype(np.float32)
+        sizes, rng = _sizes(len(noise)), np.random.default_rng(1)
+        of = np.arange(len(noise)) // group_size(len(noise))
+        mass = np.bincount(of, noise)
+        return np.concatenate([rng.normal(0, 0.1, sizes[0] + sizes[1]), np.full(sizes[2], 1 / CONTEXT), rng.normal(0, 0.1, sizes[3]),
+                               np.log(noise / mass[of]), np.log(mass)]).astype(np.float32)
 
     def context(self, before: np.ndarray) -> np.ndarray:
         return sum(self.seen[before[:, i]] * self.place[i] for i in range(CONTEXT))
 
-    def log_probabilities(self, before: np.ndarray, kind: np.ndarray, batch: int = 8192) -> np.ndarray:
-        """Natural log of P(class | earlier classes), normalised over all classes."""
-        out = np.empty(len(kind))
-        for at in range(0, len(kind), batch):
-            own = kind[at:at + batch]
-            scores = self.context(before[at:at + batch]) @ self.next.T
-            scores += self.bias
+    def log_probabilities(self, before: np.ndarray, kind: np.ndarray, batch: int = 16384) -> np.ndarray:
+        """Natural log of P(unit | earlier units): of its group among all groups plus its own among the group's units."""
+
+        def share(scores, own):
             top = scores.max(axis=1)
             hit = scores[np.arange(len(own)), own]
             np.exp(np.subtract(scores, top[:, None], out=scores), out=scores)
-            out[at:at + batch] = hit - top - np.log(scores.sum(axis=1))
+            return hit - top - np.log(scores.sum(axis=1))
+
+        out = np.empty(len(kind))
+        for at in range(0, len(kind), batch):
+            by = np.argsort(kind[at:at + batch], kind="stable")
+            own = kind[at:at + batch][by]
+            h, of = self.context(before[at:at + batch][by]), own // self.size
+            got = share(h @ self.group.T + self.group_bias, of)
+            cuts = np.flatnonzero(np.diff(of, prepend=-1, append=-1))
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                low = of[a] * self.size
+                got[a:b] += share(h[a:b] @ self.next[low:low + self.size].T + self.bias[low:low + self.size], own[a:b] - low)
+            out[at + by] = got
         return out
 
 
-def contexts(kind: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """(tokens, CONTEXT): the classes before each token, nearest first; the start class before a text."""
+def contexts(kind: np.ndarray, lengths: np.ndarray, units: int) -> np.ndarray:
+    """(tokens, CONTEXT): the units before each token, nearest first; the start (number ``units``) before a text."""
     inside = np.arange(len(kind)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    out = np.full((len(kind), CONTEXT), TOP + TAIL, np.int64)
+    out = np.full((len(kind), CONTEXT), units, np.int64)
     for i in range(CONTEXT):
         has = np.flatnonzero(inside > i)
         out[has, i] = kind[has - i - 1]
@@ -176,7 +209,7 @@ def contexts(kind: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 def _sum_rows(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(distinct rows, the sums of their values)."""
-    by = np.argsort(rows, kind="stable")
+    by = np.argsort(rows.astype(np.uint16) if rows.max() < 1 << 16 else rows, kind="stable")  # radix sort
     own = rows[by]
     first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
     return own[first], np.add.reduceat(values[by], first, axis=0)
@@ -187,7 +220,11 @@ class Trainer:
 
     def __init__(self, flat: np.ndarray, noise: np.ndarray, rate: float, seed: int):
         self.model, self.squares = Model(flat.copy()), Model(np.full_like(flat, 1.0))
-        self.noise, self.log_noise = noise, (np.log(noise) + np.log(NOISE)).astype(np.float32)
+        of = np.arange(len(noise)) // self.model.size
+        self.groups = np.bincount(of, noise)
+        self.log_groups = (np.log(self.groups) + np.log(NOISE)).astype(np.float32)
+        self.log_noise = (np.log(noise / self.groups[of]) + np.log(NEAR_NOISE)).astype(np.float32)
+        self.ends = np.cumsum(noise)
         self.rate, self.rng = rate, np.random.default_rng(seed)
 
     def _move(self, name: str, rows, grad) -> None:
@@ -195,19 +232,38 @@ class Trainer:
         squares[rows] += grad * grad
         getattr(self.model, name)[rows] += self.rate * grad / np.sqrt(squares[rows])
 
+    def _noise_units(self, of: np.ndarray) -> np.ndarray:
+        """``NEAR_NOISE`` units of each group by their training shares."""
+        size, k = self.model.size, len(self.ends)
+        first, last = of * size, np.minimum((of + 1) * size, k) - 1
+        low = np.where(first > 0, self.ends[first - 1], 0.0)
+        found = np.searchsorted(self.ends, low[:, None] + self.rng.random((len(of), NEAR_NOISE)) * (self.ends[last] - low)[:, None])
+        return np.clip(found, first[:, None], last[:, None])
+
     def step(self, before: np.ndarray, kind: np.ndarray) -> None:
         m = self.model
-        h, fake = m.context(before), self.rng.choice(len(self.noise), NOISE, p=self.noise)
-        true = 1 / (1 + np.exp(np.clip((h * m.next[kind]).sum(axis=1) + m.bias[kind] - self.log_noise[kind], -30, 30)))
-        false = -1 / (1 + np.exp(-np.clip(h @ m.next[fake].T + m.bias[fake] - self.log_noise[fake], -30, 30)))
-        back = true[:, None] * m.next[kind] + false @ m.next[fake]
-        rows = np.concatenate([kind, fake])
-        at, grad = _sum_rows(rows, np.concatenate([true[:, None] * h, false.T @ h]))
-        _, lift = _sum_rows(rows, np.concatenate([true, false.sum(axis=0)]))
+        h, of = m.context(before), kind // m.size
+        fake = self.rng.choice(len(self.groups), NOISE, p=self.groups)
+        true = 1 / (1 + np.exp(np.clip((h * m.group[of]).sum(axis=1) + m.group_bias[of] - self.log_groups[of], -30, 30)))
+        false = -1 / (1 + np.exp(-np.clip(h @ m.group[fake].T + m.group_bias[fake] - self.log_groups[fake], -30, 30)))
+        back = true[:, None] * m.group[of] + false @ m.group[fake]
+        rows = np.concatenate([of, fake])
+        group_at, group = _sum_rows(rows, np.concatenate([true[:, None] * h, false.T @ h]))
+        _, group_lift = _sum_rows(rows, np.concatenate([true, false.sum(axis=0)]))
+        # units against noise of their own group; column 0 is the true unit
+        units = np.concatenate([kind[:, None], self._noise_units(of)], axis=1)
+        vectors = m.next[units]
+        pull = 1 / (1 + np.exp(-np.clip(np.matmul(vectors, h[:, :, None])[:, :, 0] + m.bias[units] - self.log_noise[units], -30, 30)))
+        pull = np.concatenate([1 - pull[:, :1], -pull[:, 1:]], axis=1).astype(np.float32)
+        back = back + np.matmul(pull[:, None, :], vectors)[:, 0]
+        each = np.concatenate([h, np.ones((len(h), 1), h.dtype)], axis=1)  # the last column is the bias's
+        at, grad = _sum_rows(units.ravel(), (pull[:, :, None] * each[:, None, :]).reshape(-1, WIDTH + 1))
         place = np.stack([(back * m.seen[before[:, i]]).sum(axis=0) for i in range(CONTEXT)])
-        seen_at, seen = _sum_rows(before.T.ravel(), np.concatenate([back * m.place[i] for i in range(CONTEXT)]))
-        self._move("next", at, grad)
-        self._move("bias", at, lift)
+        seen_at, seen = _sum_rows(before.T.ravel(), np.concatenate([back * m.place[i] for i in range(CONTEXT)]).astype(np.float32))
+        self._move("group", group_at, group)
+        self._move("group_bias", group_at, group_lift)
+        self._move("next", at, grad[:, :WIDTH])
+        self._move("bias", at, grad[:, WIDTH])
         self._move("seen", seen_at, seen)
         self._move("place", slice(None), place / CONTEXT)
 
@@ -218,25 +274,47 @@ def _train(batches, words: Vocabulary, flat: np.ndarray, rate: float, seed: int)
         found = [tokens(t) for t in texts]
         lengths = np.array([len(f) for f in found], np.int64)
         _, kind = words.numbers([t for f in found for t in f])
-        before = contexts(kind, lengths)
+        before = contexts(kind, lengths, len(words.noise))
         order = trainer.rng.permutation(len(kind))
         for at in range(0, len(kind), BATCH):
             own = order[at:at + BATCH]
             trainer.step(before[own], kind[own])
         total += len(kind)
     if total:
-        v = trainer.model.flat.astype(np.float64) * total
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(v))), pa.array(v), pa.array(np.full(len(v), float(total)))], schema=_PARAMS)
+        w = trainer.squares.flat - 1 + 1e-6
+        v = (trainer.model.flat - flat) * w
+        at = range(0, len(v), BLOCK)
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(at)), pa.int64()), *[pa.array([x[i:i + BLOCK].astype(np.float32).tobytes() for i in at], pa.binary())
+                                                                                   for x in (v, w)]], schema=_PARAMS)
+
+
+def _added(batches) -> Iterator[pa.RecordBatch]:
+    """Sums a task's rows of each block; the rows come sorted by block."""
+    last, sums = None, None
+    for batch in batches:
+        for i, *parts in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+            own = [np.frombuffer(x, np.float32).astype(np.float64) for x in parts]
+            if i != last and last is not None:
+                yield _block(last, sums)
+            sums = own if i != last else [a + b for a, b in zip(sums, own, strict=True)]
+            last = i
+    if last is not None:
+        yield _block(last, sums)
+
+
+def _block(i: int, sums: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([i]), *[pa.array([x.astype(np.float32).tobytes()], pa.binary()) for x in sums]], schema=_PARAMS)
 
 
 def train(texts: DataFrame, words: Vocabulary, rounds: int = ROUNDS, rate: float = RATE) -> np.ndarray:
     """The averaged parameters after the given rounds over all texts."""
     flat = Model.start(words.noise)
     for k in range(rounds):
-        got = texts.select("text").mapInArrow(partial(_train, words=words, flat=flat, rate=rate / (1 + k), seed=k), "i long, v double, w double") \
-            .groupBy("i").agg((F.sum("v") / F.sum("w")).alias("v")).toPandas()  # a row per parameter
-        if len(got):
-            flat[got["i"].to_numpy()] = got["v"].to_numpy(np.float32)
+        got = texts.select("text").mapInArrow(partial(_train, words=words, flat=flat, rate=rate / (1 + k), seed=k), _PARAMS_DDL) \
+            .repartition("i").sortWithinPartitions("i").mapInArrow(_added, _PARAMS_DDL).collect()  # a row per block of parameters
+        for r in got:
+            low = r["i"] * BLOCK
+            flat[low:low + BLOCK] += np.frombuffer(r["v"], np.float32) / np.frombuffer(r["w"], np.float32)
     return flat
 
 
@@ -248,7 +326,7 @@ _RARE = pa.list_(pa.struct([("token", pa.binary()), ("tf", pa.int64())]))
 
 def _score(batches, words: Vocabulary, flat: np.ndarray) -> Iterator[pa.RecordBatch]:
     model, log_counts = Model(flat), np.log10(words.counts + 0.5)
-    log_mass = np.concatenate([np.zeros(TOP), np.log10(words.mass)])
+    log_mass = np.concatenate([np.zeros(words.own), np.log10(words.mass)])
     for cols, texts in slices(batches):
         found = [tokens(t) for t in texts]
         lengths = np.array([len(f) for f in found], np.int64)
@@ -257,8 +335,8 @@ def _score(batches, words: Vocabulary, flat: np.ndarray) -> Iterator[pa.RecordBa
         number, kind = words.numbers(flatly)
         known = number >= 0
         own = np.where(known, log_counts[number], 0.0) if len(log_counts) else np.zeros(len(number))
-        chance = model.log_probabilities(contexts(kind, lengths), kind) / np.log(10) - log_mass[kind]
-        inside = np.where(kind >= TOP, own, 0.0)
+        chance = model.log_probabilities(contexts(kind, lengths, len(words.noise)), kind) / np.log(10) - log_mass[kind]
+        inside = np.where(kind >= words.own, own, 0.0)
         doc = np.repeat(np.arange(len(found)), lengths)
         rare = [Counter() for _ in found]
         for i in np.flatnonzero(~known):

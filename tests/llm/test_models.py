@@ -133,3 +133,25 @@ def test_language_model_on_odd_rows(odd, spark):
     assert lbl.score_texts(odd.limit(0)).count() == 0
     held = odd.filter(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 1)
     assert all(r["train_tokens"] == 0 for r in lbl.score_texts(held).collect())
+
+
+def test_frequent_tokens_have_vectors_of_their_own_and_units_add_up_to_one(docs):
+    words = lbl.vocabulary(lbl.token_counts(docs))
+    counts = Counter(t for r in docs.collect() for t in lbl.tokens(r["text"] or ""))
+    often = [t for t, c in counts.items() if c >= 8]
+    assert len(often) > lbl.TOP + lbl.TAIL
+    assert len(set(words.numbers(often)[1])) == len(often)  # before: 512 classes whatever the corpus holds
+    model = lbl.Model(np.random.default_rng(3).normal(0, 0.3, len(lbl.Model.start(words.noise))).astype(np.float32))
+    k = len(words.noise)
+    p = np.exp(model.log_probabilities(np.tile([0, k, 5, k - 1], (k, 1)), np.arange(k)))
+    assert model.units == k and abs(p.sum() - 1) < 1e-4
+
+
+def test_what_one_task_learned_of_a_token_is_not_averaged_away(spark):
+    rows = [(i, "alpha beta" if i < 10 else "gamma delta") for i in range(300)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string").repartitionByRange(4, "doc_id")
+    words = lbl.vocabulary(lbl.token_counts(texts))
+    flat, start = lbl.train(texts, words, 1), lbl.Model.start(words.noise)
+    moved = np.abs(lbl.Model(flat).next - lbl.Model(start).next).max(axis=1)
+    unit = {t: words.index[t.encode()] for t in ("beta", "delta")}
+    assert np.isfinite(flat).all() and moved[unit["beta"]] > 0.1 * moved[unit["delta"]] > 0

@@ -6,8 +6,9 @@ forms that the training rows lack) and on the probabilities of all earlier categ
 probabilities are out of fold: they come from models of the earlier category that did
 not see the row, so a later model meets them as it will meet them on new texts.
 
-The marks are those words and beginnings whose presence differs most between toxic and other training rows (G
-test on document counts, at least ``MIN_DOCS`` documents). From the label three categories
+The marks are all words and beginnings whose presence tells toxic and other training rows apart (G
+test on document counts of ``MIN_G`` or more, at least ``MIN_DOCS`` documents). Marks found in the very same training rows (mostly a word
+and its beginnings) are one feature, which a text has if it has any of them. From the label three categories
 are derived for the query's chain: ``abusive`` (toxic, with a word that speaks for it),
 ``repeated`` (toxic, with several different ones) and ``toxic``, the label itself.
 
@@ -31,7 +32,6 @@ from pyspark.sql import functions as F
 from fundlens.llm.common import py_fold, slices, staged, text_or_empty
 from fundlens.llm.labelled import MAX_ROWS, training_rows
 
-MAX_WORDS = 192
 STEMS = (4, 5, 6, 7, 8)
 MIN_DOCS = 3
 MIN_G = 15.0
@@ -61,7 +61,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3, steps: int = 25)
 
 @dataclass
 class Chain:
-    """The words, and per category its name and weights (words, earlier categories, intercept)."""
+    """The features (marks set apart by spaces), and per category its name and weights (features, earlier categories, intercept)."""
 
     words: list[str]
     names: list[str]
@@ -90,7 +90,7 @@ def fit_chain(x: np.ndarray, y: np.ndarray, folds: np.ndarray, words: Sequence[s
     return Chain(list(words), list(names), weights)
 
 
-def telling_words(rows: DataFrame, max_words: int = MAX_WORDS) -> list[tuple[str, bool]]:
+def telling_words(rows: DataFrame) -> list[tuple[str, bool]]:
     """(word, speaks for label 1) of the words that tell the labels of ``doc_id, text, y`` apart."""
     totals = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("t")).first()
     n, t = totals["n"], totals["t"]
@@ -112,7 +112,7 @@ def telling_words(rows: DataFrame, max_words: int = MAX_WORDS) -> list[tuple[str
     a, k = F.col("a").cast("double"), F.col("k").cast("double")
     g = 2 * (part(a, k * t / n) + part(k - a, k * (n - t) / n) + part(t - a, (n - k) * t / n)
              + part(n - t - k + a, (n - k) * (n - t) / n))
-    found = words.withColumn("g", F.round(g, 9)).filter(F.col("g") >= MIN_G).orderBy(F.desc("g"), "w").limit(max_words).collect()
+    found = words.withColumn("g", F.round(g, 9)).filter(F.col("g") >= MIN_G).orderBy(F.desc("g"), "w").collect()  # words of a bounded sample
     return [(r["w"], r["a"] * n > r["k"] * t) for r in found]
 
 
@@ -121,18 +121,18 @@ class _Marks(dict):
 
     def __init__(self, index: dict[str, int]):
         super().__init__()
-        self.index = index
+        self.index, self.features = index, max(index.values(), default=-1) + 1
 
     def __missing__(self, word: str) -> tuple[int, ...]:
         if len(self) > 400_000:
             self.clear()
         own = [word, *(word[:n] + "*" for n in STEMS if len(word) > n)]
-        got = self[word] = tuple(self.index[x] for x in own if x in self.index)
+        got = self[word] = tuple({self.index[x] for x in own if x in self.index})
         return got
 
 
 def presence(texts: list[str], marks: _Marks) -> np.ndarray:
-    x = np.zeros((len(texts), len(marks.index)))
+    x = np.zeros((len(texts), marks.features))
     for i, text in enumerate(texts):
         for w in set(_WORD.findall(text.lower())):
             for k in marks[w]:
@@ -141,10 +141,27 @@ def presence(texts: list[str], marks: _Marks) -> np.ndarray:
 
 
 def _presence_rows(batches, index: dict[str, int]) -> Iterator[pa.RecordBatch]:
+    """Numbers of the marks of each text."""
     marks = _Marks(index)
     for cols, texts in slices(batches):
+        found = [sorted({k for w in set(_WORD.findall(text.lower())) for k in marks[w]}) for text in texts]
         yield pa.RecordBatch.from_arrays([pa.array(cols["doc_id"], pa.int64()), pa.array(cols["y"], pa.int32()),
-                                          pa.array(list(presence(texts, marks)), pa.list_(pa.float64()))], names=["doc_id", "y", "x"])
+                                          pa.array(found, pa.list_(pa.int32()))], names=["doc_id", "y", "x"])
+
+
+def folded(found: list, words: list[tuple[str, bool]]) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """(presence of each feature, its marks, whether it speaks for label 1); marks with the same rows are one feature."""
+    rows: list[list[int]] = [[] for _ in words]
+    for i, own in enumerate(found):
+        for k in own:
+            rows[k].append(i)
+    features: dict[tuple, list[int]] = {}
+    for k, own in enumerate(rows):
+        features.setdefault(tuple(own), []).append(k)
+    x = np.zeros((len(found), len(features)))
+    for j, own in enumerate(features):
+        x[list(own), j] = 1
+    return x, [" ".join(words[k][0] for k in ks) for ks in features.values()], np.array([words[ks[0]][1] for ks in features.values()], bool)
 
 
 def severity(x: np.ndarray, y: np.ndarray, speaks: np.ndarray) -> tuple[list[str], np.ndarray]:
@@ -158,17 +175,17 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, hold_out
     rows = staged(training_rows(docs, labels, "toxic", max_rows, hold_out), "toxic-sample")
     words = telling_words(rows)
     index = {w: i for i, (w, _) in enumerate(words)}
-    got = rows.mapInArrow(partial(_presence_rows, index=index), "doc_id long, y int, x array<double>").toPandas() \
+    got = rows.mapInArrow(partial(_presence_rows, index=index), "doc_id long, y int, x array<int>").toPandas() \
         .sort_values("doc_id", kind="stable")
-    x = np.array(got["x"].tolist(), np.float64).reshape(len(got), len(index))
+    x, features, speaks = folded(got["x"].tolist(), words)
     y = got["y"].to_numpy(np.float64)
-    names, many = categories(x, y, np.array([s for _, s in words], bool))
+    names, many = categories(x, y, speaks)
     folds = np.array([py_fold(d, 1 << 20) // 5 % FOLDS for d in got["doc_id"]], np.int64)
-    return fit_chain(x, many, folds, list(index), names)
+    return fit_chain(x, many, folds, features, names)
 
 
 def _score(batches, chain: Chain, threshold: float) -> Iterator[pa.RecordBatch]:
-    marks = _Marks({w: i for i, w in enumerate(chain.words)})
+    marks = _Marks({w: i for i, own in enumerate(chain.words) for w in own.split(" ")})
     for cols, texts in slices(batches):
         p = chain.predict(presence(texts, marks))
         yield pa.RecordBatch.from_arrays(

@@ -155,3 +155,15 @@ def test_what_one_task_learned_of_a_token_is_not_averaged_away(spark):
     moved = np.abs(lbl.Model(flat).next - lbl.Model(start).next).max(axis=1)
     unit = {t: words.index[t.encode()] for t in ("beta", "delta")}
     assert np.isfinite(flat).all() and moved[unit["beta"]] > 0.1 * moved[unit["delta"]] > 0
+
+
+def test_every_telling_word_is_a_mark_and_words_with_the_same_rows_are_one_feature(spark):
+    rude = [f"{chr(97 + i // 26)}{chr(97 + i % 26)}rude" for i in range(60)]
+    rows = [(i, f"{rude[i % 60]}ness plain words", 1) for i in range(900)] + [(900 + i, "plain words only", 0) for i in range(1500)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    chain = toxicity.train(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"), hold_out=None)
+    marks = {w for own in chain.words for w in own.split(" ")}
+    assert {f"{r}ness" for r in rude} <= marks and len(marks) > 192
+    assert len(chain.words) == len(rude) + 1  # "only" speaks for the other label
+    new = spark.createDataFrame([(i, f"some {r}nessy text") for i, r in enumerate(rude)], "doc_id long, text string")
+    assert {r["predicted"] for r in toxicity.score_toxicity(new, chain).collect()} == {1}

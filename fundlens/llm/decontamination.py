@@ -14,8 +14,9 @@ Items are the stated query set: they are taken in blocks of at most ``block_char
 characters (one block for any usual benchmark), each block an automaton sent to the tasks
 once, and every block meets all documents. Documents are never shuffled, so no key is hot.
 
-Items of fewer than ``min_words`` words are too common to prove a leak and are not
-searched; null and empty texts and items match nothing; rows repeating an id are searched
+Items of fewer than ``min_words`` words (a character of a script without spaces counts as a word) prove less: they
+are searched without edits, bounded by words, and their rows say ``short``. Items with a null id are searched like others;
+null and empty texts and items match nothing; rows repeating an id are searched
 as they stand; an empty table gives no rows.
 """
 
@@ -31,21 +32,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fundlens.llm.common import slices, text_or_empty, to_batch
-from fundlens.llm.huffman import ddl
 
 ERROR_RATE = 0.08
 MIN_WORDS = 5
 BLOCK_CHARS = 8_000_000
 
 _WORDS = re.compile(r"[^\W_]+")
+#: Letters of scripts that set no spaces between words (Thai to Burmese, Khmer, kana, Han).
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 _FOUND = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("distance", pa.int64()), ("budget", pa.int64()),
-                    ("span_end", pa.int64()), ("item_chars", pa.int64())])
+                    ("span_end", pa.int64()), ("item_chars", pa.int64()), ("short", pa.bool_())])
+_FOUND_DDL = "doc_id long, item_id long, distance long, budget long, span_end long, item_chars long, short boolean"
 
 
 def normalise(text: str) -> str:
     return " ".join(_WORDS.findall(text.lower()))
 
 
+def _word_count(norm: str) -> int:
+    return norm.count(" ") + 1 + max(0, len(_UNSPACED.findall(norm)) - 1)
+
+
+def _bounded(text: str, start: int, end: int) -> bool:
+    """Whether ``text[start:end]`` begins and ends with words, as far as its script has spaces."""
+    return (start == 0 or text[start - 1] == " " or bool(_UNSPACED.match(text[start]))) and \
+        (end == len(text) or text[end] == " " or bool(_UNSPACED.match(text[end - 1])))
+
+
 def split_pieces(item: str, budget: int) -> list[tuple[int, str]]:
     """``budget + 1`` (offset, piece) of nearly equal length that make up the item."""
     n = budget + 1
@@ -89,28 +102,31 @@ class Matcher:
         self.items, where = [], defaultdict(list)
         for item_id, text in items:
             norm = normalise(text or "")
-            if not norm or norm.count(" ") + 1 < min_words:
+            if not norm:
                 continue
-            budget = int(error_rate * len(norm))
+            short = _word_count(norm) < min_words
+            budget = 0 if short else int(error_rate * len(norm))
             for offset, piece in split_pieces(norm, budget):
                 where[piece].append((len(self.items), offset + len(piece) - 1))
-            self.items.append((item_id, norm, budget))
+            self.items.append((item_id, norm, budget, short))
         self.automaton = ahocorasick.Automaton()
         for piece, uses in where.items():
             self.automaton.add_word(piece, tuple(uses))
         self.automaton.make_automaton()
         self.some = bool(where)
 
-    def find(self, text: str) -> Iterator[tuple[int, int, int, int, int]]:
-        """(item_id, distance, budget, end in the normalised text, item's length), the best of each item."""
+    def find(self, text: str) -> Iterator[tuple[int | None, int, int, int, int, bool]]:
+        """(item_id, distance, budget, end in the normalised text, item's length, short), the best of each item."""
         if not self.some:
             return
         norm, starts = normalise(text), defaultdict(set)
         for end, uses in self.automaton.iter(norm):
             for item, inside in uses:
-                starts[item].add(end - inside)
+                start = end - inside
+                if not self.items[item][3] or _bounded(norm, start, end + 1):
+                    starts[item].add(start)
         for item, found in starts.items():
-            item_id, pattern, budget = self.items[item]
+            item_id, pattern, budget, short = self.items[item]
             best, at = None, sorted(found)
             while at:
                 run = 1
@@ -122,7 +138,7 @@ class Matcher:
                     best = (hit[0], low + hit[1])
                 at = at[run:]
             if best:
-                yield item_id, best[0], budget, best[1], len(pattern)
+                yield item_id, best[0], budget, best[1], len(pattern), short
 
 
 @lru_cache(maxsize=2)
@@ -139,39 +155,40 @@ def _search(batches, items: tuple, error_rate: float, min_words: int) -> Iterato
             yield to_batch(list(zip(*rows, strict=True)), _FOUND)
 
 
-def _clean(batches, items: tuple, error_rate: float, min_words: int) -> Iterator[pa.RecordBatch]:
+def _clean(batches, items: tuple, error_rate: float, min_words: int, short: bool) -> Iterator[pa.RecordBatch]:
     matcher = _matcher(items, error_rate, min_words)
     for batch in batches:
         if batch.num_rows:
-            yield batch.filter(pa.array([next(matcher.find(t or ""), None) is None for t in batch.column("text").to_pylist()], pa.bool_()))
+            yield batch.filter(pa.array([all(hit[-1] and not short for hit in matcher.find(t or "")) for t in batch.column("text").to_pylist()], pa.bool_()))
 
 
 def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[tuple]:
-    """The items (id, text) in blocks of about ``block_chars`` characters, one at a time; null and empty ones are left out."""
+    """The items (id, text) in blocks of about ``block_chars`` characters, one at a time; those with null or empty text are left out."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty().alias("text")) \
-        .filter((F.length("text") > 0) & F.col("item_id").isNotNull()).distinct()
+        .filter(F.length("text") > 0).distinct()
     chars = items.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
     blocks = -(-chars // block_chars) or 1
     for block in range(blocks):
         own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        yield tuple(sorted((r["item_id"], r["text"]) for r in own))
+        yield tuple(sorted(((r["item_id"], r["text"]) for r in own), key=lambda x: (x[0] is None, x[0] or 0, x[1])))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, min_words: int = MIN_WORDS,
                block_chars: int = BLOCK_CHARS) -> DataFrame:
     """A row per document and benchmark item that it holds within the error budget:
-    ``doc_id, item_id, distance, budget, span_end, item_chars``."""
+    ``doc_id, item_id, distance, budget, span_end, item_chars, short``."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     out = None
     for items in item_blocks(benchmark, block_chars):
-        found = texts.mapInArrow(partial(_search, items=items, error_rate=error_rate, min_words=min_words), ddl(_FOUND))
+        found = texts.mapInArrow(partial(_search, items=items, error_rate=error_rate, min_words=min_words), _FOUND_DDL)
         out = found if out is None else out.unionByName(found)
     return out
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, min_words: int = MIN_WORDS,
-               block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """``docs``, all columns, without the rows that hold a benchmark item within the error budget."""
+               block_chars: int = BLOCK_CHARS, short: bool = True) -> DataFrame:
+    """``docs``, all columns, without the rows that hold a benchmark item within the error budget; with ``short=False`` those
+    that hold only short items stay."""
     for items in item_blocks(benchmark, block_chars):
-        docs = docs.mapInArrow(partial(_clean, items=items, error_rate=error_rate, min_words=min_words), docs.schema)
+        docs = docs.mapInArrow(partial(_clean, items=items, error_rate=error_rate, min_words=min_words, short=short), docs.schema)
     return docs

@@ -166,3 +166,13 @@ def test_leaks_equal_brute_force(spark):
         assert sorted((r["doc_id"] for r in clean.collect()), key=str) == sorted((d[0] for d in docs if d[0] not in {w[0] for w in want}), key=str)
     assert dc.find_leaks(frame.limit(0), bench).count() == 0
     assert dc.find_leaks(frame, bench.limit(0)).count() == 0
+
+
+def test_short_items_and_items_without_an_id_are_found_verbatim(spark):
+    items = [(1, "Red fox?"), (2, "敏捷的棕色狐狸跳过懒狗"), (None, "an item of six words without id"), (3, "狐狸")]
+    docs = [(1, "the red, FOX runs"), (2, "bored foxes"), (3, "他说敏捷的棕色狐狸跳过懒狗了"), (4, "Here an item of six words without ID"), (5, "clean")]
+    frame, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"], r["short"]) for r in dc.find_leaks(frame, bench).collect()}
+    assert got == {(1, 1, True), (3, 2, False), (3, 3, True), (4, None, False)}
+    assert {r["doc_id"] for r in dc.drop_leaks(frame, bench).collect()} == {2, 5}
+    assert {r["doc_id"] for r in dc.drop_leaks(frame, bench, short=False).collect()} == {1, 2, 5}

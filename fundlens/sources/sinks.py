@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +21,8 @@ CSV_OPTIONS = {
 
 #: The largest output that may be written by one task.
 SINGLE_FILE_ROWS = 2_000_000
+#: Rows of a well-sized Parquet file, sorted by one task.
+FILE_ROWS = 2_000_000
 
 
 def output_path(base_dir: str, name: str, append_timestamp: bool = False, now: datetime | None = None) -> str:
@@ -43,14 +47,24 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), mode: str = "overwrite",
-                  dynamic: bool = True, files_per_value: int = 1, sort_by: tuple[str, ...] = ()) -> None:
+                  dynamic: bool = True, files_per_value: int | None = None, sort_by: tuple[str, ...] = (),
+                  file_rows: int = FILE_ROWS) -> None:
     """Columnar output; with ``partition_by`` and ``dynamic`` an overwrite replaces only
     the partitions present in ``df`` (incremental daily loads). ``files_per_value`` is the
-    number of files of each partition value: rows of a value / rows of a well-sized file."""
+    number of files of each partition value; by default it follows from a count of each value's rows (one
+    file per ``file_rows`` of them), so no value, however large, is one task's work."""
     if partition_by:
         # Rows of a value meet in a few tasks (``files_per_value``) instead of every task writing a file for it.
-        df = df.repartition(*[F.col(c) for c in partition_by],
-                            F.pmod(F.xxhash64(*df.columns), F.lit(files_per_value))).sortWithinPartitions(*partition_by, *sort_by)
+        files, columns = F.lit(files_per_value), df.columns
+        if files_per_value is None:
+            # a row per value of more than one file: at most rows / file_rows
+            sizes = df.groupBy(*[F.col(c).alias(f"__{c}") for c in partition_by]).agg(F.count(F.lit(1)).alias("__rows")) \
+                .filter(F.col("__rows") > file_rows).withColumn("__files", F.ceil(F.col("__rows") / file_rows))
+            same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in partition_by]
+            df = df.join(F.broadcast(sizes), reduce(and_, same), "left")
+            files = F.coalesce("__files", F.lit(1))
+        df = df.repartition(*[F.col(c) for c in partition_by], F.pmod(F.xxhash64(*columns), files)) \
+            .select(*columns).sortWithinPartitions(*partition_by, *sort_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -84,6 +84,23 @@ def test_partitioned_parquet_dynamic_overwrite(spark, seed, tmp_dir):
     assert "PartitionFilters: [isnotnull(data_posicao" in pruned._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_large_date_is_written_by_several_tasks(spark, tmp_dir):
+    rows = spark.range(3000).select("id", F.when(F.col("id") < 2000, F.lit("2024-05-31")).when(F.col("id") < 2900, F.lit("2024-06-03")).alias("day"))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small tasks are not put together again
+    try:
+        write_parquet(rows, f"{tmp_dir}/hot", partition_by=("day",), sort_by=("id",), file_rows=500)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    back = spark.read.parquet(f"{tmp_dir}/hot")
+    assert back.columns == ["id", "day"] and back.distinct().count() == 3000
+    placed = back.withColumn("file", F.input_file_name())
+    files = {str(r["day"]): r["n"] for r in placed.groupBy("day").agg(F.count_distinct("file").alias("n")).collect()}
+    assert files["2024-05-31"] > 1 and files["2024-06-03"] >= 1 and files["None"] == 1
+    largest = max(r["count"] for r in placed.groupBy("file").count().collect())
+    assert largest < 2000
+
+
 def test_job_end_to_end(spark, seed, tmp_dir):
     write_star(seed, f"{tmp_dir}/star")
     cfg = JobConfig(source="parquet", input_dir=f"{tmp_dir}/star", output_dir=f"{tmp_dir}/out",

@@ -167,3 +167,12 @@ def test_every_telling_word_is_a_mark_and_words_with_the_same_rows_are_one_featu
     assert len(chain.words) == len(rude) + 1  # "only" speaks for the other label
     new = spark.createDataFrame([(i, f"some {r}nessy text") for i, r in enumerate(rude)], "doc_id long, text string")
     assert {r["predicted"] for r in toxicity.score_toxicity(new, chain).collect()} == {1}
+
+
+def test_rounds_build_on_what_other_tasks_learned(docs):
+    many = docs.repartition(12)
+
+    def held_out(**rounds):
+        return lbl.score_texts(many, **rounds).filter("held_out").agg(F.sum("score").alias("s")).first()["s"]
+
+    assert lbl.ROUNDS > 1 and held_out() > held_out(rounds=1)

@@ -46,12 +46,17 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3, steps: int = 25) -> np.ndarray:
     """Weights, the intercept last, of a ridge logistic regression by Newton steps."""
-    z = np.hstack([x, np.ones((len(x), 1))])
-    w, penalty = np.zeros(z.shape[1]), np.full(z.shape[1], ridge)
+    n = x.shape[1] + 1
+    w, penalty = np.zeros(n), np.full(n, ridge)
     penalty[-1] = 1e-3
     for _ in range(steps):
-        p = _sigmoid(z @ w)
-        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + np.diag(penalty), z.T @ (y - p) - penalty * w)
+        square, slope = np.diag(penalty), -penalty * w
+        for at in range(0, len(x), 2048):  # the rows in blocks, so that only one block is copied
+            z = np.hstack([x[at:at + 2048], np.ones((len(x[at:at + 2048]), 1))])
+            p = _sigmoid(z @ w)
+            square = square + (z * (p * (1 - p))[:, None]).T @ z
+            slope = slope + z.T @ (y[at:at + 2048] - p)
+        step = np.linalg.solve(square, slope)
         size = np.abs(step).max(initial=0)
         w += step if size < 4 else step * (4 / size)
         if size < 1e-6:
@@ -79,7 +84,7 @@ def fit_chain(x: np.ndarray, y: np.ndarray, folds: np.ndarray, words: Sequence[s
     """``x`` word presence, ``y`` (rows, categories) in chain order, ``folds`` the fold of each row."""
     earlier, weights = np.zeros((len(x), 0)), []
     for c in range(y.shape[1]):
-        z = np.hstack([x, earlier])
+        z = np.hstack([x, earlier.astype(x.dtype)])
         weights.append(logistic(z, y[:, c]))
         out = np.zeros(len(x))
         for fold in np.unique(folds):
@@ -158,7 +163,7 @@ def folded(found: list, words: list[tuple[str, bool]]) -> tuple[np.ndarray, list
     features: dict[tuple, list[int]] = {}
     for k, own in enumerate(rows):
         features.setdefault(tuple(own), []).append(k)
-    x = np.zeros((len(found), len(features)))
+    x = np.zeros((len(found), len(features)), np.float32)
     for j, own in enumerate(features):
         x[list(own), j] = 1
     return x, [" ".join(words[k][0] for k in ks) for ks in features.values()], np.array([words[ks[0]][1] for ks in features.values()], bool)

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fundlens.llm import decontamination, exact_dedup, html_text, huffman, lbl, ngram_join, packing, quality, toxicity, warc
+from fundlens.llm import (decontamination, exact_dedup, html_text, huffman, lbl, ngram_join, packing, quality, toxicity,
+                          vector_codes, warc)
 from fundlens.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +68,10 @@ def op10_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lbl.score_texts(read_table(spark, sf_dir, "documents"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
+
+
 _OP2_SQL = """
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS payload FROM pages
@@ -117,6 +122,46 @@ FROM documents d JOIN class ON class.x = d.doc_id LEFT JOIN links ON links.x = d
 """
 
 
+def _op13_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Rounds of exhaustive search, one after another; a cell is (part, entry, position)."""
+    def found(book: str) -> str:
+        return f"""
+  SELECT r, p, arg_min(e, (d, e)) AS e, min(d) AS d FROM (
+    SELECT x.r, x.p, b.e, list_sum(list_transform(list_zip(x.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+    FROM x JOIN {book} b ON b.p = x.p) GROUP BY r, p"""
+
+    steps = [f"""
+s{i} AS MATERIALIZED ({found(f"b{i}")}
+), m{i} AS (
+  SELECT p, e, i, CAST(sum(c) AS HUGEINT) AS s, CAST(count(*) AS HUGEINT) AS n
+  FROM (SELECT x.p, s.e, unnest(x.v) AS c, unnest(range(len(x.v))) AS i FROM x JOIN s{i} s ON s.r = x.r AND s.p = x.p)
+  GROUP BY p, e, i
+), b{i + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(n.v, b.v) AS v FROM b{i} b LEFT JOIN (
+    SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM m{i} GROUP BY p, e) n ON n.p = b.p AND n.e = b.e
+)""" for i in range(rounds)]
+    return f"""
+WITH k AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label,
+         list_transform(embedding, lambda c: CAST(floor(4096 * CAST(c AS DOUBLE)) AS HUGEINT)) AS q
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), x AS MATERIALIZED (
+  SELECT r, p, q[p * (len(q) // {parts}) + 1:(p + 1) * (len(q) // {parts})] AS v FROM k, range({parts}) t(p)
+), b0 AS (
+  SELECT p, r - 1 AS e, v FROM x WHERE r <= {entries}
+), {",".join(steps)}, z AS MATERIALIZED ({found(f"b{rounds}")}
+), h AS (
+  SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, e, i)) AS sha
+  FROM (SELECT p, e, unnest(v) AS c, unnest(range(len(v))) AS i FROM b{rounds})
+), o AS (
+  SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d) AS error FROM z GROUP BY r
+)
+SELECT vec_id, code, CAST(error AS BIGINT) AS error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       sha AS codebooks_sha256
+FROM o JOIN k ON k.r = o.r, h
+"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": op1_decontamination,
@@ -129,6 +174,7 @@ def queries() -> dict[str, Query]:
         "op8_packing": op8_packing,
         "op9_html_text": op9_html_text,
         "op10_log_bilinear": op10_log_bilinear,
+        "op13_vector_codes": op13_vector_codes,
     }
 
 
@@ -137,4 +183,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_warc": _OP2_SQL,
         "op3_exact_dedup": _OP3_SQL,
         "op4_ngram_join": _OP4_SQL,
+        "op13_vector_codes": _op13_sql(),
     }

@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "embeddings", "pages", "benchmark", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     want = con.execute(catalog.oracle_sql()[name])
     columns = [d[0] for d in want.description]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fundlens.llm import (decontamination, exact_dedup, html_text, huffman, lbl, ngram_join, packing, quality, toxicity,
+from fundlens.llm import (decontamination, exact_dedup, fill_middle, html_text, huffman, lbl, ngram_join, packing, quality, toxicity,
                           vector_codes, warc)
 from fundlens.llm.common import read_table
 
@@ -68,6 +68,10 @@ def op10_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lbl.score_texts(read_table(spark, sf_dir, "documents"))
 
 
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.fill_in_middle(read_table(spark, sf_dir, "documents"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
 
@@ -122,6 +126,34 @@ FROM documents d JOIN class ON class.x = d.doc_id LEFT JOIN links ON links.x = d
 """
 
 
+_OP12_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u
+  FROM documents
+), e AS (
+  SELECT doc_id, t, u, CAST(len(u) AS BIGINT) AS n,
+         list_transform(range(4), lambda i: CAST('0x' || substr(h, CAST(8 * i + 1 AS BIGINT), 8) AS BIGINT)) AS r
+  FROM d
+), f AS (
+  SELECT *, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r[3] % 100 >= 100
+                 THEN 'plain' WHEN r[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form,
+         least(r[1] % (n + 1), r[2] % (n + 1)) AS lo, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS hi
+  FROM e
+), g AS (
+  SELECT *, array_to_string(u[1:lo], '') AS prefix, array_to_string(u[lo + 1:hi], '') AS middle,
+         array_to_string(u[hi + 1:], '') AS suffix
+  FROM f
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM g
+"""
+
+
 def _op13_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
     """Rounds of exhaustive search, one after another; a cell is (part, entry, position)."""
     def found(book: str) -> str:
@@ -174,6 +206,7 @@ def queries() -> dict[str, Query]:
         "op8_packing": op8_packing,
         "op9_html_text": op9_html_text,
         "op10_log_bilinear": op10_log_bilinear,
+        "op12_fill_middle": op12_fill_middle,
         "op13_vector_codes": op13_vector_codes,
     }
 
@@ -183,5 +216,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_warc": _OP2_SQL,
         "op3_exact_dedup": _OP3_SQL,
         "op4_ngram_join": _OP4_SQL,
+        "op12_fill_middle": _OP12_SQL,
         "op13_vector_codes": _op13_sql(),
     }

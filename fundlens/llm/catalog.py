@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fundlens.llm import (decontamination, exact_dedup, fill_middle, html_text, huffman, lbl, ngram_join, packing, quality, toxicity,
-                          vector_codes, warc)
+from fundlens.llm import (decontamination, exact_dedup, fill_middle, html_text, huffman, lbl, ngram_join, packing, quality, suffix_dedup,
+                          toxicity, vector_codes, warc)
 from fundlens.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,10 @@ def op10_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lbl.score_texts(read_table(spark, sf_dir, "documents"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.fill_in_middle(read_table(spark, sf_dir, "documents"))
 
@@ -206,6 +210,7 @@ def queries() -> dict[str, Query]:
         "op8_packing": op8_packing,
         "op9_html_text": op9_html_text,
         "op10_log_bilinear": op10_log_bilinear,
+        "op11_suffix_dedup": op11_suffix_dedup,
         "op12_fill_middle": op12_fill_middle,
         "op13_vector_codes": op13_vector_codes,
     }

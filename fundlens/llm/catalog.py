@@ -130,6 +130,37 @@ FROM documents d JOIN class ON class.x = d.doc_id LEFT JOIN links ON links.x = d
 """
 
 
+_OP11_SQL = """
+WITH d AS (
+  SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id, hex(encode(coalesce(text, ''))) AS h,
+         CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n
+  FROM documents
+), b AS (
+  SELECT r, j, n, substr(h, CAST(2 * j + 1 AS BIGINT), 1598) AS h FROM (SELECT r, h, n, unnest(range(0, n - 399, 400)) AS j FROM d WHERE n >= 400)
+), w AS (
+  SELECT r, j + i AS i, md5_number(substr(h, CAST(2 * i + 1 AS BIGINT), 800)) AS k
+  FROM (SELECT r, j, h, unnest(range(least(400, n - 399 - j))) AS i FROM b)
+), hit AS (
+  SELECT r, i FROM w WHERE k IN (SELECT k FROM w GROUP BY k HAVING count(*) > 1)
+), run AS (
+  SELECT r, i, sum(CASE WHEN i <= before + 400 THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY i) AS g
+  FROM (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM hit)
+), span AS (
+  SELECT r, min(i) AS a, max(i) + 400 AS z FROM run GROUP BY r, g
+), gap AS (
+  SELECT r, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) AS z, a FROM span
+  UNION ALL SELECT d.r, coalesce(max(span.z), 0), d.n FROM d LEFT JOIN span ON span.r = d.r GROUP BY d.r, d.n
+), kept AS (
+  SELECT gap.r, string_agg(substr(h, CAST(2 * z + 1 AS BIGINT), CAST(2 * (a - z) AS BIGINT)), '' ORDER BY z) AS k
+  FROM gap JOIN d ON d.r = gap.r GROUP BY gap.r
+), s AS (
+  SELECT r, sum(z - a) AS removed, count(*) AS spans FROM span GROUP BY r
+)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(k)) AS kept_sha256
+FROM d JOIN kept ON kept.r = d.r LEFT JOIN s ON s.r = d.r
+"""
+
 _OP12_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
@@ -221,6 +252,7 @@ def oracle_sql() -> dict[str, str]:
         "op2_warc": _OP2_SQL,
         "op3_exact_dedup": _OP3_SQL,
         "op4_ngram_join": _OP4_SQL,
+        "op11_suffix_dedup": _OP11_SQL,
         "op12_fill_middle": _OP12_SQL,
         "op13_vector_codes": _op13_sql(),
     }

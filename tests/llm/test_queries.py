@@ -28,7 +28,7 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_there_is_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in catalog.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in catalog.queries()) == list(range(1, 14))
 
 
 def test_pipeline_stages(spark):

@@ -40,7 +40,7 @@ SEED = 7
 RATE = 100
 SPM_RATE = 50
 #: Characters of a piece; the only thing that is held of a document while it is assembled.
-CHUNK = 32_768
+CHUNK = 8_192
 #: Rows that a task hands on at once at most, and characters.
 _ROWS, _CHARS = 4096, 2_000_000
 

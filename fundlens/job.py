@@ -32,6 +32,7 @@ from fundlens.sources.driver_tables import star_from_driver
 from fundlens.sources.files import read_star_parquet
 from fundlens.sources.jdbc import JdbcSource
 from fundlens.sources.sinks import output_path, write_csv, write_parquet
+from fundlens.sources.versions import VersionedTable
 
 log = logging.getLogger("fundlens.job")
 
@@ -51,7 +52,7 @@ class JobConfig:
     output_dir: str = "output"
     output_name: str = "carteira_flat"
     append_timestamp: bool = False
-    output_format: str = "csv"           # csv | parquet
+    output_format: str = "csv"           # csv | parquet | versioned
     single_file: bool = False
     date_from: str | None = None
     date_to: str | None = None
@@ -212,6 +213,9 @@ def run(spark: SparkSession, cfg: JobConfig) -> dict:
         elif cfg.output_format == "parquet":
             typed_staged = spark.read.parquet(staged)
             write_parquet(typed_staged, out, partition_by=("data_posicao",), sort_by=("cnpj_fundo", "codigo_ativo"))
+        elif cfg.output_format == "versioned":
+            table = VersionedTable(spark, out, ("data_posicao",), ("cnpj_fundo", "codigo_ativo"))
+            report["version"] = table.replace(spark.read.schema(typed.schema).parquet(staged)).version
         else:
             raise ValueError(f"unknown output format {cfg.output_format!r}")
         report["output"] = out
@@ -233,7 +237,7 @@ def parse_args(argv: list[str] | None = None) -> JobConfig:
     p.add_argument("--output-dir", default=env("FUNDLENS_OUTPUT_DIR", "output"))
     p.add_argument("--output-name", default="carteira_flat")
     p.add_argument("--append-timestamp", action="store_true")
-    p.add_argument("--output-format", default="csv", choices=("csv", "parquet"))
+    p.add_argument("--output-format", default="csv", choices=("csv", "parquet", "versioned"))
     p.add_argument("--single-file", action="store_true")
     p.add_argument("--date-from")
     p.add_argument("--date-to")

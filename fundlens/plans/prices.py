@@ -9,6 +9,8 @@ from fundlens.functions.dates import business_day_spine
 from fundlens.functions.exact import round_ratio
 from fundlens.functions.priority import source_priority
 from fundlens.operators.dedup import first_per_key
+from fundlens.sources.ingest import in_partitions
+from fundlens.sources.versions import Manifest, VersionedTable
 
 PRICE_KEY = ("data_referencia", "id_ativo")
 
@@ -25,6 +27,22 @@ def prices_by_priority(prices: DataFrame, priorities: dict[str, int] | None = No
     return first_per_key(ranked, PRICE_KEY, order).drop("_prio")
 
 
+def merge_prices(winners: VersionedTable, batch: DataFrame, priorities: dict[str, int] | None = None,
+                 loads: dict[str, int] | None = None) -> Manifest:
+    """Bring the kept winning prices, one per (date, asset), up to date with a batch of quotes.
+
+    The winner of all quotes is the winner of the kept winner and the new quotes (the least of one total order),
+    so only the partitions the batch touches are read and replaced, whatever the length of
+    the history. Quotes that come twice or late change nothing or their own key only. ``batch`` carries the
+    columns of ``winners``, its partition columns among them.
+    """
+    base = winners.manifest()
+    touched = winners.folders_of(batch)
+    kept = winners.read(base.version, only=touched, schema=batch.schema).filter(in_partitions(winners, touched))
+    merged = prices_by_priority(kept.unionByName(batch), priorities).select(*batch.columns)
+    return winners.replace(merged, loads=loads, base=base)
+
+
 def first_prices(prices: DataFrame, key: str = "id_ativo", date_col: str = "data_referencia",
                  price_col: str = "preco_mercado") -> DataFrame:
     """Earliest non-NULL price of each series (aggregate, combined map-side)."""

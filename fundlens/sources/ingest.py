@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from fundlens.operators.dedup import first_per_key
 from fundlens.operators.joins import new_keys
+from fundlens.sources.versions import Manifest, VersionedTable
 
 # Column defaults of the source model (fixed values).
 DEFAULTS: dict[str, dict[str, str]] = {
@@ -61,6 +62,41 @@ def append_if_absent(spark, batch: DataFrame, path: str, keys: Sequence[str],
     return int(obs.get.get("rows", 0))
 
 
+def insert_once(table: VersionedTable, batch: DataFrame, keys: Sequence[str], source: str, number: int,
+                order: Sequence[Column] | None = None) -> int:
+    """Load ``number`` of ``source`` into a versioned table: rows whose key is absent, exactly once.
+
+    The load number is committed with the rows, so a load that is repeated (after a failure, or sent twice) appends
+    nothing and reads nothing. The target is read only in the partitions the batch touches,
+    and a concurrent writer to one of these raises ``ConflictError``. ``keys`` must contain the
+    partition columns, or name something that never moves between partitions. Returns the rows appended.
+    """
+    base = table.manifest()
+    if base.loads.get(source, number - 1) >= number:
+        return 0
+    new = insert_if_absent(batch, target_of(table, batch, base), keys, order)
+    return table.append(new.select(*batch.columns), {source: number}, base, depends=True).rows
+
+
+def target_of(table: VersionedTable, batch: DataFrame, base: Manifest | None = None) -> DataFrame:
+    """The rows of ``table`` in the partitions that ``batch`` touches: other folders are not listed, and
+    the scan carries the partition filter."""
+    base = table.manifest() if base is None else base
+    touched = table.folders_of(batch)
+    rows = table.read(base.version, only=touched, schema=batch.schema)
+    return rows.filter(in_partitions(table, touched))
+
+
+def in_partitions(table: VersionedTable, touched: Mapping[str, Mapping]) -> Column:
+    """Whether a row lies in one of the partitions ``touched`` (see ``VersionedTable.folders_of``)."""
+    keep = F.lit(True)
+    for c in table.partition_by:
+        values = {v[c] for v in touched.values()}
+        known = F.col(c).isin(sorted(v for v in values if v is not None))
+        keep = keep & (known | F.col(c).isNull() if None in values else known)
+    return keep
+
+
 def apply_defaults(df: DataFrame, table: str, extra: Mapping[str, Column] | None = None) -> DataFrame:
     """Fill absent or NULL defaulted columns: status and the audit timestamps (load time)."""
     defaults: dict[str, Column] = {c: F.lit(v) for c, v in DEFAULTS.get(table, {}).items()}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 from operator import and_
@@ -32,6 +33,13 @@ def output_path(base_dir: str, name: str, append_timestamp: bool = False, now: d
     return f"{base_dir.rstrip('/')}/{name}"
 
 
+def unused_names(columns: Sequence[str], count: int) -> list[str]:
+    """``count`` column names that clash with none of ``columns``."""
+    taken = {c.lower() for c in columns}
+    free = (f"_h{i}" for i in range(len(taken) + count))
+    return [n for n in free if n not in taken][:count]
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> None:
     """Write ``df`` as CSV. NULL is an empty field and an empty string is ``""``.
 
@@ -58,11 +66,13 @@ def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = (),
         files, columns = F.lit(files_per_value), df.columns
         if files_per_value is None:
             # a row per value of more than one file: at most rows / file_rows
-            sizes = df.groupBy(*[F.col(c).alias(f"__{c}") for c in partition_by]).agg(F.count(F.lit(1)).alias("__rows")) \
-                .filter(F.col("__rows") > file_rows).withColumn("__files", F.ceil(F.col("__rows") / file_rows))
-            same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in partition_by]
+            rows, split, *own = unused_names(columns, 2 + len(partition_by))
+            sizes = df.groupBy(*[F.col(c).alias(o) for c, o in zip(partition_by, own, strict=True)]) \
+                .agg(F.count(F.lit(1)).alias(rows)).filter(F.col(rows) > file_rows) \
+                .withColumn(split, F.ceil(F.col(rows) / file_rows))
+            same = [F.col(c).eqNullSafe(F.col(o)) for c, o in zip(partition_by, own, strict=True)]
             df = df.join(F.broadcast(sizes), reduce(and_, same), "left")
-            files = F.coalesce("__files", F.lit(1))
+            files = F.coalesce(split, F.lit(1))
         df = df.repartition(*[F.col(c) for c in partition_by], F.pmod(F.xxhash64(*columns), files)) \
             .select(*columns).sortWithinPartitions(*partition_by, *sort_by)
     w = df.write.mode(mode)

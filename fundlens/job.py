@@ -98,8 +98,8 @@ def load_star(spark: SparkSession, cfg: JobConfig) -> Star:
         src = JdbcSource(cfg.jdbc_url, driver=cfg.jdbc_driver, user=cfg.jdbc_user,
                          password=cfg.jdbc_password, schema=cfg.jdbc_schema)
         parts = {"posicao_carteira": "id_posicao", "preco_mercado": "id_preco"}
-        frames = {name: src.read_table(spark, name, schemas.TABLES[name], partition_column=parts.get(name),
-                                       num_partitions=cfg.jdbc_partitions if name in parts else 1)
+        frames = {name: src.read_balanced(spark, name, parts[name], cfg.jdbc_partitions, schemas.TABLES[name])
+                  if name in parts else src.read_table(spark, name, schemas.TABLES[name])
                   for name in ("fundo", "ativo", "emissor", "posicao_carteira", "preco_mercado")}
         return Star(fundo=frames["fundo"], ativo=frames["ativo"], emissor=frames["emissor"],
                     posicao=frames["posicao_carteira"], preco=frames["preco_mercado"])

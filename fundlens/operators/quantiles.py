@@ -1,13 +1,11 @@
 """Exact quantiles (linear interpolation) and descriptive statistics.
 
 ``percentile`` keeps every distinct value of a group in one aggregation
-buffer and ``summary()`` is approximate. ``exact_quantiles`` brackets each
-wanted rank instead: a mergeable sketch proposes two values around it, one
-aggregate counts the rows below, at, between and above them exactly, and the
-part that holds the rank is the next bracket. A bracket that holds one value
-only is the answer; when it holds few rows these are read and ranked. Every
-pass is one map-side combined aggregate over all brackets of all columns, so
-no row is shuffled, and a value repeated on a third of the rows costs nothing.
+buffer and ``summary()`` is approximate. ``exact_quantiles`` selects by radix
+instead: one histogram of all columns over logarithmic buckets serves all wanted
+ranks; buckets that hold a rank and many rows are divided again; then the distinct values of
+the buckets that hold a rank are counted and ranked. Every pass is one map-side combined count
+over all columns, so no row is shuffled, and a value repeated on a third of the rows costs nothing.
 
 Interpolation is done in DECIMAL, so the result is exact.
 """
@@ -17,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,76 +33,96 @@ def unpivot_values(df: DataFrame, cols: Sequence[str], ids: Sequence[str] = ())
               .filter(F.col("valor").isNotNull()))
 
 
-#: A bracket of at most this many rows is read and ranked.
-SMALL_BRACKET = 10_000
-SKETCH_ACCURACY = 10_000
-
-
-def _inside(value: Column, low: Decimal | None, high: Decimal | None) -> Column:
-    keep = F.lit(True)
-    if low is not None:
-        keep = keep & (value >= F.lit(low).cast(VALUE))
-    if high is not None:
-        keep = keep & (value <= F.lit(high).cast(VALUE))
-    return keep
-
-
-def _narrow(values: DataFrame, brackets: list[dict]) -> None:
-    """One round: shrink each bracket to the part that holds its rank."""
-    spread = 2.0 / SKETCH_ACCURACY
-    edges = values.agg(*[
-        F.percentile_approx(F.when(_inside(F.col(b["col"]), b["low"], b["high"]), F.col(b["col"])),
-                            [max(0.0, (b["rank"] - b["below"]) / b["rows"] - spread),
-                             min(1.0, (b["rank"] - b["below"] + 1) / b["rows"] + spread)], SKETCH_ACCURACY).alias(f"e{i}")
-        for i, b in enumerate(brackets)]).first()
-    aggs = []
-    for i, b in enumerate(brackets):
-        v, (x, y) = F.col(b["col"]), (F.lit(e).cast(VALUE) for e in edges[f"e{i}"])
-        own = _inside(v, b["low"], b["high"])
-        for part, where in (("lt", v < x), ("at", v == x), ("mid", (v > x) & (v < y)), ("end", (v == y) & (y > x)),
-                            ("gt", v > y)):
-            aggs += [F.count_if(own & where).alias(f"n{i}{part}"), F.min(F.when(own & where, v)).alias(f"a{i}{part}"),
-                     F.max(F.when(own & where, v)).alias(f"b{i}{part}")]
-    found = values.agg(*aggs).first()
-    for i, b in enumerate(brackets):
-        below = b["below"]
-        for part in ("lt", "at", "mid", "end", "gt"):
-            rows = found[f"n{i}{part}"]
-            if b["rank"] < below + rows:
-                b.update(below=below, rows=rows, low=found[f"a{i}{part}"], high=found[f"b{i}{part}"])
-                break
-            below += rows
+#: Buckets per unit of the logarithm in the first histogram, and parts of a bucket in each further one.
+BUCKETS, FAN = 256, 4096
+#: A bucket of at most this many rows is read; the finest level is read whatever it holds.
+SMALL_BUCKET, FINEST = 10_000, 3
+
+
+def _bucket(col: str, level: int) -> Column:
+    """The value's bucket: a step function of it that never falls, finer with each level. Logarithms keep the number
+    of buckets bounded (about 30 * BUCKETS a column at level 0) however the values are spread."""
+    x = F.col(col).cast("double")
+    return (F.signum(x) * F.floor(F.log1p(F.abs(x)) * float(BUCKETS * FAN ** level))).cast("long")
+
+
+def _histogram(values: DataFrame, paths: Sequence[tuple]) -> dict[tuple, list[tuple[int, int]]]:
+    """Per path ``(column, bucket at level 0, bucket at level 1, ...)`` the ascending (bucket, rows) one level below it,
+    all in one map-side combined count."""
+    def entry(i: int, path: tuple) -> Column:
+        col, *above = path
+        inside = F.col(col).isNotNull()
+        for level, b in enumerate(above):
+            inside = inside & (_bucket(col, level) == b)
+        return F.when(inside, F.struct(F.lit(i).alias("i"), _bucket(col, len(above)).alias("b")))
+
+    found = values.select(F.explode(F.array(*[entry(i, p) for i, p in enumerate(paths)])).alias("e")) \
+        .filter("e IS NOT NULL").groupBy("e.i", "e.b").agg(F.count(F.lit(1)).alias("n")).collect()
+    out: dict[tuple, list[tuple[int, int]]] = {p: [] for p in paths}
+    for r in sorted(found, key=lambda r: (r["i"], r["b"])):
+        out[paths[r["i"]]].append((r["b"], r["n"]))
+    return out
+
+
+def _distinct(values: DataFrame, paths: Sequence[tuple]) -> dict[tuple, list[tuple[Decimal, int]]]:
+    """Per path the ascending (value, rows) in its bucket: each distinct value once."""
+    def entry(i: int, path: tuple) -> Column:
+        col, *above = path
+        inside = F.col(col).isNotNull()
+        for level, b in enumerate(above):
+            inside = inside & (_bucket(col, level) == b)
+        return F.when(inside, F.struct(F.lit(i).alias("i"), F.col(col).cast(VALUE).alias("v")))
+
+    found = values.select(F.explode(F.array(*[entry(i, p) for i, p in enumerate(paths)])).alias("e")) \
+        .filter("e IS NOT NULL").groupBy("e.i", "e.v").agg(F.count(F.lit(1)).alias("n")).collect()
+    out: dict[tuple, list[tuple[Decimal, int]]] = {p: [] for p in paths}
+    for r in sorted(found, key=lambda r: (r["i"], r["v"])):
+        out[paths[r["i"]]].append((r["v"], r["n"]))
+    return out
+
+
+def _holding(parts: Sequence[tuple], rank: int) -> tuple:
+    """(part, rows before it, its rows) of the part that holds the row of this rank."""
+    below = 0
+    for part, n in parts:
+        if rank < below + n:
+            return part, below, n
+        below += n
+    raise ValueError("the counts do not reach the rank")
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75),
-                    small: int = SMALL_BRACKET) -> DataFrame:
+                    small: int = SMALL_BUCKET) -> DataFrame:
     """``(coluna, p, valor)``: the linear-interpolation quantile of each column.
 
-    ``df`` is read a few times: give a scan or a written table. Columns without
-    values give no rows. The brackets (a few values per column and quantile) live
-    on the driver; each round costs two aggregates.
+    ``df`` is read two times or, where one of the first buckets holds many rows, a few times more: give a scan
+    or a written table. Columns without values give no rows. The driver gets bucket counts,
+    whose number is bounded, and the values of the buckets that hold a wanted rank.
     """
-    values = df.select(*[F.col(c).cast(VALUE).alias(c) for c in cols])
-    totals = values.agg(*[F.count(c).alias(c) for c in cols]).first()
-    wanted, brackets = [], {}
+    values = df.select(*cols)
+    first = _histogram(values, [(c,) for c in cols])
+    wanted, ranks = [], {}
     for c in cols:
-        for p in probs if totals[c] else ():
-            at = (totals[c] - 1) * Decimal(str(p))
+        rows = sum(n for _, n in first[c,])
+        for p in probs if rows else ():
+            at = (rows - 1) * Decimal(str(p))
             low = int(at)
-            ranks = (low, min(low + 1, totals[c] - 1))
-            wanted.append((c, p, at - low, ranks))
-            for k in ranks:
-                brackets.setdefault((c, k), {"col": c, "rank": k, "low": None, "high": None, "below": 0, "rows": totals[c]})
-    while wide := [b for b in brackets.values() if b["rows"] > small and (b["low"] is None or b["low"] != b["high"])]:
-        _narrow(values, wide)
-    pick = {}
-    for key, b in brackets.items():
-        if b["low"] is not None and b["low"] == b["high"]:
-            pick[key] = b["low"]
-        else:  # at most `small` rows
-            rows = sorted(r[0] for r in values.filter(F.col(b["col"]).isNotNull() & _inside(F.col(b["col"]), b["low"], b["high"]))
-                          .select(b["col"]).collect())
-            pick[key] = rows[b["rank"] - b["below"]]
+            both = (low, min(low + 1, rows - 1))
+            wanted.append((c, p, at - low, both))
+            for k in both:
+                b, below, n = _holding(first[c,], k)
+                ranks[c, k] = ((c, b), k - below, n)
+    for level in range(1, FINEST + 1):
+        wide = sorted({path for path, _, n in ranks.values() if n > small and len(path) == level + 1})
+        if not wide:
+            break
+        finer = _histogram(values, wide)
+        for key, (path, rank, _) in list(ranks.items()):
+            if path in finer:
+                b, below, n = _holding(finer[path], rank)
+                ranks[key] = ((*path, b), rank - below, n)
+    read = _distinct(values, sorted({path for path, _, _ in ranks.values()}, key=repr)) if ranks else {}
+    pick = {key: _holding(read[path], rank)[0] for key, (path, rank, _) in ranks.items()}
     out = [(c, float(p), pick[c, a] + (pick[c, z] - pick[c, a]) * part) for c, p, part, (a, z) in wanted]
     return df.sparkSession.createDataFrame(
         [(c, p, v.quantize(Decimal(10) ** -12)) for c, p, v in out], "coluna string, p double, valor decimal(38,12)")
@@ -123,18 +141,20 @@ def approx_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]
 def describe(df: DataFrame, cols: Sequence[str], scale: int = 2, approx: bool = False) -> DataFrame:
     """count, mean, sample std, min, 25%, 50%, 75%, max per column, rounded HALF_UP to ``scale``.
 
-    The columns are written once; moments of all columns come from one plain
-    aggregate of them and quartiles from :func:`exact_quantiles`, or from
+    Runs when it is called: the columns are written once, and the moments of all of them are observed on that
+    write; quartiles come from :func:`exact_quantiles` of the written columns, or from
     :func:`approx_quantiles` (one pass) when ``approx``.
     """
-    out_t = T.DecimalType(38, scale)
-    values = written(df.select(*[F.col(c).cast(VALUE).alias(c) for c in cols]), "describe")
-    moments = values.agg(*[x for c in cols for x in (
-        F.count(c).alias(f"{c}_count"), F.sum(c).alias(f"{c}_sum"), F.stddev_samp(F.col(c).cast("double")).alias(f"{c}_std"),
-        F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"))])
-    entries = [F.struct(F.lit(c).alias("coluna"), *[F.col(f"{c}_{k}").alias(f"_{k}" if k != "count" else "count")
-                                                    for k in ("count", "sum", "std", "min", "max")]) for c in cols]
-    moments = moments.select(F.explode(F.array(*entries)).alias("_e")).select("_e.*").filter("count > 0")
+    out_t, spark = T.DecimalType(38, scale), df.sparkSession
+    seen = Observation("moments")
+    values = written(df.select(*cols).observe(seen, *[x for c in cols for x in (
+        F.count(c).alias(f"{c}_count"), F.sum(c).cast("decimal(38,6)").alias(f"{c}_sum"),
+        F.stddev_samp(F.col(c).cast("double")).alias(f"{c}_std"),
+        F.min(c).cast(VALUE).alias(f"{c}_min"), F.max(c).cast(VALUE).alias(f"{c}_max"))]), "describe")
+    found = seen.get
+    moments = spark.createDataFrame([(c, *[found[f"{c}_{k}"] for k in ("count", "sum", "std", "min", "max")]) for c in cols
+                                     if found.get(f"{c}_count")],
+                                    "coluna string, count long, _sum decimal(38,6), _std double, _min decimal(24,6), _max decimal(24,6)")
     q = approx_quantiles(values, cols) if approx else exact_quantiles(values, cols)
     qw = q.groupBy("coluna").agg(*[
         F.max(F.when(F.col("p") == p, F.col("valor"))).alias(name)

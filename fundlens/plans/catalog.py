@@ -18,8 +18,11 @@ from fundlens.operators.dedup import first_per_key
 from fundlens.operators.joins import count_orphans, new_keys
 from fundlens.plans import exposure, mtm, profile, ranking, risk
 from fundlens.plans import flat as flatmod
-from fundlens.plans.prices import business_days, cumulative_return, prices_by_priority, recent_returns
+from fundlens.plans.prices import business_days, cumulative_return, merge_prices, prices_by_priority, recent_returns
+from fundlens.session import scratch_dir, written
 from fundlens.sources.driver_tables import event_prices, star_from_driver
+from fundlens.sources.ingest import insert_once
+from fundlens.sources.versions import VersionedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -51,6 +54,59 @@ def q02(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatmod.carteira_flat(_star(spark, sf_dir))
 
 
+def _by_year(df: DataFrame, date_col: str) -> DataFrame:
+    return df.withColumn("ano", F.year(date_col))
+
+
+@register("w01_kept_winners")
+def w01_kept(spark, sf_dir):
+    """The winning prices kept in a versioned table and merged load by load: the quotes come in three
+    loads that cut across dates, assets and sources, so later loads hold late and better quotes."""
+    quotes = written(_by_year(_star(spark, sf_dir).preco, "data_referencia"), "quotes")
+    table = VersionedTable(spark, scratch_dir(spark, "winners"), ("ano",), ("data_referencia", "id_ativo"))
+    for load in range(3):
+        merge_prices(table, quotes.filter(F.pmod("id_preco", F.lit(3)) == load), loads={"quotes": load})
+    return table.read().select("data_referencia", "id_ativo", "preco_mercado", "fonte_preco")
+
+
+@register("x02_positions_as_of")
+def x02(spark, sf_dir):
+    """Positions published in versions: all of them, then 1995 corrected, then 1996 emptied; per version and year."""
+    rows = written(_by_year(_star(spark, sf_dir).posicao, "data_posicao"), "positions")
+    table = VersionedTable(spark, scratch_dir(spark, "positions"), ("ano",), ("data_posicao", "id_fundo"))
+    table.append(rows)
+    year = rows.filter("ano = 1995")
+    table.replace(year.withColumn("valor_financeiro", (F.col("valor_financeiro") * 2).cast(schemas.MONEY)))
+    table.replace(year.limit(0), folders=["ano=1996"])
+    return quality.union_all([table.read(v).groupBy("ano").agg(
+        F.count(F.lit(1)).alias("n_posicoes"), F.sum("valor_financeiro").cast("decimal(38,2)").alias("valor_total"))
+        .select(F.lit(v).alias("versao"), "ano", "n_posicoes", "valor_total") for v in table.versions()])
+
+
+@register("s11b_insert_once")
+def s11b(spark, sf_dir):
+    """The insertion of ``s11`` into a versioned price table, sent twice: the second time appends nothing."""
+    star = _star(spark, sf_dir)
+    cols = ["data_referencia", "id_ativo", "preco_mercado", "fonte_preco", "ano"]
+    table = VersionedTable(spark, scratch_dir(spark, "prices"), ("ano",), ("data_referencia",))
+    table.append(_by_year(star.preco, "data_referencia").select(*cols))
+    batch = written(_by_year(star.posicao.select(
+        F.col("data_posicao").alias("data_referencia"), "id_ativo", F.col("preco_unitario").alias("preco_mercado"),
+        F.lit("ANBIMA").alias("fonte_preco"), "id_fundo"), "data_referencia"), "batch")
+    keys = ["data_referencia", "id_ativo", "fonte_preco", "ano"]
+    first = first_per_key(batch, keys, [F.col("id_fundo")]).select(*cols)
+    for _ in range(2):
+        insert_once(table, first, keys, "positions", 1)
+    return table.read().groupBy("fonte_preco").agg(F.count(F.lit(1)).alias("n_precos"),
+                                                   F.sum("preco_mercado").cast("decimal(38,6)").alias("soma"))
+
+
+@register("q03b_overview_approx")
+def q03b(spark, sf_dir):
+    """The KPIs of all dates, merged from one kept row of sketches per date."""
+    return exposure.overview_approx(written(exposure.kpi_sketches(_typed(spark, sf_dir)), "kpi-sketches"))
+
+
 @register("q01b_event_prices_by_priority")
 def q01b(spark, sf_dir):
     """Second price stream: only unknown sources, so every tie is at the fallback rank."""

@@ -53,6 +53,34 @@ def total_by(flat: DataFrame, keys: Sequence[str | Column], share: bool = False,
     return with_share(g) if share else g
 
 
+#: log2 of a sketch's registers: a relative standard error of about 0.8 %.
+SKETCH_LG_K = 14
+
+
+def kpi_sketches(flat: DataFrame, lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """Per position date what the KPIs of any set of dates can be merged from: distinct-count sketches of
+    funds, assets and issuers, total PL, positions. A row of a few 10 KB per date, to be kept and
+    extended day by day; the positions are not read again."""
+    return flat.groupBy("data_posicao").agg(
+        F.hll_sketch_agg("nome_fundo", F.lit(lg_k)).alias("sk_fundos"),
+        F.hll_sketch_agg("codigo_ativo", F.lit(lg_k)).alias("sk_ativos"),
+        F.hll_sketch_agg("nome_emissor", F.lit(lg_k)).alias("sk_emissores"),
+        sum_exact(VALUE, 2).alias("pl_total"), F.count(F.lit(1)).alias("n_posicoes"))
+
+
+def overview_approx(sketches: DataFrame, date_from: str | None = None, date_to: str | None = None) -> DataFrame:
+    """:func:`overview` of a date window from :func:`kpi_sketches`: distinct counts are estimates (standard
+    error about 1.04 / sqrt(2^lg_k)), the rest is exact."""
+    if date_from is not None:
+        sketches = sketches.filter(F.col("data_posicao") >= F.lit(date_from).cast("date"))
+    if date_to is not None:
+        sketches = sketches.filter(F.col("data_posicao") <= F.lit(date_to).cast("date"))
+    return sketches.agg(
+        *[F.hll_sketch_estimate(F.hll_union_agg(f"sk_{c}")).alias(f"n_{c}") for c in ("fundos", "ativos", "emissores")],
+        F.sum("pl_total").cast("decimal(38,2)").alias("pl_total"), F.sum("n_posicoes").alias("n_posicoes"),
+        F.min("data_posicao").alias("data_inicial"), F.max("data_posicao").alias("data_final"))
+
+
 def overview(flat: DataFrame, as_of: str | None = None) -> DataFrame:
     """Fund, asset and issuer counts, total PL and the date range (one row)."""
     return scope(flat, as_of).agg(

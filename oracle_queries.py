@@ -157,6 +157,23 @@ def _shared(key_sql: str, key_name: str, where: str = "") -> tuple[str, str]:
 
 
 _q("q01_prices_by_priority", "SELECT data_referencia, id_ativo, preco_mercado, fonte_preco FROM preco_dedup")
+_q("w01_kept_winners", "SELECT data_referencia, id_ativo, preco_mercado, fonte_preco FROM preco_dedup")
+_q("x02_positions_as_of", """
+SELECT versao, CAST(ano AS INTEGER) AS ano, count(*) AS n_posicoes, CAST(sum(valor * fator) AS DECIMAL(38,2)) AS valor_total
+FROM (SELECT v AS versao, year(data_posicao) AS ano, valor_financeiro AS valor,
+             CASE WHEN v >= 2 AND year(data_posicao) = 1995 THEN 2 ELSE 1 END AS fator
+      FROM posicao, (VALUES (1), (2), (3)) t(v) WHERE v < 3 OR year(data_posicao) <> 1996)
+GROUP BY 1, 2""")
+_q("s11b_insert_once", """
+SELECT fonte_preco, count(*) AS n_precos, CAST(sum(preco_mercado) AS DECIMAL(38,6)) AS soma FROM (
+  SELECT fonte_preco, preco_mercado FROM preco
+  UNION ALL
+  SELECT fonte_preco, preco_mercado FROM b
+  WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM preco p WHERE p.data_referencia = b.data_referencia
+                               AND p.id_ativo = b.id_ativo AND p.fonte_preco = b.fonte_preco)) GROUP BY 1""", """
+b AS (SELECT data_posicao AS data_referencia, id_ativo, preco_unitario AS preco_mercado, 'ANBIMA' AS fonte_preco,
+             row_number() OVER (PARTITION BY data_posicao, id_ativo ORDER BY id_fundo) AS rn
+      FROM posicao)""")
 _q("q01b_event_prices_by_priority", f"""
 SELECT data_referencia, id_ativo, preco_mercado, fonte_preco, id_preco FROM (
   SELECT *, row_number() OVER (PARTITION BY data_referencia, id_ativo

@@ -30,7 +30,8 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(base_queries()) == set(base_sql())
+    assert set(base_queries()) - set(base_sql()) == {"q03b_overview_approx"}  # estimates: tested against q03
+    assert set(base_sql()) <= set(base_queries())
     assert set(base_queries()) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
@@ -50,7 +51,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(base_queries()))
+@pytest.mark.parametrize("name", sorted(base_sql()))
 def test_query_matches_oracle_on_smoke_data(spark, duck, name):
     sdf = base_queries()[name](spark, SMOKE)
     srows = [tuple(r) for r in sdf.collect()]

@@ -54,6 +54,7 @@ class JobConfig:
     append_timestamp: bool = False
     output_format: str = "csv"           # csv | parquet | versioned
     single_file: bool = False
+    cluster: bool = False                # parquet, versioned: files clustered by fund and asset
     date_from: str | None = None
     date_to: str | None = None
     strict: bool = True
@@ -208,13 +209,14 @@ def run(spark: SparkSession, cfg: JobConfig) -> dict:
 
     with plog.phase("load"):
         out = output_path(cfg.output_dir, cfg.output_name, cfg.append_timestamp)
+        order = {"cluster_by" if cfg.cluster else "sort_by": ("cnpj_fundo", "codigo_ativo")}
         if cfg.output_format == "csv":
             write_csv(sort_output(text), out, single_file=cfg.single_file)
         elif cfg.output_format == "parquet":
             typed_staged = spark.read.parquet(staged)
-            write_parquet(typed_staged, out, partition_by=("data_posicao",), sort_by=("cnpj_fundo", "codigo_ativo"))
+            write_parquet(typed_staged, out, partition_by=("data_posicao",), **order)
         elif cfg.output_format == "versioned":
-            table = VersionedTable(spark, out, ("data_posicao",), ("cnpj_fundo", "codigo_ativo"))
+            table = VersionedTable(spark, out, ("data_posicao",), **order)
             report["version"] = table.replace(spark.read.schema(typed.schema).parquet(staged)).version
         else:
             raise ValueError(f"unknown output format {cfg.output_format!r}")
@@ -239,6 +241,7 @@ def parse_args(argv: list[str] | None = None) -> JobConfig:
     p.add_argument("--append-timestamp", action="store_true")
     p.add_argument("--output-format", default="csv", choices=("csv", "parquet", "versioned"))
     p.add_argument("--single-file", action="store_true")
+    p.add_argument("--cluster", action="store_true")
     p.add_argument("--date-from")
     p.add_argument("--date-to")
     p.add_argument("--no-strict", action="store_true")
@@ -248,7 +251,7 @@ def parse_args(argv: list[str] | None = None) -> JobConfig:
     return JobConfig(source=a.source, input_dir=a.input_dir, jdbc_url=a.jdbc_url, jdbc_user=a.jdbc_user,
                      jdbc_password=a.jdbc_password, jdbc_schema=a.jdbc_schema, jdbc_partitions=a.jdbc_partitions,
                      output_dir=a.output_dir, output_name=a.output_name, append_timestamp=a.append_timestamp,
-                     output_format=a.output_format, single_file=a.single_file, date_from=a.date_from,
+                     output_format=a.output_format, single_file=a.single_file, cluster=a.cluster, date_from=a.date_from,
                      date_to=a.date_to, strict=not a.no_strict, hot_min_rows=a.hot_min_rows)
 
 

@@ -22,6 +22,7 @@ from fundlens.plans.prices import business_days, cumulative_return, merge_prices
 from fundlens.session import scratch_dir, written
 from fundlens.sources.driver_tables import event_prices, star_from_driver
 from fundlens.sources.ingest import insert_once
+from fundlens.sources.sinks import write_parquet
 from fundlens.sources.versions import VersionedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -482,6 +483,15 @@ def x03b(spark, sf_dir):
     return flatmod.render_flat(flatmod.flat_typed(star).filter(F.col("classe_ativo") == "Renda Fixa"))
 
 
+@register("x03c_clustered_flat_asset")
+def x03c(spark, sf_dir):
+    """The flat view written in files clustered by fund and asset, read back for one asset: a filter that
+    is not on the date or the fund, and still skips files."""
+    path = scratch_dir(spark, "clustered")
+    write_parquet(written(_typed(spark, sf_dir), "flat"), path, cluster_by=("cnpj_fundo", "codigo_ativo"), file_rows=10_000)
+    return flatmod.render_flat(spark.read.parquet(path).filter(F.col("codigo_ativo") == "P77"))
+
+
 @register("x04_fund_risk")
 def x04(spark, sf_dir):
     return risk.fund_risk(_typed(spark, sf_dir))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 from operator import and_
@@ -10,6 +9,9 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fundlens.sources.clustering import clustered
+from fundlens.sources.names import unused_names
+
 CSV_OPTIONS = {
     "header": "true",
     "encoding": "UTF-8",
@@ -33,13 +35,6 @@ def output_path(base_dir: str, name: str, append_timestamp: bool = False, now: d
     return f"{base_dir.rstrip('/')}/{name}"
 
 
-def unused_names(columns: Sequence[str], count: int) -> list[str]:
-    """``count`` column names that clash with none of ``columns``."""
-    taken = {c.lower() for c in columns}
-    free = (f"_h{i}" for i in range(len(taken) + count))
-    return [n for n in free if n not in taken][:count]
-
-
 def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> None:
     """Write ``df`` as CSV. NULL is an empty field and an empty string is ``""``.
 
@@ -56,12 +51,15 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "
 
 def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), mode: str = "overwrite",
                   dynamic: bool = True, files_per_value: int | None = None, sort_by: tuple[str, ...] = (),
-                  file_rows: int = FILE_ROWS) -> None:
+                  file_rows: int = FILE_ROWS, cluster_by: tuple[str, ...] = ()) -> None:
     """Columnar output; with ``partition_by`` and ``dynamic`` an overwrite replaces only
     the partitions present in ``df`` (incremental daily loads). ``files_per_value`` is the
     number of files of each partition value; by default it follows from a count of each value's rows (one
-    file per ``file_rows`` of them), so no value, however large, is one task's work."""
-    if partition_by:
+    file per ``file_rows`` of them), so no value, however large, is one task's work. ``cluster_by`` writes the files of a
+    value along the interleaved order of several columns (``clustering``), so that filters on any of them skip data."""
+    if cluster_by:
+        df = clustered(df, partition_by, cluster_by, -(-df.count() // file_rows))
+    elif partition_by:
         # Rows of a value meet in a few tasks (``files_per_value``) instead of every task writing a file for it.
         files, columns = F.lit(files_per_value), df.columns
         if files_per_value is None:

@@ -497,6 +497,7 @@ b AS (SELECT data_posicao AS data_referencia, id_ativo, preco_unitario AS preco_
 _q("x03_flat_fixed_income", FLAT_RENDER + " WHERE classe_ativo = 'Renda Fixa'")
 _q("x03b_flat_fund_dates_class", FLAT_RENDER + """ WHERE classe_ativo = 'Renda Fixa' AND nome_fundo = 'NATION_7 FIE'
   AND flat.data_posicao BETWEEN DATE '1994-01-01' AND DATE '1995-12-31'""")
+_q("x03c_clustered_flat_asset", FLAT_RENDER + " WHERE codigo_ativo = 'P77'")
 _q("x05_concentration_alerts", f"""
 SELECT 'ativo' AS nivel, codigo_ativo AS nome, valor_total, pct_total FROM (
   SELECT codigo_ativo, valor_total, {share('valor_total', '(SELECT sum(valor_total) FROM ag)')} AS pct_total FROM ag)

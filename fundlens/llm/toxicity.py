@@ -14,7 +14,8 @@ are derived for the query's chain: ``abusive`` (toxic, with a word that speaks f
 
 Labels come from a bounded sample (``labelled.MAX_ROWS``); every whole text is scored. Null
 text counts as empty, repeated rows are scored alike, and without training rows or with
-one class only the models are constants.
+one class only the models are constants. An empty table gives no rows, very long texts are read whole, extra columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlens.llm.common import py_fold, slices, staged, text_or_empty
@@ -44,23 +45,87 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3, steps: int = 25) -> np.ndarray:
-    """Weights, the intercept last, of a ridge logistic regression by Newton steps."""
-    n = x.shape[1] + 1
-    w, penalty = np.zeros(n), np.full(n, ridge)
+@dataclass
+class Presence:
+    """Which of ``width`` features each row has: the places (row, feature) that are one, and dense columns beside them."""
+
+    row: np.ndarray
+    feature: np.ndarray
+    rows: int
+    width: int
+    beside: np.ndarray
+
+    @classmethod
+    def of(cls, x: np.ndarray | Presence) -> Presence:
+        if isinstance(x, cls):
+            return x
+        row, feature = np.nonzero(x)
+        return cls(row, feature, len(x), x.shape[1], np.zeros((len(x), 0)))
+
+    def plus(self, columns: np.ndarray) -> Presence:
+        return Presence(self.row, self.feature, self.rows, self.width, np.hstack([self.beside, columns]))
+
+    def take(self, keep: np.ndarray) -> Presence:
+        """The rows where ``keep`` is true."""
+        inside, number = keep[self.row], np.cumsum(keep) - 1
+        return Presence(number[self.row[inside]], self.feature[inside], int(keep.sum()), self.width, self.beside[keep])
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        """Rows times weights: features, dense columns, intercept."""
+        return np.bincount(self.row, w[self.feature], self.rows) + self.beside @ w[self.width:-1] + w[-1]
+
+    def sums(self, v: np.ndarray) -> np.ndarray:
+        """Per weight the sum of ``v`` over the rows, each times its value."""
+        return np.r_[np.bincount(self.feature, v[self.row], self.width), self.beside.T @ v, v.sum()]
+
+    def squares(self, v: np.ndarray) -> np.ndarray:
+        return np.r_[np.bincount(self.feature, v[self.row], self.width), (self.beside ** 2).T @ v, v.sum()]
+
+    def count(self, wanted: np.ndarray) -> np.ndarray:
+        """How many of the wanted features each row has."""
+        return np.bincount(self.row, wanted[self.feature], self.rows)
+
+
+def logistic(x: np.ndarray | Presence, y: np.ndarray, ridge: float = 0.3, steps: int = 50, start: np.ndarray | None = None) -> np.ndarray:
+    """Weights, the intercept last, of a ridge logistic regression: Newton steps, each solved by conjugate
+    gradients scaled by the diagonal, so that the cost follows the features that rows have. The loss
+    is convex: ``start`` (weights of nearly the same rows) saves steps and changes nothing else."""
+    x = Presence.of(x)
+    n = x.width + x.beside.shape[1] + 1
+    w, penalty = (np.zeros(n) if start is None else start.copy()), np.full(n, ridge)
     penalty[-1] = 1e-3
+
+    def loss(w: np.ndarray, z: np.ndarray) -> float:
+        return float(np.logaddexp(0, z).sum() - y @ z + 0.5 * penalty @ (w * w))
+
+    z = x.times(w)
     for _ in range(steps):
-        square, slope = np.diag(penalty), -penalty * w
-        for at in range(0, len(x), 2048):  # the rows in blocks, so that only one block is copied
-            z = np.hstack([x[at:at + 2048], np.ones((len(x[at:at + 2048]), 1))])
-            p = _sigmoid(z @ w)
-            square = square + (z * (p * (1 - p))[:, None]).T @ z
-            slope = slope + z.T @ (y[at:at + 2048] - p)
-        step = np.linalg.solve(square, slope)
-        size = np.abs(step).max(initial=0)
-        w += step if size < 4 else step * (4 / size)
+        p = _sigmoid(z)
+        slope = x.sums(y - p) - penalty * w
+        size = np.abs(slope).max(initial=0)
         if size < 1e-6:
             break
+        v = p * (1 - p)
+        scale = x.squares(v) + penalty
+        step, rest = np.zeros(n), slope.copy()
+        move = rest / scale
+        fall = rest @ move
+        until = fall * min(0.01, size) ** 2
+        for _ in range(200):
+            image = x.sums(v * x.times(move)) + penalty * move
+            a = fall / (move @ image)
+            step += a * move
+            rest -= a * image
+            near = rest / scale
+            before, fall = fall, rest @ near
+            if fall <= until:
+                break
+            move = near + (fall / before) * move
+        now, gain, part = loss(w, z), slope @ step, 1.0
+        change = x.times(step)
+        while loss(w + part * step, z + part * change) > now - 1e-4 * part * gain and part > 1e-6:
+            part /= 2
+        w, z = w + part * step, z + part * change
     return w
 
 
@@ -80,18 +145,35 @@ class Chain:
         return out
 
 
-def fit_chain(x: np.ndarray, y: np.ndarray, folds: np.ndarray, words: Sequence[str], names: Sequence[str]) -> Chain:
-    """``x`` word presence, ``y`` (rows, categories) in chain order, ``folds`` the fold of each row."""
-    earlier, weights = np.zeros((len(x), 0)), []
+def out_of_fold(x: Presence, y: np.ndarray, held: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Probabilities of the held rows by a model of the others."""
+    return _sigmoid(x.take(held).times(logistic(x.take(~held), y[~held], start=start)))
+
+
+def _fold_rows(batches, x: Presence, y: np.ndarray, folds: np.ndarray, start: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for fold in batch.column("fold").to_pylist():
+            p = out_of_fold(x, y, folds == fold, start)
+            yield pa.RecordBatch.from_arrays([pa.array([fold], pa.int64()), pa.array([p], pa.list_(pa.float64()))], names=["fold", "p"])
+
+
+def fit_chain(x: np.ndarray | Presence, y: np.ndarray, folds: np.ndarray, words: Sequence[str], names: Sequence[str],
+              spark: SparkSession | None = None) -> Chain:
+    """``x`` word presence, ``y`` (rows, categories) in chain order, ``folds`` the fold of each row. With ``spark``
+    the folds of a category are tasks (their rows are the bounded sample)."""
+    x, weights, numbers = Presence.of(x), [], np.unique(folds).tolist()
     for c in range(y.shape[1]):
-        z = np.hstack([x, earlier.astype(x.dtype)])
-        weights.append(logistic(z, y[:, c]))
-        out = np.zeros(len(x))
-        for fold in np.unique(folds):
-            held = folds == fold
-            w = logistic(z[~held], y[~held, c])
-            out[held] = _sigmoid(z[held] @ w[:-1] + w[-1])
-        earlier = np.hstack([earlier, out[:, None]])
+        weights.append(logistic(x, y[:, c]))
+        out = np.zeros(x.rows)
+        if spark is not None and numbers:
+            tasks = spark.createDataFrame([(f,) for f in numbers], "fold long").repartition(len(numbers), "fold")
+            found = tasks.mapInArrow(partial(_fold_rows, x=x, y=y[:, c], folds=folds, start=weights[-1]), "fold long, p array<double>")
+            for r in found.collect():
+                out[folds == r["fold"]] = r["p"]
+        else:
+            for fold in numbers:
+                out[folds == fold] = out_of_fold(x, y[:, c], folds == fold, weights[-1])
+        x = x.plus(out[:, None])
     return Chain(list(words), list(names), weights)
 
 
@@ -154,7 +236,7 @@ def _presence_rows(batches, index: dict[str, int]) -> Iterator[pa.RecordBatch]:
                                           pa.array(found, pa.list_(pa.int32()))], names=["doc_id", "y", "x"])
 
 
-def folded(found: list, words: list[tuple[str, bool]]) -> tuple[np.ndarray, list[str], np.ndarray]:
+def folded(found: list, words: list[tuple[str, bool]]) -> tuple[Presence, list[str], np.ndarray]:
     """(presence of each feature, its marks, whether it speaks for label 1); marks with the same rows are one feature."""
     rows: list[list[int]] = [[] for _ in words]
     for i, own in enumerate(found):
@@ -163,15 +245,15 @@ def folded(found: list, words: list[tuple[str, bool]]) -> tuple[np.ndarray, list
     features: dict[tuple, list[int]] = {}
     for k, own in enumerate(rows):
         features.setdefault(tuple(own), []).append(k)
-    x = np.zeros((len(found), len(features)), np.float32)
-    for j, own in enumerate(features):
-        x[list(own), j] = 1
+    row = np.array([i for own in features for i in own], np.int64)
+    feature = np.repeat(np.arange(len(features)), [len(own) for own in features])
+    x = Presence(row, feature, len(found), len(features), np.zeros((len(found), 0)))
     return x, [" ".join(words[k][0] for k in ks) for ks in features.values()], np.array([words[ks[0]][1] for ks in features.values()], bool)
 
 
-def severity(x: np.ndarray, y: np.ndarray, speaks: np.ndarray) -> tuple[list[str], np.ndarray]:
+def severity(x: Presence, y: np.ndarray, speaks: np.ndarray) -> tuple[list[str], np.ndarray]:
     """The query's categories in chain order, from the label and the words that speak for it."""
-    found = x[:, speaks].sum(axis=1)
+    found = x.count(speaks)
     return ["abusive", "repeated", "toxic"], np.stack([y * (found >= 1), y * (found >= 3), y], axis=1)
 
 
@@ -186,7 +268,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, hold_out
     y = got["y"].to_numpy(np.float64)
     names, many = categories(x, y, speaks)
     folds = np.array([py_fold(d, 1 << 20) // 5 % FOLDS for d in got["doc_id"]], np.int64)
-    return fit_chain(x, many, folds, features, names)
+    return fit_chain(x, many, folds, features, names, docs.sparkSession)
 
 
 def _score(batches, chain: Chain, threshold: float) -> Iterator[pa.RecordBatch]:

@@ -84,6 +84,43 @@ def test_chain_feeds_earlier_categories_to_later_ones():
     assert abs(chain.weights[1][6]) > 0.5
 
 
+def test_sparse_logistic_equals_dense_newton_steps():
+    rnd = np.random.default_rng(4)
+    x = (rnd.random((600, 40)) < 0.1).astype(float)
+    y = (x[:, 0] + x[:, 1] + (rnd.random(600) < 0.1) > 0).astype(float)
+    w = toxicity.logistic(x, y, ridge=0.3)
+    z, penalty, want = np.hstack([x, np.ones((600, 1))]), np.full(41, 0.3), np.zeros(41)
+    penalty[-1] = 1e-3
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-z @ want))
+        want += np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + np.diag(penalty), z.T @ (y - p) - penalty * want)
+    assert np.allclose(w, want, atol=1e-6) and np.allclose(toxicity.logistic(x, y, start=want + 0.5), want, atol=1e-6)
+
+
+def test_toxicity_scores_equal_the_chain_applied_by_hand(spark, docs, labels, odd):
+    chain = toxicity.train(docs, labels)
+    texts = docs.select("doc_id", "text").limit(40).unionByName(odd.select("doc_id", "text"))
+    got = {}
+    for r in toxicity.score_toxicity(texts, chain).collect():
+        got.setdefault(r["doc_id"], []).append([r[f"p_{n}"] for n in chain.names])
+    for r in texts.collect():
+        words = set(re.findall(r"[^\W_]+", (r["text"] or "").lower()))
+        own = words | {w[:n] + "*" for w in words for n in toxicity.STEMS if len(w) > n}
+        has, earlier = [bool(own & set(f.split(" "))) for f in chain.words], []
+        for w in chain.weights:
+            z = sum(a for a, h in zip(w, has, strict=False) if h) + sum(a * p for a, p in zip(w[len(has):], earlier, strict=False)) + w[-1]
+            earlier.append(1 / (1 + math.exp(-z)))
+        assert any(np.allclose(p, earlier, atol=1e-9) for p in got[r["doc_id"]])
+
+
+def test_folds_as_tasks_equal_folds_in_turn(spark):
+    rnd = np.random.default_rng(6)
+    x = (rnd.random((300, 8)) < 0.3).astype(float)
+    y = np.stack([x[:, 0], x[:, 0] * x[:, 1]], 1)
+    a, b = (toxicity.fit_chain(x, y, np.arange(300) % 5, list("abcdefgh"), ["one", "two"], s) for s in (None, spark))
+    assert all(np.allclose(u, v, atol=1e-8) for u, v in zip(a.weights, b.weights, strict=True))
+
+
 def test_toxic_rows_are_caught_and_clean_ones_left(spark, docs, labels, odd):
     chain = toxicity.train(docs, labels)
     got = toxicity.score_toxicity(docs, chain).join(labels, "doc_id").toPandas()

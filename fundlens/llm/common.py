@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
 import pyarrow as pa
@@ -18,6 +21,46 @@ from fundlens.session import scratch_dir
 SLICE_CHARS = 4_000_000
 
 
+_kept: dict = {}
+
+
+def worker_cache(family: str, key, make: Callable):
+    """``make()``, kept between the tasks of a Python worker under (family, key). Workers are used again by
+    later stages, so what another family has kept is let go first, and its memory
+    returned: a worker never holds the tables of two operators."""
+    if any(f != family for f, _ in _kept):
+        for old in [k for k in _kept if k[0] != family]:
+            del _kept[old]
+        release_memory()
+    if (family, key) not in _kept:
+        _kept[family, key] = make()
+    return _kept[family, key]
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system (where the C library can)."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def batch_slices(batches: Iterator[pa.RecordBatch], text: str = "text",
+                 max_chars: int = SLICE_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """The batches, all columns, cut like :func:`slices`, with their texts (null as empty)."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        at = 0
+        while at < batch.num_rows:
+            end, total = at, 0
+            while end < batch.num_rows and (end == at or total + sizes[end] <= max_chars):
+                total += int(sizes[end])
+                end += 1
+            part = batch.slice(at, end - at)
+            yield part, [x or "" for x in part.column(text).to_pylist()]
+            at = end
+
+
 def ship(spark: SparkSession) -> None:
     """Let the Python workers of a local master import this package from wherever they
     start. On a cluster the package comes with ``--py-files`` or the executors' PYTHONPATH."""
@@ -64,21 +107,8 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
            max_chars: int = SLICE_CHARS) -> Iterator[tuple[dict[str, list], list[str]]]:
     """Python columns of the batches, cut so that no slice but a single long text
     holds more than ``max_chars`` bytes; the second part is the text column, null as empty."""
-    for batch in batches:
-        n = batch.num_rows
-        if not n:
-            continue
-        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-        at = 0
-        while at < n:
-            end, total = at, 0
-            while end < n and (end == at or total + sizes[end] <= max_chars):
-                total += int(sizes[end])
-                end += 1
-            part = batch.slice(at, end - at)
-            cols = {c: part.column(c).to_pylist() for c in part.schema.names if c != text}
-            yield cols, [x or "" for x in part.column(text).to_pylist()]
-            at = end
+    for part, texts in batch_slices(batches, text, max_chars):
+        yield {c: part.column(c).to_pylist() for c in part.schema.names if c != text}, texts
 
 
 def to_batch(columns: Sequence, schema: pa.Schema) -> pa.RecordBatch:

@@ -25,13 +25,13 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache, partial
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundlens.llm.common import slices, text_or_empty, to_batch
+from fundlens.llm.common import batch_slices, slices, text_or_empty, to_batch, worker_cache
 
 ERROR_RATE = 0.08
 MIN_WORDS = 5
@@ -141,9 +141,8 @@ class Matcher:
                 yield item_id, best[0], budget, best[1], len(pattern), short
 
 
-@lru_cache(maxsize=2)
 def _matcher(items: tuple, error_rate: float, min_words: int) -> Matcher:
-    return Matcher(list(items), error_rate, min_words)
+    return worker_cache("decontamination", (items, error_rate, min_words), lambda: Matcher(list(items), error_rate, min_words))
 
 
 def _search(batches, items: tuple, error_rate: float, min_words: int) -> Iterator[pa.RecordBatch]:
@@ -157,9 +156,8 @@ def _search(batches, items: tuple, error_rate: float, min_words: int) -> Iterato
 
 def _clean(batches, items: tuple, error_rate: float, min_words: int, short: bool) -> Iterator[pa.RecordBatch]:
     matcher = _matcher(items, error_rate, min_words)
-    for batch in batches:
-        if batch.num_rows:
-            yield batch.filter(pa.array([all(hit[-1] and not short for hit in matcher.find(t or "")) for t in batch.column("text").to_pylist()], pa.bool_()))
+    for part, texts in batch_slices(batches):
+        yield part.filter(pa.array([all(hit[-1] and not short for hit in matcher.find(t)) for t in texts], pa.bool_()))
 
 
 def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[tuple]:

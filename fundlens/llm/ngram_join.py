@@ -29,14 +29,14 @@ import math
 import re
 from collections.abc import Iterator
 from fractions import Fraction
-from functools import lru_cache, partial
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundlens.llm.common import shuffle_partitions, slices, staged, text_or_empty, to_batch
+from fundlens.llm.common import shuffle_partitions, slices, staged, text_or_empty, to_batch, worker_cache
 from fundlens.llm.components import components
 
 WORDS = 5
@@ -83,9 +83,8 @@ class _WordHashes(dict):
         return h
 
 
-@lru_cache(maxsize=1)
 def _word_hashes() -> _WordHashes:
-    return _WordHashes()
+    return worker_cache("ngrams", "words", _WordHashes)
 
 
 def ngram_set(text: str, words: int = WORDS) -> np.ndarray:

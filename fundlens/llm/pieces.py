@@ -20,10 +20,11 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from functools import lru_cache
 
 import numpy as np
 
+from fundlens.llm.common import worker_cache
+
 MAX_PIECES = 900_000
 
 _SPACE = r"[^\S\x1c-\x1f]"
@@ -123,7 +124,6 @@ class PieceEncoder(dict):
         return flat[place], np.diff(ends[np.cumsum(per_text, dtype=np.int64) - 1].astype(np.int64), prepend=0) if len(texts) else ends
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str, max_pieces: int = MAX_PIECES) -> PieceEncoder:
-    """The worker's encoder of a vocabulary file; kept between tasks."""
-    return PieceEncoder(path, max_pieces)
+    """The worker's encoder of a vocabulary file; kept between the tasks of operators that encode."""
+    return worker_cache("pieces", (path, max_pieces), lambda: PieceEncoder(path, max_pieces))

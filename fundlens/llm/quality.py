@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundlens.llm.common import py_fold, slices, text_or_empty, to_batch
+from fundlens.llm.common import batch_slices, py_fold, slices, text_or_empty, to_batch
 from fundlens.llm.labelled import MAX_ROWS, training_rows
 
 BINS = 32
@@ -228,10 +228,8 @@ def score_quality(docs: DataFrame, model: Additive, threshold: float = THRESHOLD
 
 
 def _keep(batches, model: Additive, threshold: float) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = [t or "" for t in batch.column("text").to_pylist()]
-        if texts:
-            yield batch.filter(pa.array(model.score(np.array([features(t) for t in texts])) >= threshold))
+    for part, texts in batch_slices(batches):
+        yield part.filter(pa.array(model.score(np.array([features(t) for t in texts])) >= threshold))
 
 
 def keep_good(docs: DataFrame, model: Additive, threshold: float = THRESHOLD) -> DataFrame:

@@ -7,8 +7,8 @@ feed. A text is cut at such borders only, every distinct piece is encoded by the
 and the results are put together in order, which gives the ids of the whole text (checked
 in the tests against whole texts). Pieces of Latin letters go to the library's merge model
 directly, by the byte alphabet of byte-level vocabularies; any other piece passes its whole
-chain (normalisation, splitting, merges). Strings of special tokens in a text are ordinary
-text.
+chain (normalisation, splitting, merges). Strings of added tokens in a text become that
+token, as the library has it by default, and the text is cut there first.
 
 The piece table of a worker holds at most about ``MAX_PIECES``; beyond, pieces used once
 are forgotten (and encoded anew if they come again), so memory is bounded whatever the
@@ -56,7 +56,12 @@ class PieceEncoder(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # Strings of added tokens in a text are that token to the library; it splits the text there first.
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        longest = sorted((re.escape(t.content) for t in added), key=len, reverse=True)
+        self.added_cut = re.compile("(" + "|".join(longest) + ")") if longest else None
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added):
+            raise ValueError(f"{path}: added tokens that are matched in context are not supported")
         self.model, self.normalizer = self.tokenizer.model, self.tokenizer.normalizer
         self.drops_space = self.normalizer is not None
         self.cut = _DROP_SPACE if self.drops_space else _KEEP_SPACE
@@ -105,11 +110,17 @@ class PieceEncoder(dict):
         if len(self.start) > self.max_pieces:
             self.forget()
         numbers, per_text, end, find, of = [], [], self.add([end_id]), self.cut.findall, self.__getitem__
+        mark = self.added_cut.search if self.added_cut else (lambda text: None)
         for text in texts:
-            pieces = find(text)
-            numbers.extend(map(of, pieces))
+            if mark(text):
+                own = []
+                for i, part in enumerate(self.added_cut.split(text)):  # every second part is an added token
+                    own += [of(part)] if i % 2 else map(of, find(part))
+            else:
+                own = list(map(of, find(text)))
+            numbers.extend(own)
             numbers.append(end)
-            per_text.append(len(pieces) + 1)
+            per_text.append(len(own) + 1)
         k = np.fromiter(numbers, np.int64, len(numbers))
         start, size = np.frombuffer(self.start, np.int32), np.frombuffer(self.size, np.int32)
         flat = np.frombuffer(self.flat, np.int32)

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 from fundlens.llm import huffman, packing
 from fundlens.llm.catalog import tokenizer_file
@@ -16,19 +17,19 @@ from fundlens.session import scratch_dir
 
 WORD, BYTE = "word_bpe_49k.json", "byte_bpe_50k.json"
 ODD = ["a", "B", "é", "é", " ", "  ", "\n", "\n\n", "\t", "\x1c", " ", "。", "漢字", "'s", "'", "n't", "...", "!?", "-", "_", "1", "½",
-       "×", "ß", "İ", "Σ", "ς", "́", "ŉ", "😀", "<|endoftext|>", "word", "The", ";", "\r\n", " ", "***", "\x00"]
+       "×", "ß", "İ", "Σ", "ς", "́", "ŉ", "😀", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "word", "The", ";", "\r\n", " ", "***", "\x00"]
 
 
 @pytest.fixture(scope="module")
 def docs(spark):
     rnd = random.Random(1)
     rows = [(i * 3 % 101, " ".join(rnd.choices(["the", "of", "Straße", "x1", "it's", "end.\nNew"], k=rnd.randint(0, 300)))) for i in range(100)]
-    rows += [(5000, "long " * 9000), (5001, None), (5002, ""), (0, "again"), (0, "again"), (None, "no id")]
+    rows += [(5000, "long " * 9000), (5001, None), (5002, ""), (5003, "a <|endoftext|> b<|endoftext|><|endoftext|>\n"), (0, "again"), (0, "again"), (None, "no id")]
     return spark.createDataFrame([(*r, 7, "u") for r in rows], "doc_id long, text string, start long, n_tokens string")
 
 
 def whole(name, texts):
-    t = PieceEncoder(tokenizer_file(name)).tokenizer
+    t = Tokenizer.from_file(tokenizer_file(name))
     return [[*e.ids, 1] for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 

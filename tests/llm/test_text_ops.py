@@ -59,6 +59,26 @@ def test_exact_dedup_equals_brute_force(odd_docs, buckets):
     assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
 
 
+@pytest.mark.parametrize("repeated", [False, True])
+def test_stages_keep_extra_columns_whatever_their_names(spark, repeated):
+    names = ["__id", "__sha", "__row", "__kept", "_h0", "_h1", "_h2", "kept", "row", "text_sha256", "class_id", "set_id"]
+    shape = "doc_id long, text string, " + ", ".join(f"{n} string" for n in names)
+    words = [" ".join(f"w{i * j % 97}" for i in range(1, 40)) for j in range(1, 6)]
+    texts = [*words, words[0], None, "", "x " * 50_000, words[1] + " end"]
+    rows = [(i, t, *[f"{n}{i}" for n in names]) for i, t in enumerate(texts)]
+    rows += [rows[2], (None, words[3], *names)] if repeated else []
+    docs = spark.createDataFrame(rows, shape)
+    whole = {tuple(r) for r in rows}
+    for out, gone in ((ed.drop_copies(docs), {words[0]}), (nj.keep_one(docs), {words[1]})):
+        assert out.columns == docs.columns
+        got = [tuple(r) for r in out.collect()]
+        assert set(got) <= whole and gone <= {r[1] for r in got}
+    kept = [r[1] or "" for r in ed.drop_copies(docs).collect()]
+    assert sorted(kept) == sorted({t or "" for t in texts})
+    left = [r[0] for r in nj.keep_one(docs).collect()]
+    assert 0 in left and 1 in left and not {5, 9} & set(left) and {6, 7, 8} <= set(left)
+
+
 def test_drop_copies_keeps_columns_and_one_of_each(odd_docs, spark):
     kept = ed.drop_copies(odd_docs)
     assert kept.columns == odd_docs.columns

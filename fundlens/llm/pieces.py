@@ -58,8 +58,8 @@ class PieceEncoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         # Strings of added tokens in a text are that token to the library; it splits the text there first.
         added = self.tokenizer.get_added_tokens_decoder().values()
-        longest = sorted((re.escape(t.content) for t in added), key=len, reverse=True)
-        self.added_cut = re.compile("(" + "|".join(longest) + ")") if longest else None
+        self.added = sorted((t.content for t in added), key=len, reverse=True)
+        self.added_cut = re.compile("(" + "|".join(map(re.escape, self.added)) + ")")
         if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added):
             raise ValueError(f"{path}: added tokens that are matched in context are not supported")
         self.model, self.normalizer = self.tokenizer.model, self.tokenizer.normalizer
@@ -110,17 +110,16 @@ class PieceEncoder(dict):
         if len(self.start) > self.max_pieces:
             self.forget()
         numbers, per_text, end, find, of = [], [], self.add([end_id]), self.cut.findall, self.__getitem__
-        mark = self.added_cut.search if self.added_cut else (lambda text: None)
         for text in texts:
-            if mark(text):
-                own = []
-                for i, part in enumerate(self.added_cut.split(text)):  # every second part is an added token
-                    own += [of(part)] if i % 2 else map(of, find(part))
-            else:
-                own = list(map(of, find(text)))
-            numbers.extend(own)
+            pieces = find(text)
+            for mark in self.added:
+                if mark in text:
+                    parts = self.added_cut.split(text)  # every second part is an added token
+                    pieces = [p for i, part in enumerate(parts) for p in ([part] if i % 2 else find(part))]
+                    break
+            numbers.extend(map(of, pieces))
             numbers.append(end)
-            per_text.append(len(own) + 1)
+            per_text.append(len(pieces) + 1)
         k = np.fromiter(numbers, np.int64, len(numbers))
         start, size = np.frombuffer(self.start, np.int32), np.frombuffer(self.size, np.int32)
         flat = np.frombuffer(self.flat, np.int32)

@@ -3,43 +3,47 @@
 Tokens are the words of a text (ASCII letters lower-cased, split at ASCII white space)
 and one end. Every token that occurs ``LEAST`` times and a ``SHARE`` of all training tokens (and the
 ``TOP`` most frequent in any case) is a unit with a context vector and an output vector of its own, so units
-grow with the vocabulary; each rarer token belongs to one of ``TAIL`` further units by its last byte. The
-model predicts the unit of a token from the units of the ``CONTEXT`` tokens before it: the context vector is
-the sum of the earlier units' vectors, each weighted per position and dimension. Units in order of frequency
-are cut into about as many groups as a group has units; a unit's probability is that of its group times its own within
-the group, each by a vector times the context vector plus a bias. So all probabilities are normalised exactly for
-two square roots of the units' number. Within a tail unit a token
+grow with the vocabulary and ``1 / SHARE`` bounds them whatever the corpus holds; each rarer token belongs to one of
+``TAIL`` further units by its last byte. The model predicts the unit of a token from the units of the ``CONTEXT`` tokens
+before it: the context vector is the sum of the earlier units' vectors, each weighted per position and dimension.
+Units in order of frequency are cut into groups where the running sum of the square roots of their shares passes a whole
+number, which makes groups and units of a group about equally many for the average token; a unit's probability is that of its
+group times its own within the group, each by a vector times the context vector plus a bias. So all probabilities are
+normalised exactly for two small matrix products a token. Within a tail unit a token
 has its smoothed share of the unit's training counts, with one slot per tail unit for unseen
 words, so the probabilities of all tokens and unseen slots add up to one.
 
-Training reads all documents outside the held-out fold. Word counts are summed over the
-corpus. Each round every task runs stochastic gradient steps of noise-contrastive
-estimation in numpy over all of its documents, from the same start: groups against noise groups, units
-against noise units of their group. The parameters are averaged by a distributed sum, each weighted by
-the squared gradients it has met (a vector that one task alone has moved keeps its move), and start the next round.
+Word counts are summed over the training documents, all those outside the held-out fold. Texts are then written once as
+the unit numbers of their tokens, with the rarer tokens and their counts beside them; training and scoring read the
+numbers. The training documents are dealt to the rounds, so every one is trained on. Each round every task runs stochastic
+gradient steps of noise-contrastive estimation in numpy over its documents of the round, from the same start: groups against
+noise groups, units against noise units of their group. Noise is shared by the tokens of a step (those of a group), so
+its scores are dense products; a step takes a run of whole texts, so each token's vector is read and moved once, not once per
+position. The parameters are averaged by a distributed sum, each weighted by the squared gradients it has met (a vector
+that one task alone has moved keeps its move), and start the next round. Moves travel in half precision (a relative error of 2^-11).
 
-Scoring needs the count of every token of every document. The counts of the frequent
-tokens (at most ``FREQUENT``, whatever the corpus holds) go to the tasks; all others
+The count of every token of every document enters its score. Those of units go to the tasks; all others
 are joined by token over plain shuffles, one row per document and distinct rare token.
 
-Null text counts as empty (only its end); repeated rows are scored each; without training
-documents N and V are 0, the base score follows from its formula, and the model keeps its
-uniform start; an empty table gives no rows.
+Null text counts as empty (only its end); repeated rows are scored each; a text of any length is whole; extra columns are
+left aside, whatever their names; without training documents N and V are 0, the base score follows from its formula, and the
+model keeps its uniform start; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from functools import partial
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundlens.llm.common import crc_fold, slices, staged, text_or_empty
+from fundlens.llm.common import SLICE_CHARS, crc_fold, staged, text_or_empty, to_batch
 
 TOP = 448
 LEAST = 8
@@ -48,12 +52,12 @@ TAIL = 64
 CONTEXT = 4
 WIDTH = 24
 NOISE = 64
-NEAR_NOISE = 4
+NEAR_NOISE = 16
 BLOCK = 1024
-BATCH = 4096
-ROUNDS = 2
-RATE = 0.12
-FREQUENT = 150_000
+BATCH = 8192
+READ = 1 << 20
+ROUNDS = 4
+RATE = 0.1
 HELD_OUT = 1
 END = b""
 
@@ -68,20 +72,47 @@ def tokens(text: str) -> list[bytes]:
 
 # ---- counts ----------------------------------------------------------------------------------------------------
 
-def _count(batches, flush: int = 1_000_000) -> Iterator[pa.RecordBatch]:
-    seen: Counter = Counter()
+def token_runs(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(the tokens of all texts one after the other, tokens of each text), as :func:`tokens` cuts them."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words = lists.flatten().cast(pa.binary())
+    full = np.flatnonzero(pc.binary_length(words).to_numpy() > 0)
+    ends = np.searchsorted(full, np.cumsum(pc.list_value_length(lists).to_numpy()))
+    places = np.insert(full, ends, len(words))
+    return pa.concat_arrays([words, pa.array([END], pa.binary())]).take(pa.array(places)), np.diff(ends, prepend=0) + 1
 
-    def rows():
-        return pa.RecordBatch.from_arrays([pa.array(list(seen.keys()), pa.binary()), pa.array(list(seen.values()), pa.int64())], schema=_COUNTS)
 
-    for _, texts in slices(batches):
-        for text in texts:
-            seen.update(tokens(text))
-        if len(seen) > flush:
-            yield rows()
-            seen.clear()
-    if seen:
-        yield rows()
+def _slices(batches, max_chars: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
+    """The batches, cut so that none but a single long text holds more than ``max_chars`` bytes."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+        at = 0
+        while at < batch.num_rows:
+            many = max(1, int(np.searchsorted(np.cumsum(sizes[at:]), max_chars, "right")))
+            yield batch.slice(at, many)
+            at += many
+
+
+def _count(batches, flush: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    parts, held = [], 0
+
+    def summed() -> pa.RecordBatch:
+        got = pa.concat_tables(parts).group_by("token", use_threads=False).aggregate([("c", "sum")]).combine_chunks()
+        return to_batch([got["token"].combine_chunks(), got["c_sum"].combine_chunks()], _COUNTS)
+
+    for part in _slices(batches):
+        own = pc.value_counts(token_runs(part.column("text"))[0])
+        parts.append(pa.table([own.field(0), own.field(1)], schema=_COUNTS))
+        held += len(own)
+        if held > flush:
+            got = summed()
+            if len(got) > flush // 2:  # little is shared: let the shuffle add
+                yield got
+                parts, held = [], 0
+            else:
+                parts, held = [pa.Table.from_batches([got])], len(got)
+    if parts:
+        yield summed()
 
 
 def token_counts(texts: DataFrame) -> DataFrame:
@@ -95,191 +126,268 @@ def tail_class(token: bytes) -> int:
 
 
 class Vocabulary:
-    """Frequent tokens with their counts, units, and the training mass of each tail unit."""
+    """The tokens that are units, with their counts, and the training mass of each tail unit."""
 
     def __init__(self, frequent: list[tuple[bytes, int]], mass: dict[int, float], total: int, distinct: int):
-        by = sorted(frequent, key=lambda x: (-x[1], x[0]))
-        self.index = {t: i for i, (t, _) in enumerate(by)}
-        self.counts = np.array([c for _, c in by], np.float64)
-        least = max(LEAST, SHARE * total)
-        self.own = max(TOP, min(int((self.counts >= least).sum()), total // LEAST))  # the rest of the first TOP may be empty
-        self.classes = np.array([i if i < self.own else self.own + tail_class(t) for i, (t, _) in enumerate(by)], np.int64)
-        top = [(t, c) for t, c in by[:self.own]]
+        top = sorted(frequent, key=lambda x: (-x[1], x[0]))
+        self.own = max(TOP, len(top))  # of a small corpus the last of them may be empty
+        self.index = [t for t, _ in top]
+        self.counts = np.array([c for _, c in top] + [0] * (self.own - len(top)), np.float64)
         self.mass = np.array([mass.get(k, 0.0) for k in range(TAIL)]) + 0.5
         for t, c in top:
             self.mass[tail_class(t)] -= c + 0.5
         self.total, self.distinct = total, distinct
-        share = np.concatenate([[c for _, c in top], np.zeros(self.own - len(top)), np.maximum(self.mass, 0.5)]) + 0.5
+        share = np.concatenate([self.counts, np.maximum(self.mass, 0.5)]) + 0.5
         self.noise = share / share.sum()
+        self.starts = np.flatnonzero(np.diff(np.floor(np.cumsum(np.sqrt(self.noise))), prepend=-1))  # of the groups
         self.norm = np.log10(total + 0.5 * (distinct + 1))
 
-    def numbers(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(number of each frequent token or -1, class of each token)."""
-        get = self.index.get
-        number = np.fromiter((get(t, -1) for t in found), np.int64, len(found))
-        kind = self.classes[number] if len(self.classes) else np.zeros(len(found), np.int64)
-        for i in np.flatnonzero(number < 0):
-            kind[i] = self.own + tail_class(found[i])
-        return number, kind
+    def numbers(self, found: pa.Array) -> np.ndarray:
+        """The unit of each token (an Arrow array of bytes)."""
+        unit = pc.fill_null(pc.index_in(found, value_set=pa.array(self.index, pa.binary())), -1).to_numpy().astype(np.int32)
+        rare = np.flatnonzero(unit < 0)
+        ends = pc.binary_slice(found.take(pa.array(rare)), -1).fill_null(END)
+        sizes = pc.binary_length(ends).to_numpy()
+        last = np.zeros(len(rare), np.int32)
+        last[sizes > 0] = np.frombuffer(b"".join(ends.to_pylist()), np.uint8)
+        unit[rare] = self.own + last % TAIL
+        return unit
 
 
-def vocabulary(counts: DataFrame, limit: int = FREQUENT) -> Vocabulary:
-    level = F.floor(F.log2("c") * 8)
+def vocabulary(counts: DataFrame) -> Vocabulary:
     last = F.when(F.length("token") > 0, F.conv(F.hex(F.expr("substring(token, -1, 1)")), 16, 10).cast("int") % TAIL).otherwise(0)
     mass = counts.groupBy(last.alias("k")).agg(F.sum(F.col("c") + 0.5).alias("m"), F.sum("c").alias("n"),
                                               F.count(F.lit(1)).alias("v")).collect()  # a row per tail class
-    levels = sorted(((r["l"], r["n"]) for r in counts.groupBy(level.alias("l")).agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True)
-    kept, least = 0, None
-    for at, n in levels:
-        if kept + n > limit:
-            break
-        kept, least = kept + n, at
-    frequent = counts.filter(level >= least).collect() if least is not None else []  # at most `limit` rows
-    return Vocabulary([(bytes(r["token"]), r["c"]) for r in frequent], {r["k"]: float(r["m"]) for r in mass},
-                      sum(r["n"] for r in mass), sum(r["v"] for r in mass))
+    total = sum(r["n"] for r in mass)
+    units = counts.filter(F.col("c") >= max(LEAST, SHARE * total)).collect()  # at most 1 / SHARE rows, as counts add up to the total
+    if len(units) < TOP:
+        units = counts.orderBy(F.desc("c"), "token").limit(TOP).collect()
+    return Vocabulary([(bytes(r["token"]), r["c"]) for r in units], {r["k"]: float(r["m"]) for r in mass}, total, sum(r["v"] for r in mass))
 
 
-# ---- model -----------------------------------------------------------------------------------------------------
+# ---- texts as unit numbers ---------------------------------------------------------------------------------------
 
-def group_size(k: int) -> int:
-    """Units of a group: about as many as there are groups."""
-    return max(1, int(np.ceil(np.sqrt(k))))
+_ENCODED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_own", pa.int64()), ("base", pa.float64()),
+                      ("units", pa.binary()), ("rare", pa.list_(pa.struct([("token", pa.binary()), ("tf", pa.int64())])))])
+_ENCODED_DDL = "row long, doc_id long, n_tokens long, n_own long, base double, units binary, rare array<struct<token: binary, tf: long>>"
 
 
-def _sizes(k: int) -> list[int]:
-    groups = -(-k // group_size(k))
-    return [(k + 1) * WIDTH, k * WIDTH, CONTEXT * WIDTH, groups * WIDTH, k, groups]
+def _encode(batches, words: Vocabulary) -> Iterator[pa.RecordBatch]:
+    log_counts = np.concatenate([np.log10(words.counts + 0.5), np.zeros(TAIL)])
+    for part in _slices(batches):
+        found, lengths = token_runs(part.column("text"))
+        unit, ends = words.numbers(found), np.cumsum(lengths)
+        first = ends - lengths
+        # rarer tokens, counted per text
+        rare = np.flatnonzero(unit >= words.own)
+        coded = found.take(pa.array(rare)).dictionary_encode()
+        many = max(1, len(coded.dictionary))
+        entry, tf = np.unique(np.searchsorted(ends, rare, "right") * many + coded.indices.to_numpy(), return_counts=True)
+        offsets = np.searchsorted(entry // many, np.arange(len(lengths) + 1)).astype(np.int32)
+        entries = pa.StructArray.from_arrays([coded.dictionary.take(pa.array(entry % many)), pa.array(tf)], ["token", "tf"])
+        data = pa.py_buffer(np.ascontiguousarray(unit))
+        cuts = pa.py_buffer((np.append(0, ends) * unit.itemsize).astype(np.int32))
+        yield pa.RecordBatch.from_arrays([
+            part.column("row"), part.column("doc_id"), pa.array(lengths),
+            pa.array(lengths - np.add.reduceat((unit >= words.own).astype(np.int64), first)), pa.array(np.add.reduceat(log_counts[unit], first)),
+            pa.Array.from_buffers(pa.binary(), len(lengths), [None, cuts, data]),
+            pa.ListArray.from_arrays(pa.array(offsets), entries)], schema=_ENCODED)
 
 
-class Model:
-    """Vectors of context units (the last is the start of a text) and of predicted units,
-    position weights, vectors of groups, and the biases of units and groups."""
+def encoded(texts: DataFrame, words: Vocabulary) -> DataFrame:
+    """Every text as the 32-bit numbers of its tokens' units, with its rarer tokens and the base score of the others."""
+    rows = texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    return staged(rows.mapInArrow(partial(_encode, words=words), _ENCODED_DDL), "lm-units")
 
-    def __init__(self, flat: np.ndarray):
-        k = len(flat) // (2 * WIDTH + 1)
-        while sum(_sizes(k)) > len(flat):
-            k -= 1
-        self.flat, self.units, self.size = flat, k, group_size(k)
-        *vectors, self.bias, self.group_bias = np.split(flat, np.cumsum(_sizes(k))[:-1])
-        self.seen, self.next, self.place, self.group = (x.reshape(-1, WIDTH) for x in vectors)
 
-    @staticmethod
-    def start(noise: np.ndarray) -> np.ndarray:
-        sizes, rng = _sizes(len(noise)), np.random.default_rng(1)
-        of = np.arange(len(noise)) // group_size(len(noise))
-        mass = np.bincount(of, noise)
-        return np.concatenate([rng.normal(0, 0.1, sizes[0] + sizes[1]), np.full(sizes[2], 1 / CONTEXT), rng.normal(0, 0.1, sizes[3]),
-                               np.log(noise / mass[of]), np.log(mass)]).astype(np.float32)
+def _runs(batches, columns: tuple[str, ...], size: int = READ) -> Iterator[tuple[list[list], list[np.ndarray]]]:
+    """Rows with the units of their tokens, as many as hold about ``size`` tokens."""
+    rows, runs, held = [], [], 0
+    for batch in batches:
+        others = zip(*(batch.column(c).to_pylist() for c in columns), strict=True) if columns else repeat(())
+        for other, units in zip(others, batch.column("units"), strict=False):
+            runs.append(np.frombuffer(units.as_buffer(), np.int32))
+            rows.append(other)
+            held += len(runs[-1])
+            if held >= size:
+                yield rows, runs
+                rows, runs, held = [], [], 0
+    if runs:
+        yield rows, runs
 
-    def context(self, before: np.ndarray) -> np.ndarray:
-        return sum(self.seen[before[:, i]] * self.place[i] for i in range(CONTEXT))
 
-    def log_probabilities(self, before: np.ndarray, kind: np.ndarray, batch: int = 16384) -> np.ndarray:
-        """Natural log of P(unit | earlier units): of its group among all groups plus its own among the group's units."""
+def padded(runs: list[np.ndarray], units: int) -> np.ndarray:
+    """The runs one after the other, each behind ``CONTEXT`` times the start of a text (number ``units``)."""
+    start = np.full(CONTEXT, units, np.int32)
+    return np.concatenate([x for r in runs for x in (start, r)])
 
-        def share(scores, own):
-            top = scores.max(axis=1)
-            hit = scores[np.arange(len(own)), own]
-            np.exp(np.subtract(scores, top[:, None], out=scores), out=scores)
-            return hit - top - np.log(scores.sum(axis=1))
 
-        out = np.empty(len(kind))
-        for at in range(0, len(kind), batch):
-            by = np.argsort(kind[at:at + batch], kind="stable")
-            own = kind[at:at + batch][by]
-            h, of = self.context(before[at:at + batch][by]), own // self.size
-            got = share(h @ self.group.T + self.group_bias, of)
-            cuts = np.flatnonzero(np.diff(of, prepend=-1, append=-1))
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                low = of[a] * self.size
-                got[a:b] += share(h[a:b] @ self.next[low:low + self.size].T + self.bias[low:low + self.size], own[a:b] - low)
-            out[at + by] = got
-        return out
+# ---- model -----------------------------------------------------------------------------------------------------
+
+def _sizes(k: int, groups: int) -> list[int]:
+    return [(k + 1) * WIDTH, CONTEXT * WIDTH, k * (WIDTH + 1), groups * (WIDTH + 1)]
+
+
+def with_one(h: np.ndarray) -> np.ndarray:
+    """The context vectors with a component 1 for the bias."""
+    return np.concatenate([h, np.ones((len(h), 1), np.float32)], axis=1)
 
 
-def contexts(kind: np.ndarray, lengths: np.ndarray, units: int) -> np.ndarray:
-    """(tokens, CONTEXT): the units before each token, nearest first; the start (number ``units``) before a text."""
-    inside = np.arange(len(kind)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    out = np.full((len(kind), CONTEXT), units, np.int64)
-    for i in range(CONTEXT):
-        has = np.flatnonzero(inside > i)
-        out[has, i] = kind[has - i - 1]
+def _log_total(x: np.ndarray, vectors: np.ndarray, cells: int = 1 << 16) -> np.ndarray:
+    """Log of the sum of exp(x . vector) over the vectors, for every row of ``x``."""
+    out, rows, ones = np.empty(len(x), np.float32), max(64, cells // len(vectors)), np.ones(len(vectors), np.float32)
+    for at in range(0, len(x), rows):
+        scores = x[at:at + rows] @ vectors.T
+        top = 0.0 if scores.max() < 60 and scores.min() > -60 else scores.max(axis=1)  # no overflow: no shift
+        if not np.isscalar(top):
+            scores -= top[:, None]
+        np.exp(scores, out=scores)
+        out[at:at + rows] = np.log(scores @ ones) + top
     return out
 
 
+class Model:
+    """Vectors of context units (the last is the start of a text), position weights, and vectors of predicted
+    units and of groups, whose last component is the bias."""
+
+    def __init__(self, flat: np.ndarray, starts: np.ndarray):
+        k = (len(flat) - (1 + CONTEXT) * WIDTH - len(starts) * (WIDTH + 1)) // (2 * WIDTH + 1)
+        self.flat, self.units, self.starts = flat, k, starts
+        self.of = np.repeat(np.arange(len(starts)), np.diff(starts, append=k))
+        seen, place, after, group = np.split(flat, np.cumsum(_sizes(k, len(starts)))[:-1])
+        self.seen, self.place = seen.reshape(-1, WIDTH), place.reshape(-1, WIDTH)
+        self.next, self.group = after.reshape(-1, WIDTH + 1), group.reshape(-1, WIDTH + 1)
+
+    @staticmethod
+    def start(words: Vocabulary) -> np.ndarray:
+        noise, mass, rng = words.noise, np.add.reduceat(words.noise, words.starts), np.random.default_rng(1)
+        flat = rng.normal(0, 0.1, sum(_sizes(len(noise), len(mass)))).astype(np.float32)
+        model = Model(flat, words.starts)
+        model.place[:] = 1 / CONTEXT
+        model.next[:, -1] = np.log(noise / mass[model.of])
+        model.group[:, -1] = np.log(mass)
+        return flat
+
+    def context(self, vectors: np.ndarray) -> np.ndarray:
+        """The context vector of every place of a run of units, from their vectors (right from place ``CONTEXT`` on)."""
+        h = np.zeros_like(vectors)
+        for i in range(CONTEXT):
+            h[i + 1:] += vectors[:len(vectors) - i - 1] * self.place[i]
+        return h
+
+    def log_probabilities(self, h: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        """Natural log of P(unit | context vector): of its group among all groups plus its own among the group's units."""
+        by = np.argsort(kind, kind="stable")
+        kind = kind[by]
+        of = self.of[kind]
+        x = with_one(h.take(by, axis=0))
+        got = np.einsum("ij,ij->i", x, self.group.take(of, axis=0) + self.next.take(kind, axis=0)) - _log_total(x, self.group)
+        cuts = np.flatnonzero(np.diff(of, prepend=-1, append=-1))
+        ends = np.append(self.starts, self.units)
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            got[a:b] -= _log_total(x[a:b], self.next[ends[of[a]]:ends[of[a] + 1]])
+        out = np.empty(len(kind))
+        out[by] = got
+        return out
+
+
 def _sum_rows(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(distinct rows, the sums of their values)."""
-    by = np.argsort(rows.astype(np.uint16) if rows.max() < 1 << 16 else rows, kind="stable")  # radix sort
+    by = np.argsort(rows, kind="stable")
     own = rows[by]
-    first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-    return own[first], np.add.reduceat(values[by], first, axis=0)
+    first = np.flatnonzero(np.diff(own, prepend=-1))
+    return own[first], np.add.reduceat(values.take(by, axis=0), first, axis=0)
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):  # 1 / inf is the right 0
+        np.exp(np.negative(x, out=x), out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 class Trainer:
     """Noise-contrastive steps with per-parameter step sizes (AdaGrad)."""
 
-    def __init__(self, flat: np.ndarray, noise: np.ndarray, rate: float, seed: int):
-        self.model, self.squares = Model(flat.copy()), Model(np.full_like(flat, 1.0))
-        of = np.arange(len(noise)) // self.model.size
-        self.groups = np.bincount(of, noise)
+    def __init__(self, flat: np.ndarray, words: Vocabulary, rate: float, seed: int):
+        self.model, self.squares = Model(flat.copy(), words.starts), Model(np.full_like(flat, 1.0), words.starts)
+        self.groups = np.add.reduceat(words.noise, words.starts)
         self.log_groups = (np.log(self.groups) + np.log(NOISE)).astype(np.float32)
-        self.log_noise = (np.log(noise / self.groups[of]) + np.log(NEAR_NOISE)).astype(np.float32)
-        self.ends = np.cumsum(noise)
+        self.log_noise = (np.log(words.noise / self.groups[self.model.of]) + np.log(NEAR_NOISE)).astype(np.float32)
+        self.ends = np.cumsum(words.noise)
         self.rate, self.rng = rate, np.random.default_rng(seed)
 
     def _move(self, name: str, rows, grad) -> None:
-        squares = getattr(self.squares, name)
-        squares[rows] += grad * grad
-        getattr(self.model, name)[rows] += self.rate * grad / np.sqrt(squares[rows])
+        squares, values = getattr(self.squares, name), getattr(self.model, name)
+        total = squares.take(rows, axis=0) + grad * grad
+        squares[rows] = total
+        values[rows] = values.take(rows, axis=0) + self.rate * grad / np.sqrt(total)
 
     def _noise_units(self, of: np.ndarray) -> np.ndarray:
         """``NEAR_NOISE`` units of each group by their training shares."""
-        size, k = self.model.size, len(self.ends)
-        first, last = of * size, np.minimum((of + 1) * size, k) - 1
+        first, last = self.model.starts[of], np.append(self.model.starts, self.model.units)[of + 1] - 1
         low = np.where(first > 0, self.ends[first - 1], 0.0)
         found = np.searchsorted(self.ends, low[:, None] + self.rng.random((len(of), NEAR_NOISE)) * (self.ends[last] - low)[:, None])
         return np.clip(found, first[:, None], last[:, None])
 
-    def step(self, before: np.ndarray, kind: np.ndarray) -> None:
+    def step(self, run: np.ndarray) -> None:
+        """One step on the units of a padded run behind its first ``CONTEXT`` places."""
         m = self.model
-        h, of = m.context(before), kind // m.size
+        by = np.argsort(run, kind="stable")
+        own = run.take(by)
+        vectors = m.seen.take(run, axis=0)
+        target = by[(own < m.units) & (by >= CONTEXT)]
+        if not len(target):
+            return
+        kind, x = run.take(target), with_one(m.context(vectors).take(target, axis=0))  # sorted by unit, so by group too
+        of = m.of.take(kind)
+        first, unit_first = (np.flatnonzero(np.diff(v, prepend=-1)) for v in (of, kind))
+        here = of[first]
+        # groups against noise groups
         fake = self.rng.choice(len(self.groups), NOISE, p=self.groups)
-        true = 1 / (1 + np.exp(np.clip((h * m.group[of]).sum(axis=1) + m.group_bias[of] - self.log_groups[of], -30, 30)))
-        false = -1 / (1 + np.exp(-np.clip(h @ m.group[fake].T + m.group_bias[fake] - self.log_groups[fake], -30, 30)))
-        back = true[:, None] * m.group[of] + false @ m.group[fake]
-        rows = np.concatenate([of, fake])
-        group_at, group = _sum_rows(rows, np.concatenate([true[:, None] * h, false.T @ h]))
-        _, group_lift = _sum_rows(rows, np.concatenate([true, false.sum(axis=0)]))
-        # units against noise of their own group; column 0 is the true unit
-        units = np.concatenate([kind[:, None], self._noise_units(of)], axis=1)
-        vectors = m.next[units]
-        pull = 1 / (1 + np.exp(-np.clip(np.matmul(vectors, h[:, :, None])[:, :, 0] + m.bias[units] - self.log_noise[units], -30, 30)))
-        pull = np.concatenate([1 - pull[:, :1], -pull[:, 1:]], axis=1).astype(np.float32)
-        back = back + np.matmul(pull[:, None, :], vectors)[:, 0]
-        each = np.concatenate([h, np.ones((len(h), 1), h.dtype)], axis=1)  # the last column is the bias's
-        at, grad = _sum_rows(units.ravel(), (pull[:, :, None] * each[:, None, :]).reshape(-1, WIDTH + 1))
-        place = np.stack([(back * m.seen[before[:, i]]).sum(axis=0) for i in range(CONTEXT)])
-        seen_at, seen = _sum_rows(before.T.ravel(), np.concatenate([back * m.place[i] for i in range(CONTEXT)]).astype(np.float32))
+        right, wrong = m.group.take(of, axis=0), m.group[fake]
+        true = _sigmoid(self.log_groups[of] - np.einsum("ij,ij->i", x, right))[:, None]
+        false = x @ wrong.T
+        false -= self.log_groups[fake]
+        false = np.negative(_sigmoid(false), out=false)
+        back = true * right + false @ wrong
+        group_at, group = _sum_rows(np.concatenate([here, fake]), np.concatenate([np.add.reduceat(true * x, first), false.T @ x]))
+        # units against noise units of their group, shared by its tokens
+        right = m.next.take(kind, axis=0)
+        true = _sigmoid(self.log_noise[kind] - np.einsum("ij,ij->i", x, right))[:, None]
+        back += true * right
+        noise = self._noise_units(here)
+        wrong, ends = m.next.take(noise, axis=0), [*first.tolist(), len(kind)]
+        scores = np.repeat(-self.log_noise[noise], np.diff(ends), axis=0)
+        for j, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
+            scores[a:b] += x[a:b] @ wrong[j].T
+        false, grad = np.negative(_sigmoid(scores), out=scores), np.empty_like(wrong)
+        for j, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
+            back[a:b] += false[a:b] @ wrong[j]
+            np.matmul(false[a:b].T, x[a:b], out=grad[j])
+        unit_at, unit = _sum_rows(np.concatenate([kind[unit_first], noise.ravel()]),
+                                  np.concatenate([np.add.reduceat(true * x, unit_first), grad.reshape(-1, WIDTH + 1)]))
+        # back through the context vectors: a token's vector meets the CONTEXT places behind it
+        pull = np.zeros_like(vectors)
+        pull[target] = back[:, :WIDTH]
+        place, seen = np.empty_like(m.place), np.zeros_like(vectors)
+        for i in range(CONTEXT):
+            place[i] = np.einsum("ij,ij->j", pull[i + 1:], vectors[:len(run) - i - 1])
+            seen[:len(run) - i - 1] += pull[i + 1:] * m.place[i]
+        seen_first = np.flatnonzero(np.diff(own, prepend=-1))
         self._move("group", group_at, group)
-        self._move("group_bias", group_at, group_lift)
-        self._move("next", at, grad[:, :WIDTH])
-        self._move("bias", at, grad[:, WIDTH])
-        self._move("seen", seen_at, seen)
-        self._move("place", slice(None), place / CONTEXT)
+        self._move("next", unit_at, unit)
+        self._move("seen", own[seen_first], np.add.reduceat(seen.take(by, axis=0), seen_first, axis=0))
+        self._move("place", np.arange(CONTEXT), place / CONTEXT)
 
 
 def _train(batches, words: Vocabulary, flat: np.ndarray, rate: float, seed: int) -> Iterator[pa.RecordBatch]:
-    trainer, total = Trainer(flat, words.noise, rate, seed * 1_000_003 + TaskContext.get().partitionId()), 0
-    for _, texts in slices(batches):
-        found = [tokens(t) for t in texts]
-        lengths = np.array([len(f) for f in found], np.int64)
-        _, kind = words.numbers([t for f in found for t in f])
-        before = contexts(kind, lengths, len(words.noise))
-        order = trainer.rng.permutation(len(kind))
-        for at in range(0, len(kind), BATCH):
-            own = order[at:at + BATCH]
-            trainer.step(before[own], kind[own])
-        total += len(kind)
+    trainer, total = Trainer(flat, words, rate, seed * 1_000_003 + TaskContext.get().partitionId()), 0
+    for _, runs in _runs(batches, ()):
+        run = padded([runs[i] for i in trainer.rng.permutation(len(runs))], trainer.model.units)
+        for at in range(0, len(run) - CONTEXT, BATCH):
+            trainer.step(run[at:at + BATCH + CONTEXT])
+        total += len(run)
     if total:
         # moves and roots of weights, in half precision: a task's rows are its shuffle
         w = np.sqrt(trainer.squares.flat - 1 + 1e-6)
@@ -308,11 +416,12 @@ def _block(i: int, sums: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([i]), *[pa.array([x.astype(np.float32).tobytes()], pa.binary()) for x in sums]], schema=_PARAMS)
 
 
-def train(texts: DataFrame, words: Vocabulary, rounds: int = ROUNDS, rate: float = RATE) -> np.ndarray:
-    """The averaged parameters after the given rounds over all texts."""
-    flat = Model.start(words.noise)
+def train(rows: DataFrame, words: Vocabulary, rounds: int = ROUNDS, rate: float = RATE) -> np.ndarray:
+    """The averaged parameters after all rounds over encoded rows (``row``, ``units``), each row in one round."""
+    flat = Model.start(words)
     for k in range(rounds):
-        got = texts.select("text").mapInArrow(partial(_train, words=words, flat=flat, rate=rate / (1 + k), seed=k), _PARAMS_DDL) \
+        got = rows.filter(F.pmod(F.xxhash64("row"), F.lit(rounds)) == k).select("units") \
+            .mapInArrow(partial(_train, words=words, flat=flat, rate=rate, seed=k), _PARAMS_DDL) \
             .repartition("i").sortWithinPartitions("i").mapInArrow(_added, _PARAMS_DDL).collect()  # a row per block of parameters
         for r in got:
             low = r["i"] * BLOCK
@@ -322,54 +431,40 @@ def train(texts: DataFrame, words: Vocabulary, rounds: int = ROUNDS, rate: float
 
 # ---- scores ----------------------------------------------------------------------------------------------------
 
-_SCORED = "row long, doc_id long, n_tokens long, n_frequent long, base double, model double, rare array<struct<token: binary, tf: long>>"
-_RARE = pa.list_(pa.struct([("token", pa.binary()), ("tf", pa.int64())]))
+_SCORED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_own", pa.int64()), ("base", pa.float64()),
+                     ("model", pa.float64())])
+_SCORED_DDL = "row long, doc_id long, n_tokens long, n_own long, base double, model double"
 
 
 def _score(batches, words: Vocabulary, flat: np.ndarray) -> Iterator[pa.RecordBatch]:
-    model, log_counts = Model(flat), np.log10(words.counts + 0.5)
+    model = Model(flat, words.starts)
     log_mass = np.concatenate([np.zeros(words.own), np.log10(words.mass)])
-    for cols, texts in slices(batches):
-        found = [tokens(t) for t in texts]
-        lengths = np.array([len(f) for f in found], np.int64)
-        ends = np.cumsum(lengths)
-        flatly = [t for f in found for t in f]
-        number, kind = words.numbers(flatly)
-        known = number >= 0
-        own = np.where(known, log_counts[number], 0.0) if len(log_counts) else np.zeros(len(number))
-        chance = model.log_probabilities(contexts(kind, lengths, len(words.noise)), kind) / np.log(10) - log_mass[kind]
-        inside = np.where(kind >= words.own, own, 0.0)
-        doc = np.repeat(np.arange(len(found)), lengths)
-        rare = [Counter() for _ in found]
-        for i in np.flatnonzero(~known):
-            rare[doc[i]][flatly[i]] += 1
-        first = ends - lengths
-        yield pa.RecordBatch.from_arrays([
-            pa.array(cols["row"], pa.int64()), pa.array(cols["doc_id"], pa.int64()), pa.array(lengths),
-            pa.array(np.add.reduceat(known.astype(np.int64), first)), pa.array(np.add.reduceat(own, first)),
-            pa.array(np.add.reduceat(chance + inside, first)),
-            pa.array([[{"token": t, "tf": n} for t, n in r.items()] for r in rare], _RARE)],
-            names=["row", "doc_id", "n_tokens", "n_frequent", "base", "model", "rare"])
+    for rows, runs in _runs(batches, ("row", "doc_id", "n_tokens", "n_own", "base"), READ // 4):
+        run = padded(runs, model.units)
+        real = np.flatnonzero(run < model.units)
+        kind = run[real]
+        chance = model.log_probabilities(model.context(model.seen.take(run, axis=0)).take(real, axis=0), kind) / np.log(10) - log_mass[kind]
+        lengths = np.array([len(r) for r in runs])
+        yield to_batch([*zip(*rows, strict=True), np.add.reduceat(chance, np.cumsum(lengths) - lengths)], _SCORED)
 
 
 def score_texts(docs: DataFrame, rounds: int = ROUNDS, held_out: int = HELD_OUT) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` (log10) per document."""
-    texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
-                        text_or_empty().alias("text"))
-    learn = texts.filter(crc_fold() != held_out)
-    counts = token_counts(learn)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    counts = token_counts(texts.filter(crc_fold() != held_out))
     words = vocabulary(counts)
-    flat = train(learn, words, rounds)
-    scored = staged(texts.mapInArrow(partial(_score, words=words, flat=flat), _SCORED), "lm-scored")
+    rows = encoded(texts, words)
+    flat = train(rows.filter(crc_fold() != held_out), words, rounds)
+    scored = rows.select("row", "doc_id", "n_tokens", "n_own", "base", "units").mapInArrow(partial(_score, words=words, flat=flat), _SCORED_DDL)
     # a rare token's rows are at most those of its documents; both inputs are scans, so a hot one can be split
-    rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.token", "r.tf") \
+    rare = rows.select("row", F.explode("rare").alias("r")).select("row", "r.token", "r.tf") \
         .join(counts, "token", "left") \
         .groupBy("row").agg(F.sum(F.col("tf") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("rare_sum"),
                             F.sum(F.when(F.col("c") > 0, F.col("tf")).otherwise(0)).alias("rare_known"))
     extra = F.coalesce("rare_sum", F.lit(0.0))
-    return scored.drop("rare").join(rare, "row", "left").select(
+    return scored.join(rare, "row", "left").select(
         "doc_id", (crc_fold() == held_out).alias("held_out"), "n_tokens",
-        (F.col("n_frequent") + F.coalesce("rare_known", F.lit(0))).cast("long").alias("n_known"),
+        (F.col("n_own") + F.coalesce("rare_known", F.lit(0))).cast("long").alias("n_known"),
         F.lit(words.total).cast("long").alias("train_tokens"),
         (F.col("base") + extra - F.col("n_tokens") * F.lit(float(words.norm))).alias("base_score"),
         (F.col("model") + extra).alias("score"))

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -153,14 +154,65 @@ def test_language_model_counts_and_held_out_gain(docs):
     assert held["score"].sum() > held["base_score"].sum()
 
 
+def _chances(model, before):
+    """P(unit) of every unit behind the given units, oldest first, by the definition."""
+    h = [sum(model.seen[u][d] * model.place[i][d] for i, u in enumerate(before[::-1])) for d in range(lbl.WIDTH)]
+
+    def shares(vectors):
+        e = np.exp(np.array([np.dot(v[:-1].astype(float), h) + v[-1] for v in vectors]))
+        return e / e.sum()
+
+    ends = [*model.starts, model.units]
+    return np.concatenate([top * shares(model.next[a:b]) for top, a, b in zip(shares(model.group), ends[:-1], ends[1:], strict=True)])
+
+
+def _random_model(words, seed):
+    return lbl.Model(np.random.default_rng(seed).normal(0, 0.3, len(lbl.Model.start(words))).astype(np.float32), words.starts)
+
+
 def test_probabilities_add_up_to_one():
     words = lbl.Vocabulary([(f"w{i}".encode(), 1000 - i) for i in range(600)], {k: 500.0 + (400_000 if k == 48 else 9000) for k in range(lbl.TAIL)}, 10, 5)
-    rnd = np.random.default_rng(2)
-    model = lbl.Model(rnd.normal(0, 0.3, len(lbl.Model.start(words.noise))).astype(np.float32))
-    before = rnd.integers(0, lbl.TOP + lbl.TAIL + 1, (3, lbl.CONTEXT))
-    k = lbl.TOP + lbl.TAIL
-    p = np.exp(model.log_probabilities(np.repeat(before, k, axis=0), np.tile(np.arange(k), 3))).reshape(3, k)
-    assert np.allclose(p.sum(axis=1), 1, atol=1e-5)
+    model, k = _random_model(words, 2), 600 + lbl.TAIL
+    assert model.units == k and model.flat.size == sum(lbl._sizes(k, len(words.starts)))
+    for before in ([k, k, k, k], [k, k, 5, 0], [601, 1, 2, 599]):
+        h = model.context(model.seen[[*before, 0]])[lbl.CONTEXT:]
+        p = np.exp(model.log_probabilities(np.repeat(h, k, axis=0), np.arange(k)))
+        assert abs(p.sum() - 1) < 1e-5 and np.allclose(p, _chances(model, before), rtol=1e-3)
+    far = model.log_probabilities(np.full((k, lbl.WIDTH), 60, np.float32), np.arange(k))  # scores beyond what exp holds
+    assert np.isfinite(far).all() and abs(np.exp(far).sum() - 1) < 1e-3
+
+
+def test_scores_are_those_of_the_definition(spark):
+    texts = ["alpha beta  Gamma alpha\nbeta", "", "delta alpha unknown1 unknown2", " gamma\tbeta\x0bBETA \u00c4x", "alpha"] * 3
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    words = lbl.vocabulary(lbl.token_counts(frame.filter("doc_id < 10")))
+    model = _random_model(words, 4)
+    got = lbl.encoded(frame, words).mapInArrow(lambda b: lbl._score(b, words, model.flat), lbl._SCORED_DDL).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        units = [words.index.index(t) if t in words.index else words.own + lbl.tail_class(t) for t in lbl.tokens(texts[r["doc_id"]])]
+        run, want = [model.units] * lbl.CONTEXT + units, 0.0
+        for i, u in enumerate(units):
+            want += math.log10(_chances(model, run[i:i + lbl.CONTEXT])[u]) - (math.log10(words.mass[u - words.own]) if u >= words.own else 0)
+        assert abs(r["model"] - want) < 1e-3 * abs(want) and r["n_tokens"] == len(units)
+
+
+def test_tokens_in_arrow_are_those_of_the_definition():
+    texts = ["", None, " A\tb\x0b\x0cC\r\n\u00c4 x y ", "x", "  ", "\u0130 q\x85r\u00a0s\x1ft", "long " * 5000]
+    found, lengths = lbl.token_runs(pa.array(texts))
+    assert found.to_pylist() == [t for x in texts for t in lbl.tokens(x or "")]
+    assert lengths.tolist() == [len(lbl.tokens(x or "")) for x in texts]
+
+
+def test_units_of_texts_and_counts_of_rarer_tokens(docs):
+    words = lbl.vocabulary(lbl.token_counts(docs))
+    unit = {t: i for i, t in enumerate(words.index)}
+    texts = {r["doc_id"]: lbl.tokens(r["text"] or "") for r in docs.collect()}
+    for r in lbl.encoded(docs.select("doc_id", "text"), words).limit(200).collect():
+        own = texts[r["doc_id"]]
+        assert np.frombuffer(r["units"], np.int32).tolist() == [unit.get(t, words.own + lbl.tail_class(t)) for t in own]
+        assert {(bytes(x["token"]), x["tf"]) for x in r["rare"]} == set(Counter(t for t in own if t not in unit).items())
+        assert r["n_own"] == sum(t in unit for t in own)
 
 
 def test_language_model_on_odd_rows(odd, spark):
@@ -177,10 +229,10 @@ def test_frequent_tokens_have_vectors_of_their_own_and_units_add_up_to_one(docs)
     counts = Counter(t for r in docs.collect() for t in lbl.tokens(r["text"] or ""))
     often = [t for t, c in counts.items() if c >= 8]
     assert len(often) > lbl.TOP + lbl.TAIL
-    assert len(set(words.numbers(often)[1])) == len(often)  # before: 512 classes whatever the corpus holds
-    model = lbl.Model(np.random.default_rng(3).normal(0, 0.3, len(lbl.Model.start(words.noise))).astype(np.float32))
-    k = len(words.noise)
-    p = np.exp(model.log_probabilities(np.tile([0, k, 5, k - 1], (k, 1)), np.arange(k)))
+    assert len(set(words.numbers(pa.array(often)).tolist())) == len(often)
+    model, k = _random_model(words, 3), len(words.noise)
+    h = model.context(model.seen[[k - 1, 5, k, 0, 0]])[lbl.CONTEXT:]
+    p = np.exp(model.log_probabilities(np.repeat(h, k, axis=0), np.arange(k)))
     assert model.units == k and abs(p.sum() - 1) < 1e-4
 
 
@@ -188,9 +240,9 @@ def test_what_one_task_learned_of_a_token_is_not_averaged_away(spark):
     rows = [(i, "alpha beta" if i < 10 else "gamma delta") for i in range(300)]
     texts = spark.createDataFrame(rows, "doc_id long, text string").repartitionByRange(4, "doc_id")
     words = lbl.vocabulary(lbl.token_counts(texts))
-    flat, start = lbl.train(texts, words, 1), lbl.Model.start(words.noise)
-    moved = np.abs(lbl.Model(flat).next - lbl.Model(start).next).max(axis=1)
-    unit = {t: words.index[t.encode()] for t in ("beta", "delta")}
+    flat, start = lbl.train(lbl.encoded(texts, words), words, 1), lbl.Model.start(words)
+    moved = np.abs(lbl.Model(flat, words.starts).next - lbl.Model(start, words.starts).next).max(axis=1)
+    unit = {t: words.index.index(t.encode()) for t in ("beta", "delta")}
     assert np.isfinite(flat).all() and moved[unit["beta"]] > 0.1 * moved[unit["delta"]] > 0
 
 

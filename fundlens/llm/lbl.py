@@ -19,7 +19,7 @@ numbers. The training documents are dealt to the rounds, so every one is trained
 gradient steps of noise-contrastive estimation in numpy over its documents of the round, from the same start: groups against
 noise groups, units against noise units of their group. Noise is shared by the tokens of a step (those of a group), so
 its scores are dense products; a step takes a run of whole texts, so each token's vector is read and moved once, not once per
-position. The parameters are averaged by a distributed sum, each weighted by the squared gradients it has met (a vector
+position. The parameters are averaged by a distributed sum, each vector weighted by the squared gradients it has met (one
 that one task alone has moved keeps its move), and start the next round. Moves travel in half precision (a relative error of 2^-11).
 
 The count of every token of every document enters its score. Those of units go to the tasks; all others
@@ -53,7 +53,7 @@ CONTEXT = 4
 WIDTH = 24
 NOISE = 64
 NEAR_NOISE = 16
-BLOCK = 1024
+BLOCK = 64
 BATCH = 8192
 READ = 1 << 20
 ROUNDS = 4
@@ -224,15 +224,6 @@ def padded(runs: list[np.ndarray], units: int) -> np.ndarray:
 
 # ---- model -----------------------------------------------------------------------------------------------------
 
-def _sizes(k: int, groups: int) -> list[int]:
-    return [(k + 1) * WIDTH, CONTEXT * WIDTH, k * (WIDTH + 1), groups * (WIDTH + 1)]
-
-
-def with_one(h: np.ndarray) -> np.ndarray:
-    """The context vectors with a component 1 for the bias."""
-    return np.concatenate([h, np.ones((len(h), 1), np.float32)], axis=1)
-
-
 def _log_total(x: np.ndarray, vectors: np.ndarray, cells: int = 1 << 16) -> np.ndarray:
     """Log of the sum of exp(x . vector) over the vectors, for every row of ``x``."""
     out, rows, ones = np.empty(len(x), np.float32), max(64, cells // len(vectors)), np.ones(len(vectors), np.float32)
@@ -247,32 +238,33 @@ def _log_total(x: np.ndarray, vectors: np.ndarray, cells: int = 1 << 16) -> np.n
 
 
 class Model:
-    """Vectors of context units (the last is the start of a text), position weights, and vectors of predicted
-    units and of groups, whose last component is the bias."""
+    """One row of ``WIDTH + 1`` components per vector: those of context units (the last is the start of a text), position weights,
+    predicted units and groups. The last component of the latter two is their bias, of the others zero."""
 
-    def __init__(self, flat: np.ndarray, starts: np.ndarray):
-        k = (len(flat) - (1 + CONTEXT) * WIDTH - len(starts) * (WIDTH + 1)) // (2 * WIDTH + 1)
-        self.flat, self.units, self.starts = flat, k, starts
+    def __init__(self, rows: np.ndarray, starts: np.ndarray):
+        k = (len(rows) - 1 - CONTEXT - len(starts)) // 2
+        self.rows, self.units, self.starts = rows, k, starts
         self.of = np.repeat(np.arange(len(starts)), np.diff(starts, append=k))
-        seen, place, after, group = np.split(flat, np.cumsum(_sizes(k, len(starts)))[:-1])
-        self.seen, self.place = seen.reshape(-1, WIDTH), place.reshape(-1, WIDTH)
-        self.next, self.group = after.reshape(-1, WIDTH + 1), group.reshape(-1, WIDTH + 1)
+        self.seen, self.place, self.next, self.group = np.split(rows, np.cumsum([k + 1, CONTEXT, k]))
 
     @staticmethod
     def start(words: Vocabulary) -> np.ndarray:
-        noise, mass, rng = words.noise, np.add.reduceat(words.noise, words.starts), np.random.default_rng(1)
-        flat = rng.normal(0, 0.1, sum(_sizes(len(noise), len(mass)))).astype(np.float32)
-        model = Model(flat, words.starts)
+        noise, mass = words.noise, np.add.reduceat(words.noise, words.starts)
+        size = 2 * len(noise) + 1 + CONTEXT + len(mass)
+        rows = np.random.default_rng(1).normal(0, 0.1, (size, WIDTH + 1)).astype(np.float32)
+        model = Model(rows, words.starts)
         model.place[:] = 1 / CONTEXT
+        model.seen[:, -1] = model.place[:, -1] = 0
         model.next[:, -1] = np.log(noise / mass[model.of])
         model.group[:, -1] = np.log(mass)
-        return flat
+        return rows
 
     def context(self, vectors: np.ndarray) -> np.ndarray:
-        """The context vector of every place of a run of units, from their vectors (right from place ``CONTEXT`` on)."""
+        """The context vector, and 1 for the bias, of every place of a run of units, from their vectors (right from place ``CONTEXT`` on)."""
         h = np.zeros_like(vectors)
         for i in range(CONTEXT):
             h[i + 1:] += vectors[:len(vectors) - i - 1] * self.place[i]
+        h[:, -1] = 1
         return h
 
     def log_probabilities(self, h: np.ndarray, kind: np.ndarray) -> np.ndarray:
@@ -280,7 +272,7 @@ class Model:
         by = np.argsort(kind, kind="stable")
         kind = kind[by]
         of = self.of[kind]
-        x = with_one(h.take(by, axis=0))
+        x = h.take(by, axis=0)
         got = np.einsum("ij,ij->i", x, self.group.take(of, axis=0) + self.next.take(kind, axis=0)) - _log_total(x, self.group)
         cuts = np.flatnonzero(np.diff(of, prepend=-1, append=-1))
         ends = np.append(self.starts, self.units)
@@ -309,8 +301,8 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 class Trainer:
     """Noise-contrastive steps with per-parameter step sizes (AdaGrad)."""
 
-    def __init__(self, flat: np.ndarray, words: Vocabulary, rate: float, seed: int):
-        self.model, self.squares = Model(flat.copy(), words.starts), Model(np.full_like(flat, 1.0), words.starts)
+    def __init__(self, start: np.ndarray, words: Vocabulary, rate: float, seed: int):
+        self.model, self.squares = Model(start.copy(), words.starts), Model(np.ones_like(start), words.starts)
         self.groups = np.add.reduceat(words.noise, words.starts)
         self.log_groups = (np.log(self.groups) + np.log(NOISE)).astype(np.float32)
         self.log_noise = (np.log(words.noise / self.groups[self.model.of]) + np.log(NEAR_NOISE)).astype(np.float32)
@@ -339,7 +331,7 @@ class Trainer:
         target = by[(own < m.units) & (by >= CONTEXT)]
         if not len(target):
             return
-        kind, x = run.take(target), with_one(m.context(vectors).take(target, axis=0))  # sorted by unit, so by group too
+        kind, x = run.take(target), m.context(vectors).take(target, axis=0)  # sorted by unit, so by group too
         of = m.of.take(kind)
         first, unit_first = (np.flatnonzero(np.diff(v, prepend=-1)) for v in (of, kind))
         here = of[first]
@@ -369,7 +361,8 @@ class Trainer:
                                   np.concatenate([np.add.reduceat(true * x, unit_first), grad.reshape(-1, WIDTH + 1)]))
         # back through the context vectors: a token's vector meets the CONTEXT places behind it
         pull = np.zeros_like(vectors)
-        pull[target] = back[:, :WIDTH]
+        back[:, -1] = 0
+        pull[target] = back
         place, seen = np.empty_like(m.place), np.zeros_like(vectors)
         for i in range(CONTEXT):
             place[i] = np.einsum("ij,ij->j", pull[i + 1:], vectors[:len(run) - i - 1])
@@ -381,20 +374,19 @@ class Trainer:
         self._move("place", np.arange(CONTEXT), place / CONTEXT)
 
 
-def _train(batches, words: Vocabulary, flat: np.ndarray, rate: float, seed: int) -> Iterator[pa.RecordBatch]:
-    trainer, total = Trainer(flat, words, rate, seed * 1_000_003 + TaskContext.get().partitionId()), 0
+def _train(batches, words: Vocabulary, start: np.ndarray, rate: float, seed: int) -> Iterator[pa.RecordBatch]:
+    trainer, total = Trainer(start, words, rate, seed * 1_000_003 + TaskContext.get().partitionId()), 0
     for _, runs in _runs(batches, ()):
         run = padded([runs[i] for i in trainer.rng.permutation(len(runs))], trainer.model.units)
         for at in range(0, len(run) - CONTEXT, BATCH):
             trainer.step(run[at:at + BATCH + CONTEXT])
         total += len(run)
     if total:
-        # moves and roots of weights, in half precision: a task's rows are its shuffle
-        w = np.sqrt(trainer.squares.flat - 1 + 1e-6)
-        v = trainer.model.flat - flat
+        # a move and the root of its weight per vector, in half precision: a task's rows are its shuffle
+        w = np.sqrt((trainer.squares.rows - 1).mean(axis=1) + 1e-6)
+        v = trainer.model.rows - start
         at = range(0, len(v), BLOCK)
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(at)), pa.int64()), *[pa.array([x[i:i + BLOCK].astype(np.float16).tobytes() for i in at], pa.binary())
-                                                                                   for x in (v, w)]], schema=_PARAMS)
+        yield to_batch([range(len(at)), *([x[i:i + BLOCK].astype(np.float16).tobytes() for i in at] for x in (v, w))], _PARAMS)
 
 
 def _added(batches) -> Iterator[pa.RecordBatch]:
@@ -403,7 +395,7 @@ def _added(batches) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i, *parts in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
             move, root = (np.frombuffer(x, np.float16).astype(np.float64) for x in parts)
-            own = [move * root * root, root * root]
+            own = [move.reshape(len(root), -1) * (root * root)[:, None], root * root]
             if i != last and last is not None:
                 yield _block(last, sums)
             sums = own if i != last else [a + b for a, b in zip(sums, own, strict=True)]
@@ -417,16 +409,16 @@ def _block(i: int, sums: list[np.ndarray]) -> pa.RecordBatch:
 
 
 def train(rows: DataFrame, words: Vocabulary, rounds: int = ROUNDS, rate: float = RATE) -> np.ndarray:
-    """The averaged parameters after all rounds over encoded rows (``row``, ``units``), each row in one round."""
-    flat = Model.start(words)
+    """The averaged vectors after all rounds over encoded rows (``row``, ``units``), each row in one round."""
+    model = Model.start(words)
     for k in range(rounds):
         got = rows.filter(F.pmod(F.xxhash64("row"), F.lit(rounds)) == k).select("units") \
-            .mapInArrow(partial(_train, words=words, flat=flat, rate=rate, seed=k), _PARAMS_DDL) \
-            .repartition("i").sortWithinPartitions("i").mapInArrow(_added, _PARAMS_DDL).collect()  # a row per block of parameters
+            .mapInArrow(partial(_train, words=words, start=model, rate=rate, seed=k), _PARAMS_DDL) \
+            .repartition("i").sortWithinPartitions("i").mapInArrow(_added, _PARAMS_DDL).collect()  # a row per block of vectors
         for r in got:
-            low = r["i"] * BLOCK
-            flat[low:low + BLOCK] += np.frombuffer(r["v"], np.float32) / np.frombuffer(r["w"], np.float32)
-    return flat
+            weights = np.frombuffer(r["w"], np.float32)[:, None]
+            model[r["i"] * BLOCK:][:len(weights)] += np.frombuffer(r["v"], np.float32).reshape(len(weights), -1) / weights
+    return model
 
 
 # ---- scores ----------------------------------------------------------------------------------------------------
@@ -436,8 +428,8 @@ _SCORED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", p
 _SCORED_DDL = "row long, doc_id long, n_tokens long, n_own long, base double, model double"
 
 
-def _score(batches, words: Vocabulary, flat: np.ndarray) -> Iterator[pa.RecordBatch]:
-    model = Model(flat, words.starts)
+def _score(batches, words: Vocabulary, trained: np.ndarray) -> Iterator[pa.RecordBatch]:
+    model = Model(trained, words.starts)
     log_mass = np.concatenate([np.zeros(words.own), np.log10(words.mass)])
     for rows, runs in _runs(batches, ("row", "doc_id", "n_tokens", "n_own", "base"), READ // 4):
         run = padded(runs, model.units)
@@ -454,8 +446,8 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS, held_out: int = HELD_OUT)
     counts = token_counts(texts.filter(crc_fold() != held_out))
     words = vocabulary(counts)
     rows = encoded(texts, words)
-    flat = train(rows.filter(crc_fold() != held_out), words, rounds)
-    scored = rows.select("row", "doc_id", "n_tokens", "n_own", "base", "units").mapInArrow(partial(_score, words=words, flat=flat), _SCORED_DDL)
+    trained = train(rows.filter(crc_fold() != held_out), words, rounds)
+    scored = rows.select("row", "doc_id", "n_tokens", "n_own", "base", "units").mapInArrow(partial(_score, words=words, trained=trained), _SCORED_DDL)
     # a rare token's rows are at most those of its documents; both inputs are scans, so a hot one can be split
     rare = rows.select("row", F.explode("rare").alias("r")).select("row", "r.token", "r.tf") \
         .join(counts, "token", "left") \

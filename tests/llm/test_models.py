@@ -167,18 +167,21 @@ def _chances(model, before):
 
 
 def _random_model(words, seed):
-    return lbl.Model(np.random.default_rng(seed).normal(0, 0.3, len(lbl.Model.start(words))).astype(np.float32), words.starts)
+    rows = np.random.default_rng(seed).normal(0, 0.3, lbl.Model.start(words).shape).astype(np.float32)
+    model = lbl.Model(rows, words.starts)
+    model.seen[:, -1] = model.place[:, -1] = 0
+    return model
 
 
 def test_probabilities_add_up_to_one():
     words = lbl.Vocabulary([(f"w{i}".encode(), 1000 - i) for i in range(600)], {k: 500.0 + (400_000 if k == 48 else 9000) for k in range(lbl.TAIL)}, 10, 5)
     model, k = _random_model(words, 2), 600 + lbl.TAIL
-    assert model.units == k and model.flat.size == sum(lbl._sizes(k, len(words.starts)))
+    assert model.units == k and len(model.rows) == 2 * k + 1 + lbl.CONTEXT + len(words.starts)
     for before in ([k, k, k, k], [k, k, 5, 0], [601, 1, 2, 599]):
         h = model.context(model.seen[[*before, 0]])[lbl.CONTEXT:]
         p = np.exp(model.log_probabilities(np.repeat(h, k, axis=0), np.arange(k)))
         assert abs(p.sum() - 1) < 1e-5 and np.allclose(p, _chances(model, before), rtol=1e-3)
-    far = model.log_probabilities(np.full((k, lbl.WIDTH), 60, np.float32), np.arange(k))  # scores beyond what exp holds
+    far = model.log_probabilities(np.full((k, lbl.WIDTH + 1), 60, np.float32), np.arange(k))  # scores beyond what exp holds
     assert np.isfinite(far).all() and abs(np.exp(far).sum() - 1) < 1e-3
 
 
@@ -187,7 +190,7 @@ def test_scores_are_those_of_the_definition(spark):
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     words = lbl.vocabulary(lbl.token_counts(frame.filter("doc_id < 10")))
     model = _random_model(words, 4)
-    got = lbl.encoded(frame, words).mapInArrow(lambda b: lbl._score(b, words, model.flat), lbl._SCORED_DDL).collect()
+    got = lbl.encoded(frame, words).mapInArrow(lambda b: lbl._score(b, words, model.rows), lbl._SCORED_DDL).collect()
     assert len(got) == len(texts)
     for r in got:
         units = [words.index.index(t) if t in words.index else words.own + lbl.tail_class(t) for t in lbl.tokens(texts[r["doc_id"]])]

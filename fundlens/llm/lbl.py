@@ -32,7 +32,9 @@ model keeps its uniform start; an empty table gives no rows.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
+from copy import copy
 from functools import partial
 from itertools import repeat
 
@@ -40,10 +42,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlens.llm.common import SLICE_CHARS, crc_fold, staged, text_or_empty, to_batch
+from fundlens.llm.common import SLICE_CHARS, crc_fold, filesystem, staged, text_or_empty, to_batch
+from fundlens.session import scratch_dir
 
 TOP = 448
 LEAST = 8
@@ -142,6 +145,12 @@ class Vocabulary:
         self.starts = np.flatnonzero(np.diff(np.floor(np.cumsum(np.sqrt(self.noise))), prepend=-1))  # of the groups
         self.norm = np.log10(total + 0.5 * (distinct + 1))
 
+    def shares(self) -> Vocabulary:
+        """What training and scoring need: all but the tokens."""
+        out = copy(self)
+        out.index = []
+        return out
+
     def numbers(self, found: pa.Array) -> np.ndarray:
         """The unit of each token (an Arrow array of bytes)."""
         unit = pc.fill_null(pc.index_in(found, value_set=pa.array(self.index, pa.binary())), -1).to_numpy().astype(np.int32)
@@ -172,7 +181,24 @@ _ENCODED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens",
 _ENCODED_DDL = "row long, doc_id long, n_tokens long, n_own long, base double, units binary, rare array<struct<token: binary, tf: long>>"
 
 
-def _encode(batches, words: Vocabulary) -> Iterator[pa.RecordBatch]:
+def shared_file(spark: SparkSession, name: str, value) -> str:
+    """``value`` as a file in the shared folder: tasks read it there, so no executor keeps copies of it on its disk."""
+    uri = scratch_dir(spark, name)
+    files, base = filesystem(uri)
+    files.create_dir(base, recursive=True)
+    with files.open_output_stream(f"{base}/value.pickle") as out:
+        pickle.dump(value, out, protocol=5)
+    return uri
+
+
+def from_shared(uri: str):
+    files, base = filesystem(uri)
+    with files.open_input_stream(f"{base}/value.pickle") as source:
+        return pickle.loads(source.readall())
+
+
+def _encode(batches, vocabulary_file: str) -> Iterator[pa.RecordBatch]:
+    words = from_shared(vocabulary_file)
     log_counts = np.concatenate([np.log10(words.counts + 0.5), np.zeros(TAIL)])
     for part in _slices(batches):
         found, lengths = token_runs(part.column("text"))
@@ -197,7 +223,7 @@ def _encode(batches, words: Vocabulary) -> Iterator[pa.RecordBatch]:
 def encoded(texts: DataFrame, words: Vocabulary) -> DataFrame:
     """Every text as the 32-bit numbers of its tokens' units, with its rarer tokens and the base score of the others."""
     rows = texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    return staged(rows.mapInArrow(partial(_encode, words=words), _ENCODED_DDL), "lm-units")
+    return staged(rows.mapInArrow(partial(_encode, vocabulary_file=shared_file(texts.sparkSession, "lm-words", words)), _ENCODED_DDL), "lm-units")
 
 
 def _runs(batches, columns: tuple[str, ...], size: int = READ) -> Iterator[tuple[list[list], list[np.ndarray]]]:
@@ -374,7 +400,8 @@ class Trainer:
         self._move("place", np.arange(CONTEXT), place / CONTEXT)
 
 
-def _train(batches, words: Vocabulary, start: np.ndarray, rate: float, seed: int) -> Iterator[pa.RecordBatch]:
+def _train(batches, model_file: str, rate: float, seed: int) -> Iterator[pa.RecordBatch]:
+    words, start = from_shared(model_file)
     trainer, total = Trainer(start, words, rate, seed * 1_000_003 + TaskContext.get().partitionId()), 0
     for _, runs in _runs(batches, ()):
         run = padded([runs[i] for i in trainer.rng.permutation(len(runs))], trainer.model.units)
@@ -413,7 +440,7 @@ def train(rows: DataFrame, words: Vocabulary, rounds: int = ROUNDS, rate: float
     model = Model.start(words)
     for k in range(rounds):
         got = rows.filter(F.pmod(F.xxhash64("row"), F.lit(rounds)) == k).select("units") \
-            .mapInArrow(partial(_train, words=words, start=model, rate=rate, seed=k), _PARAMS_DDL) \
+            .mapInArrow(partial(_train, model_file=shared_file(rows.sparkSession, "lm-model", (words.shares(), model)), rate=rate, seed=k), _PARAMS_DDL) \
             .repartition("i").sortWithinPartitions("i").mapInArrow(_added, _PARAMS_DDL).collect()  # a row per block of vectors
         for r in got:
             weights = np.frombuffer(r["w"], np.float32)[:, None]
@@ -428,7 +455,8 @@ _SCORED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", p
 _SCORED_DDL = "row long, doc_id long, n_tokens long, n_own long, base double, model double"
 
 
-def _score(batches, words: Vocabulary, trained: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _score(batches, model_file: str) -> Iterator[pa.RecordBatch]:
+    words, trained = from_shared(model_file)
     model = Model(trained, words.starts)
     log_mass = np.concatenate([np.zeros(words.own), np.log10(words.mass)])
     for rows, runs in _runs(batches, ("row", "doc_id", "n_tokens", "n_own", "base"), READ // 4):
@@ -447,7 +475,8 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS, held_out: int = HELD_OUT)
     words = vocabulary(counts)
     rows = encoded(texts, words)
     trained = train(rows.filter(crc_fold() != held_out), words, rounds)
-    scored = rows.select("row", "doc_id", "n_tokens", "n_own", "base", "units").mapInArrow(partial(_score, words=words, trained=trained), _SCORED_DDL)
+    model_file = shared_file(docs.sparkSession, "lm-model", (words.shares(), trained))
+    scored = rows.select("row", "doc_id", "n_tokens", "n_own", "base", "units").mapInArrow(partial(_score, model_file=model_file), _SCORED_DDL)
     # a rare token's rows are at most those of its documents; both inputs are scans, so a hot one can be split
     rare = rows.select("row", F.explode("rare").alias("r")).select("row", "r.token", "r.tf") \
         .join(counts, "token", "left") \

@@ -190,7 +190,8 @@ def test_scores_are_those_of_the_definition(spark):
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     words = lbl.vocabulary(lbl.token_counts(frame.filter("doc_id < 10")))
     model = _random_model(words, 4)
-    got = lbl.encoded(frame, words).mapInArrow(lambda b: lbl._score(b, words, model.rows), lbl._SCORED_DDL).collect()
+    file = lbl.shared_file(spark, "test-model", (words.shares(), model.rows))
+    got = lbl.encoded(frame, words).mapInArrow(lambda b: lbl._score(b, file), lbl._SCORED_DDL).collect()
     assert len(got) == len(texts)
     for r in got:
         units = [words.index.index(t) if t in words.index else words.own + lbl.tail_class(t) for t in lbl.tokens(texts[r["doc_id"]])]

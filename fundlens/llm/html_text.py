@@ -4,7 +4,7 @@
    character references decoded). Each line has a key. Under markup that can only be furniture
    (navigation, header, footer, aside, hidden parts, or a whole class, id or role name for them) the key is the
    line's place in the markup, as menus repeat in form while their words change; elsewhere it
-   is the line's text. Names never mark the page, an article or what holds one, nor a heading by its id, nor all text
+   is the line's text. Names never mark the page, an article or what holds one, nor a heading by its id or class, nor all text
    of a page; forms are no furniture by themselves.
 2. Pages are ordered by host, URL path and id; each meets up to ``SIDE`` pages of its host before
    and after it. Pages whose lines to keep are equal are copies, which say nothing about
@@ -14,7 +14,8 @@
    nearest (or the only one) are deleted. Inside an article that the page marks itself
    (``article`` or ``main``) the mark decides instead, as articles share passages that no comparison can
    tell from furniture (figures in the README); only its doubtful blocks (forms, names with a part that
-   marks furniture) lose the lines that all differing pages met, two at least, share.
+   marks furniture) lose the lines that all differing pages met, two at least, share. Articles that are reader comments or
+   teasers by their name or by what holds them go where the page has other marked text.
 3. An exact check follows: furniture that the nearest page lacks goes by its markup, and
    of a page that marks its article only lines inside it stay.
 
@@ -50,7 +51,7 @@ from fundlens.llm.common import shuffle_partitions, slices, staged
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)/?>", re.S)
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 #: Elements whose content is no text of the page.
-_RAW = frozenset("script style noscript template iframe textarea title svg math object canvas audio video select datalist".split())
+_RAW = frozenset("script style noscript template iframe textarea title svg annotation annotation-xml object canvas audio video select datalist".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer
     form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td
@@ -73,10 +74,16 @@ _MARKS = frozenset("""ad ads adv advert adverts advertisement advertising banner
     subscription toolbar widget alert complementary contentinfo dialog tracking pagination pager cookie-notice cookie-banner
     cookie-consent site-header site-footer site-nav main-nav""".split())
 
+#: Of these, and of names that begin with ``comment-`` or ``comments-`` (but for their states), an article
+#: inside or by itself is a comment or a teaser where the page has other text in an article.
+_ANSWERS = frozenset("comment comments disqus recommended related replies reply respond sponsored teaser teasers".split())
+_COMMENT = re.compile(r"comments?[-_](?!open|closed|count|enabled|disabled)")
+
 _PARTS = re.compile(r"[a-z]+")
 
 FURNITURE, MAIN, OTHER, DOUBTFUL = 0, 1, 2, 3
 _NAMED = 4  # furniture by a name only, while a page is read
+_KEPT = (MAIN, DOUBTFUL)
 #: Differing pages to meet on each side.
 SIDE = 2
 
@@ -89,17 +96,23 @@ def _marked(tag: str, attributes: str) -> int | None:
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
             return FURNITURE
-        if name in ("class", "id", "role") and tag not in _WHOLE and not (name == "id" and tag in _HEADINGS):
-            if not _MARKS.isdisjoint(value.split()):
+        if name in ("class", "id", "role") and tag not in _WHOLE and not (name != "role" and tag in _HEADINGS):
+            if not _MARKS.isdisjoint(value.split()) or any(map(_COMMENT.match, value.split())):
                 got = _NAMED
             elif got is None and not _MARKS.isdisjoint(_PARTS.findall(value)):
                 got = DOUBTFUL
     return got
 
 
+def _answers(attributes: str) -> bool:
+    """Whether a class or id names comments or teasers."""
+    names = [n for a, v in _ATTRIBUTE.findall(attributes) if a.lower() in ("class", "id") for n in v.strip("\"'").lower().split()]
+    return not _ANSWERS.isdisjoint(names) or any(map(_COMMENT.match, names))
+
+
 def page_lines(page: str) -> list[tuple[str, int, str]]:
     """(text, kind, place in the markup) of every block of text in page order."""
-    out, run, stack = [], [], []  # stack: (tag, kind)
+    out, run, stack = [], [], []  # stack: (tag, kind, whether in comments or teasers)
 
     def kind():
         return stack[-1][1] if stack else OTHER
@@ -109,7 +122,7 @@ def page_lines(page: str) -> list[tuple[str, int, str]]:
             text = " ".join("".join(run).split())
             run.clear()
             if text:
-                out.append((text, kind(), "/".join(t for t, _ in stack[-4:])))
+                out.append((text, kind(), "/".join(t for t, *_ in stack[-4:]), bool(stack) and stack[-1][2]))
 
     def pop_to(tags, stop=frozenset()):
         for i in range(len(stack) - 1, -1, -1):
@@ -154,7 +167,7 @@ def page_lines(page: str) -> list[tuple[str, int, str]]:
         if own != FURNITURE:
             if tag in _FURNITURE or (tag == "header" and own != MAIN) or mark == FURNITURE:
                 own = FURNITURE
-            elif tag in _MAIN and not (own == _NAMED and any(t == "article" for t, _ in stack)):
+            elif tag in _MAIN and not (own == _NAMED and any(t == "article" for t, *_ in stack)):
                 own = MAIN  # also below a furniture name; only in an article that is a comment or a teaser
             elif mark == _NAMED:
                 own = _NAMED
@@ -162,11 +175,16 @@ def page_lines(page: str) -> list[tuple[str, int, str]]:
                 own = DOUBTFUL
         if tag not in _BLOCK and own != kind():
             flush()  # an inline piece of furniture is a line of its own
-        stack.append((tag, own))
+        answer = bool(stack) and stack[-1][2]
+        if not answer and tag != "main" and (mark == _NAMED or tag == "article") and found[3]:
+            answer = _answers(found[3])
+        stack.append((tag, own, answer and tag != "main"))
     flush()
     # names alone never empty a page: without any other text the comparison with its nearest page decides
-    named = FURNITURE if any(k in (MAIN, OTHER, DOUBTFUL) for _, k, _ in out) else OTHER
-    return [(text, named if k == _NAMED else k, place) for text, k, place in out]
+    named = FURNITURE if any(k in (MAIN, OTHER, DOUBTFUL) for _, k, *_ in out) else OTHER
+    # an article among comments or teasers is the page's own only where no other text is marked
+    other = any(k in _KEPT and not answer for _, k, _, answer in out)
+    return [(text, named if k == _NAMED else FURNITURE if answer and other and k in _KEPT else k, place) for text, k, place, answer in out]
 
 
 def line_keys(lines: list[tuple[str, int, str]]) -> list[int]:

@@ -121,6 +121,26 @@ def test_names_and_tags_of_furniture_still_count():
     assert [text for text, kind, _ in lines if kind != ht.FURNITURE] == ["Own", "Main"]
 
 
+@pytest.mark.parametrize("page", [
+    "<article>Kept</article><div id='comments'><li class='comment'><article class='comment-body'>Nice post!<p>More</p></article></li></div>",
+    "<article>Kept</article><section class='related'><article class='teaser'><h3>Other</h3>story</article></section>",
+    "<main>Kept<div class='comment-list'><p>Nice</p></div><ol class='comments-area'><li>Bad</ol></main>",
+    "<main><article>Kept<article class='comment'>Nice</article></article></main>", "<article>Kept</article><article class='teaser'>Other</article>",
+    "<div class='related'><article>Kept</article></div>", "<article class='teaser'>Kept</article>", "<div class='comments'><main>Kept</main></div>",
+    "<article><h2 class='related'>Kept</h2></article>", "<article class='comments-open'><div class='comments-open'>Kept</div></article>"])
+def test_comments_and_teasers_go_where_an_article_stays(page):
+    assert ht.main_text(*_judged(ht.page_lines(f"<body><nav>Menu</nav>{page}<footer>gone</footer></body>"))) == "Kept"
+
+
+def _judged(lines):
+    return [x[0] for x in lines], [x[1] for x in lines], ht.line_keys(lines), []
+
+
+def test_formulas_are_text():
+    lines = ht.page_lines("<article>If <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation encoding='application/x-tex'>x=2</annotation></math> then</article>")
+    assert [x[0] for x in lines] == ["If x=2 then"]
+
+
 def test_copies_and_heavy_templates_are_compared_with_the_next_differing_page(spark):
     menu = "".join(f"<div>Menu entry number {i} of the whole site</div>" for i in range(9))
 

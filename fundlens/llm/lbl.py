@@ -253,13 +253,18 @@ def padded(runs: list[np.ndarray], units: int) -> np.ndarray:
 def _log_total(x: np.ndarray, vectors: np.ndarray, cells: int = 1 << 16) -> np.ndarray:
     """Log of the sum of exp(x . vector) over the vectors, for every row of ``x``."""
     out, rows, ones = np.empty(len(x), np.float32), max(64, cells // len(vectors)), np.ones(len(vectors), np.float32)
+    scores = np.empty((min(rows, len(x)), len(vectors)), np.float32)
+    turned = np.ascontiguousarray(vectors.T)
+    # lengths bound the scores: below 60 nothing overflows and no shift is needed
+    small = np.einsum("ij,ij->i", x, x).max() * np.einsum("ij,ij->i", vectors, vectors).max() < 3600
     for at in range(0, len(x), rows):
-        scores = x[at:at + rows] @ vectors.T
-        top = 0.0 if scores.max() < 60 and scores.min() > -60 else scores.max(axis=1)  # no overflow: no shift
-        if not np.isscalar(top):
-            scores -= top[:, None]
-        np.exp(scores, out=scores)
-        out[at:at + rows] = np.log(scores @ ones) + top
+        part = x[at:at + rows]
+        own, top = np.matmul(part, turned, out=scores[:len(part)]), 0.0
+        if not small:
+            top = own.max(axis=1)
+            own -= top[:, None]
+        np.exp(own, out=own)
+        out[at:at + rows] = np.log(own @ ones) + top
     return out
 
 
@@ -337,9 +342,13 @@ class Trainer:
 
     def _move(self, name: str, rows, grad) -> None:
         squares, values = getattr(self.squares, name), getattr(self.model, name)
-        total = squares.take(rows, axis=0) + grad * grad
+        total = squares.take(rows, axis=0)
+        total += grad * grad
         squares[rows] = total
-        values[rows] = values.take(rows, axis=0) + self.rate * grad / np.sqrt(total)
+        grad /= np.sqrt(total, out=total)
+        grad *= self.rate
+        grad += values.take(rows, axis=0)
+        values[rows] = grad
 
     def _noise_units(self, of: np.ndarray) -> np.ndarray:
         """``NEAR_NOISE`` units of each group by their training shares."""

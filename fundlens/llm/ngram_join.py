@@ -7,12 +7,15 @@
    selective band (most rows) whose bands still fit ``MAX_HASHES``. Band hashes are
    shuffled; classes that share one are linked to the least class of the bucket (counted and
    joined, so a bucket of any size emits one row per member).
-3. The connected components of these links hold every candidate pair. A component is
-   divided into blocks of bounded size, and each pair of blocks is one task group that
-   compares the full n-gram sets of all its pairs at once by products of incidence
-   matrices. It emits one row per class and block pair (link count and a spanning link),
-   never a row per pair; a component of any size is spread over its block pairs, and
-   no partner is left out.
+3. Candidates are the pairs that share a band. To meet each of them once, however many bands
+   it shares, the components of the links are cut into blocks of bounded size, and a class goes to
+   the pairs of blocks in which it shares a band with another class: to its own block if the
+   component has one, to all if one bucket holds a large part of the component (nearly every pair is a
+   candidate then), else to the blocks that its buckets reach. Each pair of blocks is one
+   task group, which finds the candidates among its classes by their bands and compares the full
+   n-gram sets of these: partner by partner, or at once by products of incidence matrices where
+   most pairs are candidates. It emits one row per class and block pair (link count and a
+   spanning link), never a row per pair; no candidate is left out.
 4. Verified spanning links give the near-duplicate groups by connected components.
 
 A pair at the threshold is missed with probability ``1 - recall`` at most; a more similar
@@ -46,6 +49,8 @@ RECALL = 0.9999
 MAX_HASHES = 192
 BLOCK_CLASSES = 512
 BLOCK_NGRAMS = 1_500_000
+#: A component goes to all its block pairs if its largest bucket holds one class in so many.
+DENSE = 8
 
 _WORD = re.compile(r"[^\W_]+")
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))  # multipliers of the splitmix64 finaliser
@@ -168,6 +173,43 @@ def linked(sets: list[np.ndarray], threshold: Fraction, side: np.ndarray | None
     return out if side is None else out & (side[:, None] != side[None, :])
 
 
+def sharing(bands: np.ndarray) -> np.ndarray:
+    """The boolean matrix of pairs of rows that have a band in common (none with itself)."""
+    out = np.zeros((len(bands), len(bands)), bool)
+    for band in bands.T:
+        out |= band[:, None] == band[None, :]
+    np.fill_diagonal(out, False)
+    return out
+
+
+def linked_partners(sets: list[np.ndarray], pairs: np.ndarray, threshold: Fraction) -> np.ndarray:
+    """Like :func:`linked`, but only the ``pairs`` of a symmetric boolean matrix are compared."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    values, column = np.unique(np.concatenate(sets), return_inverse=True)
+    parts = np.split(column, np.cumsum(sizes)[:-1])
+    held, out = np.zeros(len(values), bool), np.zeros_like(pairs)
+    for a in np.flatnonzero(pairs.any(axis=1)):
+        others = a + 1 + np.flatnonzero(pairs[a, a + 1:])
+        if not len(others):
+            continue
+        held[parts[a]] = True
+        starts = np.cumsum(sizes[others]) - sizes[others]
+        common = np.add.reduceat(held[np.concatenate([parts[b] for b in others])].astype(np.int64), starts)
+        held[parts[a]] = False
+        out[a, others] = common * threshold.denominator >= (sizes[a] + sizes[others] - common) * threshold.numerator
+    return out | out.T
+
+
+def verified(sets: list[np.ndarray], bands: np.ndarray, threshold: Fraction, side: np.ndarray | None = None) -> np.ndarray:
+    """The boolean matrix of linked pairs among those that share a band; with ``side``, only pairs from different sides."""
+    pairs = sharing(bands)
+    if side is not None:
+        pairs &= side[:, None] != side[None, :]
+    if 2 * int(pairs.sum()) <= len(sets) * (len(sets) - 1):
+        return linked_partners(sets, pairs, threshold)
+    return linked(sets, threshold, side) & pairs
+
+
 def _roots(matrix: np.ndarray) -> np.ndarray:
     """The least member of each one's connected component."""
     label = np.arange(len(matrix))
@@ -185,15 +227,15 @@ def _verify(batches, threshold: Fraction) -> Iterator[pa.RecordBatch]:
     key, group = None, []
 
     def close():
-        node, block, copies, sets = zip(*group, strict=True)
-        matrix = linked([np.frombuffer(s, np.uint64) for s in sets], threshold,
-                        np.array(block) if key[1] != key[2] else None)
+        node, block, copies, bands, sets = zip(*group, strict=True)
+        matrix = verified([np.frombuffer(s, np.uint64) for s in sets], np.array(bands, np.int64), threshold,
+                          np.array(block) if key[1] != key[2] else None)
         some = np.flatnonzero(matrix.any(axis=1))
         ids = np.array(node, np.int64)
         return to_batch([ids[some], (matrix @ np.array(copies, np.int64))[some], ids[_roots(matrix)][some]], _LINKS)
 
     for batch in batches:
-        for part, i, j, *rest in zip(*(batch.column(c).to_pylist() for c in ("part", "i", "j", "node", "block", "copies", "ngrams")), strict=True):
+        for part, i, j, *rest in zip(*(batch.column(c).to_pylist() for c in ("part", "i", "j", "node", "block", "copies", "bands", "ngrams")), strict=True):
             if (part, i, j) != key:
                 if len(group) > 1:
                     yield close()
@@ -203,11 +245,20 @@ def _verify(batches, threshold: Fraction) -> Iterator[pa.RecordBatch]:
         yield close()
 
 
+def _destinations(blocked: DataFrame) -> DataFrame:
+    """``node, other``: the blocks of its component in which a class may have candidates."""
+    fixed = blocked.filter("blocks = 1 OR dense").select("node", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    inside = staged(blocked.filter("blocks > 1 AND NOT dense").select("node", "block", F.explode("bands").alias("band")), "ngram-inside")
+    reached = staged(inside.groupBy("band", F.col("block").alias("other")).agg(F.count(F.lit(1)).alias("members")), "ngram-reached")
+    by_band = inside.join(reached, "band").filter("block <> other OR members > 1").select("node", "other").distinct()
+    return fixed.unionByName(by_band)
+
+
 def ngram_join(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, recall: float = RECALL,
                max_hashes: int = MAX_HASHES, block_classes: int = BLOCK_CLASSES) -> DataFrame:
     """A row per document: ``doc_id, class_id`` (least id of its near-duplicate group),
     ``copy_id`` (least id of the texts with the same n-grams), ``n_links`` (other documents
-    at the threshold or above, copies included), ``n_ngrams``."""
+    at the threshold or above that share a band, copies included), ``n_ngrams``."""
     spark = docs.sparkSession
     rows, bands = choose_bands(threshold, recall, max_hashes)
     exact = Fraction(str(threshold))
@@ -220,16 +271,18 @@ def ngram_join(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS
                      .withColumn("node", F.monotonically_increasing_id()), "ngram-classes")
     banded = classes.select("node", F.explode("bands").alias("band"))
     hubs = staged(banded.groupBy("band").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("members"))
-                  .filter("members > 1").drop("members"), "ngram-buckets")
-    candidates = staged(components(banded.join(hubs, "band").filter("node <> hub")
+                  .filter("members > 1"), "ngram-buckets")
+    candidates = staged(components(banded.join(hubs.drop("members"), "band").filter("node <> hub")
                                    .select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()), "ngram-candidates")
-    nodes = candidates.join(classes.drop("bands"), "node")
-    sizes = staged(candidates.join(classes.select("node", "n"), "node").groupBy("label")
-                   .agg(F.greatest(F.ceil(F.count(F.lit(1)) / block_classes), F.ceil(F.sum("n") / BLOCK_NGRAMS)).cast("int").alias("blocks")),
-                   "ngram-blocks")
-    blocked = staged(nodes.join(sizes, "label").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")),
-                     "ngram-blocked")
-    wanted = blocked.select("set_id", "node", "label", "copies", "block", "blocks")
+    largest = hubs.groupBy(F.col("hub").alias("node")).agg(F.max("members").alias("members"))
+    sizes = staged(candidates.join(classes.select("node", "n"), "node").join(largest, "node", "left").groupBy("label")
+                   .agg(F.greatest(F.ceil(F.count(F.lit(1)) / block_classes), F.ceil(F.sum("n") / BLOCK_NGRAMS)).cast("int").alias("blocks"),
+                        (F.max("members") * DENSE >= F.count(F.lit(1))).alias("dense")), "ngram-blocks")
+    blocked = staged(candidates.join(classes, "node").join(sizes, "label")
+                     .withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")), "ngram-blocked")
+    wanted = staged(blocked.join(_destinations(blocked), "node")
+                    .select("set_id", F.col("label").alias("part"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                            "node", "block", "copies", "bands"), "ngram-wanted")
     # Texts are found by id; where ids are missing or repeated, more texts come along and are told apart by their set.
     unclear = signed.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")) \
         .filter("rows > 1 OR doc_id IS NULL").limit(1).count() > 0
@@ -237,10 +290,7 @@ def ngram_join(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS
     sets = found.select("text").mapInArrow(partial(_sets, words=words), "set_id binary, ngrams binary")
     if unclear:
         sets = sets.join(wanted.select("set_id"), "set_id", "left_semi").dropDuplicates(["set_id"])
-    keyed = (sets.join(wanted, "set_id")
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select(F.col("label").alias("part"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                     "node", "block", "copies", "ngrams"))
+    keyed = sets.join(wanted, "set_id").drop("set_id")
     links = staged(keyed.repartition(shuffle_partitions(spark), "part", "i", "j").sortWithinPartitions("part", "i", "j")
                    .mapInArrow(partial(_verify, threshold=exact), "node long, links long, hub long"), "ngram-links")
     groups = components(links.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())

@@ -6,7 +6,9 @@ import hashlib
 import random
 import re
 from collections import defaultdict
+from fractions import Fraction
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,6 +117,54 @@ def test_near_copies_in_a_large_group_are_all_linked(spark):
     assert nj.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).count() == 1
 
 
+def _drifting(n, step=9, words=60):
+    """Texts of which each differs from the one before in nine words at its ends: a long component of few links."""
+    return [" ".join(f"w{k}" for k in range(step * i // 2, step * i // 2 + words)) for i in range(n)]
+
+
+def _drift_signs(texts):
+    rows, bands = nj.choose_bands()
+    sets = [nj.ngram_set(t) for t in texts]
+    mult, add = nj._hash_params(rows * bands)
+    return sets, nj.band_hashes(np.stack([nj.min_hashes(s, mult, add) for s in sets]), rows, bands)
+
+
+def test_only_pairs_that_share_a_band_are_compared():
+    sets, bands = _drift_signs(_drifting(200))
+    pairs = nj.sharing(bands)
+    want = np.array([[i != j and bool(set(a.tolist()) & set(b.tolist())) for j, b in enumerate(bands)] for i, a in enumerate(bands)])
+    assert (pairs == want).all() and 0 < pairs.sum() < 200 * 199 // 8
+    full = nj.linked(sets, Fraction(4, 5))
+    assert not (full & ~pairs).any()  # at this recall
+    assert (nj.verified(sets, bands, Fraction(4, 5)) == full).all()
+    side = np.arange(200) % 3
+    assert (nj.verified(sets, bands, Fraction(4, 5), side) == (full & (side[:, None] != side[None, :]))).all()
+    close = [f"{' '.join(f'a{k}' for k in range(100))} b{i}" for i in range(30)]  # most pairs are candidates
+    sets, bands = _drift_signs(close)
+    assert (nj.verified(sets, bands, Fraction(4, 5)) == nj.linked(sets, Fraction(4, 5))).all()
+
+
+def test_a_drifting_component_goes_only_where_bands_meet(spark):
+    texts = _drifting(120)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [_grams(t) for t in texts]
+    links = [sum(i != j and 5 * len(a & b) >= 4 * len(a | b) for j, b in enumerate(sets)) for i, a in enumerate(sets)]
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in nj.ngram_join(docs, block_classes=6).collect()}
+    label = list(range(120))
+    for i in range(1, 120):
+        if 5 * len(sets[i] & sets[i - 1]) >= 4 * len(sets[i] | sets[i - 1]):
+            label[i] = label[i - 1]
+    assert got == {i: (label[i], links[i]) for i in range(120)}
+
+    _, bands = _drift_signs(texts)
+    blocked = spark.createDataFrame([(i, i % 20, 20, False, b.tolist()) for i, b in enumerate(bands)],
+                                    "node long, block int, blocks int, dense boolean, bands array<long>")
+    pairs = nj.sharing(bands)
+    want = {(i, j % 20) for i in range(120) for j in np.flatnonzero(pairs[i])}
+    sent = [tuple(r) for r in nj._destinations(blocked).collect()]
+    assert len(sent) == len(set(sent)) and set(sent) == want and len(sent) < 120 * 20
+
+
 def test_bands_reach_the_recall():
     rows, bands = nj.choose_bands(0.8, 0.9999, 192)
     assert rows * bands <= 192 and 1 - (1 - 0.8 ** rows) ** bands >= 0.9999

@@ -1,8 +1,9 @@
 """WARC archives with oversized payloads as a chunked record table.
 
-Writing: every page becomes one WARC 1.1 record in a gzip member of its own. Payloads
-pass through as chunks with an incremental SHA-1; nothing but the current chunk is
-encoded, compressed or hashed at once. Reading streams an archive and yields one row
+Writing: every page becomes one WARC 1.1 record in a gzip member of its own. Payloads are cut
+into rows of ``record, chunk number, chunk`` before they reach Python, and a record's chunks pass through
+the writer one after the other, its digest and compressor running across Arrow batches; nothing but a
+bounded slice of chunks is held, encoded, compressed or hashed at once. Reading streams an archive and yields one row
 per chunk: ``record_id, chunk_no, offset, data, running_sha1, last`` and the record's
 headers on its last row. ``running_sha1`` is the digest of the payload up to and with
 that chunk, so a reader can check a prefix, and the last row's is the payload digest.
@@ -13,7 +14,8 @@ largest ``page_id`` is the ``response``, the others are ``revisit`` records that
 it and carry no payload. Payloads of less than ``min_revisit_bytes`` are always
 responses. Null html is an empty payload; an empty table gives no archive and no rows;
 rows that repeat the largest ``page_id`` of an equal payload are all responses; a null
-``page_id`` is written with an empty id, ranks last, and is read back as null.
+``page_id`` is written with an empty id, ranks last, and is read back as null; line breaks in a URL are
+left out of its header line. Extra columns are ignored.
 
 The group of a payload is found on narrow rows (id, length, digest), counted map-side,
 and joined back over plain exchanges that adaptive execution can split; wide rows are
@@ -33,10 +35,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlens.llm.common import commit_file, filesystem, staged, to_batch
+from fundlens.llm.common import commit_file, filesystem, slices, staged, to_batch
 from fundlens.session import scratch_dir
 
 CHUNK = 256 * 1024
+#: Characters of a payload in one row on its way to the writer: an Arrow batch of 10,000 rows stays bounded.
+WRITE_CHARS = 8192
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 _MANIFEST = pa.schema([("file", pa.string()), ("records", pa.int64()), ("bytes", pa.int64())])
@@ -69,11 +73,6 @@ def record_table(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
                          F.when(revisit, F.col("keep")).alias("refers_to"))
 
 
-def _payload_chunks(text: str, size: int = CHUNK) -> Iterator[bytes]:
-    for at in range(0, len(text), size):
-        yield text[at:at + size].encode("utf-8")
-
-
 def _header(page_id, url, kind, refers_to, sha1, payload_bytes, block_bytes) -> bytes:
     uri = lambda x: f"<urn:page:{'' if x is None else x}>"
     clean = "".join(c for c in (url or "") if c not in "\r\n")
@@ -86,43 +85,61 @@ def _header(page_id, url, kind, refers_to, sha1, payload_bytes, block_bytes) ->
     return ("\r\n".join(lines) + "\r\n\r\n").encode("utf-8")
 
 
+def payload_rows(rows: DataFrame, chars: int = WRITE_CHARS) -> DataFrame:
+    """The records as rows ``page_id, url, sha1, bytes, record_type, refers_to, chunk_no, chunks, data``, a record's
+    chunks following each other in order; a record without payload is one row without data."""
+    payload = F.when(F.col("record_type") == "response", F.coalesce(F.col("html"), F.lit("")))
+    pieces = F.when(F.octet_length(payload) <= chars, F.array(payload)) \
+        .otherwise(F.regexp_extract_all(payload, F.lit(f"(?s).{{1,{chars}}}"), F.lit(0)))
+    cut = rows.select("page_id", "url", "sha1", "bytes", "record_type", "refers_to", pieces.alias("pieces"))
+    first = F.col("chunk_no") == 0
+    return cut.select("*", F.posexplode(F.coalesce("pieces", F.array(F.lit(None).cast("string")))).alias("chunk_no", "data")) \
+        .select("page_id", F.when(first, F.col("url")).alias("url"), "sha1", "bytes", "record_type", "refers_to", "chunk_no",
+                F.coalesce(F.size("pieces"), F.lit(1)).alias("chunks"), "data")
+
+
 def _write(batches: Iterator[pa.RecordBatch], folder: str, roll_bytes: int) -> Iterator[pa.RecordBatch]:
-    """Archives of this task, each up to about ``roll_bytes``; a manifest row per committed archive."""
-    out, done, n = None, [], 0
+    """Archives of this task, each up to about ``roll_bytes``; a manifest row per committed archive.
+    A record ends with its last chunk, in whatever batch that comes."""
+    out, done, n, written, pack, digest, due = None, [], 0, 0, None, None, 0
+
+    def put(data: bytes):
+        nonlocal written
+        if data:
+            out.write(data)
+            written += len(data)
 
     def close():
         out.close()
         file_system.move(temp, final)
         done.append((final, n, written))
 
-    for batch in batches:
-        for page_id, url, html, sha1, size, kind, refers_to in zip(*(batch.column(c).to_pylist() for c in (
-                "page_id", "url", "html", "sha1", "bytes", "record_type", "refers_to")), strict=True):
+    for cols, texts in slices(batches, "data"):
+        for page_id, url, sha1, size, kind, refers_to, no, chunks, text in zip(*(cols[c] for c in (
+                "page_id", "url", "sha1", "bytes", "record_type", "refers_to", "chunk_no", "chunks")), texts, strict=True):
+            if no != due:
+                raise ValueError(f"page {page_id}: chunk {no} came where {due} was due")
             if out is None:
                 file_system, temp, final = commit_file(folder, f"pages-{len(done):05d}", uuid.uuid4().hex)
                 final += ".warc.gz"
                 out, n, written = file_system.open_output_stream(temp, compression=None), 0, 0
-            pack = zlib.compressobj(3, zlib.DEFLATED, 31)
-            block = 0 if kind == "revisit" else size
-            parts = [pack.compress(_header(page_id, url, kind, refers_to, sha1, size, block))]
-            if kind == "response":
-                digest = hashlib.sha1()
-                for chunk in _payload_chunks(html or ""):
-                    digest.update(chunk)
-                    parts.append(pack.compress(chunk))
-                    if sum(map(len, parts)) > CHUNK:
-                        written += sum(map(len, parts))
-                        out.write(b"".join(parts))
-                        parts = []
-                if digest.hexdigest() != sha1:
+            if no == 0:
+                pack, digest = zlib.compressobj(3, zlib.DEFLATED, 31), hashlib.sha1()
+                put(pack.compress(_header(page_id, url, kind, refers_to, sha1, size, 0 if kind == "revisit" else size)))
+            data = text.encode("utf-8")
+            digest.update(data)
+            put(pack.compress(data))
+            due = no + 1
+            if due == chunks:
+                if kind == "response" and digest.hexdigest() != sha1:
                     raise ValueError(f"payload of page {page_id} changed while it was written")
-            parts += [pack.compress(b"\r\n\r\n"), pack.flush()]
-            written += sum(map(len, parts))
-            out.write(b"".join(parts))
-            n += 1
-            if written >= roll_bytes:
-                close()
-                out = None
+                put(pack.compress(b"\r\n\r\n") + pack.flush())
+                n, due = n + 1, 0
+                if written >= roll_bytes:
+                    close()
+                    out = None
+    if due:
+        raise ValueError("the last record is not complete")
     if out is not None:
         close()
     if done:
@@ -139,7 +156,7 @@ def write_archives(pages: DataFrame, folder: str, min_revisit_bytes: int = 0,
     types = record_table(pages, min_revisit_bytes)
     on = wide["page_id"].eqNullSafe(types["r_page"]) & (wide["sha1"] == types["r_sha1"])
     rows = wide.join(types, on, "left").drop("r_page", "r_sha1")
-    written = rows.mapInArrow(partial(_write, folder=folder, roll_bytes=roll_bytes), MANIFEST_DDL)
+    written = payload_rows(rows).mapInArrow(partial(_write, folder=folder, roll_bytes=roll_bytes), MANIFEST_DDL)
     return staged(written, "warc-manifest")
 
 
@@ -237,7 +254,8 @@ def read_chunks(spark: SparkSession, manifest: DataFrame, chunk: int = CHUNK, wi
     """The chunked record table of the archives that ``manifest`` names."""
     files = manifest.select("file")
     n = max(1, files.count())
-    return files.repartition(n, F.col("file")).mapInArrow(
+    numbered = files.coalesce(1).withColumn("number", F.monotonically_increasing_id())  # a row per archive
+    return numbered.repartitionById(n, F.pmod("number", F.lit(n)).cast("int")).mapInArrow(
         partial(_read, chunk=chunk, with_data=with_data), CHUNKS_DDL)
 
 

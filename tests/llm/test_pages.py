@@ -5,7 +5,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,6 +56,52 @@ def test_chunk_rows_carry_running_digests(pages, spark):
     assert max(map(len, payloads.values())) > 1_000_000
 
 
+def test_payloads_reach_the_writer_in_bounded_rows(spark):
+    texts = {1: "a😀\r\n" * 5000, 2: "", 3: "é" * 8192, 4: "x" * 8193}
+    rows = spark.createDataFrame([(i, f"u{i}", t, len(t.encode()), hashlib.sha1(t.encode()).hexdigest(), "response", None) for i, t in texts.items()]
+                                 + [(5, "u5", texts[1], 1, "", "revisit", 1)],
+                                 "page_id long, url string, html string, bytes long, sha1 string, record_type string, refers_to long")
+    got = warc.payload_rows(rows.coalesce(1)).collect()
+    assert [(r["page_id"], r["chunk_no"]) for r in got] == sorted((r["page_id"], r["chunk_no"]) for r in got)
+    for i, t in texts.items():
+        own = [r for r in got if r["page_id"] == i]
+        assert "".join(r["data"] for r in own) == t and max(len(r["data"]) for r in own) <= 8192 and {r["chunks"] for r in own} == {len(own)}
+        assert [r["url"] for r in own] == [f"u{i}", *[None] * (len(own) - 1)]
+    assert [(r["chunk_no"], r["chunks"], r["data"]) for r in got if r["page_id"] == 5] == [(0, 1, None)]
+
+
+def test_a_large_record_is_written_and_read_in_bounded_memory(spark):
+    piece, times = "".join(random.Random(5).choices("abcdefgh <>\n", k=8192)), 6000  # 49 MB
+    sha1 = hashlib.sha1()
+    for _ in range(times):
+        sha1.update(piece.encode())
+
+    def batches():
+        for at in range(0, times, 100):
+            k = range(at, at + 100)
+            yield pa.RecordBatch.from_pydict({
+                "page_id": [9] * 100, "url": ["u"] * 100, "sha1": [sha1.hexdigest()] * 100, "bytes": [8192 * times] * 100,
+                "record_type": ["response"] * 100, "refers_to": pa.array([None] * 100, pa.int64()), "chunk_no": list(k),
+                "chunks": [times] * 100, "data": [piece] * 100})
+
+    tracemalloc.start()
+    try:
+        (manifest,) = warc._write(batches(), scratch_dir(spark, "test-large"), 1 << 30)
+        last = None
+        for last in warc._record_rows(manifest.column("file")[0].as_py(), 1 << 16, False):
+            pass
+        assert tracemalloc.get_traced_memory()[1] < 15_000_000
+    finally:
+        tracemalloc.stop()
+    assert last[6] and last[10] == 8192 * times and last[11] == _b32_hex(sha1.hexdigest())
+    with pytest.raises(ValueError, match="chunk"):
+        list(warc._write((b.slice(1) for b in batches()), scratch_dir(spark, "test-large"), 1 << 30))
+
+
+def _b32_hex(digest):
+    return base64.b32encode(bytes.fromhex(digest)).decode()
+
+
 def test_small_payloads_are_never_revisits(pages):
     got = warc.warc_round_trip(pages, min_revisit_bytes=100).filter("record_type = 'revisit'").collect()
     assert [(r["page_id"], r["refers_to"]) for r in got] == [(5, 7)]

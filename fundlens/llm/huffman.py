@@ -4,8 +4,8 @@
 2. The ids are counted over all documents; the counts (one row per id, so at most the
    vocabulary) give code lengths of at most ``limit`` bits by package-merge, and these
    alone the canonical codes. The lengths are the code book, kept beside the files.
-3. Documents are coded where they lie, then sorted by id over range partitions; each
-   partition writes one file of frames, in ascending order of ``doc_id``. A frame holds
+3. Documents are sorted by id over range partitions (rows of one id, or of none, are spread by
+   their place), coded there, and each partition writes one file of frames, in ascending order of ``doc_id``. A frame holds
    its documents' ids and lengths, the bit offset of every block of ``BLOCK`` ids (the
    checkpoints), and the code bits; a document starts on a byte.
 4. Reading decodes all blocks of a frame side by side: one table look-up of ``limit``
@@ -235,10 +235,10 @@ def _frame(rows: list[tuple]) -> bytes:
                      at.astype("<i8").tobytes(), *bits])
 
 
-def _write(batches, folder: str, book: bytes) -> Iterator[pa.RecordBatch]:
+def _write(batches, folder: str, book: bytes, lengths: np.ndarray) -> Iterator[pa.RecordBatch]:
     out, rows, held, docs, tokens, size = None, [], 0, 0, 0, 0
     part = TaskContext.get().partitionId()
-    for batch in batches:
+    for batch in _code_texts(batches, lengths):
         for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n_tokens", "bits", "marks")), strict=True):
             if out is None:
                 file_system, temp, final = commit_file(folder, f"ids-{part:06d}", uuid.uuid4().hex)
@@ -270,9 +270,9 @@ def write_files(tokens: Tokens, folder: str, limit: int = LIMIT) -> DataFrame:
     with file_system.open_output_stream(temp, compression=None) as f:
         f.write(zlib.compress(lengths.tobytes()))
     file_system.move(temp, final)
-    coded = tokens.ids.mapInArrow(partial(_code_texts, lengths=lengths), ddl(_CODED))
-    index = staged(coded.repartitionByRange(shuffle_partitions(spark), "doc_id").sortWithinPartitions("doc_id")
-                   .mapInArrow(partial(_write, folder=folder, book=book), ddl(_FILES)), "token-files")
+    placed = tokens.ids.withColumn("place", F.monotonically_increasing_id())  # of a written table, so the same at every attempt
+    index = staged(placed.repartitionByRange(shuffle_partitions(spark), "doc_id", "place").sortWithinPartitions("doc_id", "place")
+                   .mapInArrow(partial(_write, folder=folder, book=book, lengths=lengths), ddl(_FILES)), "token-files")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     return index.withColumn("first", F.coalesce(F.sum("tokens").over(before), F.lit(0).cast("long")))
 
@@ -310,9 +310,9 @@ def _read(batches, folder: str, with_ids: bool) -> Iterator[pa.RecordBatch]:
 
 def read_files(spark: SparkSession, index: DataFrame, folder: str, with_ids: bool = True) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32, ids`` (unsigned 32-bit little-endian) from the files."""
-    files = staged(index.select("file", "first"), "token-index")
-    n = max(1, files.count())
-    return files.repartition(n, F.col("file")).mapInArrow(partial(_read, folder=folder, with_ids=with_ids), ddl(_READ))
+    files = staged(index.select("part", "file", "first"), "token-index")
+    n = max(1, (files.agg(F.max("part")).first()[0] or 0) + 1)
+    return files.repartitionById(n, F.col("part").cast("int")).mapInArrow(partial(_read, folder=folder, with_ids=with_ids), ddl(_READ))
 
 
 def token_round_trip(docs: DataFrame, path: str, end_id: int = 1) -> DataFrame:

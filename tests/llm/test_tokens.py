@@ -99,6 +99,21 @@ def test_files_return_every_id_in_order(docs, spark):
     assert huffman.token_round_trip(docs.limit(0), tokenizer_file(WORD)).count() == 0
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_rows_of_one_id_are_spread_over_files(spark, doc_id):
+    rows = [(doc_id, f"text {i} " * (i % 40)) for i in range(400)] + [(i, "other") for i in range(100, 120)]
+    folder = scratch_dir(spark, "test-huffman")
+    index = huffman.write_files(huffman.token_table(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), tokenizer_file(WORD)), folder)
+    assert index.filter("docs > 0").count() > 1 and index.agg({"docs": "max"}).first()[0] < 300
+    got = sorted(huffman.read_files(spark, index, folder).collect(), key=lambda r: r["start"])
+    assert [r["start"] for r in got] == [sum(x["n_tokens"] for x in got[:i]) for i in range(len(got))]
+    ids = [r["doc_id"] for r in got]
+    assert ids == sorted(ids, key=lambda x: (x is not None, x or 0)) and len(ids) == 420
+    plain = Tokenizer.from_file(tokenizer_file(WORD))
+    want = [zlib.crc32(np.array([*plain.encode(t, add_special_tokens=False).ids, 1], "<u4").tobytes()) for _, t in rows]
+    assert sorted(r["ids_crc32"] for r in got) == sorted(want)
+
+
 def test_best_fill_equals_brute_force():
     rnd = random.Random(6)
     for _ in range(150):

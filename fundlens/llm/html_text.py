@@ -401,8 +401,8 @@ def _difference(batches) -> Iterator[pa.RecordBatch]:
                 settle(True)
                 recent.clear()
                 group, due = (row[0], row[2]), 8
-            if wait and wait[-1][0][5] == row[5] and row[1] and wait[-1][0][1] and wait[-1][0][9] == row[9]:
-                row = (*row[:9], wait[-1][0][9])  # a copy: its texts once
+            if wait and wait[-1][0][5] == row[5]:  # a copy: what it has in common with the page before is held once
+                row = (*row[:7], *(old if old == new else new for old, new in zip(wait[-1][0][7:], row[7:], strict=True)))
             wait.append((row, [x for x in recent if x[0] != row[5]][:SIDE]))
             _met(recent, row[5], (row[3], row[7]))
             if len(wait) >= due:
@@ -433,5 +433,5 @@ def extract(pages: DataFrame, ranges: int | None = None) -> DataFrame:
             ends["tail" if what == 3 else "head"].append(tuple(place))
     ranges_found = [by_range[p] for p in sorted(by_range)]
     lines = placed.mapInArrow(partial(_lines, lows=[r["low"][:3] for r in ranges_found], goes=visits(ranges_found)), _LINES_DDL)
-    return (lines.repartition(n, "range").sortWithinPartitions("range", "host", "path", "page_id", "sig", "own")
+    return (lines.repartitionById(n, F.col("range").cast("int")).sortWithinPartitions("range", "host", "path", "page_id", "sig", "own")
             .mapInArrow(_difference, "page_id long, url string, text string, n_chars long"))

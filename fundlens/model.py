@@ -21,6 +21,9 @@ class Star:
     # staging then re-derives positions from the written trades instead of
     # evaluating the trade join twice.
     positions_from_trades: bool = False
+    # ``data_posicao, id_ativo`` with at least as many rows of each key as ``posicao``, when it
+    # is cheaper to read: the price join looks for hot keys there.
+    position_keys: DataFrame | None = None
 
     def frames(self) -> dict[str, DataFrame]:
         out = {"fundo": self.fundo, "ativo": self.ativo, "emissor": self.emissor,

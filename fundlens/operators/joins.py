@@ -73,12 +73,16 @@ def broadcast_if_bounded(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_R
         return F.broadcast(dim)
     if force is False:
         return dim
+    return F.broadcast(dim) if fits_broadcast(dim, max_rows, name, max_bytes, rows_from) else dim
+
+
+def fits_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS, name: str = "dimension",
+                   max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES, rows_from: DataFrame | None = None) -> bool:
+    """Whether the measured size of ``dim`` is within the bounds of :func:`broadcast_if_bounded`."""
     n, size = measured_size(dim, rows_from if rows_from is not None else dim)
-    if n <= max_rows and size <= max_bytes:
-        log.info("broadcasting %s (%d rows, ~%d bytes)", name, n, size)
-        return F.broadcast(dim)
-    log.info("%s has %d rows (~%d bytes): shuffle join", name, n, size)
-    return dim
+    small = n <= max_rows and size <= max_bytes
+    log.info("%s has %d rows (~%d bytes): %s", name, n, size, "broadcast" if small else "shuffle join")
+    return small
 
 
 # Hot-key splitting: a key is hot above this many fact rows (about one task's
@@ -87,6 +91,8 @@ def broadcast_if_bounded(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_R
 # keys reaches the bound that keeps it broadcastable (a few tens of bytes each).
 DEFAULT_HOT_MIN_ROWS = 1_000_000
 DEFAULT_MAX_HOT_KEYS = 1_000_000
+# Buckets of key hashes counted before the keys themselves: a bucket of at most the hot threshold holds no hot key.
+HOT_BUCKETS = 8192
 
 
 def hot_keys(fact: DataFrame, keys: Sequence[str], min_rows: int = DEFAULT_HOT_MIN_ROWS,
@@ -94,12 +100,19 @@ def hot_keys(fact: DataFrame, keys: Sequence[str], min_rows: int = DEFAULT_HOT_M
     """``(*keys, _salts)`` for every key holding more than ``t = max(min_rows, rows / max_keys)``
     fact rows, with ``_salts = ceil(rows of the key / t)``.
 
-    One aggregate over the fact's key columns (combined map-side); the total is
-    summed from the same aggregate. Each hot key holds more than ``t`` rows, so
-    there are fewer than ``max_keys`` of them: the list has a proven size bound.
+    The keys are counted exactly, but only those of heavy buckets: rows are first counted by a hash of
+    their keys (at most ``HOT_BUCKETS`` counts a task, and the total), and a key in a bucket of at most ``t`` rows
+    cannot be hot. So the near unique keys of a fact without hot keys are not shuffled. ``fact`` may hold
+    more rows per key than the join's (a key wrongly taken for hot is only split needlessly). Each hot key
+    holds more than ``t`` rows, so there are fewer than ``max_keys`` of them: the list has a proven size bound.
     """
-    counts = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return hot_from_counts(counts, keys, "_n", min_rows, max_keys)
+    keys = list(keys)
+    rows = fact.select(*keys, F.pmod(F.xxhash64(*keys), F.lit(HOT_BUCKETS)).alias("_bucket"))
+    heavy = _above(rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows")), "_rows", min_rows, max_keys)
+    # at most HOT_BUCKETS rows
+    counts = (rows.join(F.broadcast(heavy.select("_bucket", "_t")), "_bucket")
+              .groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.max("_t").alias("_t")))
+    return _salts(counts.filter(F.col("_n") > F.col("_t")), keys, "_n")
 
 
 def hot_from_counts(counts: DataFrame, keys: Sequence[str], count_col: str,
@@ -108,10 +121,20 @@ def hot_from_counts(counts: DataFrame, keys: Sequence[str], count_col: str,
     per key and ``count_col``, the key's fact rows or an upper bound of them (a key
     wrongly taken for hot is only split needlessly)."""
     keys = list(keys)
-    total = counts.select(F.sum(count_col)).scalar()
-    t = F.greatest(F.lit(min_rows).cast("long"), F.ceil(total / F.lit(max_keys)).cast("long"))
-    return (counts.withColumn("_t", t).filter(F.col(count_col) > F.col("_t"))
-            .select(*keys, F.ceil(F.col(count_col) / F.col("_t")).cast("int").alias("_salts")))
+    return _salts(_above(counts, count_col, min_rows, max_keys), keys, count_col)
+
+
+def _above(counts: DataFrame, count_col: str, min_rows: int, max_keys: int) -> DataFrame:
+    """The rows of ``counts`` above ``t``, in ``_t``. The total is joined (one row), not a scalar subquery: plans that
+    hold a subquery are never recognised as equal, and a frame used twice would be computed twice."""
+    total = counts.agg(F.sum(count_col).alias("_total"))
+    t = F.greatest(F.lit(min_rows).cast("long"), F.ceil(F.col("_total") / F.lit(max_keys)).cast("long"))
+    return (counts.filter(F.col(count_col) > min_rows).crossJoin(F.broadcast(total))
+            .withColumn("_t", t).drop("_total").filter(F.col(count_col) > F.col("_t")))
+
+
+def _salts(hot: DataFrame, keys: Sequence[str], count_col: str) -> DataFrame:
+    return hot.select(*keys, F.ceil(F.col(count_col) / F.col("_t")).cast("int").alias("_salts"))
 
 
 def salted_join(fact: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "left",

@@ -20,7 +20,7 @@ from fundlens.plans import exposure, mtm, profile, ranking, risk
 from fundlens.plans import flat as flatmod
 from fundlens.plans.prices import business_days, cumulative_return, merge_prices, prices_by_priority, recent_returns
 from fundlens.session import scratch_dir, written
-from fundlens.sources.driver_tables import event_prices, star_from_driver
+from fundlens.sources.driver_tables import event_prices, kept_star, star_from_driver
 from fundlens.sources.ingest import insert_once
 from fundlens.sources.sinks import write_parquet
 from fundlens.sources.versions import VersionedTable
@@ -40,8 +40,12 @@ def _star(spark: SparkSession, sf_dir: str):
     return star_from_driver(spark, sf_dir)
 
 
+def _kept(spark: SparkSession, sf_dir: str):
+    return kept_star(spark, sf_dir)
+
+
 def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatmod.flat_typed(_star(spark, sf_dir))
+    return flatmod.flat_typed(_kept(spark, sf_dir))
 
 
 @register("q01_prices_by_priority")
@@ -52,7 +56,7 @@ def q01(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("q02_carteira_flat")
 def q02(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatmod.carteira_flat(_star(spark, sf_dir))
+    return flatmod.carteira_flat(_kept(spark, sf_dir))
 
 
 def _by_year(df: DataFrame, date_col: str) -> DataFrame:
@@ -253,12 +257,12 @@ def a07(spark, sf_dir):
 
 @register("q19_typed_from_text")
 def q19(spark, sf_dir):
-    return profile.typed_from_text(flatmod.carteira_flat(_star(spark, sf_dir), sort=False))
+    return profile.typed_from_text(flatmod.carteira_flat(_kept(spark, sf_dir), sort=False))
 
 
 @register("f06_parse_numbers")
 def f06(spark, sf_dir):
-    text = flatmod.carteira_flat(_star(spark, sf_dir), sort=False)
+    text = flatmod.carteira_flat(_kept(spark, sf_dir), sort=False)
     return profile.null_profile(profile.typed_from_text(text).select(*profile.TEXT_NUMERIC), only_missing=False)
 
 
@@ -293,7 +297,7 @@ def p09(spark, sf_dir):
 
 
 def _progressive(spark, sf_dir, upto: int):
-    e = flatmod.enriched_positions(_star(spark, sf_dir), steps=upto)
+    e = flatmod.enriched_positions((_kept if upto == 4 else _star)(spark, sf_dir), steps=upto)
     steps = [
         ["data_posicao", "id_fundo", "id_ativo", "quantidade", "valor_financeiro", "percentual_pl"],
         ["cnpj_fundo", "nome_fundo", "tipo_fundo"],
@@ -336,7 +340,7 @@ def j06(spark, sf_dir):
 
 @register("j08_inner_join_loss")
 def j08(spark, sf_dir):
-    e = flatmod.enriched_positions(_star(spark, sf_dir))
+    e = flatmod.enriched_positions(_kept(spark, sf_dir))
     return e.agg(
         F.count(F.lit(1)).alias("n_posicoes"),
         F.count_if(~F.col("_hit_fundo")).alias("sem_fundo"),
@@ -349,7 +353,7 @@ def j08(spark, sf_dir):
 
 @register("v03_flat_output_checks")
 def v03(spark, sf_dir):
-    return quality.flat_report(flatmod.carteira_flat(_star(spark, sf_dir), sort=False))
+    return quality.flat_report(flatmod.carteira_flat(_kept(spark, sf_dir), sort=False))
 
 
 def _rules(spark, sf_dir, pick):
@@ -515,7 +519,7 @@ def a10(spark, sf_dir):
 @register("o04_flat_head")
 def o04(spark, sf_dir):
     """The first rows of the ordered flat view (a head: the limit is the feature)."""
-    return flatmod.carteira_flat(_star(spark, sf_dir)).limit(10)
+    return flatmod.carteira_flat(_kept(spark, sf_dir)).limit(10)
 
 
 @register("p12_flat_shape")

@@ -72,8 +72,10 @@ def enriched_positions(star: Star, broadcast: bool | Mapping[str, bool] | None =
 
     Left joins only: the output has exactly one row per position when the
     dimension keys are unique (rule V07). ``_hit_*`` flags record each match.
-    The price join reuses the partitioning of the price dedup, so adaptive
-    execution cannot split a hot (date, asset) there; ``split_hot_keys`` salts the
+    The price join comes first, while the rows are narrow: it and the join with an asset
+    table too large to broadcast are the shuffles of the positions, and the texts of
+    the dimensions are in neither. Adaptive execution cannot split a hot (date, asset) in the
+    price join, whose price side is an aggregate; ``split_hot_keys`` salts the
     (date, asset) keys holding more than ``hot_min_rows`` positions instead
     (``operators.joins.salted_join``). Streams pass ``False``: their micro-batches
     are bounded and a stream cannot join back its own aggregate. ``steps`` stops after
@@ -84,6 +86,8 @@ def enriched_positions(star: Star, broadcast: bool | Mapping[str, bool] | None =
     fundo = broadcast_if_bounded(fundo, max_rows, "fundo", force=forced(broadcast, "fundo"))
     fact = star.posicao.select("data_posicao", "id_fundo", "id_ativo", "quantidade", "preco_unitario",
                                "valor_financeiro", "percentual_pl")
+    if steps == 4:
+        fact = _with_prices(star, fact, split_hot_keys, hot_min_rows)
     out = left_enrich(fact, fundo, "id_fundo", flag="_hit_fundo")
     if steps == 1:
         return out
@@ -96,18 +100,23 @@ def enriched_positions(star: Star, broadcast: bool | Mapping[str, bool] | None =
     assets = broadcast_if_bounded(asset_dimension(star.ativo, star.emissor, broadcast, max_rows),
                                   max_rows, "ativo", force=forced(broadcast, "ativo"), rows_from=star.ativo)
     out = left_enrich(out, assets, "id_ativo", flag="_hit_ativo")
-    out = out.withColumn("_hit_emissor", F.coalesce(F.col("_hit_emissor"), F.lit(False)))
-    if steps == 3:
-        return out
-    prices = prices_by_priority(star.preco).select(
+    return out.withColumn("_hit_emissor", F.coalesce(F.col("_hit_emissor"), F.lit(False)))
+
+
+def _with_prices(star: Star, fact: DataFrame, split_hot_keys: bool, hot_min_rows: int) -> DataFrame:
+    """``fact`` with the priority price of its (date, asset).
+
+    Exact date match (no as-of carry-forward); the price side grows with the
+    data, so this is a shuffle join, with hot (date, asset) keys split."""
+    quotes = star.preco.select("data_referencia", "id_ativo", "preco_mercado", "fonte_preco", "id_preco")
+    prices = prices_by_priority(quotes).select(
         F.col("data_referencia").alias("data_posicao"), "id_ativo", "preco_mercado", "fonte_preco")
-    # Exact date match (no as-of carry-forward); the price side grows with the
-    # data, so this is a shuffle join, with hot (date, asset) keys split.
     keys = ["data_posicao", "id_ativo"]
     if not split_hot_keys:
-        return left_enrich(out, prices, keys, flag="_hit_preco")
-    priced = salted_join(out, prices.withColumn("_hit_preco", F.lit(True)), keys, "left",
-                         hot=hot_keys(fact, keys, hot_min_rows))
+        return left_enrich(fact, prices, keys, flag="_hit_preco")
+    counted = fact if star.position_keys is None else star.position_keys
+    priced = salted_join(fact, prices.withColumn("_hit_preco", F.lit(True)), keys, "left",
+                         hot=hot_keys(counted, keys, hot_min_rows))
     return priced.withColumn("_hit_preco", F.coalesce(F.col("_hit_preco"), F.lit(False)))
 
 
@@ -145,6 +154,7 @@ def sort_output(df: DataFrame) -> DataFrame:
 
 def carteira_flat(star: Star, broadcast: bool | Mapping[str, bool] | None = None, sort: bool = True,
                   max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """The rendered, ordered flat view (what the CSV sink writes)."""
-    out = render_flat(flat_typed(star, broadcast, max_rows))
-    return sort_output(out) if sort else out
+    """The rendered, ordered flat view (what the CSV sink writes). Typed rows are sorted, which are narrower than
+    their text and have the same order."""
+    typed = flat_typed(star, broadcast, max_rows)
+    return render_flat(sort_output(typed) if sort else typed)

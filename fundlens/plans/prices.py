@@ -23,8 +23,7 @@ def prices_by_priority(prices: DataFrame, priorities: dict[str, int] | None = No
     asset) with many quotes costs one candidate per map task.
     """
     ranked = prices.withColumn("_prio", source_priority("fonte_preco", priorities))
-    order = [F.col("_prio"), F.col("fonte_preco"), F.col("id_preco")]
-    return first_per_key(ranked, PRICE_KEY, order).drop("_prio")
+    return first_per_key(ranked, PRICE_KEY, ["_prio", "fonte_preco", "id_preco"]).drop("_prio")
 
 
 def merge_prices(winners: VersionedTable, batch: DataFrame, priorities: dict[str, int] | None = None,

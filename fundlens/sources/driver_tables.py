@@ -18,13 +18,16 @@ come out of any plan, partitioning or engine.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlens import schemas
-from fundlens.functions.exact import round_ratio
+from fundlens.functions.exact import round_ratio, sum_small
 from fundlens.model import Star
-from fundlens.operators.joins import DEFAULT_HOT_MIN_ROWS, hot_from_counts, salted_join
+from fundlens.operators.joins import DEFAULT_HOT_MIN_ROWS, fits_broadcast, hot_from_counts, salted_join
+from fundlens.session import written
 
 # Adapter rules (fixed values): fund-name suffix by nation key % 4, indexer by
 # part key % 4, price source by (return flag, line status).
@@ -115,26 +118,32 @@ def fund_day_totals(lineitem: DataFrame, orders: DataFrame, customer: DataFrame)
 
 
 def posicao(trades: DataFrame, totals: DataFrame | None = None,
-            hot_min_rows: int = DEFAULT_HOT_MIN_ROWS) -> DataFrame:
+            hot_min_rows: int = DEFAULT_HOT_MIN_ROWS, totals_kept: bool = False) -> DataFrame:
     """Daily positions: the day's trades of a fund in an asset, summed.
 
     ``totals`` (``data_posicao, id_fundo, _pl, _n``) gives the fund's PL per day, and
     an upper bound ``_n`` of its positions that day, when they can be computed more
     cheaply than from ``trades`` (see ``fund_day_totals``); by default both are
     aggregated from the summed positions. A (day, fund) holding a third of the
-    positions is salted over several join tasks (``salted_join``).
+    positions is salted over several join tasks (``salted_join``). ``totals_kept`` says
+    that ``totals`` is a written table: its rows, days times funds, are counted, and under the
+    bound of ``fits_broadcast`` it is broadcast, so the positions are not shuffled for it.
     """
     grouped = trades.groupBy("data_operacao", "id_fundo", "id_ativo").agg(
-        F.sum("quantidade").cast(schemas.QTY).alias("quantidade"),
-        F.sum("valor_operacao").cast(schemas.MONEY).alias("valor_financeiro"),
+        sum_small("quantidade", schemas.QTY).alias("quantidade"),
+        sum_small("valor_operacao", schemas.MONEY).alias("valor_financeiro"),
     ).withColumnRenamed("data_operacao", "data_posicao")
     # Fund total per day by aggregate + join (not a window): a hot (day, fund) is
     # combined map-side, and its rows are salted over several join tasks.
     pl = totals if totals is not None else grouped.groupBy("data_posicao", "id_fundo").agg(
         F.sum("valor_financeiro").alias("_pl"), F.count(F.lit(1)).alias("_n"))
     day_fund = ["data_posicao", "id_fundo"]
-    hot = hot_from_counts(pl, day_fund, "_n", hot_min_rows)
-    return salted_join(grouped, pl.drop("_n"), day_fund, "inner", hot=hot).select(
+    side = pl.drop("_n")
+    if totals_kept and fits_broadcast(side, name="day totals"):
+        joined = grouped.join(F.broadcast(side), day_fund)
+    else:
+        joined = salted_join(grouped, side, day_fund, "inner", hot=hot_from_counts(pl, day_fund, "_n", hot_min_rows))
+    return joined.select(
         F.xxhash64("data_posicao", "id_fundo", "id_ativo").alias("id_posicao"),
         "data_posicao", "id_fundo", "id_ativo", "quantidade",
         round_ratio(F.col("valor_financeiro"), F.col("quantidade"), 6).cast(schemas.PRICE).alias("preco_unitario"),
@@ -154,12 +163,17 @@ def _source(flag: F.Column, status: F.Column) -> F.Column:
 def preco_mercado(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     dated = lineitem.select("l_orderkey", "l_partkey", "l_returnflag", "l_linestatus", "l_extendedprice", "l_shipdate").join(
         orders.select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
-    g = dated.groupBy(
-        F.to_date(F.when(F.col("l_partkey") % 20 == 7, F.col("l_shipdate")).otherwise(F.col("o_orderdate")))
-         .alias("data_referencia"),
-        F.col("l_partkey").cast("long").alias("id_ativo"),
-        _source(F.col("l_returnflag"), F.col("l_linestatus")).alias("fonte_preco"),
-    ).agg(F.max(F.col("l_extendedprice").cast(schemas.MONEY)).cast(schemas.PRICE).alias("preco_mercado"))
+    return _best_quotes(dated.select(
+        F.to_date(F.when(F.col("l_partkey") % 20 == 7, F.col("l_shipdate")).otherwise(F.col("o_orderdate"))).alias("_dia"),
+        F.col("l_partkey").cast("long").alias("_ativo"),
+        _source(F.col("l_returnflag"), F.col("l_linestatus")).alias("_fonte"),
+        F.col("l_extendedprice").cast(schemas.MONEY).alias("_preco")))
+
+
+def _best_quotes(quotes: DataFrame) -> DataFrame:
+    """One quote per (date, asset, source), the highest."""
+    g = quotes.groupBy(F.col("_dia").alias("data_referencia"), F.col("_ativo").alias("id_ativo"),
+                       F.col("_fonte").alias("fonte_preco")).agg(F.max("_preco").cast(schemas.PRICE).alias("preco_mercado"))
     return g.select(F.xxhash64("data_referencia", "id_ativo", "fonte_preco").alias("id_preco"),
                     "data_referencia", "id_ativo", "preco_mercado", "fonte_preco")
 
@@ -209,6 +223,36 @@ def star_from_driver(spark: SparkSession, sf_dir: str) -> Star:
     )
 
 
+def kept_star(spark: SparkSession, sf_dir: str) -> Star:
+    """:func:`star_from_driver` for plans on positions and prices: the line items meet their orders and customers
+    once, when this is called, and are written with the few columns that positions, prices and the totals of
+    the days are made of. The plans read that table instead of joining again for each of them."""
+    t = {n: read_driver(spark, sf_dir, n) for n in DRIVER_TABLES}
+    star = star_from_driver(spark, sf_dir)
+    key = F.col("l_partkey")
+    lines = t["lineitem"].select(
+        "l_orderkey", key.cast("long").alias("id_ativo"), "l_quantity", "l_extendedprice",
+        F.when(key % 20 == 7, F.to_date("l_shipdate")).alias("_ship"), (key % 20 == 7).alias("_by_ship"),
+        _source(F.col("l_returnflag"), F.col("l_linestatus")).alias("fonte_preco"))
+    nation = t["customer"].select(F.col("c_custkey"), F.col("c_nationkey").cast("long").alias("id_fundo"), F.lit(True).alias("_known"))
+    # Trades need the order's customer, quotes do not.
+    orders = t["orders"].select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("_date")).join(
+        nation, F.col("o_custkey") == F.col("c_custkey"), "left").drop("o_custkey", "c_custkey")
+    lines = written(lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).drop("l_orderkey", "o_orderkey"), "lines")
+    trades = lines.filter("_known").select(
+        F.col("_date").alias("data_operacao"), "id_fundo", "id_ativo", F.col("l_quantity").cast(schemas.QTY).alias("quantidade"),
+        F.col("l_extendedprice").cast(schemas.MONEY).alias("valor_operacao"))
+    totals = written(trades.groupBy(F.col("data_operacao").alias("data_posicao"), "id_fundo").agg(
+        F.sum("valor_operacao").alias("_pl"), F.count(F.lit(1)).alias("_n")), "day-totals")
+    quotes = lines.select(
+        F.when(F.col("_by_ship"), F.col("_ship")).otherwise(F.col("_date")).alias("_dia"), F.col("id_ativo").alias("_ativo"),
+        F.col("fonte_preco").alias("_fonte"), F.col("l_extendedprice").cast(schemas.MONEY).alias("_preco"))
+    return replace(
+        star, posicao=schemas.conform(posicao(trades, totals, totals_kept=True), schemas.POSICAO),
+        preco=schemas.conform(_best_quotes(quotes), schemas.PRECO),
+        position_keys=trades.select(F.col("data_operacao").alias("data_posicao"), "id_ativo"))
+
+
 def event_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schemas.conform(preco_eventos(read_driver(spark, sf_dir, "events")), schemas.PRECO)
 

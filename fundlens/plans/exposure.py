@@ -23,6 +23,7 @@ from fundlens.functions.text import NA, NOT_RATED, count_text, fund_short_name,
     millions_text, money_text, rating_bucket, with_placeholder
 from fundlens.operators.joins import DEFAULT_HOT_MIN_ROWS, hot_from_counts, salted_join
 from fundlens.operators.ordered import top_k
+from fundlens.session import written
 
 VALUE = "valor_financeiro"
 CLASSES = ("Renda Fixa", "Renda Variavel")
@@ -50,7 +51,8 @@ def with_share(grouped: DataFrame, value: str = "valor_total", out: str = "pct_t
 def total_by(flat: DataFrame, keys: Sequence[str | Column], share: bool = False,
              as_of: str | None = None, value: str = VALUE) -> DataFrame:
     g = scope(flat, as_of).groupBy(*keys).agg(sum_exact(value, 2).alias("valor_total"))
-    return with_share(g) if share else g
+    # The groups are used twice, for themselves and for their total: written, they are summed once.
+    return with_share(written(g, "totals")) if share else g
 
 
 #: log2 of a sketch's registers: a relative standard error of about 0.8 %.
@@ -136,6 +138,7 @@ def fund_composition(flat: DataFrame, as_of: str | None = None,
     assets are split over several join tasks."""
     g = scope(flat, as_of).groupBy("nome_fundo", "codigo_ativo").agg(
         sum_exact(VALUE, 2).alias("valor_total"), sum_exact("percentual_pl", 6).alias("pct_pl"))
+    g = written(g, "composition")  # read for the fund totals and for the rows
     # Fund totals by aggregate + join: a fund holding a third of the rows is
     # combined map-side instead of landing whole in one window task, and its
     # (fund, asset) rows are salted over several join tasks (the counts come with

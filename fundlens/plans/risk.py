@@ -2,7 +2,7 @@
 tracking error against the whole portfolio.
 
 The positions are first aggregated to one PL per (fund, date) (map-side
-combined); every window below then runs per fund over its dates, so a group
+combined) and written, as all measures and the portfolio's PL come from it; every window below then runs per fund over its dates, so a group
 is bounded by the calendar (about 252 rows a year), not by data volume. The
 portfolio series is one row per date.
 
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from fundlens.functions.exact import round_ratio, sum_exact
 from fundlens.operators.ordered import with_previous
+from fundlens.session import written
 
 VALUE = "valor_financeiro"
 RET_SCALE = 6
@@ -65,13 +66,14 @@ def fund_risk(flat: DataFrame, window: int = 252, level: float = 0.95) -> DataFr
     """Per fund, over its last ``window`` daily returns: VaR at ``level`` (loss, percent),
     correlation and tracking error against the portfolio; and the maximum drawdown of
     its whole PL history."""
-    pl = daily_pl(flat)
+    pl = written(daily_pl(flat), "daily-pl")  # read for every measure below
     rets = daily_returns(pl).filter(F.col("retorno_pct").isNotNull())
     recent = (rets.withColumn("_k", F.row_number().over(
         Window.partitionBy("nome_fundo").orderBy(F.col("data_posicao").desc())))
         .filter(F.col("_k") <= window).drop("_k"))
 
-    total = daily_returns(daily_pl(flat, key=None), key=None).select(
+    portfolio = daily_pl(pl.withColumnRenamed("pl", VALUE), key=None)
+    total = daily_returns(portfolio, key=None).select(
         "data_posicao", F.col("retorno_pct").alias("retorno_total"))
     paired = recent.join(total, "data_posicao", "left")
     moments = paired.groupBy("nome_fundo").agg(

@@ -42,7 +42,10 @@ SMALL_BUCKET, FINEST = 10_000, 3
 def _bucket(col: str, level: int) -> Column:
     """The value's bucket: a step function of it that never falls, finer with each level. Logarithms keep the number
     of buckets bounded (about 30 * BUCKETS a column at level 0) however the values are spread."""
-    x = F.col(col).cast("double")
+    return F.col(f"_bucket_{col}") if level == 0 else _step(F.col(col).cast("double"), level)
+
+
+def _step(x: Column, level: int) -> Column:
     return (F.signum(x) * F.floor(F.log1p(F.abs(x)) * float(BUCKETS * FAN ** level))).cast("long")
 
 
@@ -99,7 +102,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] =
     or a written table. Columns without values give no rows. The driver gets bucket counts,
     whose number is bounded, and the values of the buckets that hold a wanted rank.
     """
-    values = df.select(*cols)
+    # The first level's bucket is a column, computed once a value and pass: every wanted rank compares it.
+    values = df.select(*cols, *[_step(F.col(c).cast("double"), 0).alias(f"_bucket_{c}") for c in cols])
     first = _histogram(values, [(c,) for c in cols])
     wanted, ranks = [], {}
     for c in cols:

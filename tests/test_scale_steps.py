@@ -67,3 +67,13 @@ def test_small_sums_equal_decimal_sums(spark):
                    "union all select 9, cast(null as decimal(18,6))")
     got = df.groupBy("k").agg(sum_small("x", schemas.QTY).alias("s"))
     assert _rows(got) == _rows(df.groupBy("k").agg(F.sum("x").cast(schemas.QTY).alias("s"))) and got.schema["s"].dataType == schemas.QTY
+
+
+def test_quantiles_take_the_first_bucket_of_a_value_from_a_column(spark, monkeypatch):
+    from fundlens.operators import quantiles
+    seen = []
+    distinct = quantiles._distinct
+    monkeypatch.setattr(quantiles, "_distinct", lambda values, paths: seen.append(values.columns) or distinct(values, paths))
+    got = quantiles.exact_quantiles(spark.sql("select cast(id as decimal(18,2)) as x from range(101)"), ["x"])
+    assert [str(r["valor"].normalize()) for r in got.orderBy("p").collect()] == ["25", "5E+1", "75"]
+    assert seen == [["x", "_bucket_x"]]

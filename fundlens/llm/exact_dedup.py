@@ -27,7 +27,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fundlens.llm.common import staged, text_or_empty
+from fundlens.llm.common import staged, text_or_empty, without
 from fundlens.sources.names import unused_names
 
 MIN_CHUNK = 512
@@ -96,11 +96,9 @@ def exact_dedup(docs: DataFrame, hashed: Callable[[Column], Column] = F.xxhash64
 def drop_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of every group of equal texts, all columns and names as they are."""
     found = staged(exact_dedup(docs).select("doc_id", "text_sha256", "kept"), "dedup-marks")
-    own_id, own_sha, row = unused_names(docs.columns, 3)
-    kept = found.filter("kept").select(F.col("doc_id").alias(own_id), F.col("text_sha256").alias(own_sha))
+    (row,) = unused_names(docs.columns, 1)
     if found.groupBy("doc_id", "text_sha256").count().filter("count > 1").limit(1).count() == 0:
-        sha = F.sha2(text_or_empty(), 256)
-        return docs.join(kept, docs["doc_id"].eqNullSafe(F.col(own_id)) & (sha == F.col(own_sha)), "left_semi")
+        return without(docs, [F.col("doc_id"), F.sha2(text_or_empty(), 256)], found.filter("NOT kept").select("doc_id", "text_sha256"))
     # Rows repeat an id with its text: number the rows in a written table and keep by number.
     stable = staged(docs.withColumn(row, F.monotonically_increasing_id()), "dedup-input")
     by_row = exact_dedup(stable.select(F.struct("doc_id", F.col(row).alias("row")).alias("doc_id"), "text")).filter("kept")

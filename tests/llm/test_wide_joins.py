@@ -7,8 +7,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from fundlens.llm import exact_dedup as ed
 from fundlens.llm import ngram_join as nj
-from fundlens.llm.common import may_be_listed
+from fundlens.llm.common import may_be_listed, without
 
 
 @pytest.fixture()
@@ -21,7 +22,7 @@ def no_broadcast(spark):
 
 
 @pytest.mark.parametrize("words", [1, 4, 2 ** 18])
-def test_the_filter_loses_no_listed_row(spark, words):
+def test_the_filter_loses_no_listed_row_and_the_rest_is_exact(spark, words):
     rows = [(i, f"t{i}", i % 3) for i in range(300)] + [(None, "none", 0), (7, "again", 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, _h0 int")
     listed = spark.createDataFrame([(i,) for i in [*range(0, 300, 7), None, 999]], "id long")
@@ -31,6 +32,13 @@ def test_the_filter_loses_no_listed_row(spark, words):
     found = {tuple(r) for r in got.collect()}
     assert {r for r in rows if r[0] in ids} <= found <= set(rows)
     assert words < 2 ** 18 or len(found) < 60
+    left = without(docs, [F.col("doc_id")], listed, words)
+    assert left.columns == docs.columns
+    assert sorted(map(tuple, left.collect()), key=str) == sorted((r for r in rows if r[0] not in ids), key=str)
+    pairs = spark.createDataFrame([(7, "again"), (None, "none"), (5, "other")], "id long, text string")
+    left = without(docs, [F.col("doc_id"), F.col("text")], pairs, words)
+    assert sorted(map(tuple, left.collect()), key=str) == sorted((r for r in rows if r[1] not in ("again", "none")), key=str)
+    assert without(docs, [F.col("doc_id")], listed.limit(0), words).count() == len(rows)
 
 
 def _plan(df) -> str:
@@ -62,6 +70,13 @@ def docs(spark, tmp_dir):
     return spark.read.parquet(f"{tmp_dir}/docs")
 
 
+def test_dropping_copies_joins_only_doubtful_texts(docs, no_broadcast):
+    for out, gone in ((ed.drop_copies(docs), {0, 1}), (nj.keep_one(docs), {60, 61, 62, 63})):
+        scans = _reaches_join(_plan(out))
+        assert scans and not any(scans)
+        assert {r["doc_id"] for r in out.collect()} == set(range(64)) - gone
+
+
 @pytest.mark.parametrize("unclear", [False, True])
 def test_sets_are_made_of_the_texts_of_candidates_alone(spark, docs, no_broadcast, monkeypatch, unclear):
     seen = []

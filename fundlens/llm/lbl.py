@@ -58,6 +58,10 @@ NOISE = 64
 NEAR_NOISE = 16
 BLOCK = 64
 BATCH = 8192
+#: How a step is computed, not what: tokens of a group in one product, rows of a run that are added place by place, rows multiplied as one.
+TILE = 16
+SHORT = 4
+FLAT = 512
 READ = 1 << 20
 ROUNDS = 4
 RATE = 0.1
@@ -156,10 +160,11 @@ class Vocabulary:
         unit = pc.fill_null(pc.index_in(found, value_set=pa.array(self.index, pa.binary())), -1).to_numpy().astype(np.int32)
         rare = np.flatnonzero(unit < 0)
         ends = pc.binary_slice(found.take(pa.array(rare)), -1).fill_null(END)
-        sizes = pc.binary_length(ends).to_numpy()
-        last = np.zeros(len(rare), np.int32)
-        last[sizes > 0] = np.frombuffer(b"".join(ends.to_pylist()), np.uint8)
-        unit[rare] = self.own + last % TAIL
+        if len(rare):
+            cuts = np.frombuffer(ends.buffers()[1], np.int32)[ends.offset:ends.offset + len(ends) + 1]
+            last = np.zeros(len(rare), np.int32)
+            last[np.diff(cuts) > 0] = np.frombuffer(ends.buffers()[2] or b"", np.uint8)[cuts[0]:cuts[-1]]
+            unit[rare] = self.own + last % TAIL
         return unit
 
 
@@ -268,6 +273,25 @@ def _log_total(x: np.ndarray, vectors: np.ndarray, cells: int = 1 << 16) -> np.n
     return out
 
 
+def _sorted(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the numbers, from 0 to 2^31 - 1, in order, the places they stood at; equal ones keep their order)."""
+    both = np.sort((numbers.astype(np.int64) << 32) | np.arange(len(numbers)))
+    return both >> 32, both & 0xFFFFFFFF
+
+
+def _weighted(rows: np.ndarray, weights: np.ndarray, shifts: range, out: np.ndarray) -> None:
+    """``out[t]`` becomes the sum of ``rows[t + shift] * weight`` over the shifts, one row of weights each."""
+    size = FLAT * rows.shape[1]
+    flat, to, held = rows.reshape(-1), out.reshape(-1), np.empty(size, rows.dtype)
+    weights = np.tile(weights, (1, FLAT))  # many short rows are multiplied as one long one
+    for at in range(0, len(to), size):
+        own = to[at:at + size]
+        for i, shift in enumerate(shifts):
+            part = np.multiply(flat[at + shift * rows.shape[1]:][:len(own)], weights[i, :len(own)], out=held[:len(own)] if i else own)
+            if i:
+                own += part
+
+
 class Model:
     """One row of ``WIDTH + 1`` components per vector: those of context units (the last is the start of a text), position weights,
     predicted units and groups. The last component of the latter two is their bias, of the others zero."""
@@ -293,17 +317,16 @@ class Model:
     def context(self, vectors: np.ndarray) -> np.ndarray:
         """The context vector, and 1 for the bias, of every place of a run of units, from their vectors (right from place ``CONTEXT`` on)."""
         h = np.zeros_like(vectors)
-        for i in range(CONTEXT):
-            h[i + 1:] += vectors[:len(vectors) - i - 1] * self.place[i]
+        _weighted(vectors, self.place, range(CONTEXT - 1, -1, -1), h[CONTEXT:])
         h[:, -1] = 1
         return h
 
-    def log_probabilities(self, h: np.ndarray, kind: np.ndarray) -> np.ndarray:
-        """Natural log of P(unit | context vector): of its group among all groups plus its own among the group's units."""
-        by = np.argsort(kind, kind="stable")
-        kind = kind[by]
+    def log_probabilities(self, h: np.ndarray, kind: np.ndarray, places: np.ndarray | None = None) -> np.ndarray:
+        """Natural log of P(unit | context vector): of its group among all groups plus its own among the group's units.
+        ``places`` are those of the units' context vectors in ``h``, if it holds others too."""
+        kind, by = _sorted(kind)
         of = self.of[kind]
-        x = h.take(by, axis=0)
+        x = h.take(by if places is None else places[by], axis=0)
         got = np.einsum("ij,ij->i", x, self.group.take(of, axis=0) + self.next.take(kind, axis=0)) - _log_total(x, self.group)
         cuts = np.flatnonzero(np.diff(of, prepend=-1, append=-1))
         ends = np.append(self.starts, self.units)
@@ -314,19 +337,34 @@ class Model:
         return out
 
 
+def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The sums of the runs of rows that start at ``first``: place by place, as most are short, and what is left of long ones at once."""
+    sizes = np.diff(first, append=len(values))
+    out, more = values.take(first, axis=0), np.flatnonzero(sizes > 1)
+    for k in range(1, SHORT):
+        out[more] += values.take(first[more] + k, axis=0)
+        more = more[sizes[more] > k + 1]
+    if len(more):
+        left = sizes[more] - SHORT
+        cuts = np.cumsum(left) - left
+        rows = np.arange(left.sum()) + np.repeat(first[more] + SHORT - cuts, left)
+        out[more] += np.add.reduceat(values.take(rows, axis=0), cuts, axis=0)
+    return out
+
+
 def _sum_rows(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(distinct rows, the sums of their values)."""
-    by = np.argsort(rows, kind="stable")
-    own = rows[by]
+    own, by = _sorted(rows)
     first = np.flatnonzero(np.diff(own, prepend=-1))
-    return own[first], np.add.reduceat(values.take(by, axis=0), first, axis=0)
+    return own[first], _sums(values.take(by, axis=0), first)
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):  # 1 / inf is the right 0
-        np.exp(np.negative(x, out=x), out=x)
+def _chance(x: np.ndarray, times: int = 1) -> np.ndarray:
+    """``times / (1 + exp(x))`` in place."""
+    with np.errstate(over="ignore"):  # of 1 / inf the right 0 comes
+        np.exp(x, out=x)
     x += 1
-    return np.reciprocal(x, out=x)
+    return np.divide(times, x, out=x)
 
 
 class Trainer:
@@ -360,8 +398,7 @@ class Trainer:
     def step(self, run: np.ndarray) -> None:
         """One step on the units of a padded run behind its first ``CONTEXT`` places."""
         m = self.model
-        by = np.argsort(run, kind="stable")
-        own = run.take(by)
+        own, by = _sorted(run)
         vectors = m.seen.take(run, axis=0)
         target = by[(own < m.units) & (by >= CONTEXT)]
         if not len(target):
@@ -369,43 +406,51 @@ class Trainer:
         kind, x = run.take(target), m.context(vectors).take(target, axis=0)  # sorted by unit, so by group too
         of = m.of.take(kind)
         first, unit_first = (np.flatnonzero(np.diff(v, prepend=-1)) for v in (of, kind))
-        here = of[first]
-        # groups against noise groups
+        here, sizes = of[first], np.diff(first, append=len(of))
+        # groups against noise groups; the bias of a noise vector takes the log of its share, as its gradient counts for nothing in ``back``
         fake = self.rng.choice(len(self.groups), NOISE, p=self.groups)
         right, wrong = m.group.take(of, axis=0), m.group[fake]
-        true = _sigmoid(self.log_groups[of] - np.einsum("ij,ij->i", x, right))[:, None]
-        false = x @ wrong.T
-        false -= self.log_groups[fake]
-        false = np.negative(_sigmoid(false), out=false)
-        back = true * right + false @ wrong
-        group_at, group = _sum_rows(np.concatenate([here, fake]), np.concatenate([np.add.reduceat(true * x, first), false.T @ x]))
-        # units against noise units of their group, shared by its tokens
+        wrong[:, -1] -= self.log_groups[fake]
+        group_true = _chance(np.einsum("ij,ij->i", x, right) - self.log_groups[of])[:, None]
+        false = _chance(x @ -wrong.T, -1)
+        back = np.multiply(group_true, right, out=right)
+        back += false @ wrong
+        group_false = false.T @ x
+        # units against noise units of their group, shared by its tokens: these lie in tiles of one group each, the last filled up with zeros
         right = m.next.take(kind, axis=0)
-        true = _sigmoid(self.log_noise[kind] - np.einsum("ij,ij->i", x, right))[:, None]
-        back += true * right
+        true = _chance(np.einsum("ij,ij->i", x, right) - self.log_noise[kind])[:, None]
+        right *= true
+        back += right
+        tiles = -(-sizes // TILE)
+        tile_first = np.cumsum(tiles) - tiles
+        slot = np.arange(len(of)) + np.repeat(tile_first * TILE - first, sizes)
+        tiled = np.zeros((tiles.sum(), TILE, WIDTH + 1), np.float32)
+        tiled.reshape(-1, WIDTH + 1)[slot] = x
         noise = self._noise_units(here)
-        wrong, ends = m.next.take(noise, axis=0), [*first.tolist(), len(kind)]
-        scores = np.repeat(-self.log_noise[noise], np.diff(ends), axis=0)
-        for j, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
-            scores[a:b] += x[a:b] @ wrong[j].T
-        false, grad = np.negative(_sigmoid(scores), out=scores), np.empty_like(wrong)
-        for j, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
-            back[a:b] += false[a:b] @ wrong[j]
-            np.matmul(false[a:b].T, x[a:b], out=grad[j])
+        wrong = m.next.take(noise, axis=0)
+        wrong[:, :, -1] -= self.log_noise[noise]
+        wrong = wrong.repeat(tiles, axis=0)
+        false = np.zeros((len(tiled), TILE, NEAR_NOISE + 1), np.float32)  # the last column: what a token's group is moved by
+        false.reshape(-1, NEAR_NOISE + 1)[slot, -1] = group_true[:, 0]
+        false[:, :, :-1] = _chance(tiled @ -wrong.transpose(0, 2, 1), -1)
+        back += (false[:, :, :-1] @ wrong).reshape(-1, WIDTH + 1).take(slot, axis=0)
+        grad = _sums((false.transpose(0, 2, 1) @ tiled).reshape(len(tiled), -1), tile_first).reshape(len(here), NEAR_NOISE + 1, WIDTH + 1)
+        group_at, group = _sum_rows(np.concatenate([here, fake]), np.concatenate([grad[:, -1], group_false]))
+        x *= true
         unit_at, unit = _sum_rows(np.concatenate([kind[unit_first], noise.ravel()]),
-                                  np.concatenate([np.add.reduceat(true * x, unit_first), grad.reshape(-1, WIDTH + 1)]))
+                                  np.concatenate([_sums(x, unit_first), grad[:, :-1].reshape(-1, WIDTH + 1)]))
         # back through the context vectors: a token's vector meets the CONTEXT places behind it
-        pull = np.zeros_like(vectors)
+        pull = np.zeros((len(run) + CONTEXT, WIDTH + 1), np.float32)
         back[:, -1] = 0
         pull[target] = back
-        place, seen = np.empty_like(m.place), np.zeros_like(vectors)
+        place, seen = np.empty_like(m.place), np.empty_like(vectors)
         for i in range(CONTEXT):
-            place[i] = np.einsum("ij,ij->j", pull[i + 1:], vectors[:len(run) - i - 1])
-            seen[:len(run) - i - 1] += pull[i + 1:] * m.place[i]
+            place[i] = np.einsum("ij,ij->j", pull[i + 1:len(run)], vectors[:len(run) - i - 1])
+        _weighted(pull, m.place, range(1, CONTEXT + 1), seen)
         seen_first = np.flatnonzero(np.diff(own, prepend=-1))
         self._move("group", group_at, group)
         self._move("next", unit_at, unit)
-        self._move("seen", own[seen_first], np.add.reduceat(seen.take(by, axis=0), seen_first, axis=0))
+        self._move("seen", own[seen_first], _sums(seen.take(by, axis=0), seen_first))
         self._move("place", np.arange(CONTEXT), place / CONTEXT)
 
 
@@ -472,7 +517,7 @@ def _score(batches, model_file: str) -> Iterator[pa.RecordBatch]:
         run = padded(runs, model.units)
         real = np.flatnonzero(run < model.units)
         kind = run[real]
-        chance = model.log_probabilities(model.context(model.seen.take(run, axis=0)).take(real, axis=0), kind) / np.log(10) - log_mass[kind]
+        chance = model.log_probabilities(model.context(model.seen.take(run, axis=0)), kind, real) / np.log(10) - log_mass[kind]
         lengths = np.array([len(r) for r in runs])
         yield to_batch([*zip(*rows, strict=True), np.add.reduceat(chance, np.cumsum(lengths) - lengths)], _SCORED)
 
@@ -486,9 +531,10 @@ def score_texts(docs: DataFrame, rounds: int = ROUNDS, held_out: int = HELD_OUT)
     trained = train(rows.filter(crc_fold() != held_out), words, rounds)
     model_file = shared_file(docs.sparkSession, "lm-model", (words.shares(), trained))
     scored = rows.select("row", "doc_id", "n_tokens", "n_own", "base", "units").mapInArrow(partial(_score, model_file=model_file), _SCORED_DDL)
-    # a rare token's rows are at most those of its documents; both inputs are scans, so a hot one can be split
+    # a rare token's rows are at most those of its documents; both inputs are scans, so a hot one can be split. The counts, one row
+    # per distinct token of a shuffle partition, are the hashed side: neither they nor the many rare tokens are sorted
     rare = rows.select("row", F.explode("rare").alias("r")).select("row", "r.token", "r.tf") \
-        .join(counts, "token", "left") \
+        .join(counts.hint("shuffle_hash"), "token", "left") \
         .groupBy("row").agg(F.sum(F.col("tf") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("rare_sum"),
                             F.sum(F.when(F.col("c") > 0, F.col("tf")).otherwise(0)).alias("rare_known"))
     extra = F.coalesce("rare_sum", F.lit(0.0))

@@ -269,3 +269,80 @@ def test_rounds_build_on_what_other_tasks_learned(docs):
         return lbl.score_texts(many, **rounds).filter("held_out").agg(F.sum("score").alias("s")).first()["s"]
 
     assert lbl.ROUNDS > 1 and held_out() > held_out(rounds=1)
+
+
+def test_sums_of_runs_and_weighted_sums_are_the_plain_ones():
+    rng = np.random.default_rng(4)
+    values, first = rng.normal(size=(300, 5)).astype(np.float32), np.array([0, 1, 3, 6, 10, 15, 100, 299])
+    assert np.allclose(lbl._sums(values, first), [values[a:b].sum(axis=0) for a, b in zip(first, [*first[1:], 300], strict=True)], atol=1e-4)
+    own, by = lbl._sorted(np.array([3, 1, 3, 0, 1], np.int32))
+    assert own.tolist() == [0, 1, 1, 3, 3] and by.tolist() == [3, 1, 4, 0, 2]
+    rows, weights = rng.normal(size=(3 * lbl.FLAT + 9, 5)).astype(np.float32), rng.normal(size=(3, 5)).astype(np.float32)
+    for n in (0, 1, lbl.FLAT, 3 * lbl.FLAT + 5):
+        out = np.empty((n, 5), np.float32)
+        lbl._weighted(rows, weights, range(3, 0, -1), out)
+        assert np.allclose(out, sum(rows[s:s + n] * weights[i] for i, s in enumerate((3, 2, 1))), atol=1e-5)
+
+
+def _plain_gradients(trainer, run, fake, noise):
+    """What a step adds up for every vector, token by token: ``fake`` are its noise groups, ``noise`` the noise units by group."""
+    m = trainer.model
+    grad = {name: np.zeros(getattr(m, name).shape) for name in ("seen", "place", "next", "group")}
+
+    def chance(score):
+        return 1 / (1 + np.exp(-score))
+
+    for t in range(lbl.CONTEXT, len(run)):
+        u = run[t]
+        if u >= m.units:
+            continue
+        before = [run[t - i - 1] for i in range(lbl.CONTEXT)]
+        h, g = sum(m.seen[b].astype(float) * m.place[i] for i, b in enumerate(before)), m.of[u]
+        h[-1] = 1
+        back = np.zeros(lbl.WIDTH + 1)
+        pairs = [("group", g, 1, trainer.log_groups[g]), ("next", u, 1, trainer.log_noise[u])]
+        pairs += [("group", f, 0, trainer.log_groups[f]) for f in fake] + [("next", f, 0, trainer.log_noise[f]) for f in noise[g]]
+        for name, row, real, log_share in pairs:
+            vector = getattr(m, name)[row].astype(float)
+            off = real - chance(h @ vector - log_share)
+            grad[name][row] += off * h
+            back += off * vector
+        back[-1] = 0
+        for i, b in enumerate(before):
+            grad["seen"][b] += back * m.place[i]
+            grad["place"][i] += back * m.seen[b] / lbl.CONTEXT
+    return grad
+
+
+def test_a_step_adds_up_what_every_token_adds(monkeypatch):
+    words = lbl.Vocabulary([(f"w{i}".encode(), 1000 // (i + 1) + 1) for i in range(600)], {k: 9.0 for k in range(lbl.TAIL)}, 10, 5)
+    rng = np.random.default_rng(6)
+    start = lbl.Model.start(words)
+    start[:, :-1] += rng.normal(0, 0.3, (len(start), lbl.WIDTH))
+    trainer = lbl.Trainer(start, words, 0.1, 0)
+    k = trainer.model.units
+    texts = [rng.choice(k, n, p=words.noise).astype(np.int32) for n in (700, 1, 40, 300)]
+    run = lbl.padded(texts, k)
+    fake = rng.choice(len(words.starts), lbl.NOISE)
+    noise = {g: rng.integers(a, b, lbl.NEAR_NOISE) for g, (a, b) in enumerate(zip(words.starts, [*words.starts[1:], k], strict=True))}
+    monkeypatch.setattr(trainer, "rng", type("Rng", (), {"choice": staticmethod(lambda *_, **__: fake)}))
+    monkeypatch.setattr(trainer, "_noise_units", lambda of: np.array([noise[g] for g in of]))
+    want = _plain_gradients(trainer, run, fake, noise)
+    got = {name: np.zeros(x.shape) for name, x in want.items()}
+
+    def move(name, rows, grad):
+        assert len(set(rows.tolist())) == len(rows)
+        got[name][rows] = grad
+
+    monkeypatch.setattr(trainer, "_move", move)
+    trainer.step(run)
+    for name, own in want.items():
+        if name in ("next", "group"):  # context units and positions have no bias
+            assert np.allclose(got[name], own, atol=2e-3), name
+        else:
+            assert np.allclose(got[name][:, :-1], own[:, :-1], atol=2e-3), name
+
+
+def test_rare_tokens_meet_their_counts_without_a_sort(spark, docs):
+    plan = lbl.score_texts(docs.limit(200), rounds=1)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin [token" in plan and "SortMergeJoin [token" not in plan

@@ -33,8 +33,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fundlens.llm.common import commit_file, filesystem, shuffle_partitions, slices, staged, text_or_empty, to_batch
-from fundlens.llm.pieces import encoder
+from fundlens.llm.common import commit_file, filesystem, let_go, shuffle_partitions, slices, staged, text_or_empty, to_batch
+from fundlens.llm.pieces import ENCODE_CHARS, encoder
 from fundlens.session import scratch_dir
 
 BLOCK = 1024
@@ -73,7 +73,7 @@ def _encode_texts(batches, path: str, end_id: int) -> Iterator[pa.RecordBatch]:
     enc = encoder(path)
     size = max(enc.tokenizer.get_vocab_size(), end_id + 1)
     total = np.zeros(size, np.int64)
-    for cols, texts in slices(batches):
+    for cols, texts in slices(batches, max_chars=ENCODE_CHARS):
         ids, n = enc.ids_of(texts, end_id)
         total += np.bincount(ids, minlength=size)
         yield pa.RecordBatch.from_arrays([pa.array(cols["doc_id"], pa.int64()), pa.array(n), binary_rows(ids.astype(id_width(size)), n)],
@@ -236,6 +236,7 @@ def _frame(rows: list[tuple]) -> bytes:
 
 
 def _write(batches, folder: str, book: bytes, lengths: np.ndarray) -> Iterator[pa.RecordBatch]:
+    let_go("huffman")  # the encoder has done its work
     out, rows, held, docs, tokens, size = None, [], 0, 0, 0, 0
     part = TaskContext.get().partitionId()
     for batch in _code_texts(batches, lengths):

@@ -34,11 +34,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fundlens.llm.common import slices, staged, text_or_empty, to_batch
+from fundlens.llm.common import let_go, slices, staged, text_or_empty, to_batch
 from fundlens.llm.huffman import binary_rows, ddl, id_width
-from fundlens.llm.pieces import encoder
+from fundlens.llm.pieces import ENCODE_CHARS, encoder
 
 CAPACITY = 2048
+#: Pieces that a worker's encoder keeps: the packing of a pipeline has executors whose heap earlier stages have filled.
+PIECES = 300_000
+#: Ids that are cut into window pieces at once; one longer document is taken by itself.
+EMIT_IDS = 1_000_000
 
 _IDS = pa.schema([("part", pa.int64()), ("rest", pa.int64()), ("rank", pa.int64()), ("whole_before", pa.int64()),
                   ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
@@ -154,10 +158,10 @@ def place(plan: dict, length: np.ndarray, n: np.ndarray) -> Iterator[tuple[np.nd
 
 
 def _encode(batches, path: str, end_id: int, capacity: int) -> Iterator[pa.RecordBatch]:
-    enc, part = encoder(path), TaskContext.get().partitionId()
+    enc, part = encoder(path, PIECES), TaskContext.get().partitionId()
     width = id_width(max(enc.tokenizer.get_vocab_size(), end_id + 1))
     seen, whole = np.zeros(capacity, np.int64), 0
-    for cols, texts in slices(batches):
+    for cols, texts in slices(batches, max_chars=ENCODE_CHARS):
         ids, n = enc.ids_of(texts, end_id)
         full, rest = np.divmod(n, capacity)
         by = np.argsort(rest, kind="stable")
@@ -171,10 +175,21 @@ def _encode(batches, path: str, end_id: int, capacity: int) -> Iterator[pa.Recor
         whole += int(full.sum())
 
 
-def _emit(batches, plan: dict, capacity: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
+def _by_ids(batches) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that no part but a single document holds more than ``EMIT_IDS`` ids."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
+        n, at = batch.column("n_tokens").to_pylist(), 0
+        while at < len(n):
+            end, total = at, 0
+            while end < len(n) and (end == at or total + n[end] <= EMIT_IDS):
+                total, end = total + n[end], end + 1
+            yield batch.slice(at, end - at)
+            at = end
+
+
+def _emit(batches, plan: dict, capacity: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
+    let_go("packing")  # the encoder has done its work
+    for batch in _by_ids(batches):
         col = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("part", "rest", "rank", "whole_before",
                                                                           "n_tokens", "rank_from", "whole_from")}
         doc_id, blobs = batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist()
@@ -191,10 +206,13 @@ def _emit(batches, plan: dict, capacity: int, with_ids: bool) -> Iterator[pa.Rec
         by = np.lexsort((start, which))
         which, start, size, window, offset = (x[by] for x in (which, start, size, window, offset))
         width = len(blobs[0]) // int(col["n_tokens"][0])
-        ids = [np.frombuffer(b, f"<u{width}", count=s, offset=a * width).astype("<u4").tobytes()
-               for b, a, s in zip((blobs[w] for w in which), start.tolist(), size.tolist(), strict=True)]
-        yield to_batch([[doc_id[w] for w in which], start, size, [zlib.crc32(x) for x in ids],
-                        col["n_tokens"][which], window, offset, ids if with_ids else [None] * len(ids)], _PIECES)
+        ids, crc = [None] * len(which), []
+        for i, (w, a, s) in enumerate(zip(which.tolist(), start.tolist(), size.tolist(), strict=True)):
+            own = np.frombuffer(blobs[w], f"<u{width}", count=s, offset=a * width).astype("<u4").tobytes()
+            crc.append(zlib.crc32(own))
+            if with_ids:
+                ids[i] = own
+        yield to_batch([[doc_id[w] for w in which], start, size, crc, col["n_tokens"][which], window, offset, ids], _PIECES)
 
 
 def pack_documents(docs: DataFrame, path: str, end_id: int = 1, capacity: int = CAPACITY,

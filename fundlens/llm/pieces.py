@@ -10,9 +10,10 @@ directly, by the byte alphabet of byte-level vocabularies; any other piece passe
 chain (normalisation, splitting, merges). Strings of added tokens in a text become that
 token, as the library has it by default, and the text is cut there first.
 
-The piece table of a worker holds at most about ``MAX_PIECES``; beyond, pieces used once
-are forgotten (and encoded anew if they come again), so memory is bounded whatever the
-corpus holds.
+The piece table of a worker holds at most about ``MAX_PIECES`` pieces, ``MAX_CHARS`` characters
+and as many ids, and what one slice of texts adds; beyond, pieces used once are forgotten
+(and encoded anew if they come again), so memory is bounded whatever the corpus holds,
+texts without spaces too, of which a piece can be a whole text.
 """
 
 from __future__ import annotations
@@ -23,9 +24,12 @@ from array import array
 
 import numpy as np
 
-from fundlens.llm.common import worker_cache
+from fundlens.llm.common import release_memory, worker_cache
 
 MAX_PIECES = 900_000
+MAX_CHARS = 10_000_000
+#: Characters of text that are encoded at once: the arrays of a slice take some 15 times as many bytes.
+ENCODE_CHARS = 1_000_000
 
 _SPACE = r"[^\S\x1c-\x1f]"
 _INK = r"[\S\x1c-\x1f]"
@@ -50,7 +54,7 @@ def byte_alphabet() -> dict[int, str]:
 class PieceEncoder(dict):
     """piece -> number; ``ids_of`` gives the token ids of whole texts."""
 
-    def __init__(self, path: str, max_pieces: int = MAX_PIECES):
+    def __init__(self, path: str, max_pieces: int = MAX_PIECES, max_chars: int = MAX_CHARS):
         super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -65,7 +69,7 @@ class PieceEncoder(dict):
         self.model, self.normalizer = self.tokenizer.model, self.tokenizer.normalizer
         self.drops_space = self.normalizer is not None
         self.cut = _DROP_SPACE if self.drops_space else _KEEP_SPACE
-        self.max_pieces = max_pieces
+        self.max_pieces, self.max_chars, self.chars = max_pieces, max_chars, 0
         self.alphabet = byte_alphabet()
         self.space = self.alphabet[32]
         self.start, self.size, self.flat, self.uses = array("i"), array("i"), array("i"), np.zeros(0, np.int64)
@@ -90,24 +94,32 @@ class PieceEncoder(dict):
 
     def __missing__(self, piece: str) -> int:
         k = self[piece] = self.add(self.encode_piece(piece))
+        self.chars += len(piece)
         return k
 
     def forget(self) -> None:
-        """Keep the pieces used more than once, at most half of the bound, most used first."""
-        uses = np.zeros(len(self.start), np.int64)
+        """Keep the pieces used more than once, at most half of each bound, most used first."""
+        uses, chars = np.zeros(len(self.start), np.int64), np.zeros(len(self.start), np.int64)
         uses[:len(self.uses)] = self.uses
-        kept = np.flatnonzero(uses > 1)
-        kept = np.sort(kept[np.argsort(-uses[kept], kind="stable")[:self.max_pieces // 2]])
+        for piece, k in self.items():
+            chars[k] = len(piece)
+        kept = np.flatnonzero((uses > 1) & (chars > 0))  # the end ids of each call are no pieces
+        kept = kept[np.argsort(-uses[kept], kind="stable")[:self.max_pieces // 2]]
+        weight = np.maximum(chars, np.frombuffer(self.size, np.int32))[kept]
+        kept = np.sort(kept[np.cumsum(weight) <= self.max_chars // 2])
+        self.chars = int(chars[kept].sum())
         start, size, flat = self.start, self.size, self.flat
         self.start, self.size, self.flat, self.uses = array("i"), array("i"), array("i"), uses[kept]
         new = {k: self.add(flat[start[k]:start[k] + size[k]]) for k in kept.tolist()}
         held = [(piece, new[k]) for piece, k in self.items() if k in new]
         self.clear()
         self.update(held)
+        del held, new, start, size, flat
+        release_memory()
 
     def ids_of(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, each with ``end_id`` last; ids per text)."""
-        if len(self.start) > self.max_pieces:
+        if len(self.start) > self.max_pieces or max(self.chars, len(self.flat)) > self.max_chars:
             self.forget()
         numbers, per_text, end, find, of = [], [], self.add([end_id]), self.cut.findall, self.__getitem__
         for text in texts:

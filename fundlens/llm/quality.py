@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundlens.llm.common import batch_slices, py_fold, slices, text_or_empty, to_batch
+from fundlens.llm.common import batch_slices, let_go, py_fold, slices, text_or_empty, to_batch
 from fundlens.llm.labelled import MAX_ROWS, training_rows
 
 BINS = 32
@@ -200,6 +200,7 @@ def fit(x: np.ndarray, y: np.ndarray, bins: int = BINS, coarse: int = COARSE, ro
 
 
 def _feature_rows(batches) -> Iterator[pa.RecordBatch]:
+    let_go("quality")
     for cols, texts in slices(batches):
         yield pa.RecordBatch.from_arrays([pa.array(cols["doc_id"], pa.int64()), pa.array(cols["y"], pa.int32()),
                                           pa.array([features(t) for t in texts], pa.list_(pa.float64()))], names=["doc_id", "y", "x"])
@@ -216,6 +217,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, hold_out
 
 
 def _score(batches, model: Additive, threshold: float) -> Iterator[pa.RecordBatch]:
+    let_go("quality")
     for cols, texts in slices(batches):
         score = model.score(np.array([features(t) for t in texts]))
         yield to_batch([cols["doc_id"], [py_fold(d) == 0 for d in cols["doc_id"]], score, (score >= threshold).astype(np.int32)], _SCORES)
@@ -228,6 +230,7 @@ def score_quality(docs: DataFrame, model: Additive, threshold: float = THRESHOLD
 
 
 def _keep(batches, model: Additive, threshold: float) -> Iterator[pa.RecordBatch]:
+    let_go("quality")
     for part, texts in batch_slices(batches):
         yield part.filter(pa.array(model.score(np.array([features(t) for t in texts])) >= threshold))
 

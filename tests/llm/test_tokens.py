@@ -7,10 +7,11 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from fundlens.llm import huffman, packing
+from fundlens.llm import common, huffman, ngram_join, packing, quality
 from fundlens.llm.catalog import tokenizer_file
 from fundlens.llm.pieces import PieceEncoder
 from fundlens.session import scratch_dir
@@ -48,6 +49,49 @@ def test_pieces_give_the_ids_of_whole_texts(spark, name):
     assert got == want
 
 
+def test_piece_table_is_bounded_by_characters():
+    rnd = random.Random(5)
+    enc = PieceEncoder(tokenizer_file(BYTE))
+    enc.max_chars = 50_000
+    for _ in range(30):
+        texts = ["the end " + "".join(rnd.choices("abcdefghij", k=5000)) + " the end" for _ in range(2)]
+        assert enc.ids_of(texts, 1)[0].tolist() == [i for w in whole(BYTE, texts) for i in w]
+        assert sum(map(len, enc)) <= 50_000 + sum(map(len, texts))
+    assert "the" in enc  # what is used again stays
+
+
+def test_what_a_worker_keeps_is_bounded_and_let_go():
+    words = ngram_join._WordHashes()
+    text = "x" * 10_000
+    assert words[text] == words[text] and text not in words
+    for i in range(200_000):
+        words[str(i)]
+    assert len(words) <= 150_000 and words["7"] == ngram_join._WordHashes()["7"]
+    for run in (lambda: list(quality._keep(iter([]), None, 0.3)),
+                lambda: list(packing._emit(iter([]), packing.plan_windows(np.zeros(4, np.int64)), 2048, False))):
+        common._kept["pieces", "made up"] = {"a": 1}
+        run()
+        assert ("pieces", "made up") not in common._kept
+
+
+def test_pieces_are_cut_from_few_ids_at_once():
+    n, docs = 1500, 2500
+    ids = np.random.default_rng(6).integers(0, 50_000, (docs, n)).astype("<u2")
+    plan = packing.plan_windows(np.bincount([n], minlength=2048) * docs)
+    column = lambda x: pa.array(np.zeros(docs, np.int64) + x)
+    batch = pa.RecordBatch.from_arrays(
+        [column(0), column(n), column(np.arange(docs)), column(0), column(np.arange(docs)), column(n),
+         pa.array([x.tobytes() for x in ids], pa.binary()), column(0), column(0)],
+        names=["part", "rest", "rank", "whole_before", "doc_id", "n_tokens", "ids", "rank_from", "whole_from"])
+    for with_ids in (True, False):
+        found = list(packing._emit([batch], plan, 2048, with_ids))
+        assert max(sum(b.column("length").to_pylist()) for b in found) <= 1_000_000
+        rows = sorted((r for b in found for r in b.to_pylist()), key=lambda r: (r["doc_id"], r["start"]))
+        own = [ids[r["doc_id"], r["start"]:r["start"] + r["length"]].astype("<u4").tobytes() for r in rows]
+        assert [r["ids_crc32"] for r in rows] == [zlib.crc32(x) for x in own]
+        assert sum(r["length"] for r in rows) == docs * n and [r["ids"] for r in rows] == (own if with_ids else [None] * len(own))
+
+
 def test_code_lengths_are_optimal_and_limited():
     rnd = np.random.default_rng(3)
     for size in (1, 2, 3, 40, 700):

@@ -42,7 +42,8 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents and their places in windows of 2048 tokens."""
-    return packing.pack_documents(docs, tokenizer_file("byte_bpe_50k.json"), with_ids=False).drop("ids")
+    return packing.pack_documents(docs, tokenizer_file("byte_bpe_50k.json"), with_ids=False,
+                                  max_pieces=packing.FEW_PIECES).drop("ids")
 
 
 STAGES = [

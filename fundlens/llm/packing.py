@@ -36,11 +36,11 @@ from pyspark.sql import functions as F
 
 from fundlens.llm.common import let_go, slices, staged, text_or_empty, to_batch
 from fundlens.llm.huffman import binary_rows, ddl, id_width
-from fundlens.llm.pieces import ENCODE_CHARS, encoder
+from fundlens.llm.pieces import ENCODE_CHARS, MAX_PIECES, encoder
 
 CAPACITY = 2048
-#: Pieces that a worker's encoder keeps: the packing of a pipeline has executors whose heap earlier stages have filled.
-PIECES = 300_000
+#: ``max_pieces`` where earlier stages have filled the executors' heap: less memory, more pieces encoded anew.
+FEW_PIECES = 300_000
 #: Ids that are cut into window pieces at once; one longer document is taken by itself.
 EMIT_IDS = 1_000_000
 
@@ -157,8 +157,8 @@ def place(plan: dict, length: np.ndarray, n: np.ndarray) -> Iterator[tuple[np.nd
         length = (length - gap)[more]
 
 
-def _encode(batches, path: str, end_id: int, capacity: int) -> Iterator[pa.RecordBatch]:
-    enc, part = encoder(path, PIECES), TaskContext.get().partitionId()
+def _encode(batches, path: str, end_id: int, capacity: int, max_pieces: int = MAX_PIECES) -> Iterator[pa.RecordBatch]:
+    enc, part = encoder(path, max_pieces), TaskContext.get().partitionId()
     width = id_width(max(enc.tokenizer.get_vocab_size(), end_id + 1))
     seen, whole = np.zeros(capacity, np.int64), 0
     for cols, texts in slices(batches, max_chars=ENCODE_CHARS):
@@ -216,10 +216,11 @@ def _emit(batches, plan: dict, capacity: int, with_ids: bool) -> Iterator[pa.Rec
 
 
 def pack_documents(docs: DataFrame, path: str, end_id: int = 1, capacity: int = CAPACITY,
-                   with_ids: bool = True) -> DataFrame:
-    """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids``."""
+                   with_ids: bool = True, max_pieces: int = MAX_PIECES) -> DataFrame:
+    """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids``.
+    A worker's encoder keeps ``max_pieces`` pieces; the rows are the same whatever it is."""
     tokens = staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-                    .mapInArrow(partial(_encode, path=path, end_id=end_id, capacity=capacity), ddl(_IDS)), "pack-ids")
+                    .mapInArrow(partial(_encode, path=path, end_id=end_id, capacity=capacity, max_pieces=max_pieces), ddl(_IDS)), "pack-ids")
     counts = staged(tokens.groupBy("part", "rest").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.floor(F.col("n_tokens") / capacity)).alias("whole")), "pack-counts")
     histogram = np.zeros(capacity, np.int64)

@@ -7,7 +7,8 @@ its ranks in all clustering columns, and files cut along that order hold a small
 The rank of a value is its place in the column's order counted in rows, so each rank range holds about the same number of
 rows however the values are spread. It comes from a count per value (combined map-side) numbered by
 ``ordered_scan``; nothing of the rows themselves is sorted for it, and a value on a third of the
-rows is one entry. Ranks are joined back broadcast only under the measured bound of ``broadcast_if_bounded``.
+rows is one entry. Ranks rise with the values, so the least value of each rank, at most 2^bits of them, says the rank of every
+value: a row finds its rank by a binary search in that list and is neither joined nor shuffled for it, however many values there are.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from fundlens.operators.joins import broadcast_if_bounded
 from fundlens.operators.ordered import ordered_scan
 from fundlens.sources.names import unused_names
 
@@ -42,21 +43,41 @@ def interleave(ranks: Sequence[Column], bits: int = BITS) -> Column:
     return out
 
 
+def _ranked(df: DataFrame, col: str) -> Column:
+    """``col`` in a type whose values come to the driver and go back unchanged, in the same order (times and others: as text)."""
+    kind = df.schema[col].dataType
+    if isinstance(kind, T.BinaryType):
+        return F.hex(col)
+    return F.col(col) if isinstance(kind, (T.StringType, T.BooleanType, T.DateType, T.NumericType)) else F.col(col).cast("string")
+
+
+def rank_of(df: DataFrame, col: str, bits: int = BITS) -> Column:
+    """The rank (see :func:`value_ranks`) of each row's ``col``: that of the last rank whose least value is not above it."""
+    value = _ranked(df, col)
+    ranks = value_ranks(df.select(value.alias("v")), "v", bits)
+    # at most 2^bits rows; NULL comes first, so its rank is 0
+    starts = sorted(ranks.filter("valor IS NOT NULL").groupBy("faixa").agg(F.min("valor").alias("valor")).collect())
+    least = F.array(*[F.lit(r["valor"]) for r in starts]).cast(T.ArrayType(ranks.schema["valor"].dataType))
+    # Binary search for the last start not above the value (-1: none). Beyond the list and for NULL the comparison is
+    # NULL, which is no step further.
+    steps = F.array(*[F.lit(1 << b) for b in range(len(starts).bit_length() - 1, -1, -1)]).cast("array<int>")
+    found = F.aggregate(steps, F.lit(-1), lambda at, step: F.when(F.get(least, at + step) <= value, at + step).otherwise(at))
+    return F.get(F.array(*[F.lit(n).cast("long") for n in [0, *(r["faixa"] for r in starts)]]), found + 1)
+
+
 def interleaved(df: DataFrame, cols: Sequence[str], out: str, bits: int = BITS) -> DataFrame:
     """``df`` with the interleaved ranks of ``cols`` (at most five) in ``out``."""
     if not 1 <= len(cols) * bits <= 62:
         raise ValueError("the ranks of all columns must fit into 62 bits")
     columns = df.columns
-    names = unused_names([*columns, out], 2 * len(cols))
-    for c, value, rank in zip(cols, names[::2], names[1::2], strict=True):
-        ranks = value_ranks(df.select(*columns), c, bits).select(F.col("valor").alias(value), F.col("faixa").alias(rank))
-        df = df.join(broadcast_if_bounded(ranks, name=f"ranks of {c}"), F.col(c).eqNullSafe(F.col(value)), "left")
-    return df.select(*columns, interleave([F.coalesce(F.col(n), F.lit(0).cast("long")) for n in names[1::2]], bits).alias(out))
+    names = unused_names([*columns, out], len(cols))
+    ranked = df.select(*columns, *[rank_of(df, c, bits).alias(n) for c, n in zip(cols, names, strict=True)])
+    return ranked.select(*columns, interleave([F.col(n) for n in names], bits).alias(out))
 
 
-def clustered(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str], n_files: int) -> DataFrame:
-    """``df`` in about ``n_files`` range partitions, sorted along the interleaved order inside each partition value.
+def clustered(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str], n_parts: int) -> DataFrame:
+    """``df`` in about ``n_parts`` range partitions, sorted along the interleaved order inside each partition value.
     The range key ends in the columns themselves, so a hot rank is still cut."""
     (key,) = unused_names(df.columns, 1)
     order = [*partition_by, key, *cluster_by]
-    return interleaved(df, cluster_by, key).repartitionByRange(max(1, n_files), *order).sortWithinPartitions(*order).drop(key)
+    return interleaved(df, cluster_by, key).repartitionByRange(max(1, n_parts), *order).sortWithinPartitions(*order).drop(key)

@@ -56,9 +56,10 @@ def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = (),
     the partitions present in ``df`` (incremental daily loads). ``files_per_value`` is the
     number of files of each partition value; by default it follows from a count of each value's rows (one
     file per ``file_rows`` of them), so no value, however large, is one task's work. ``cluster_by`` writes the files of a
-    value along the interleaved order of several columns (``clustering``), so that filters on any of them skip data."""
+    value along the interleaved order of several columns (``clustering``), so that filters on any of them skip data;
+    a task sorts a run of them of up to ``FILE_ROWS`` rows and cuts it into files of ``file_rows``."""
     if cluster_by:
-        df = clustered(df, partition_by, cluster_by, -(-df.count() // file_rows))
+        df = clustered(df, partition_by, cluster_by, _sorted_runs(df, file_rows))
     elif partition_by:
         # Rows of a value meet in a few tasks (``files_per_value``) instead of every task writing a file for it.
         files, columns = F.lit(files_per_value), df.columns
@@ -74,6 +75,8 @@ def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = (),
         df = df.repartition(*[F.col(c) for c in partition_by], F.pmod(F.xxhash64(*columns), files)) \
             .select(*columns).sortWithinPartitions(*partition_by, *sort_by)
     w = df.write.mode(mode)
+    if cluster_by:
+        w = w.option("maxRecordsPerFile", file_rows)
     if partition_by:
         w = w.partitionBy(*partition_by)
         if dynamic and mode == "overwrite":
@@ -81,6 +84,14 @@ def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = (),
     w.parquet(path)
 
 
+def _sorted_runs(df: DataFrame, file_rows: int) -> int:
+    """Tasks for a clustered write: a task a file, but no more than shuffle partitions as long as a task gets at most
+    ``FILE_ROWS`` rows. A shuffle into one partition for each small file would be made of blocks of a few rows."""
+    rows = df.count()
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // FILE_ROWS))
+    return min(parts, -(-rows // file_rows))
+
+
 def write_noop(df: DataFrame) -> None:
     """Run the full plan and discard the rows (benchmarks)."""
     df.write.format("noop").mode("overwrite").save()

@@ -7,7 +7,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from fundlens.sources.clustering import interleave, value_ranks
+from fundlens.sources.clustering import clustered, interleave, interleaved, rank_of, value_ranks
 from fundlens.sources.sinks import write_parquet
 from fundlens.sources.versions import VersionedTable
 
@@ -61,3 +61,24 @@ def test_ranks_follow_the_rows(spark):
     assert {r["valor"]: r["faixa"] for r in value_ranks(df, "v", 3).collect()} == {None: 0, "a": 4, "b": 5, "c": 7}
     got = spark.createDataFrame([(0b101, 0b011)], "x long, y long").select(interleave([F.col("x"), F.col("y")], 3)).first()[0]
     assert got == 0b100111
+
+
+@pytest.mark.parametrize("value", [
+    "concat('A', id % 61)", "id % 61 - 30", "date_add(date'2024-01-01', cast(id % 61 as int))", "cast(id % 61 - 30 as decimal(18,6)) / 8",
+    "if(id % 7 = 0, double('NaN'), id % 61 - 30d)", "timestamp_seconds((id % 61) * 1e7)", "id % 3 = 0", "unhex(hex(id % 61))", "cast(null as string)"])
+def test_a_row_finds_the_rank_of_its_value_without_a_join(spark, value):
+    rows = spark.range(500, numPartitions=3).selectExpr("id", f"if(id % 11 = 0, null, {value}) as v")
+    want = rows.join(value_ranks(rows, "v", 4), F.col("v").eqNullSafe(F.col("valor"))).select("id", "faixa")
+    assert sorted(rows.select("id", rank_of(rows, "v", 4)).collect()) == sorted(want.collect())
+    plan = interleaved(rows, ["v", "id"], "key")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_small_files_are_cut_from_few_shuffle_partitions(spark, rows, tmp_dir, monkeypatch):
+    from fundlens.sources import sinks
+    asked = []
+    monkeypatch.setattr(sinks, "clustered", lambda df, by, cols, n: asked.append(n) or clustered(df, by, cols, n))
+    write_parquet(rows, f"{tmp_dir}/small", file_rows=500, cluster_by=("fundo", "ativo"))
+    assert asked == [int(spark.conf.get("spark.sql.shuffle.partitions"))]
+    sizes = [r["count"] for r in spark.read.parquet(f"{tmp_dir}/small").groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 40_000 and max(sizes) == 500 and len(sizes) <= 40_000 // 500 + asked[0]

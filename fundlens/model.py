@@ -24,6 +24,9 @@ class Star:
     # ``data_posicao, id_ativo`` with at least as many rows of each key as ``posicao``, when it
     # is cheaper to read: the price join looks for hot keys there.
     position_keys: DataFrame | None = None
+    # Set when ``posicao`` and ``preco`` are hash-partitioned by ``id_ativo``, each aggregated in one shuffle: the
+    # most rows that an asset may hold there. Joins by asset, or by date and asset, then move none of these rows again.
+    asset_rows: int | None = None
 
     def frames(self) -> dict[str, DataFrame]:
         out = {"fundo": self.fundo, "ativo": self.ativo, "emissor": self.emissor,

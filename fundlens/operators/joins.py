@@ -11,11 +11,15 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fundlens.sources.names import unused_names
+
 log = logging.getLogger(__name__)
 
 # Largest dimension broadcast to every executor: a row bound and a byte bound
@@ -190,6 +194,28 @@ def left_enrich(fact: DataFrame, dim: DataFrame, keys: Sequence[str] | str,
     return out
 
 
+def left_lookup(fact: DataFrame, side: DataFrame, keys: Sequence[str], flag: str | None = None) -> DataFrame:
+    """:func:`left_enrich` with a ``side`` of at most one row per key, when both lie hash-partitioned by the same some of ``keys``.
+
+    A join shuffles both sides again unless they are partitioned by all of its keys. A window may use a partitioning by some
+    of them: the rows of both are put together and sorted by key, the side's row first, and each fact row takes the first
+    row's columns. Nothing is shuffled and the result lies as before, in the order of ``keys`` (a union keeps the partitioning of
+    its sides since Spark 4.1; otherwise its rows are shuffled, with the same result). Not for hot keys: the rows of a key are
+    one task's work.
+    """
+    keys, columns = list(keys), fact.columns
+    wanted = [c for c in side.columns if c not in keys]
+    (from_side,) = unused_names([*columns, *side.columns, *([flag] if flag else [])], 1)
+    # NULL keys match nothing
+    known = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    both = fact.withColumn(from_side, F.lit(False)).unionByName(
+        side.filter(known).withColumn(from_side, F.lit(True)), allowMissingColumns=True)
+    first = Window.partitionBy(*keys).orderBy(F.col(from_side).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = [F.first(c).over(first).alias(c) for c in wanted] + ([F.first(from_side).over(first).alias(flag)] if flag else [])
+    out = both.select(*columns, from_side, *found).filter(~F.col(from_side))
+    return out.select(*keys, *[c for c in columns if c not in keys], *wanted, *([flag] if flag else []))
+
+
 def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Child rows whose foreign key has no parent (NULL keys are not orphans).
 

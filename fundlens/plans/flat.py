@@ -18,7 +18,7 @@ from fundlens import schemas
 from fundlens.functions.dates import iso_date
 from fundlens.functions.text import NA, NOT_RATED, UNDEFINED_MATURITY, with_placeholder
 from fundlens.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, DEFAULT_HOT_MIN_ROWS, broadcast_if_bounded, \
-    hot_keys, left_enrich, salted_join
+    hot_keys, left_enrich, left_lookup, salted_join
 from fundlens.plans.prices import prices_by_priority
 from fundlens.model import Star
 
@@ -78,7 +78,8 @@ def enriched_positions(star: Star, broadcast: bool | Mapping[str, bool] | None =
     price join, whose price side is an aggregate; ``split_hot_keys`` salts the
     (date, asset) keys holding more than ``hot_min_rows`` positions instead
     (``operators.joins.salted_join``). Streams pass ``False``: their micro-batches
-    are bounded and a stream cannot join back its own aggregate. ``steps`` stops after
+    are bounded and a stream cannot join back its own aggregate. A star that lies by asset (``Star.asset_rows``)
+    has been shuffled for all of this already. ``steps`` stops after
     the fund (1), asset (2), issuer (3) or price join (4).
     """
     schemas.require_columns(star.frames())
@@ -107,11 +108,15 @@ def _with_prices(star: Star, fact: DataFrame, split_hot_keys: bool, hot_min_rows
     """``fact`` with the priority price of its (date, asset).
 
     Exact date match (no as-of carry-forward); the price side grows with the
-    data, so this is a shuffle join, with hot (date, asset) keys split."""
+    data, so this is a shuffle join, with hot (date, asset) keys split. Positions and prices that lie by asset
+    already (``Star.asset_rows``) hold no hot key and stay where they are; the asset comes first in their
+    order, which the asset join then finds."""
     quotes = star.preco.select("data_referencia", "id_ativo", "preco_mercado", "fonte_preco", "id_preco")
     prices = prices_by_priority(quotes).select(
         F.col("data_referencia").alias("data_posicao"), "id_ativo", "preco_mercado", "fonte_preco")
     keys = ["data_posicao", "id_ativo"]
+    if star.asset_rows is not None and star.asset_rows <= hot_min_rows:
+        return left_lookup(fact, prices, ["id_ativo", "data_posicao"], flag="_hit_preco")
     if not split_hot_keys:
         return left_enrich(fact, prices, keys, flag="_hit_preco")
     counted = fact if star.position_keys is None else star.position_keys

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from fundlens import schemas
 from fundlens.functions.exact import round_ratio, sum_small
 from fundlens.model import Star
-from fundlens.operators.joins import DEFAULT_HOT_MIN_ROWS, fits_broadcast, hot_from_counts, salted_join
+from fundlens.operators.joins import DEFAULT_HOT_MIN_ROWS, fits_broadcast, hot_from_counts, hot_keys, salted_join
 from fundlens.session import written
 
 # Adapter rules (fixed values): fund-name suffix by nation key % 4, indexer by
@@ -223,10 +223,14 @@ def star_from_driver(spark: SparkSession, sf_dir: str) -> Star:
     )
 
 
-def kept_star(spark: SparkSession, sf_dir: str) -> Star:
+def kept_star(spark: SparkSession, sf_dir: str, hot_min_rows: int = DEFAULT_HOT_MIN_ROWS) -> Star:
     """:func:`star_from_driver` for plans on positions and prices: the line items meet their orders and customers
     once, when this is called, and are written with the few columns that positions, prices and the totals of
-    the days are made of. The plans read that table instead of joining again for each of them."""
+    the days are made of. The plans read that table instead of joining again for each of them.
+
+    As long as no asset holds more than ``hot_min_rows`` lines (counted, see ``hot_keys``), trades and quotes are shuffled
+    by asset and aggregated where they land: the price and the asset join need no further shuffle of positions
+    or prices. With a hot asset they are combined map-side and shuffled by their whole keys, whose hot ones the joins split."""
     t = {n: read_driver(spark, sf_dir, n) for n in DRIVER_TABLES}
     star = star_from_driver(spark, sf_dir)
     key = F.col("l_partkey")
@@ -247,10 +251,14 @@ def kept_star(spark: SparkSession, sf_dir: str) -> Star:
     quotes = lines.select(
         F.when(F.col("_by_ship"), F.col("_ship")).otherwise(F.col("_date")).alias("_dia"), F.col("id_ativo").alias("_ativo"),
         F.col("fonte_preco").alias("_fonte"), F.col("l_extendedprice").cast(schemas.MONEY).alias("_preco"))
+    keys = trades.select(F.col("data_operacao").alias("data_posicao"), "id_ativo")
+    placed = hot_keys(lines, ["id_ativo"], hot_min_rows).isEmpty()
+    if placed:
+        trades, quotes = trades.repartition("id_ativo"), quotes.repartition("_ativo")
     return replace(
         star, posicao=schemas.conform(posicao(trades, totals, totals_kept=True), schemas.POSICAO),
-        preco=schemas.conform(_best_quotes(quotes), schemas.PRECO),
-        position_keys=trades.select(F.col("data_operacao").alias("data_posicao"), "id_ativo"))
+        preco=schemas.conform(_best_quotes(quotes), schemas.PRECO), position_keys=keys,
+        asset_rows=hot_min_rows if placed else None)
 
 
 def event_prices(spark: SparkSession, sf_dir: str) -> DataFrame:

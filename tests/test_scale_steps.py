@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from fundlens import schemas
 from fundlens.functions.exact import sum_small
 from fundlens.operators.dedup import first_per_key
-from fundlens.operators.joins import hot_from_counts, hot_keys
+from fundlens.operators.joins import hot_from_counts, hot_keys, left_enrich, left_lookup
 from fundlens.plans.flat import flat_typed
 from fundlens.sources.driver_tables import kept_star, star_from_driver
 
@@ -77,3 +77,41 @@ def test_quantiles_take_the_first_bucket_of_a_value_from_a_column(spark, monkeyp
     got = quantiles.exact_quantiles(spark.sql("select cast(id as decimal(18,2)) as x from range(101)"), ["x"])
     assert [str(r["valor"].normalize()) for r in got.orderBy("p").collect()] == ["25", "5E+1", "75"]
     assert seen == [["x", "_bucket_x"]]
+
+
+def test_positions_and_prices_that_lie_by_asset_are_shuffled_once(spark):
+    star = kept_star(spark, SMOKE)
+    want = _rows(flat_typed(star_from_driver(spark, SMOKE)))
+    saved = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    for k in saved:
+        spark.conf.set(k, "-1")
+    try:
+        flat = flat_typed(star, broadcast={"fundo": True, "emissor": True, "ativo": False})
+        moved = [ln for ln in flat._jdf.queryExecution().executedPlan().toString().splitlines() if " Exchange " in ln]
+        got = _rows(flat)
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    # trades, quotes, and the asset table with the issuers of its assets
+    assert len(moved) == 4 and not any("data_" in ln or "_dia" in ln for ln in moved)
+    assert got == want
+
+
+def test_a_hot_asset_keeps_the_shuffles_by_whole_keys(spark):
+    star, hot = kept_star(spark, SMOKE), kept_star(spark, SMOKE, hot_min_rows=20)
+    assert star.asset_rows and hot.asset_rows is None
+    plan = flat_typed(hot, hot_min_rows=20)
+    assert "_salt" in _logical(plan) and "_salt" not in _logical(flat_typed(star))
+    # a lower bound than the one that was counted
+    assert "_salt" in _logical(flat_typed(star, hot_min_rows=20))
+    assert _rows(plan) == _rows(flat_typed(star))
+
+
+def test_left_lookup_equals_the_left_join(spark):
+    fact = spark.sql("select if(id % 9 = 0, null, id % 50) as a, if(id % 13 = 0, null, id % 7) as d, id as q from range(2000)")
+    side = spark.sql("select if(id % 10 = 0, null, id % 60) as a, if(id = 5, null, id % 5) as d, concat('p', id) as p, "
+                     "if(id % 3 = 0, null, 'x') as f from range(300)").dropDuplicates(["a", "d"])
+    got = left_lookup(fact.repartition(7, "a"), side.repartition(7, "a"), ["a", "d"], flag="_hit")
+    assert got.columns == left_enrich(fact, side, ["a", "d"], flag="_hit").columns
+    assert _rows(got) == _rows(left_enrich(fact, side, ["a", "d"], flag="_hit"))
+    assert _rows(left_lookup(fact, side.limit(0), ["a", "d"])) == _rows(left_enrich(fact, side.limit(0), ["a", "d"]))
